@@ -1,8 +1,7 @@
 """Registered queries.
 
 Each entry takes ``(spark, sf_dir)`` and returns a DataFrame built from the
-driver tables (or data Spark derives from them).  Inputs the reference gets
-from Kafka or files are derived deterministically from the tables, so every
+driver tables (or data Spark derives from them, see :mod:`.derive`), so every
 query's work grows with the tables.  Timestamps are returned zone-less
 (TIMESTAMP_NTZ) and every computed column is aliased to the name its oracle
 SQL uses (see :mod:`riverbend.plans.oracle`).
@@ -10,28 +9,296 @@ SQL uses (see :mod:`riverbend.plans.oracle`).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from riverbend.operators import dedup
+from riverbend.functions.time import day_partition, iso_wire, ts_text_nanos
+from riverbend.operators import dedup, latency, patterns, routing, windows
+from riverbend.plans import derive
+from riverbend.sources import cdc, kafka, protobuf
 from riverbend.sources.tables import read_table, to_ntz
+from riverbend.streaming import sinks
+
+HOT = 50.0
+TOLERANCE_S = 6 * 3600
+SESSION_GAP_S = 6 * 3600
+PRIORITY_ROUTES = {"1-URGENT": "critical", "2-HIGH": "major"}
+EVENT_SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("data", T.StringType()),
+                             T.StructField("timestamp", T.TimestampType())])
+CDC_ROW = T.StructType([T.StructField("t_id", T.LongType()), T.StructField("t_customer_id", T.LongType()),
+                        T.StructField("t_amount", T.DecimalType(10, 2))])
+TXN_PARQUET = T.StructType([T.StructField("t_time", T.StringType()), T.StructField("t_id", T.LongType()),
+                            T.StructField("t_customer_id", T.LongType()),
+                            T.StructField("t_amount", T.DecimalType(10, 2)),
+                            T.StructField("t_date", T.StringType())])
+
+
+def _orders(spark, sf_dir, cols=None):
+    return read_table(spark, sf_dir, "orders", cols)
+
 
-ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+def _events(spark, sf_dir, cols=None):
+    return read_table(spark, sf_dir, "events", cols)
 
 
+# -- dedup family ---------------------------------------------------------
+
 def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2: latest order per customer by (o_orderdate, o_orderkey)."""
-    orders = read_table(spark, sf_dir, "orders")
-    return to_ntz(dedup.keep_latest(orders, "o_custkey", ["o_orderdate", "o_orderkey"]))
+    return to_ntz(dedup.keep_latest(_orders(spark, sf_dir), "o_custkey", ["o_orderdate", "o_orderkey"]))
+
+
+def latest_per_key_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2 written as SQL text over a view (ROW_NUMBER ... = 1)."""
+    view = f"orders_{uuid.uuid4().hex[:8]}"
+    _orders(spark, sf_dir).createOrReplaceTempView(view)
+    return to_ntz(spark.sql(f"""
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+        FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey
+                                           ORDER BY o_orderdate DESC, o_orderkey DESC) AS rownum
+              FROM {view})
+        WHERE rownum <= 1"""))
 
 
 def top_n_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2 with n = 3: the three latest orders per customer and their rank."""
-    orders = read_table(spark, sf_dir, "orders")
-    return to_ntz(dedup.keep_latest(orders, "o_custkey", ["o_orderdate", "o_orderkey"], n=3, rank_col="rn"))
+    return to_ntz(dedup.keep_latest(_orders(spark, sf_dir), "o_custkey", ["o_orderdate", "o_orderkey"],
+                                    n=3, rank_col="rn"))
+
+
+def latest_improvements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3: events arrive in a shuffled order; keep rows newer than all earlier ones of their user."""
+    ev = _events(spark, sf_dir, ["event_id", "user_id", "ts", "event_type", "value"])
+    ev = ev.withColumn("arrival", (F.col("event_id") * 7919) % 100003)
+    out = dedup.latest_improvements(ev, "user_id", "ts", "arrival", tiebreak=["event_id"], bucket_width=4096)
+    return to_ntz(out.drop("arrival"))
+
+
+def _transactions_twice(orders: DataFrame) -> DataFrame:
+    t = orders.select(F.col("o_orderkey").alias("t_id"), F.col("o_custkey").alias("t_customer_id"),
+                      F.col("o_totalprice").alias("t_amount"), F.col("o_orderdate").alias("t_time"))
+    return t.unionByName(t)
+
+
+def keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1: every order arrives twice, the copy shifted by -1, 0 or +1 s; keep the first."""
+    o = _orders(spark, sf_dir, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
+    base = o.select(F.col("o_orderkey").alias("t_id"), F.col("o_custkey").alias("t_customer_id"),
+                    F.col("o_totalprice").alias("t_amount"), F.col("o_orderdate").alias("t_time"),
+                    F.lit(0).alias("copy"))
+    shift = (F.col("o_orderkey") % 3 - 1) * 1_000_000
+    copy = o.select(F.col("o_orderkey").alias("t_id"), F.col("o_custkey").alias("t_customer_id"),
+                    F.col("o_totalprice").alias("t_amount"),
+                    F.timestamp_micros(F.unix_micros("o_orderdate") + shift).alias("t_time"),
+                    F.lit(1).alias("copy"))
+    return to_ntz(dedup.keep_first(base.unionByName(copy), "t_id", ["t_time", "copy"]))
+
+
+def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: SELECT DISTINCT * over a stream where every transaction appears twice."""
+    return to_ntz(dedup.distinct_rows(_transactions_twice(_orders(spark, sf_dir))))
+
+
+def dedup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1: customers joined with the distinct transactions; amount narrowed to DECIMAL(15,2)."""
+    cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name"]).withColumnRenamed("c_custkey", "c_id")
+    tx = _transactions_twice(_orders(spark, sf_dir))
+    return dedup.dedup_join(cust, tx, "c_id", "t_customer_id",
+                            [F.col("t_id"), F.col("c_name"),
+                             F.col("t_amount").try_cast("decimal(15,2)").alias("t_amount")])
+
+
+def decimal_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Narrowing cast with overflow to NULL (DECIMAL(7,2) holds up to 99999.99)."""
+    o = _orders(spark, sf_dir, ["o_orderkey", "o_totalprice"])
+    return o.select("o_orderkey", F.col("o_totalprice").try_cast("decimal(7,2)").alias("amount"))
+
+
+def cdc_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change feed (inserts, updates, deletes) folded into the current table."""
+    feed = derive.change_feed(_orders(spark, sf_dir, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]))
+    return cdc.apply_cdc(cdc.parse_cdc(feed, "value", CDC_ROW), "t_id")
+
+
+def cdc_after_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row images carried by the change feed (``/after`` of every insert and update)."""
+    feed = derive.change_feed(_orders(spark, sf_dir, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]))
+    return cdc.after_images(cdc.parse_cdc(feed, "value", CDC_ROW))
+
+
+# -- windows --------------------------------------------------------------
+
+def tumbling_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per 1 h tumbling window and type."""
+    ev = _events(spark, sf_dir, ["ts", "event_type"])
+    return to_ntz(windows.tumbling_counts(ev, "ts", "1 hour", "event_type"))
+
+
+def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts over all document texts."""
+    return windows.word_count(read_table(spark, sf_dir, "documents", ["text"]), "text")
+
+
+def session_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions per user with a 6 h gap: first, last time and number of events."""
+    ev = _events(spark, sf_dir, ["user_id", "ts"])
+    return to_ntz(windows.sessionize(ev, "user_id", "ts", SESSION_GAP_S))
+
+
+# -- routing --------------------------------------------------------------
+
+def split_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders routed to critical / major / minor outputs (long form)."""
+    o = _orders(spark, sf_dir, ["o_orderkey", "o_orderpriority"])
+    return routing.labelled(o, "o_orderpriority", PRIORITY_ROUTES, default="minor")
+
+
+def _late_split(spark, sf_dir):
+    le = derive.late_events(_events(spark, sf_dir, ["event_id", "event_type", "ts"]))
+    return routing.split_late(le, "event_time", "offset", bucket_width=4096)
+
+
+def late_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows at or ahead of the watermark."""
+    return to_ntz(_late_split(spark, sf_dir)[0].drop("offset"))
+
+
+def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows behind the watermark (their own output)."""
+    return to_ntz(_late_split(spark, sf_dir)[1].drop("offset"))
+
+
+def _dead_letter(spark, sf_dir):
+    msgs = derive.dead_letter_messages(_events(spark, sf_dir, ["event_id", "event_type", "ts"]))
+    return routing.dead_letter_split(msgs, "value", EVENT_SCHEMA, required=["id", "data", "timestamp"],
+                                     time_fields=["timestamp"])
+
+
+def dead_letter_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return to_ntz(_dead_letter(spark, sf_dir)[0])
+
+
+def dead_letter_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dead_letter(spark, sf_dir)[1].select("value")
+
+
+# -- sources --------------------------------------------------------------
+
+def kafka_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kafka records -> parsed event + record metadata + header values (flattened)."""
+    env = derive.kafka_envelope(_events(spark, sf_dir, ["event_id", "user_id", "event_type", "ts"]))
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("data", T.StringType()),
+                           T.StructField("timestamp", T.StringType())])
+    e = kafka.enrich(env, schema, ["tracestate", "traceparent"])
+    from riverbend.functions.time import wire_timestamp
+    return to_ntz(e.select("event.id", "event.data", wire_timestamp("event.timestamp").alias("timestamp"),
+                           "metadata.*", "headers.*"))
+
+
+def protobuf_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders encoded as protobuf Transaction messages in one job, decoded in another."""
+    o = _orders(spark, sf_dir, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
+    rows = o.select(iso_wire("o_orderdate").alias("t_time"), F.col("o_orderkey").alias("t_id"),
+                    F.col("o_custkey").alias("t_customer_id"),
+                    F.when(F.col("o_orderkey") % 17 != 0, F.col("o_totalprice")).alias("t_amount"))
+    encoded = protobuf.encode(rows, "Transaction", protobuf.TRANSACTION_FIELDS)
+    return protobuf.decode(encoded, "value", "Transaction", protobuf.TRANSACTION_FIELDS)
+
+
+# -- patterns -------------------------------------------------------------
+
+def _readings(spark, sf_dir):
+    return _events(spark, sf_dir, ["event_id", "user_id", "ts", "value"])
+
+
+def hot_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return to_ntz(patterns.hot_v1(_readings(spark, sf_dir), "user_id", "ts", "value", "event_id", HOT, TOLERANCE_S))
+
+
+def hot_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return to_ntz(patterns.hot_v2(_readings(spark, sf_dir), "user_id", "ts", "value", "event_id", HOT, TOLERANCE_S))
+
+
+def hot_v3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return to_ntz(patterns.hot_v3(_readings(spark, sf_dir), "user_id", "ts", "value", "event_id", HOT, TOLERANCE_S))
+
+
+# -- latency --------------------------------------------------------------
+
+def _observed(ts: str):
+    # observation time: the next whole minute after the event (deterministic)
+    ms = F.unix_millis(F.col(ts))
+    return F.timestamp_millis((F.floor(ms / 60_000) + 1) * 60_000)
+
+
+def event_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-row event-time lag; the row passes through unchanged."""
+    ev = _events(spark, sf_dir, ["event_id", "user_id", "ts"])
+    return to_ntz(latency.with_lag(ev, "ts", _observed("ts")))
+
+
+def lag_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lag distribution over the 10,000 newest events."""
+    ev = latency.with_lag(_events(spark, sf_dir, ["event_id", "ts"]), "ts", _observed("ts"))
+    s = latency.lag_stats(ev, "lag_ms", "event_id", 10_000)
+    return s.select(*[F.round(c, 6).alias(c) if c not in ("n", "min_ms", "max_ms") else F.col(c)
+                      for c in s.columns])
+
+
+# -- sinks ----------------------------------------------------------------
+
+def _transactions_for_parquet(spark, sf_dir):
+    o = _orders(spark, sf_dir, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
+    return o.select(ts_text_nanos("o_orderdate").alias("t_time"), day_partition("o_orderdate").alias("t_date"),
+                    F.col("o_orderkey").alias("t_id"), F.col("o_custkey").alias("t_customer_id"),
+                    F.col("o_totalprice").try_cast("decimal(10,2)").alias("t_amount"))
+
+
+def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions written as day-partitioned Parquet, then read back."""
+    path = sinks.write_partitioned(_transactions_for_parquet(spark, sf_dir), "t_date",
+                                   sinks.new_output(spark, "txn-parquet"), split_by="t_id")
+    return spark.read.schema(TXN_PARQUET).parquet(path)
+
+
+def compacted_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The day-partitioned output compacted into fewer files; rows unchanged."""
+    path = sinks.write_partitioned(_transactions_for_parquet(spark, sf_dir), "t_date",
+                                   sinks.new_output(spark, "txn-parquet"), split_by="t_id")
+    compacted = sinks.compact(spark, path, sinks.new_output(spark, "txn-compacted"), "t_date", TXN_PARQUET,
+                              split_by="t_id")
+    return spark.read.schema(TXN_PARQUET).parquet(compacted)
 
 
 QUERIES = {
     "latest_per_key": latest_per_key,
+    "latest_per_key_sql": latest_per_key_sql,
     "top_n_per_key": top_n_per_key,
+    "latest_improvements": latest_improvements,
+    "keep_first": keep_first,
+    "distinct_rows": distinct_rows,
+    "dedup_join": dedup_join,
+    "decimal_narrow": decimal_narrow,
+    "cdc_apply": cdc_apply,
+    "cdc_after_images": cdc_after_images,
+    "tumbling_counts": tumbling_counts,
+    "word_count": word_count,
+    "session_activity": session_activity,
+    "split_by_priority": split_by_priority,
+    "late_main": late_main,
+    "late_rows": late_rows,
+    "dead_letter_good": dead_letter_good,
+    "dead_letter_bad": dead_letter_bad,
+    "kafka_enriched": kafka_enriched,
+    "protobuf_decode": protobuf_decode,
+    "hot_v1": hot_v1,
+    "hot_v2": hot_v2,
+    "hot_v3": hot_v3,
+    "event_lag": event_lag,
+    "lag_stats": lag_stats,
+    "parquet_roundtrip": parquet_roundtrip,
+    "compacted_roundtrip": compacted_roundtrip,
 }
