@@ -64,7 +64,7 @@ def _chain(ends: DataFrame) -> DataFrame:
     started at ``r``; the next match starts at ``end + 1``.  Returns
     ``__g, r`` for each chain member.
     """
-    jumps = [ends.select("__g", "r", (F.col("end") + 1).alias("a"), "m").checkpoint()]
+    jumps = [ends.select("__g", "r", (F.col("end") + 1).alias("a"), "m")]
     while True:
         j = jumps[-1]
         if j.filter((F.col("r") == 1) & (F.col("a") <= F.col("m"))).isEmpty():
@@ -106,7 +106,8 @@ def _greedy(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshol
     ends = (counted.filter(F.col("kind") == 0)
                    .select("__g", F.col("q").alias("r"),
                            F.greatest(F.col("q") + 1, F.coalesce(F.col("before"), F.lit(0)) + 1).alias("end"))
-                   .join(sizes, "__g"))
+                   .join(sizes, "__g")
+                   .checkpoint())
     members = _chain(ends)
     closing = (members.join(ends, ["__g", "r"])
                       .filter(F.col("end") <= F.col("m"))

@@ -302,3 +302,155 @@ QUERIES = {
     "parquet_roundtrip": parquet_roundtrip,
     "compacted_roundtrip": compacted_roundtrip,
 }
+
+
+# -- streams and keyed state ------------------------------------------------
+# These queries stage data Spark derives from the tables in the session's
+# shared checkpoint folder, run Structured Streaming jobs over it until the
+# input is exhausted, and return what the jobs produced.
+
+from riverbend.sources import files as file_sources  # noqa: E402
+from riverbend.streaming import state as keyed_state  # noqa: E402
+
+SUB_EVENT_V1 = T.StructType([T.StructField("content1", T.StringType()), T.StructField("content2", T.StringType())])
+SUB_EVENT_V2 = T.StructType([T.StructField("content1", T.StringType())])
+
+
+def _state_value(sub: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts_us", T.LongType()),
+                         T.StructField("sub_events", T.ArrayType(sub))])
+
+
+def _split_point(df: DataFrame, col: str) -> int:
+    """Median of ``col``: the first half of a stream arrives before a restart."""
+    return int(df.agg(F.percentile_approx(col, 0.5)).first()[0])
+
+
+def _stage(df: DataFrame, path: str, files: int, order: str, fmt: str = "parquet", mode: str = "errorifexists"):
+    df.repartitionByRange(files, order).write.mode(mode).format(fmt).save(path)
+
+
+def _state_rows(spark, sf_dir):
+    ev = _events(spark, sf_dir, ["event_id", "user_id", "ts", "event_type", "props"])
+    return ev.select("user_id", "event_id", F.unix_micros("ts").alias("ts_us"),
+                     F.array(F.struct(F.col("event_type").alias("content1"),
+                                      F.col("props").alias("content2"))).alias("sub_events"))
+
+
+def _state_flat(st: DataFrame) -> DataFrame:
+    return st.select("user_id", "event_id", F.timestamp_micros("ts_us").cast("timestamp_ntz").alias("ts"),
+                     F.col("sub_events")[0]["content1"].alias("content1"),
+                     F.size("sub_events").alias("n_sub_events"))
+
+
+def _run_state(spark, sf_dir, migrate: bool) -> DataFrame:
+    rows = _state_rows(spark, sf_dir)
+    split = _split_point(rows, "event_id")
+    first, second = sinks.new_output(spark, "state-src1"), sinks.new_output(spark, "state-src2")
+    _stage(rows.filter(F.col("event_id") <= split), first, 2, "event_id")
+    _stage(rows.filter(F.col("event_id") > split), second, 2, "event_id")
+    schema_v1 = T.StructType([T.StructField("user_id", T.LongType())] + _state_value(SUB_EVENT_V1).fields)
+    ck1 = sinks.new_output(spark, "state-ck1")
+    # version 1 of the job runs over the first half, one file per micro-batch
+    keyed_state.keyed_latest_stream(file_sources.parquet_folder(spark, first, schema_v1, True, 1),
+                                    "user_id", _state_value(SUB_EVENT_V1), "event_id", ck1)
+    if not migrate:
+        # the same job resumes from its checkpoint when the second half arrives
+        _stage(spark.read.parquet(second), first, 2, "event_id", mode="append")
+        keyed_state.keyed_latest_stream(file_sources.parquet_folder(spark, first, schema_v1, True, 1),
+                                        "user_id", _state_value(SUB_EVENT_V1), "event_id", ck1)
+        return keyed_state.read_state(spark, ck1)
+    # version 2 drops content2 from the stored sub-events: rewrite the state,
+    # seed a new checkpoint with it and continue with the second half
+    migrated = keyed_state.migrate_state(spark, ck1, lambda st: st.select(
+        "user_id", "event_id", "ts_us",
+        F.transform("sub_events", lambda s: F.struct(s["content1"].alias("content1"))).alias("sub_events")))
+    schema_v2 = T.StructType([T.StructField("user_id", T.LongType())] + _state_value(SUB_EVENT_V2).fields)
+    src2 = file_sources.parquet_folder(spark, second, schema_v1, True, 1).select(
+        "user_id", "event_id", "ts_us",
+        F.transform("sub_events", lambda s: F.struct(s["content1"].alias("content1"))).alias("sub_events"))
+    ck2 = sinks.new_output(spark, "state-ck2")
+    keyed_state.keyed_latest_stream(src2, "user_id", _state_value(SUB_EVENT_V2), "event_id", ck2,
+                                    initial=migrated)
+    return keyed_state.read_state(spark, ck2)
+
+
+def state_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest event per user kept in keyed state across a stop/resume, read back as rows."""
+    return _state_flat(_run_state(spark, sf_dir, migrate=False))
+
+
+def state_migrated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyed state rewritten to a new schema, used to seed the next job version, read back."""
+    return _state_flat(_run_state(spark, sf_dir, migrate=True))
+
+
+def exactly_once_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events copied stream-to-Parquet; the job stops halfway and resumes from its checkpoint."""
+    ev = _events(spark, sf_dir)
+    split = _split_point(ev, "event_id")
+    src, out, ck = (sinks.new_output(spark, n) for n in ("copy-src", "copy-out", "copy-ck"))
+    _stage(ev.filter(F.col("event_id") <= split), src, 2, "event_id")
+    schema = ev.schema
+    keyed_state.run_available(sinks.exactly_once_copy(
+        file_sources.parquet_folder(spark, src, schema, True, 1), out, ck))
+    _stage(ev.filter(F.col("event_id") > split), src, 2, "event_id", mode="append")
+    keyed_state.run_available(sinks.exactly_once_copy(
+        file_sources.parquet_folder(spark, src, schema, True, 1), out, ck))
+    return to_ntz(spark.read.schema(schema).parquet(out))
+
+
+CSV_EVENT = T.StructType([T.StructField("id", T.LongType()), T.StructField("character", T.StringType()),
+                          T.StructField("location", T.StringType())])
+
+
+def csv_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headerless CSV files arriving in a watched folder, read by position."""
+    ev = _events(spark, sf_dir, ["event_id", "event_type", "user_id"])
+    rows = ev.select(F.col("event_id").alias("id"), F.col("event_type").alias("character"),
+                     F.col("user_id").cast("string").alias("location"))
+    src, out, ck = (sinks.new_output(spark, n) for n in ("csv-src", "csv-out", "csv-ck"))
+    _stage(rows, src, 4, "id", fmt="csv")
+    keyed_state.run_available(sinks.exactly_once_copy(
+        file_sources.csv_stream(spark, src, CSV_EVENT, max_files=2), out, ck))
+    return spark.read.schema(CSV_EVENT).parquet(out)
+
+
+TXN_JSON = T.StructType([T.StructField("t_time", T.TimestampType()), T.StructField("t_id", T.LongType()),
+                         T.StructField("t_customer_id", T.LongType()),
+                         T.StructField("t_amount", T.DecimalType(10, 0))])
+
+
+def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest transaction per customer from a newline-delimited JSON file.
+
+    The amount column is a plain ``DECIMAL`` (10,0), so cents are rounded.
+    """
+    o = _orders(spark, sf_dir, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
+    lines = o.select(F.to_json(F.struct(iso_wire("o_orderdate").alias("t_time"), F.col("o_orderkey").alias("t_id"),
+                                        F.col("o_custkey").alias("t_customer_id"),
+                                        F.col("o_totalprice").alias("t_amount"))).alias("value"))
+    src = sinks.new_output(spark, "json-src")
+    _stage(lines, src, 4, "value", fmt="text")
+    tx = file_sources.json_lines(spark, src, TXN_JSON)
+    return to_ntz(dedup.keep_latest(tx, "t_customer_id", ["t_time", "t_id"]))
+
+
+def kafka_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kafka record values parsed into typed records (a malformed record fails the job)."""
+    env = derive.kafka_envelope(_events(spark, sf_dir, ["event_id", "user_id", "event_type", "ts"]))
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("data", T.StringType()),
+                           T.StructField("timestamp", T.StringType())])
+    from riverbend.functions.time import wire_timestamp
+    rec = kafka.parse_value(env, schema, fail_on_error=True)
+    return to_ntz(rec.select("id", "data", wire_timestamp("timestamp").alias("timestamp")))
+
+
+QUERIES.update({
+    "kafka_json_records": kafka_json_records,
+    "json_lines": json_lines,
+    "csv_stream": csv_stream,
+    "exactly_once_copy": exactly_once_copy,
+    "state_latest": state_latest,
+    "state_migrated": state_migrated,
+})

@@ -201,3 +201,25 @@ ORACLE = {
     "parquet_roundtrip": _TXN,
     "compacted_roundtrip": _TXN,
 }
+
+_STATE = """
+    SELECT user_id, max(event_id) AS event_id, arg_max(ts, event_id) AS ts,
+           arg_max(event_type, event_id) AS content1, CAST(1 AS INTEGER) AS n_sub_events
+    FROM events GROUP BY user_id"""
+
+ORACLE.update({
+    "kafka_json_records": 'SELECT event_id AS id, event_type AS data, ts AS "timestamp" FROM events',
+    "json_lines": """
+        SELECT o_orderdate AS t_time, o_orderkey AS t_id, o_custkey AS t_customer_id,
+               CAST(o_totalprice AS DECIMAL(10,0)) AS t_amount
+        FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
+                                           ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+              FROM orders) t
+        WHERE rn = 1""",
+    "csv_stream": """
+        SELECT event_id AS id, event_type AS "character", CAST(user_id AS VARCHAR) AS location
+        FROM events""",
+    "exactly_once_copy": "SELECT * FROM events",
+    "state_latest": _STATE,
+    "state_migrated": _STATE,
+})

@@ -42,6 +42,12 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
+    if (master or "").startswith("local"):
+        # One machine: list partition folders on the driver instead of running
+        # a listing job with one task per folder.
+        conf.setdefault("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
+        for k in ("spark.sql.sources.parallelPartitionDiscovery.threshold",):
+            builder = builder.config(k, conf[k])
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -78,3 +84,26 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     root = checkpoint_root(spark)
     path = f"{root.rstrip('/')}/riverbend/{name}-{uuid.uuid4().hex[:12]}"
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (``--py-files`` at runtime).
+
+    Needed by operators whose Python code runs on executors (protobuf codec,
+    stateful processors).  Zipped once per application into the shared
+    checkpoint folder and added with ``addPyFile``.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import shutil
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    stage = tempfile.mkdtemp(prefix="riverbend-pkg-")
+    archive = shutil.make_archive(os.path.join(stage, "riverbend"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="riverbend")
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from riverbend.session import ship_package
+
 # The transaction message of the protobuf recipe (all optional).
 TRANSACTION_FIELDS = (
     ("t_time", 1, "string"),
@@ -63,6 +65,7 @@ def decode(df: DataFrame, column: str, message: str, fields: Sequence[tuple[str,
 
     Unset optional fields become NULL; an undecodable message fails the task.
     """
+    ship_package(df.sparkSession)
     desc = descriptor_bytes(message, fields, package)
     full = f"{package}.{message}"
     names = [n for n, _, _ in fields]
@@ -84,6 +87,7 @@ def decode(df: DataFrame, column: str, message: str, fields: Sequence[tuple[str,
 def encode(df: DataFrame, message: str, fields: Sequence[tuple[str, int, str]], out: str = "value",
            package: str = "riverbend") -> DataFrame:
     """Columns named like the fields -> one binary column ``out`` per row (NULL -> unset)."""
+    ship_package(df.sparkSession)
     desc = descriptor_bytes(message, fields, package)
     full = f"{package}.{message}"
     names = [n for n, _, _ in fields]
