@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,20 +21,32 @@ def new_output(spark: SparkSession, name: str) -> str:
 
 
 def write_partitioned(df: DataFrame, partition_col: str, path: str, mode: str = "errorifexists",
-                      split_by: str | None = None, tasks: int | None = None) -> str:
-    """Batch write partitioned by ``partition_col``.
-
-    Rows are range-partitioned on ``(partition_col, split_by)`` over ``tasks``
-    write tasks (default: ``spark.sql.shuffle.partitions``).  Each task writes
-    a contiguous run of days, so a small day lands in one file, while a day
-    holding a large share of the rows is cut by ``split_by`` into several
-    tasks instead of one.  (A hash ``REBALANCE`` would let AQE coalesce small
-    inputs into a single task that then writes every day's file serially.)
+                      split_by: str | None = None, rows_per_file: int = 1_000_000,
+                      tasks: int | None = None) -> str:
+    """Batch write partitioned by ``partition_col``, one file per folder unless
+    the folder is large.
+
+    Rows per folder are counted first (one small row per output folder), and
+    each folder is spread over ``ceil(rows / rows_per_file)`` write slots by a
+    hash of ``split_by``.  Slots are hash-partitioned over ``tasks`` write
+    tasks (default ``spark.sql.shuffle.partitions``): a small day is one file
+    written by one task, a day holding a large share of the rows is written by
+    many tasks in parallel.  (A plain ``REBALANCE`` lets AQE coalesce small
+    inputs into a single task that writes every folder serially; a plain hash
+    on the folder sends a hot day to one task.)
     """
     spark = df.sparkSession
     n = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [partition_col] + ([split_by] if split_by else [])
-    df.repartitionByRange(n, *keys).write.mode(mode).partitionBy(partition_col).parquet(path)
+    if split_by is None:
+        out = df.repartition(n, partition_col)
+    else:
+        fan = (df.groupBy(partition_col).agg(F.count(F.lit(1)).alias("__rows"))
+                 .select(F.col(partition_col).alias("__part"),
+                         F.greatest(F.lit(1), F.ceil(F.col("__rows") / F.lit(rows_per_file))).alias("__fan")))
+        salted = (df.join(fan, df[partition_col].eqNullSafe(fan["__part"]))
+                    .withColumn("__slot", F.pmod(F.xxhash64(split_by), F.col("__fan"))))
+        out = salted.repartition(n, partition_col, "__slot").drop("__part", "__fan", "__slot")
+    out.write.mode(mode).partitionBy(partition_col).parquet(path)
     return path
 
 
