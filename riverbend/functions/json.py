@@ -27,7 +27,7 @@ def parse_struct(text: Column, schema: T.StructType, mode: str = "PERMISSIVE") -
 
 
 def json_verdict(text: Column, parsed: Column, schema: T.StructType, required: Sequence[str],
-                 allow_unknown: bool = False) -> Column:
+                 allow_unknown: bool = False, keys: Column | None = None) -> Column:
     """TRUE when ``text`` is a JSON object that maps onto ``schema``:
 
     * it is an object (``json_object_keys`` is NULL for non-JSON, empty text,
@@ -35,8 +35,10 @@ def json_verdict(text: Column, parsed: Column, schema: T.StructType, required: S
     * every ``required`` key is present (an explicit ``null`` counts as present);
     * no key outside ``schema`` unless ``allow_unknown``;
     * no value had the wrong type (``from_json`` flagged no corrupt record).
+
+    ``keys`` may pass an already computed ``json_object_keys(text)``.
     """
-    keys = F.json_object_keys(text)
+    keys = F.json_object_keys(text) if keys is None else keys
     ok = keys.isNotNull() & text.isNotNull()
     for k in required:
         ok = ok & F.array_contains(keys, F.lit(k))

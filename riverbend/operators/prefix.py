@@ -48,7 +48,10 @@ def bucketed_prefix(df: DataFrame, keys: list[str], bucket: Column, order: list[
     k, b, v = "__rb_key", "__rb_bucket", "__rb_value"
     # One struct key: never NULL itself, and NULL members compare equal in the
     # join, so a NULL key is a group of its own exactly as in a window.
-    d = df.withColumn(k, F.struct(*keys)).withColumn(b, bucket).withColumn(v, value)
+    # A NULL order value gets the lowest bucket (NULLs also sort first in the
+    # in-bucket window), so such rows are kept, not dropped by the join.
+    d = (df.withColumn(k, F.struct(*keys)).withColumn(b, F.coalesce(bucket, F.lit(-(2 ** 63))))
+           .withColumn(v, value))
 
     totals = d.groupBy(k, b).agg(agg(v).alias("__rb_total"))
     w_bucket = Window.partitionBy(k).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)

@@ -53,13 +53,19 @@ def dead_letter_split(df: DataFrame, value: str, schema: T.StructType, required:
     read_schema = T.StructType([
         T.StructField(f.name, T.StringType() if f.name in time_fields else f.dataType, True)
         for f in schema.fields])
-    parsed = df.withColumn("__parsed", parse_struct(F.col(value), read_schema))
-    verdict = json_verdict(F.col(value), F.col("__parsed"), read_schema, required, allow_unknown)
+    # Parse once per row: ``inline`` of a one-element array is a Generate, and
+    # Catalyst cannot push the routing filter below it, so the parse is not
+    # inlined (and repeated) into both the filter and the output projection.
+    parsed = df.select("*", F.inline(F.array(F.struct(
+        parse_struct(F.col(value), read_schema).alias("__parsed"),
+        F.json_object_keys(F.col(value)).alias("__keys")))))
+    verdict = json_verdict(F.col(value), F.col("__parsed"), read_schema, required, allow_unknown,
+                           keys=F.col("__keys"))
     for name in time_fields:
         # an unparseable time is a bad record too
         raw = F.col("__parsed").getField(name)
         verdict = verdict & (raw.isNull() | wire_timestamp(raw).isNotNull())
-    tagged = parsed.withColumn("__ok", verdict)
+    tagged = parsed.withColumn("__ok", verdict).drop("__keys")
     fields = []
     for f in schema.fields:
         c = F.col("__parsed").getField(f.name)

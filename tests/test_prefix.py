@@ -34,6 +34,13 @@ def test_matches_window(spark):
                 assert res == _expected(df, kind, inclusive), (kind, inclusive, width)
 
 
+def test_null_order_rows_are_kept(spark):
+    df = spark.createDataFrame([(1, None, 5), (1, 1, 3), (1, 2, 9), (2, None, 1)], "k long, o long, v long")
+    got = bucketed_prefix(df, ["k"], F.floor(F.col("o") / 1), [F.col("o")], F.col("v"), kind="max", out="p")
+    assert sorted(((r.k, r.o, r.p) for r in got.collect()), key=str) == sorted(
+        [(1, None, None), (1, 1, 5), (1, 2, 5), (2, None, None)], key=str)
+
+
 def test_plan_shuffles_rows_once_by_key_and_bucket(spark):
     df = _data(spark)
     got = bucketed_prefix(df, ["k"], F.floor(F.col("o") / 10), [F.col("o")], F.col("v"), out="p")
