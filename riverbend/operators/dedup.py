@@ -98,3 +98,21 @@ def dedup_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     """
     joined = left.join(distinct_rows(right), left[left_key] == F.col(right_key), "inner")
     return joined.select(*select) if select else joined
+
+
+def dedup_join_stream(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
+                      left_ts: str, right_ts: str, delay: str, max_gap: str,
+                      select: Sequence[Column] | None = None) -> DataFrame:
+    """Stream-stream form of :func:`dedup_join` with bounded state.
+
+    Both sides get a watermark of ``delay``; right rows are deduplicated within
+    the watermark and must fall within ``max_gap`` of their left row, so Spark
+    can drop join and dedup state once the watermark passes.
+    """
+    lw = left.withWatermark(left_ts, delay)
+    rw = right.withWatermark(right_ts, delay).dropDuplicatesWithinWatermark()
+    cond = ((lw[left_key] == rw[right_key])
+            & (rw[right_ts] >= lw[left_ts] - F.expr(f"INTERVAL {max_gap}"))
+            & (rw[right_ts] <= lw[left_ts] + F.expr(f"INTERVAL {max_gap}")))
+    joined = lw.join(rw, cond, "inner")
+    return joined.select(*select) if select else joined

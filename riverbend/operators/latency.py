@@ -34,3 +34,41 @@ def lag_stats(df: DataFrame, lag: str, arrival: str, n: int = 10_000) -> DataFra
     names = ["p50_ms", "p75_ms", "p95_ms", "p98_ms", "p99_ms", "p999_ms"]
     return stats.select("n", "min_ms", "max_ms", "mean_ms", "stddev_ms",
                         *[F.col("__p")[i].alias(nm) for i, nm in enumerate(names)])
+
+
+def observe_lag(df: DataFrame, lag: str, name: str = "event_time_lag") -> DataFrame:
+    """Attach lag metrics to a stream (or batch): count, mean, max per micro-batch.
+
+    Values appear in ``StreamingQueryProgress.observedMetrics[name]``; read
+    them with :class:`LagMetrics` or any ``StreamingQueryListener``.
+    """
+    return df.observe(name, F.count(F.lit(1)).alias("rows"), F.avg(lag).alias("mean_lag_ms"),
+                      F.max(lag).alias("max_lag_ms"))
+
+
+try:  # listener base class (PySpark >= 3.4)
+    from pyspark.sql.streaming.listener import StreamingQueryListener
+except ImportError:  # pragma: no cover
+    StreamingQueryListener = object  # type: ignore[misc,assignment]
+
+
+class LagMetrics(StreamingQueryListener):
+    """Collects the observed lag metrics of every progress report (driver side;
+    one small row per micro-batch)."""
+
+    def __init__(self, name: str = "event_time_lag"):
+        self.name, self.reports = name, []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        row = event.progress.observedMetrics.get(self.name)
+        if row is not None:
+            self.reports.append(row.asDict())
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass

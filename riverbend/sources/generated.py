@@ -1,0 +1,33 @@
+"""Generated inputs for load and state tests (not used by registered queries).
+
+Both are ordinary Spark sources, so generation is parallel across tasks.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Fixed values of the generators: two users in the sequence job; ids 100..999
+# and 12-character names in the rate generator.
+SEQUENCE_USERS = 2
+DATAGEN_ID_MIN, DATAGEN_ID_MAX, DATAGEN_NAME_LENGTH = 100, 999, 12
+
+
+def sequence_events(spark: SparkSession, end: int, seed: int = 0) -> DataFrame:
+    """Rows for ``0..end`` inclusive mapped to ``userId, subEvents`` (one random sub-event)."""
+    seq = spark.range(0, end + 1)
+    user = F.floor(F.rand(seed) * SEQUENCE_USERS).cast("long")
+    content1 = (F.floor(F.rand(seed + 1) * 2 ** 32) - 2 ** 31).cast("int").cast("string")
+    return seq.select(user.alias("userId"), F.array(F.struct(
+        content1.alias("content1"), F.lit(str(SEQUENCE_USERS)).alias("content2"))).alias("subEvents"))
+
+
+def datagen_events(spark: SparkSession, rows_per_second: int = 1000) -> DataFrame:
+    """Unbounded ``id, name, timestamp`` rows at a fixed rate; timestamp = generation time."""
+    rate = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
+    span = DATAGEN_ID_MAX - DATAGEN_ID_MIN + 1
+    name = F.substring(F.sha2(F.concat(F.col("value").cast("string"), F.rand().cast("string")), 256),
+                       1, DATAGEN_NAME_LENGTH)
+    return rate.select((F.lit(DATAGEN_ID_MIN) + F.pmod(F.xxhash64("value"), F.lit(span))).alias("id"),
+                       name.alias("name"), F.col("timestamp"))

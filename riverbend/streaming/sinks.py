@@ -114,3 +114,21 @@ def exactly_once_copy(df: DataFrame, path: str, checkpoint: str, trigger: Mappin
     w = (df.writeStream.format("parquet").option("path", path)
            .option("checkpointLocation", checkpoint).outputMode("append"))
     return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def print_sink(df: DataFrame, checkpoint: str, prefix: str | None = None, num_rows: int = 20,
+               trigger: Mapping | None = None) -> StreamingQuery:
+    """Print each micro-batch (debugging).  Only the first ``num_rows`` rows
+    of a batch reach the driver; ``prefix`` tags every printed line."""
+    def show(batch: DataFrame, batch_id: int) -> None:
+        for row in batch.limit(num_rows).collect():
+            print(f"{prefix}> {row}" if prefix else str(row))
+
+    w = df.writeStream.foreachBatch(show).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def discard(df: DataFrame, checkpoint: str, trigger: Mapping | None = None) -> StreamingQuery:
+    """Run a stream for its side effects (state, metrics) and drop the rows."""
+    w = df.writeStream.format("noop").option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()

@@ -55,13 +55,14 @@ class LatestByArrival(StatefulProcessor):
     """
 
     def __init__(self, key: str, value_schema: T.StructType, arrival: str, emit: bool = False,
-                 state_name: str = "latest"):
+                 state_name: str = "latest", ttl_ms: int | None = None):
         self.key, self.value_schema, self.arrival, self.emit = key, value_schema, arrival, emit
-        self.state_name = state_name
+        self.state_name, self.ttl_ms = state_name, ttl_ms
         self.names = value_schema.names
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.latest = handle.getValueState(self.state_name, self.value_schema)
+        # ttl_ms: processing-time expiry of an idle key (query timeMode "ProcessingTime")
+        self.latest = handle.getValueState(self.state_name, self.value_schema, self.ttl_ms)
 
     def _store(self, key, row) -> Iterator[pd.DataFrame]:
         values = tuple(_plain(row[f.name], f.dataType) for f in self.value_schema.fields)
