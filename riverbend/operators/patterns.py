@@ -30,10 +30,12 @@ DAY_US = 86_400 * 1_000_000
 
 
 def _prepare(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
-             chunk_us: int) -> DataFrame:
+             chunk_us: int, runs: bool = True) -> DataFrame:
     d = df.withColumn("__us", F.unix_micros(F.col(ts)))
     d = d.withColumn("__hot", F.col(temp) >= F.lit(threshold))
     d = d.filter(F.col(ts).isNotNull() & F.col(temp).isNotNull())
+    if not runs:
+        return d
     # run id = number of cool readings up to and including this row
     return bucketed_prefix(d, [key], F.floor(F.col("__us") / F.lit(chunk_us)),
                            [F.col("__us"), F.col(tiebreak)],
@@ -63,31 +65,39 @@ def _chain(ends: DataFrame) -> DataFrame:
     ``ends``: ``__g, r, end, m`` - ``end`` is the closing rank of a match
     started at ``r``; the next match starts at ``end + 1``.  Returns
     ``__g, r`` for each chain member.
+
+    Round k holds the jump table ``J_k`` (2^k matches ahead) and the members
+    found so far (chain positions ``0 .. 2^k - 1``); one round produces
+    ``J_{k+1} = J_k o J_k`` and adds ``J_k(members)``.  Both are written in one
+    checkpoint per round, tagged by kind.
     """
-    jumps = [ends.select("__g", "r", (F.col("end") + 1).alias("a"), "m")]
+    jump = ends.select(F.lit("j").alias("kind"), "__g", "r", (F.col("end") + 1).alias("a"), "m")
+    member = ends.filter(F.col("r") == 1).select(F.lit("m").alias("kind"), "__g", "r",
+                                                 F.lit(None).cast("long").alias("a"), "m")
+    # a checkpointed union keeps the sum of its inputs' partitions; coalesce
+    # (no shuffle) so the table does not gain partitions every round
+    width = int(ends.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    table = jump.unionByName(member).coalesce(width).checkpoint()
     while True:
-        j = jumps[-1]
+        j = table.filter(F.col("kind") == "j")
+        members = table.filter(F.col("kind") == "m")
         if j.filter((F.col("r") == 1) & (F.col("a") <= F.col("m"))).isEmpty():
-            break
+            return members.select("__g", "r")
         right = j.select(F.col("__g").alias("__g2"), F.col("r").alias("__r2"), F.col("a").alias("__a2"))
         nxt = (j.join(right, (F.col("__g") == F.col("__g2")) & (F.col("a") == F.col("__r2")), "left")
-                .select("__g", "r", F.coalesce("__a2", "a").alias("a"), "m"))
-        jumps.append(nxt.checkpoint())
-    # levels 0..K-1 are enough: the start's 2^K-th successor is out of range
-    members = ends.filter(F.col("r") == 1).select("__g", "r")
-    for j in reversed(jumps[:-1]):
-        step = (members.join(j, ["__g", "r"])
+                .select("kind", "__g", "r", F.coalesce("__a2", "a").alias("a"), "m"))
+        step = (members.select("__g", "r").join(j.select("__g", "r", "a", "m"), ["__g", "r"])
                        .filter(F.col("a") <= F.col("m"))
-                       .select("__g", F.col("a").alias("r")))
-        members = members.unionByName(step).checkpoint()
-    return members
+                       .select(F.lit("m").alias("kind"), "__g", F.col("a").alias("r"),
+                               F.lit(None).cast("long").alias("a"), "m"))
+        table = nxt.unionByName(members).unionByName(step).coalesce(width).checkpoint()
 
 
 def _greedy(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
             tolerance_seconds: float, reset_on_cool: bool, chunk_us: int) -> DataFrame:
     cols = df.columns
     tol = int(round(tolerance_seconds * 1_000_000))
-    d = _prepare(df, key, ts, temp, tiebreak, threshold, chunk_us)
+    d = _prepare(df, key, ts, temp, tiebreak, threshold, chunk_us, runs=reset_on_cool)
     group = F.struct(F.col(key), F.col("__run")) if reset_on_cool else F.struct(F.col(key))
     hot = d.filter("__hot").withColumn("__g", group)
     bucket = F.floor(F.col("__us") / F.lit(chunk_us))

@@ -351,13 +351,13 @@ def _run_state(spark, sf_dir, migrate: bool) -> DataFrame:
     _stage(rows.filter(F.col("event_id") > split), second, 2, "event_id")
     schema_v1 = T.StructType([T.StructField("user_id", T.LongType())] + _state_value(SUB_EVENT_V1).fields)
     ck1 = sinks.new_output(spark, "state-ck1")
-    # version 1 of the job runs over the first half, one file per micro-batch
-    keyed_state.keyed_latest_stream(file_sources.parquet_folder(spark, first, schema_v1, True, 1),
+    # version 1 of the job runs over the first half
+    keyed_state.keyed_latest_stream(file_sources.parquet_folder(spark, first, schema_v1, True),
                                     "user_id", _state_value(SUB_EVENT_V1), "event_id", ck1)
     if not migrate:
         # the same job resumes from its checkpoint when the second half arrives
         _stage(spark.read.parquet(second), first, 2, "event_id", mode="append")
-        keyed_state.keyed_latest_stream(file_sources.parquet_folder(spark, first, schema_v1, True, 1),
+        keyed_state.keyed_latest_stream(file_sources.parquet_folder(spark, first, schema_v1, True),
                                         "user_id", _state_value(SUB_EVENT_V1), "event_id", ck1)
         return keyed_state.read_state(spark, ck1)
     # version 2 drops content2 from the stored sub-events: rewrite the state,
@@ -366,7 +366,7 @@ def _run_state(spark, sf_dir, migrate: bool) -> DataFrame:
         "user_id", "event_id", "ts_us",
         F.transform("sub_events", lambda s: F.struct(s["content1"].alias("content1"))).alias("sub_events")))
     schema_v2 = T.StructType([T.StructField("user_id", T.LongType())] + _state_value(SUB_EVENT_V2).fields)
-    src2 = file_sources.parquet_folder(spark, second, schema_v1, True, 1).select(
+    src2 = file_sources.parquet_folder(spark, second, schema_v1, True).select(
         "user_id", "event_id", "ts_us",
         F.transform("sub_events", lambda s: F.struct(s["content1"].alias("content1"))).alias("sub_events"))
     ck2 = sinks.new_output(spark, "state-ck2")
