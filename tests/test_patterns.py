@@ -97,3 +97,33 @@ def test_oscillating_1s_false_match_only_in_v1(spark):
     assert len(_run(spark, patterns.hot_v1, df, 2.0)) >= 1
     assert _run(spark, patterns.hot_v2, df, 2.0) == []
     assert _run(spark, patterns.hot_v3, df, 2.0) == []
+
+
+def test_stream_equals_batch(spark):
+    from pyspark.sql import functions as F
+
+    from riverbend.sources.tables import read_table
+    from riverbend.streaming.patterns import hot_stream
+    from riverbend.streaming.sinks import new_output
+    from riverbend.streaming.state import run_available
+
+    from conftest import SF_SMALL
+
+    ev = read_table(spark, SF_SMALL, "events", ["event_id", "user_id", "ts", "value"])
+    src = new_output(spark, "hot-src")
+    bounds = [dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 11), dt.datetime(2024, 1, 21), dt.datetime(2025, 1, 1)]
+    for lo, hi in zip(bounds, bounds[1:]):  # arrival in event-time order
+        ev.filter((F.col("ts") >= lo) & (F.col("ts") < hi)).coalesce(1).write.mode("append").parquet(src)
+    sentinel = spark.createDataFrame([(-1, -1, dt.datetime(2100, 1, 1), 0.0)], ev.schema)
+    sentinel.write.mode("append").parquet(src)
+    for version, fn in ((1, patterns.hot_v1), (2, patterns.hot_v2), (3, patterns.hot_v3)):
+        stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        out = new_output(spark, f"hot-out{version}")
+        q = (hot_stream(stream, "user_id", "ts", "value", "event_id", 50.0, 6 * 3600, version)
+             .writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", new_output(spark, f"hot-ck{version}"))
+             .outputMode("append").trigger(availableNow=True).start())
+        run_available(q)
+        got = sorted(r.event_id for r in spark.read.parquet(out).collect())
+        want = sorted(r.event_id for r in fn(ev, "user_id", "ts", "value", "event_id", 50.0, 6 * 3600).collect())
+        assert got == want, version
