@@ -93,13 +93,20 @@ def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers (``--py-files`` at runtime).
 
     Needed by operators whose Python code runs on executors (protobuf codec,
-    stateful processors).  Zipped once per application into the shared
-    checkpoint folder and added with ``addPyFile``.
+    stateful processors).  Zipped once per application and added with
+    ``addPyFile``; also registered with cloudpickle to travel by value.
     """
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
     import shutil
+    import sys
+
+    from pyspark import cloudpickle
+
+    # The streaming Python runner (transformWithState) does not see files added
+    # with addPyFile: send this package's functions and classes by value.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__.split(".")[0]])
 
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     stage = tempfile.mkdtemp(prefix="riverbend-pkg-")
