@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from riverbend.operators.prefix import bucketed_prefix
 
-DAY_US = 86_400 * 1_000_000
+HOUR_US = 3_600 * 1_000_000
 
 
 def _prepare(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
@@ -44,7 +44,7 @@ def _prepare(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, thresho
 
 
 def hot_v3(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
-           tolerance_seconds: float, chunk_us: int = DAY_US) -> DataFrame:
+           tolerance_seconds: float, chunk_us: int = HOUR_US) -> DataFrame:
     """V3 alerts: the closing reading of each qualifying hot run (input columns)."""
     cols = df.columns
     tol = int(round(tolerance_seconds * 1_000_000))
@@ -126,12 +126,12 @@ def _greedy(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshol
 
 
 def hot_v1(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
-           tolerance_seconds: float, chunk_us: int = DAY_US) -> DataFrame:
+           tolerance_seconds: float, chunk_us: int = HOUR_US) -> DataFrame:
     """V1 alerts (closing readings); cool readings do not break a match."""
     return _greedy(df, key, ts, temp, tiebreak, threshold, tolerance_seconds, False, chunk_us)
 
 
 def hot_v2(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
-           tolerance_seconds: float, chunk_us: int = DAY_US) -> DataFrame:
+           tolerance_seconds: float, chunk_us: int = HOUR_US) -> DataFrame:
     """V2 alerts (closing readings); a cool reading cancels the open match."""
     return _greedy(df, key, ts, temp, tiebreak, threshold, tolerance_seconds, True, chunk_us)

@@ -50,13 +50,15 @@ def windowed_word_count(df: DataFrame, text: str, ts: str, width: str) -> DataFr
 
 
 def sessionize(df: DataFrame, key: str | Sequence[str], ts: str, gap_seconds: float,
-               chunk_seconds: int = 86_400, tiebreak: Sequence[str] = ()) -> DataFrame:
+               chunk_seconds: int = 3_600, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Sessions per key: rows at most ``gap_seconds`` apart share a session.
 
     Output: ``*key, activity_start, activity_end, num_interactions``.  Same
     rule as ``session_window``: a row exactly one gap after the previous one
     still joins its session.  ``chunk_seconds`` sets the first-level time
-    partition; any value gives the same result.
+    partition (default one hour): any value gives the same result; smaller
+    chunks spread a dense user over more tasks, and the second level only sees
+    chunk-local sessions (at most sessions + chunks rows per user).
     """
     key = _cols(key)
     gap_us = int(round(gap_seconds * 1_000_000))

@@ -97,6 +97,25 @@ def keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_ntz(dedup.keep_first(base.unionByName(copy), "t_id", ["t_time", "copy"]))
 
 
+def keep_first_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 as SQL text over a view, cast to the sink's column type (``INSERT INTO ... SELECT``)."""
+    o = _orders(spark, sf_dir, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
+    tx = o.select(F.col("o_orderkey").alias("t_id"), F.col("o_custkey").alias("t_customer_id"),
+                  F.col("o_totalprice").alias("t_amount"), F.col("o_orderdate").alias("t_time"),
+                  F.lit(0).alias("copy"))
+    copy = o.select(F.col("o_orderkey").alias("t_id"), F.col("o_custkey").alias("t_customer_id"),
+                    F.col("o_totalprice").alias("t_amount"),
+                    F.timestamp_micros(F.unix_micros("o_orderdate") + (F.col("o_orderkey") % 3 - 1) * 1_000_000)
+                    .alias("t_time"), F.lit(1).alias("copy"))
+    view = f"transactions_{uuid.uuid4().hex[:8]}"
+    tx.unionByName(copy).createOrReplaceTempView(view)
+    return to_ntz(spark.sql(f"""
+        SELECT t_id, t_customer_id, TRY_CAST(t_amount AS DECIMAL(15,2)) AS t_amount, t_time
+        FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY t_id ORDER BY t_time ASC, copy ASC) AS row_num
+              FROM {view})
+        WHERE row_num = 1"""))
+
+
 def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1: SELECT DISTINCT * over a stream where every transaction appears twice."""
     return to_ntz(dedup.distinct_rows(_transactions_twice(_orders(spark, sf_dir))))
@@ -279,6 +298,7 @@ QUERIES = {
     "top_n_per_key": top_n_per_key,
     "latest_improvements": latest_improvements,
     "keep_first": keep_first,
+    "keep_first_sql": keep_first_sql,
     "distinct_rows": distinct_rows,
     "dedup_join": dedup_join,
     "decimal_narrow": decimal_narrow,

@@ -101,6 +101,16 @@ ORACLE = {
                            make_timestamp(epoch_us(o_orderdate) + (o_orderkey % 3 - 1) * 1000000), 1
                     FROM orders) s) t
         WHERE rn = 1""",
+    "keep_first_sql": """
+        SELECT t_id, t_customer_id, TRY_CAST(t_amount AS DECIMAL(15,2)) AS t_amount, t_time
+        FROM (SELECT *, row_number() OVER (PARTITION BY t_id ORDER BY t_time, copy) AS rn
+              FROM (SELECT o_orderkey AS t_id, o_custkey AS t_customer_id, o_totalprice AS t_amount,
+                           o_orderdate AS t_time, 0 AS copy FROM orders
+                    UNION ALL
+                    SELECT o_orderkey, o_custkey, o_totalprice,
+                           make_timestamp(epoch_us(o_orderdate) + (o_orderkey % 3 - 1) * 1000000), 1
+                    FROM orders) s) t
+        WHERE rn = 1""",
     "distinct_rows": f"SELECT DISTINCT * FROM {_TWICE} t",
     "dedup_join": f"""
         SELECT t.t_id, c.c_name, TRY_CAST(t.t_amount AS DECIMAL(15,2)) AS t_amount
