@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riverbend.functions.text import tokens
+from riverbend.functions.text import NON_WORD, tokens
 
 
 def _cols(names: str | Sequence[str]) -> list[str]:
@@ -36,7 +36,7 @@ def tumbling_counts(df: DataFrame, ts: str, width: str, keys: str | Sequence[str
 
 def word_count(df: DataFrame, text: str) -> DataFrame:
     """Occurrences of every lower-case token over whole texts: ``word, count``."""
-    words = df.select(F.explode(tokens(text)).alias("word"))
+    words = df.select(F.explode(F.split(F.lower(F.col(text)), NON_WORD)).alias("word")).filter(F.col("word") != "")
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 

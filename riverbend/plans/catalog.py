@@ -15,12 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riverbend.functions.time import day_partition, iso_wire, ts_text_nanos
+from riverbend.functions.time import day_partition, iso_wire, ts_text_nanos, wire_timestamp
 from riverbend.operators import dedup, latency, patterns, routing, windows
 from riverbend.plans import derive
 from riverbend.sources import cdc, kafka, protobuf
-from riverbend.sources.tables import read_table, to_ntz
+from riverbend.sources import files as file_sources
+from riverbend.sources.tables import read_table, spread, to_ntz
 from riverbend.streaming import sinks
+from riverbend.streaming import state as keyed_state
 
 HOT = 50.0
 TOLERANCE_S = 6 * 3600
@@ -138,13 +140,13 @@ def decimal_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cdc_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change feed (inserts, updates, deletes) folded into the current table."""
-    feed = derive.change_feed(_orders(spark, sf_dir, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]))
+    feed = derive.change_feed(spread(_orders(spark, sf_dir, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])))
     return cdc.apply_cdc(cdc.parse_cdc(feed, "value", CDC_ROW), "t_id")
 
 
 def cdc_after_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row images carried by the change feed (``/after`` of every insert and update)."""
-    feed = derive.change_feed(_orders(spark, sf_dir, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]))
+    feed = derive.change_feed(spread(_orders(spark, sf_dir, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])))
     return cdc.after_images(cdc.parse_cdc(feed, "value", CDC_ROW))
 
 
@@ -158,7 +160,7 @@ def tumbling_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts over all document texts."""
-    return windows.word_count(read_table(spark, sf_dir, "documents", ["text"]), "text")
+    return windows.word_count(spread(read_table(spark, sf_dir, "documents", ["text"])), "text")
 
 
 def session_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,7 +193,7 @@ def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dead_letter(spark, sf_dir):
-    msgs = derive.dead_letter_messages(_events(spark, sf_dir, ["event_id", "event_type", "ts"]))
+    msgs = derive.dead_letter_messages(spread(_events(spark, sf_dir, ["event_id", "event_type", "ts"])))
     return routing.dead_letter_split(msgs, "value", EVENT_SCHEMA, required=["id", "data", "timestamp"],
                                      time_fields=["timestamp"])
 
@@ -208,18 +210,17 @@ def dead_letter_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kafka_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kafka records -> parsed event + record metadata + header values (flattened)."""
-    env = derive.kafka_envelope(_events(spark, sf_dir, ["event_id", "user_id", "event_type", "ts"]))
+    env = derive.kafka_envelope(spread(_events(spark, sf_dir, ["event_id", "user_id", "event_type", "ts"])))
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("data", T.StringType()),
                            T.StructField("timestamp", T.StringType())])
     e = kafka.enrich(env, schema, ["tracestate", "traceparent"])
-    from riverbend.functions.time import wire_timestamp
     return to_ntz(e.select("event.id", "event.data", wire_timestamp("event.timestamp").alias("timestamp"),
                            "metadata.*", "headers.*"))
 
 
 def protobuf_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders encoded as protobuf Transaction messages in one job, decoded in another."""
-    o = _orders(spark, sf_dir, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
+    o = spread(_orders(spark, sf_dir, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]))
     rows = o.select(iso_wire("o_orderdate").alias("t_time"), F.col("o_orderkey").alias("t_id"),
                     F.col("o_custkey").alias("t_customer_id"),
                     F.when(F.col("o_orderkey") % 17 != 0, F.col("o_totalprice")).alias("t_amount"))
@@ -329,8 +330,6 @@ QUERIES = {
 # shared checkpoint folder, run Structured Streaming jobs over it until the
 # input is exhausted, and return what the jobs produced.
 
-from riverbend.sources import files as file_sources  # noqa: E402
-from riverbend.streaming import state as keyed_state  # noqa: E402
 
 SUB_EVENT_V1 = T.StructType([T.StructField("content1", T.StringType()), T.StructField("content2", T.StringType())])
 SUB_EVENT_V2 = T.StructType([T.StructField("content1", T.StringType())])
@@ -346,8 +345,12 @@ def _split_point(df: DataFrame, col: str) -> int:
     return int(df.agg(F.percentile_approx(col, 0.5)).first()[0])
 
 
-def _stage(df: DataFrame, path: str, files: int, order: str, fmt: str = "parquet", mode: str = "errorifexists"):
-    df.repartitionByRange(files, order).write.mode(mode).format(fmt).save(path)
+def _stage(df: DataFrame, path: str, order: str, fmt: str = "parquet", mode: str = "errorifexists"):
+    """Land derived rows as files for a stream to pick up: ranges of ``order``
+    over ``spark.sql.shuffle.partitions`` files (so the file count follows the
+    cluster's sizing, not a constant)."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.repartitionByRange(n, order).write.mode(mode).format(fmt).save(path)
 
 
 def _state_rows(spark, sf_dir):
@@ -367,8 +370,8 @@ def _run_state(spark, sf_dir, migrate: bool) -> DataFrame:
     rows = _state_rows(spark, sf_dir)
     split = _split_point(rows, "event_id")
     first, second = sinks.new_output(spark, "state-src1"), sinks.new_output(spark, "state-src2")
-    _stage(rows.filter(F.col("event_id") <= split), first, 2, "event_id")
-    _stage(rows.filter(F.col("event_id") > split), second, 2, "event_id")
+    _stage(rows.filter(F.col("event_id") <= split), first, "event_id")
+    _stage(rows.filter(F.col("event_id") > split), second, "event_id")
     schema_v1 = T.StructType([T.StructField("user_id", T.LongType())] + _state_value(SUB_EVENT_V1).fields)
     ck1 = sinks.new_output(spark, "state-ck1")
     # version 1 of the job runs over the first half
@@ -376,7 +379,7 @@ def _run_state(spark, sf_dir, migrate: bool) -> DataFrame:
                                     "user_id", _state_value(SUB_EVENT_V1), "event_id", ck1)
     if not migrate:
         # the same job resumes from its checkpoint when the second half arrives
-        _stage(spark.read.parquet(second), first, 2, "event_id", mode="append")
+        _stage(spark.read.parquet(second), first, "event_id", mode="append")
         keyed_state.keyed_latest_stream(file_sources.parquet_folder(spark, first, schema_v1, True),
                                         "user_id", _state_value(SUB_EVENT_V1), "event_id", ck1)
         return keyed_state.read_state(spark, ck1)
@@ -410,13 +413,13 @@ def exactly_once_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir)
     split = _split_point(ev, "event_id")
     src, out, ck = (sinks.new_output(spark, n) for n in ("copy-src", "copy-out", "copy-ck"))
-    _stage(ev.filter(F.col("event_id") <= split), src, 2, "event_id")
+    _stage(ev.filter(F.col("event_id") <= split), src, "event_id")
     schema = ev.schema
     keyed_state.run_available(sinks.exactly_once_copy(
-        file_sources.parquet_folder(spark, src, schema, True, 1), out, ck))
-    _stage(ev.filter(F.col("event_id") > split), src, 2, "event_id", mode="append")
+        file_sources.parquet_folder(spark, src, schema, True), out, ck))
+    _stage(ev.filter(F.col("event_id") > split), src, "event_id", mode="append")
     keyed_state.run_available(sinks.exactly_once_copy(
-        file_sources.parquet_folder(spark, src, schema, True, 1), out, ck))
+        file_sources.parquet_folder(spark, src, schema, True), out, ck))
     return to_ntz(spark.read.schema(schema).parquet(out))
 
 
@@ -430,9 +433,9 @@ def csv_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ev.select(F.col("event_id").alias("id"), F.col("event_type").alias("character"),
                      F.col("user_id").cast("string").alias("location"))
     src, out, ck = (sinks.new_output(spark, n) for n in ("csv-src", "csv-out", "csv-ck"))
-    _stage(rows, src, 4, "id", fmt="csv")
+    _stage(rows, src, "id", fmt="csv")
     keyed_state.run_available(sinks.exactly_once_copy(
-        file_sources.csv_stream(spark, src, CSV_EVENT, max_files=2), out, ck))
+        file_sources.csv_stream(spark, src, CSV_EVENT), out, ck))
     return spark.read.schema(CSV_EVENT).parquet(out)
 
 
@@ -451,17 +454,16 @@ def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         F.col("o_custkey").alias("t_customer_id"),
                                         F.col("o_totalprice").alias("t_amount"))).alias("value"))
     src = sinks.new_output(spark, "json-src")
-    _stage(lines, src, 4, "value", fmt="text")
+    _stage(lines, src, "value", fmt="text")
     tx = file_sources.json_lines(spark, src, TXN_JSON)
     return to_ntz(dedup.keep_latest(tx, "t_customer_id", ["t_time", "t_id"]))
 
 
 def kafka_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kafka record values parsed into typed records (a malformed record fails the job)."""
-    env = derive.kafka_envelope(_events(spark, sf_dir, ["event_id", "user_id", "event_type", "ts"]))
+    env = derive.kafka_envelope(spread(_events(spark, sf_dir, ["event_id", "user_id", "event_type", "ts"])))
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("data", T.StringType()),
                            T.StructField("timestamp", T.StringType())])
-    from riverbend.functions.time import wire_timestamp
     rec = kafka.parse_value(env, schema, fail_on_error=True)
     return to_ntz(rec.select("id", "data", wire_timestamp("timestamp").alias("timestamp")))
 
