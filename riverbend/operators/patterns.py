@@ -135,3 +135,8 @@ def hot_v2(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold
            tolerance_seconds: float, chunk_us: int = HOUR_US) -> DataFrame:
     """V2 alerts (closing readings); a cool reading cancels the open match."""
     return _greedy(df, key, ts, temp, tiebreak, threshold, tolerance_seconds, True, chunk_us)
+
+
+# Pluggable matchers: every matcher has the signature
+# (df, key, ts, temp, tiebreak, threshold, tolerance_seconds) -> closing readings.
+MATCHERS = {"v1": hot_v1, "v2": hot_v2, "v3": hot_v3}

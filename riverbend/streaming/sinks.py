@@ -117,12 +117,16 @@ def exactly_once_copy(df: DataFrame, path: str, checkpoint: str, trigger: Mappin
 
 
 def print_sink(df: DataFrame, checkpoint: str, prefix: str | None = None, num_rows: int = 20,
-               trigger: Mapping | None = None) -> StreamingQuery:
+               to_stderr: bool = False, trigger: Mapping | None = None) -> StreamingQuery:
     """Print each micro-batch (debugging).  Only the first ``num_rows`` rows
     of a batch reach the driver; ``prefix`` tags every printed line."""
+    import sys
+
+    out = sys.stderr if to_stderr else sys.stdout
+
     def show(batch: DataFrame, batch_id: int) -> None:
         for row in batch.limit(num_rows).collect():
-            print(f"{prefix}> {row}" if prefix else str(row))
+            print(f"{prefix}> {row}" if prefix else str(row), file=out)
 
     w = df.writeStream.foreachBatch(show).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()

@@ -81,3 +81,52 @@ def test_sequence_events(spark):
     df = generated.sequence_events(spark, 999, seed=1)
     assert df.count() == 1000
     assert {r.userId for r in df.select("userId").distinct().collect()} <= {0, 1}
+
+
+def test_dead_letters_on_a_stream_with_fan_out(spark):
+    from pyspark.sql import types as T
+
+    from riverbend.operators import routing
+
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("data", T.StringType()),
+                           T.StructField("timestamp", T.TimestampType())])
+    vals = [('{"id": %d, "data": "d", "timestamp": 1658419083.5}' % i) if i % 4 else "oops %d" % i for i in range(40)]
+    s = _stage(spark, "dl", [[(v,) for v in vals[:20]], [(v,) for v in vals[20:]]], "value string")
+    good_dir, bad_dir = sinks.new_output(spark, "dl-good"), sinks.new_output(spark, "dl-bad")
+    q = sinks.fan_out(s, {
+        "good": (lambda b: routing.dead_letter_split(b, "value", schema, ["id", "data", "timestamp"],
+                                                     time_fields=["timestamp"])[0], sinks.parquet_batch_writer(good_dir)),
+        "bad": (lambda b: routing.dead_letter_split(b, "value", schema, ["id", "data", "timestamp"],
+                                                    time_fields=["timestamp"])[1], sinks.parquet_batch_writer(bad_dir)),
+    }, sinks.new_output(spark, "dl-ck"))
+    run_available(q)
+    assert spark.read.parquet(good_dir).count() == 30
+    assert sorted(r.value for r in spark.read.parquet(bad_dir).collect()) == sorted(v for v in vals if v.startswith("oops"))
+
+
+def test_sessions_random_against_sequential(spark):
+    import random
+
+    rnd = random.Random(5)
+    rows = []
+    for u in range(5):
+        t = 0.0
+        for _ in range(rnd.randint(1, 60)):
+            t += rnd.choice([0.5, 1, 3, 5, 5.0005, 8, 30])
+            rows.append((u, BASE + dt.timedelta(seconds=t)))
+    df = spark.createDataFrame(rows, "u long, ts timestamp")
+    want = []
+    for u in range(5):
+        ts = sorted(t for k, t in rows if k == u)
+        start = prev = ts[0]
+        n = 1
+        for t in ts[1:]:
+            if (t - prev).total_seconds() > 5:
+                want.append((u, start, prev, n))
+                start, n = t, 0
+            prev = t
+            n += 1
+        want.append((u, start, prev, n))
+    for chunk in (2, 10, 3600):
+        got = sorted(tuple(r) for r in windows.sessionize(df, "u", "ts", 5, chunk_seconds=chunk).collect())
+        assert got == sorted(want), chunk
