@@ -16,7 +16,8 @@ previous match's end.  The chain is followed with pointer doubling over rank
 tables (``log2`` rounds of equi-joins on unique ``(group, rank)`` keys), so no
 device or run is ever gathered into one task.  Ranks and "first reading at or
 after t" lookups are running counts computed in two levels
-(:mod:`riverbend.operators.prefix`).
+(:mod:`riverbend.operators.prefix`), over hourly buckets by default or
+row-balanced buckets with ``chunk_us=None``.
 """
 
 from __future__ import annotations
@@ -29,22 +30,27 @@ from riverbend.operators.prefix import bucketed_prefix
 HOUR_US = 3_600 * 1_000_000
 
 
+def _bucket(chunk_us: int | None, col: str):
+    """Time bucket of the running counts; ``None`` = row-balanced buckets."""
+    return None if chunk_us is None else F.floor(F.col(col) / F.lit(chunk_us))
+
+
 def _prepare(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
-             chunk_us: int, runs: bool = True) -> DataFrame:
+             chunk_us: int | None, runs: bool = True) -> DataFrame:
     d = df.withColumn("__us", F.unix_micros(F.col(ts)))
     d = d.withColumn("__hot", F.col(temp) >= F.lit(threshold))
     d = d.filter(F.col(ts).isNotNull() & F.col(temp).isNotNull())
     if not runs:
         return d
     # run id = number of cool readings up to and including this row
-    return bucketed_prefix(d, [key], F.floor(F.col("__us") / F.lit(chunk_us)),
+    return bucketed_prefix(d, [key], _bucket(chunk_us, "__us"),
                            [F.col("__us"), F.col(tiebreak)],
                            F.when(F.col("__hot"), 0).otherwise(1), kind="sum", inclusive=True,
                            out="__run")
 
 
 def hot_v3(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
-           tolerance_seconds: float, chunk_us: int = HOUR_US) -> DataFrame:
+           tolerance_seconds: float, chunk_us: int | None = HOUR_US) -> DataFrame:
     """V3 alerts: the closing reading of each qualifying hot run (input columns)."""
     cols = df.columns
     tol = int(round(tolerance_seconds * 1_000_000))
@@ -94,14 +100,13 @@ def _chain(ends: DataFrame) -> DataFrame:
 
 
 def _greedy(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
-            tolerance_seconds: float, reset_on_cool: bool, chunk_us: int) -> DataFrame:
+            tolerance_seconds: float, reset_on_cool: bool, chunk_us: int | None) -> DataFrame:
     cols = df.columns
     tol = int(round(tolerance_seconds * 1_000_000))
     d = _prepare(df, key, ts, temp, tiebreak, threshold, chunk_us, runs=reset_on_cool)
     group = F.struct(F.col(key), F.col("__run")) if reset_on_cool else F.struct(F.col(key))
     hot = d.filter("__hot").withColumn("__g", group)
-    bucket = F.floor(F.col("__us") / F.lit(chunk_us))
-    ranked = bucketed_prefix(hot, ["__g"], bucket, [F.col("__us"), F.col(tiebreak)], F.lit(1),
+    ranked = bucketed_prefix(hot, ["__g"], _bucket(chunk_us, "__us"), [F.col("__us"), F.col(tiebreak)], F.lit(1),
                              kind="sum", inclusive=True, out="r").checkpoint()
     sizes = ranked.groupBy("__g").agg(F.max("r").alias("m"))
 
@@ -110,7 +115,7 @@ def _greedy(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshol
                          F.col(tiebreak).alias("tb"), F.lit(1).alias("w"), F.lit(None).cast("long").alias("q"))
     query = ranked.select("__g", (F.col("__us") + F.lit(tol)).alias("t"), F.lit(0).alias("kind"),
                           F.col(tiebreak).alias("tb"), F.lit(0).alias("w"), F.col("r").alias("q"))
-    counted = bucketed_prefix(data.unionByName(query), ["__g"], F.floor(F.col("t") / F.lit(chunk_us)),
+    counted = bucketed_prefix(data.unionByName(query), ["__g"], _bucket(chunk_us, "t"),
                               [F.col("t"), F.col("kind"), F.col("tb")], F.col("w"),
                               kind="sum", inclusive=True, out="before")
     ends = (counted.filter(F.col("kind") == 0)
@@ -126,13 +131,13 @@ def _greedy(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshol
 
 
 def hot_v1(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
-           tolerance_seconds: float, chunk_us: int = HOUR_US) -> DataFrame:
+           tolerance_seconds: float, chunk_us: int | None = HOUR_US) -> DataFrame:
     """V1 alerts (closing readings); cool readings do not break a match."""
     return _greedy(df, key, ts, temp, tiebreak, threshold, tolerance_seconds, False, chunk_us)
 
 
 def hot_v2(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
-           tolerance_seconds: float, chunk_us: int = HOUR_US) -> DataFrame:
+           tolerance_seconds: float, chunk_us: int | None = HOUR_US) -> DataFrame:
     """V2 alerts (closing readings); a cool reading cancels the open match."""
     return _greedy(df, key, ts, temp, tiebreak, threshold, tolerance_seconds, True, chunk_us)
 

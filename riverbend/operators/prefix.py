@@ -35,7 +35,7 @@ def _combine(kind: str, carry: Column, local: Column) -> Column:
         F.coalesce(carry, F.lit(0)) + F.coalesce(local, F.lit(0)))
 
 
-def bucketed_prefix(df: DataFrame, keys: list[str], bucket: Column, order: list[Column],
+def bucketed_prefix(df: DataFrame, keys: list[str], bucket: Column | None, order: list[Column],
                     value: Column, kind: str = "max", inclusive: bool = False,
                     out: str = "prefix") -> DataFrame:
     """Add column ``out`` = running ``kind`` of ``value`` over earlier rows of the same keys.
@@ -43,7 +43,17 @@ def bucketed_prefix(df: DataFrame, keys: list[str], bucket: Column, order: list[
     ``order`` must sort rows totally within a key and ``bucket`` must not
     decrease along it.  ``inclusive`` also counts the current row.  NULL keys
     form their own group, as in a window.
+
+    ``bucket=None`` balances buckets by row count instead: rows are range
+    partitioned on ``(keys, order)`` over ``spark.sql.shuffle.partitions``
+    partitions, each a contiguous slice of a key's ordered rows of about equal
+    size, and the partition id is the bucket.  This bounds every bucket however
+    dense one key is, at the cost of one more shuffle and a sampling pass.
     """
+    if bucket is None:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
+        bucket = F.spark_partition_id().cast("long")
     agg = _AGGS[kind]
     k, b, v = "__rb_key", "__rb_bucket", "__rb_value"
     # One struct key: never NULL itself, and NULL members compare equal in the

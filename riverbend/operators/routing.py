@@ -76,20 +76,21 @@ def dead_letter_split(df: DataFrame, value: str, schema: T.StructType, required:
 
 
 def split_late(df: DataFrame, ts: str, offset: str, source_partition: str | None = None,
-               bucket_width: int = 100_000) -> tuple[DataFrame, DataFrame]:
+               bucket_width: int | None = 100_000) -> tuple[DataFrame, DataFrame]:
     """Split rows that arrive behind the event-time watermark.
 
     Watermark seen by a row = (largest event time, in ms, among earlier rows of
     its source partition) - 1 ms; a row is late iff its own time in ms is below
     it.  Earlier = smaller ``offset`` in the same ``source_partition``.  The
     running maximum is bucketed by ``offset`` so one partition (or one hot
-    source) is still spread over many tasks.
-    Returns ``(on_time, late)``.
+    source) is still spread over many tasks (``bucket_width=None``: row-balanced
+    buckets).  Returns ``(on_time, late)``.
     """
     keys = [source_partition] if source_partition else []
     tmp = df if keys else df.withColumn("__one_source", F.lit(0))
     keys = keys or ["__one_source"]
-    with_wm = bucketed_prefix(tmp, keys, F.floor(F.col(offset) / F.lit(bucket_width)),
+    bucket = None if bucket_width is None else F.floor(F.col(offset) / F.lit(bucket_width))
+    with_wm = bucketed_prefix(tmp, keys, bucket,
                               [F.col(offset)], F.unix_millis(F.col(ts)), kind="max", out="__max_prev")
     late = F.coalesce(F.unix_millis(F.col(ts)) < F.col("__max_prev") - 1, F.lit(False))
     tagged = with_wm.withColumn("__late", late).drop("__max_prev")

@@ -50,7 +50,7 @@ def windowed_word_count(df: DataFrame, text: str, ts: str, width: str) -> DataFr
 
 
 def sessionize(df: DataFrame, key: str | Sequence[str], ts: str, gap_seconds: float,
-               chunk_seconds: int = 3_600, tiebreak: Sequence[str] = ()) -> DataFrame:
+               chunk_seconds: int | None = 3_600, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Sessions per key: rows at most ``gap_seconds`` apart share a session.
 
     Output: ``*key, activity_start, activity_end, num_interactions``.  Same
@@ -59,13 +59,19 @@ def sessionize(df: DataFrame, key: str | Sequence[str], ts: str, gap_seconds: fl
     partition (default one hour): any value gives the same result; smaller
     chunks spread a dense user over more tasks, and the second level only sees
     chunk-local sessions (at most sessions + chunks rows per user).
+    ``chunk_seconds=None`` makes the chunks row-balanced instead: range
+    partitions of ``(key, ts)``, so even one very dense user-hour is split.
     """
     key = _cols(key)
     gap_us = int(round(gap_seconds * 1_000_000))
-    chunk_us = int(chunk_seconds) * 1_000_000
     d = (df.filter(F.col(ts).isNotNull())
-           .select(*key, F.unix_micros(F.col(ts)).alias("__us"), *tiebreak)
-           .withColumn("__chunk", F.floor(F.col("__us") / F.lit(chunk_us))))
+           .select(*key, F.unix_micros(F.col(ts)).alias("__us"), *tiebreak))
+    if chunk_seconds is None:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        d = (d.repartitionByRange(n, *key, "__us", *tiebreak)
+              .withColumn("__chunk", F.spark_partition_id().cast("long")))
+    else:
+        d = d.withColumn("__chunk", F.floor(F.col("__us") / F.lit(int(chunk_seconds) * 1_000_000)))
 
     # Level 1: sessions inside each (key, chunk).
     w1 = Window.partitionBy(*key, "__chunk").orderBy("__us", *tiebreak)

@@ -68,11 +68,11 @@ def test_against_brute_force(spark, seed):
             rid += 1
     df = spark.createDataFrame([(r[0], r[1], BASE + dt.timedelta(microseconds=r[2]), r[3]) for r in rows],
                                "id long, device long, ts timestamp, temp double")
-    for tol in (0.0, 0.5, 1.0, 2.5):
+    for tol, chunk in ((0.0, 700_000), (0.5, None), (1.0, 700_000), (2.5, None)):
         for version, fn in ((1, patterns.hot_v1), (2, patterns.hot_v2), (3, patterns.hot_v3)):
             got = sorted(r.id for r in fn(df, "device", "ts", "temp", "id", 50.0, tol,
-                                          chunk_us=700_000).collect())
-            assert got == brute(rows, int(tol * 1_000_000), version), (version, tol)
+                                          chunk_us=chunk).collect())
+            assert got == brute(rows, int(tol * 1_000_000), version), (version, tol, chunk)
 
 
 def test_rising_temperature(spark):

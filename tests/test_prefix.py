@@ -34,6 +34,26 @@ def test_matches_window(spark):
                 assert res == _expected(df, kind, inclusive), (kind, inclusive, width)
 
 
+def test_balanced_buckets_match_window(spark):
+    df = _data(spark, seed=11, n=600)
+    for kind in ("max", "sum"):
+        for inclusive in (False, True):
+            got = bucketed_prefix(df, ["k"], None, [F.col("o")], F.col("v"), kind=kind, inclusive=inclusive, out="p")
+            assert {(r.k, r.o): r.p for r in got.collect()} == _expected(df, kind, inclusive)
+
+
+def test_balanced_buckets_split_a_hot_key(spark):
+    rows = [(1, i, i % 7) for i in range(2000)] + [(2, i, 1) for i in range(10)]
+    df = spark.createDataFrame(rows, "k long, o long, v long")
+    from pyspark.sql import functions as G
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = (df.repartitionByRange(n, "k", "o").withColumn("pid", G.spark_partition_id())
+               .filter("k = 1").select("pid").distinct().count())
+    assert parts >= n - 1  # the hot key is cut into slices over (almost) every partition
+    got = bucketed_prefix(df, ["k"], None, [F.col("o")], F.col("v"), kind="sum", inclusive=True, out="p")
+    assert {(r.k, r.o): r.p for r in got.collect()} == _expected(df, "sum", True)
+
+
 def test_null_order_rows_are_kept(spark):
     df = spark.createDataFrame([(1, None, 5), (1, 1, 3), (1, 2, 9), (2, None, 1)], "k long, o long, v long")
     got = bucketed_prefix(df, ["k"], F.floor(F.col("o") / 1), [F.col("o")], F.col("v"), kind="max", out="p")

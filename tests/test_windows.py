@@ -73,3 +73,9 @@ def test_windowed_word_count(spark):
     df = spark.createDataFrame(rows, "line string, ts timestamp")
     got = {(r.window_start, r.word, r["count"]) for r in windows.windowed_word_count(df, "line", "ts", "5 seconds").collect()}
     assert got == {(BASE, "a", 2), (BASE, "b", 1), (BASE + dt.timedelta(seconds=5), "a", 1)}
+
+
+def test_sessionize_balanced_chunks(spark):
+    ev = read_table(spark, SF_SMALL, "events", ["user_id", "ts"])
+    ref = {tuple(r) for r in windows.sessionize(ev, "user_id", "ts", 3 * 3600).collect()}
+    assert {tuple(r) for r in windows.sessionize(ev, "user_id", "ts", 3 * 3600, chunk_seconds=None).collect()} == ref
