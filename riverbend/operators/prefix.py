@@ -35,6 +35,25 @@ def _combine(kind: str, carry: Column, local: Column) -> Column:
         F.coalesce(carry, F.lit(0)) + F.coalesce(local, F.lit(0)))
 
 
+def _search(bounds: list[float], v: Column, lo: int, hi: int) -> Column:
+    """Number of ``bounds[lo:hi]`` at or below ``v`` (+ ``lo``), as nested CASE (log depth)."""
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(v < F.lit(bounds[mid]), _search(bounds, v, lo, mid)).otherwise(_search(bounds, v, mid + 1, hi))
+
+
+def balanced_bucket(df: DataFrame, order_col: Column, buckets: int | None = None) -> Column:
+    """Bucket index of ``order_col`` among ~equal-count ranges of its values (NULL -> 0)."""
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tmp = "__rb_q"
+    probe = df.select(order_col.cast("double").alias(tmp))
+    probs = [i / n for i in range(1, n)]
+    bounds = sorted({b for b in probe.approxQuantile(tmp, probs, 1.0 / (4 * n)) if b is not None}) if probs else []
+    v = order_col.cast("double")
+    return F.when(v.isNull(), F.lit(0)).otherwise(_search(bounds, v, 0, len(bounds))).cast("long")
+
+
 def bucketed_prefix(df: DataFrame, keys: list[str], bucket: Column | None, order: list[Column],
                     value: Column, kind: str = "max", inclusive: bool = False,
                     out: str = "prefix") -> DataFrame:
@@ -44,16 +63,16 @@ def bucketed_prefix(df: DataFrame, keys: list[str], bucket: Column | None, order
     decrease along it.  ``inclusive`` also counts the current row.  NULL keys
     form their own group, as in a window.
 
-    ``bucket=None`` balances buckets by row count instead: rows are range
-    partitioned on ``(keys, order)`` over ``spark.sql.shuffle.partitions``
-    partitions, each a contiguous slice of a key's ordered rows of about equal
-    size, and the partition id is the bucket.  This bounds every bucket however
-    dense one key is, at the cost of one more shuffle and a sampling pass.
+    ``bucket=None`` balances buckets by row count instead: approximate
+    quantiles of the first ``order`` column (one distributed sketch; the
+    driver receives ``spark.sql.shuffle.partitions - 1`` numbers) cut the order
+    axis into ranges of about equal row count, so every bucket stays bounded
+    however the rows are spread over keys.  The bucket is a function of the
+    value (a binary search over the cut points), so every evaluation of the
+    plan assigns the same bucket.
     """
     if bucket is None:
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
-        bucket = F.spark_partition_id().cast("long")
+        bucket = balanced_bucket(df, order[0])
     agg = _AGGS[kind]
     k, b, v = "__rb_key", "__rb_bucket", "__rb_value"
     # One struct key: never NULL itself, and NULL members compare equal in the

@@ -76,15 +76,17 @@ def dead_letter_split(df: DataFrame, value: str, schema: T.StructType, required:
 
 
 def split_late(df: DataFrame, ts: str, offset: str, source_partition: str | None = None,
-               bucket_width: int | None = 100_000) -> tuple[DataFrame, DataFrame]:
+               bucket_width: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Split rows that arrive behind the event-time watermark.
 
     Watermark seen by a row = (largest event time, in ms, among earlier rows of
     its source partition) - 1 ms; a row is late iff its own time in ms is below
     it.  Earlier = smaller ``offset`` in the same ``source_partition``.  The
     running maximum is bucketed by ``offset`` so one partition (or one hot
-    source) is still spread over many tasks (``bucket_width=None``: row-balanced
-    buckets).  Returns ``(on_time, late)``.
+    source) is still spread over many tasks.  Default ``bucket_width=None``:
+    row-balanced buckets (range partitions of the offsets), so both levels stay
+    bounded even for a single source partition; a fixed width of offsets
+    saves the range-partitioning pass.  Returns ``(on_time, late)``.
     """
     keys = [source_partition] if source_partition else []
     tmp = df if keys else df.withColumn("__one_source", F.lit(0))

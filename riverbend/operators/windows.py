@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riverbend.functions.text import NON_WORD, tokens
+from riverbend.operators.prefix import balanced_bucket
 
 
 def _cols(names: str | Sequence[str]) -> list[str]:
@@ -59,17 +60,16 @@ def sessionize(df: DataFrame, key: str | Sequence[str], ts: str, gap_seconds: fl
     partition (default one hour): any value gives the same result; smaller
     chunks spread a dense user over more tasks, and the second level only sees
     chunk-local sessions (at most sessions + chunks rows per user).
-    ``chunk_seconds=None`` makes the chunks row-balanced instead: range
-    partitions of ``(key, ts)``, so even one very dense user-hour is split.
+    ``chunk_seconds=None`` makes the chunks row-balanced instead (time ranges
+    of about equal row count, from approximate quantiles), so even one very
+    dense user-hour is split.
     """
     key = _cols(key)
     gap_us = int(round(gap_seconds * 1_000_000))
     d = (df.filter(F.col(ts).isNotNull())
            .select(*key, F.unix_micros(F.col(ts)).alias("__us"), *tiebreak))
     if chunk_seconds is None:
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        d = (d.repartitionByRange(n, *key, "__us", *tiebreak)
-              .withColumn("__chunk", F.spark_partition_id().cast("long")))
+        d = d.withColumn("__chunk", balanced_bucket(d, F.col("__us")))
     else:
         d = d.withColumn("__chunk", F.floor(F.col("__us") / F.lit(int(chunk_seconds) * 1_000_000)))
 

@@ -75,7 +75,7 @@ def latest_improvements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R3: events arrive in a shuffled order; keep rows newer than all earlier ones of their user."""
     ev = _events(spark, sf_dir, ["event_id", "user_id", "ts", "event_type", "value"])
     ev = ev.withColumn("arrival", (F.col("event_id") * 7919) % 100003)
-    out = dedup.latest_improvements(ev, "user_id", "ts", "arrival", tiebreak=["event_id"], bucket_width=4096)
+    out = dedup.latest_improvements(ev, "user_id", "ts", "arrival", tiebreak=["event_id"])
     return to_ntz(out.drop("arrival"))
 
 
@@ -179,7 +179,7 @@ def split_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _late_split(spark, sf_dir):
     le = derive.late_events(_events(spark, sf_dir, ["event_id", "event_type", "ts"]))
-    return routing.split_late(le, "event_time", "offset", bucket_width=4096)
+    return routing.split_late(le, "event_time", "offset")
 
 
 def late_main(spark: SparkSession, sf_dir: str) -> DataFrame:
