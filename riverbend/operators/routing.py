@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riverbend.functions.json import CORRUPT, json_verdict, parse_struct
+from riverbend.functions.json import json_verdict, parse_struct
 from riverbend.functions.time import wire_timestamp
 from riverbend.operators.prefix import bucketed_prefix
 
@@ -101,4 +101,4 @@ def split_late(df: DataFrame, ts: str, offset: str, source_partition: str | None
     return tagged.filter(~F.col("__late")).drop("__late"), tagged.filter("__late").drop("__late")
 
 
-__all__ = ["route_label", "split_by", "labelled", "dead_letter_split", "split_late", "CORRUPT"]
+__all__ = ["route_label", "split_by", "labelled", "dead_letter_split", "split_late"]

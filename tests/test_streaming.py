@@ -130,3 +130,21 @@ def test_sessions_random_against_sequential(spark):
     for chunk in (2, 10, 3600):
         got = sorted(tuple(r) for r in windows.sessionize(df, "u", "ts", 5, chunk_seconds=chunk).collect())
         assert got == sorted(want), chunk
+
+
+def test_word_count_on_kafka_records_with_broker_time_watermark(spark):
+    from riverbend.sources import kafka
+
+    def rec(i, text, sec):
+        return (None, text.encode(), "lines", 0, i, BASE + dt.timedelta(seconds=sec), 0, [])
+
+    batches = [[rec(0, "To be, or not", 0), rec(1, "to BE", 1)], [rec(2, "be quick", 6)], [rec(3, "end", 100)]]
+    path = sinks.new_output(spark, "wc-src")
+    for b in batches:
+        spark.createDataFrame(b, kafka.ENVELOPE).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(kafka.ENVELOPE).option("maxFilesPerTrigger", 1).parquet(path)
+    lines = kafka.value_text(stream).withWatermark("timestamp", "0 seconds")
+    out = _memory(windows.windowed_word_count(lines, "value", "timestamp", "5 seconds"), "append", "wc_out")
+    got = {(r.window_start, r.word, r["count"]) for r in out.collect()}
+    assert got == {(BASE, "to", 2), (BASE, "be", 2), (BASE, "or", 1), (BASE, "not", 1),
+                   (BASE + dt.timedelta(seconds=5), "be", 1), (BASE + dt.timedelta(seconds=5), "quick", 1)}
