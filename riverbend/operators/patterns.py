@@ -72,12 +72,15 @@ def _chain(ends: DataFrame) -> DataFrame:
     started at ``r``; the next match starts at ``end + 1``.  Returns
     ``__g, r`` for each chain member.
 
-    Round k holds the jump table ``J_k`` (2^k matches ahead) and the members
-    found so far (chain positions ``0 .. 2^k - 1``); one round produces
-    ``J_{k+1} = J_k o J_k`` and adds ``J_k(members)``.  Both are written in one
-    checkpoint per round, tagged by kind.
+    Round k holds the jump table ``J_k`` (the start 2^k matches ahead) and the
+    members found so far (chain positions ``0 .. 2^k - 1``); one round
+    produces ``J_{k+1} = J_k o J_k`` and adds ``J_k(members)``.  Only jumps that
+    stay inside their group are kept - a rank whose jump leaves the group
+    cannot contribute again - so the table shrinks every round.  Jumps and
+    members are written in one checkpoint per round, tagged by kind.
     """
-    jump = ends.select(F.lit("j").alias("kind"), "__g", "r", (F.col("end") + 1).alias("a"), "m")
+    jump = (ends.filter(F.col("end") + 1 <= F.col("m"))
+                .select(F.lit("j").alias("kind"), "__g", "r", (F.col("end") + 1).alias("a"), "m"))
     member = ends.filter(F.col("r") == 1).select(F.lit("m").alias("kind"), "__g", "r",
                                                  F.lit(None).cast("long").alias("a"), "m")
     # a checkpointed union keeps the sum of its inputs' partitions; coalesce
@@ -87,13 +90,13 @@ def _chain(ends: DataFrame) -> DataFrame:
     while True:
         j = table.filter(F.col("kind") == "j")
         members = table.filter(F.col("kind") == "m")
-        if j.filter((F.col("r") == 1) & (F.col("a") <= F.col("m"))).isEmpty():
+        if j.filter(F.col("r") == 1).isEmpty():
             return members.select("__g", "r")
         right = j.select(F.col("__g").alias("__g2"), F.col("r").alias("__r2"), F.col("a").alias("__a2"))
-        nxt = (j.join(right, (F.col("__g") == F.col("__g2")) & (F.col("a") == F.col("__r2")), "left")
-                .select("kind", "__g", "r", F.coalesce("__a2", "a").alias("a"), "m"))
+        # a jump whose landing rank has no in-group jump itself leaves the group: dropped
+        nxt = (j.join(right, (F.col("__g") == F.col("__g2")) & (F.col("a") == F.col("__r2")), "inner")
+                .select("kind", "__g", "r", F.col("__a2").alias("a"), "m"))
         step = (members.select("__g", "r").join(j.select("__g", "r", "a", "m"), ["__g", "r"])
-                       .filter(F.col("a") <= F.col("m"))
                        .select(F.lit("m").alias("kind"), "__g", F.col("a").alias("r"),
                                F.lit(None).cast("long").alias("a"), "m"))
         table = nxt.unionByName(members).unionByName(step).coalesce(width).checkpoint()
