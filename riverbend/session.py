@@ -27,8 +27,6 @@ DEFAULT_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
-    # iterative operators checkpoint every round; drop files no longer referenced
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
