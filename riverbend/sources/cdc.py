@@ -46,3 +46,19 @@ def apply_cdc(changes: DataFrame, key: str | Sequence[str], order: Sequence[str]
     last = keyed.groupBy(*[f"__k_{k}" for k in keys]).agg(
         F.max_by(F.struct("op", "after"), F.struct(*order)).alias("__last"))
     return last.filter(F.col("__last.op") != F.lit(OP_DELETE)).select("__last.after.*")
+
+
+def apply_cdc_stream(changes: DataFrame, key: str | Sequence[str],
+                     order: Sequence[str] = ("ts_ms", "lsn")) -> DataFrame:
+    """Streaming form of :func:`apply_cdc` (update output mode).
+
+    Emits, per key changed in a micro-batch, its last change so far as
+    ``*key, op, row``: the consumer upserts ``row`` or deletes the key when
+    ``op`` is a delete (a stream cannot retract earlier output).  The state is
+    one row per key, reduced map-side like the batch form.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    image = F.coalesce(F.col("after"), F.col("before"))
+    keyed = changes.select(*[image.getField(k).alias(k) for k in keys], "op", "after", *order)
+    last = keyed.groupBy(*keys).agg(F.max_by(F.struct("op", "after"), F.struct(*order)).alias("__last"))
+    return last.select(*keys, F.col("__last.op").alias("op"), F.col("__last.after").alias("row"))

@@ -80,3 +80,25 @@ def test_protobuf_wire_is_standard(spark):
     df = spark.createDataFrame([(bytearray(b"\x10\x96\x01"),)], "value binary")
     out = protobuf.decode(df, "value", "Transaction", protobuf.TRANSACTION_FIELDS).first()
     assert out.t_id == 150 and out.t_time is None and out.t_amount is None
+
+
+def test_cdc_stream_equals_batch(spark):
+    from riverbend.streaming.sinks import new_output
+    from riverbend.streaming.state import run_available
+
+    orders = spark.createDataFrame(
+        [(k, k % 3, 100.0 + k, dt.datetime(2024, 1, 1) + dt.timedelta(days=k)) for k in range(40)],
+        "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp")
+    feed = change_feed(orders)
+    src = new_output(spark, "cdc-src")
+    rows = [r.value for r in feed.collect()]
+    for part in (rows[: len(rows) // 2], rows[len(rows) // 2:]):
+        spark.createDataFrame([(v,) for v in part], "value string").coalesce(1).write.mode("append").parquet(src)
+    stream = cdc.parse_cdc(spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).parquet(src),
+                           "value", ROW)
+    q = (cdc.apply_cdc_stream(stream, "t_id").writeStream.format("memory").queryName("cdc_stream_out")
+         .outputMode("complete").trigger(availableNow=True).start())
+    run_available(q)
+    final = spark.table("cdc_stream_out").filter(F.col("op") != "d").select("row.*")
+    want = cdc.apply_cdc(cdc.parse_cdc(feed, "value", ROW), "t_id")
+    assert sorted(map(tuple, final.collect())) == sorted(map(tuple, want.collect()))
