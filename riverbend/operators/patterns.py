@@ -16,8 +16,8 @@ previous match's end.  The chain is followed with pointer doubling over rank
 tables (``log2`` rounds of equi-joins on unique ``(group, rank)`` keys), so no
 device or run is ever gathered into one task.  Ranks and "first reading at or
 after t" lookups are running counts computed in two levels
-(:mod:`riverbend.operators.prefix`), over hourly buckets by default or
-row-balanced buckets with ``chunk_us=None``.
+(:mod:`riverbend.operators.prefix`), over row-balanced buckets by default
+(``chunk_us=None``) or fixed time buckets of ``chunk_us`` microseconds.
 """
 
 from __future__ import annotations
@@ -50,7 +50,7 @@ def _prepare(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, thresho
 
 
 def hot_v3(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
-           tolerance_seconds: float, chunk_us: int | None = HOUR_US) -> DataFrame:
+           tolerance_seconds: float, chunk_us: int | None = None) -> DataFrame:
     """V3 alerts: the closing reading of each qualifying hot run (input columns)."""
     cols = df.columns
     tol = int(round(tolerance_seconds * 1_000_000))
@@ -134,13 +134,13 @@ def _greedy(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshol
 
 
 def hot_v1(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
-           tolerance_seconds: float, chunk_us: int | None = HOUR_US) -> DataFrame:
+           tolerance_seconds: float, chunk_us: int | None = None) -> DataFrame:
     """V1 alerts (closing readings); cool readings do not break a match."""
     return _greedy(df, key, ts, temp, tiebreak, threshold, tolerance_seconds, False, chunk_us)
 
 
 def hot_v2(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
-           tolerance_seconds: float, chunk_us: int | None = HOUR_US) -> DataFrame:
+           tolerance_seconds: float, chunk_us: int | None = None) -> DataFrame:
     """V2 alerts (closing readings); a cool reading cancels the open match."""
     return _greedy(df, key, ts, temp, tiebreak, threshold, tolerance_seconds, True, chunk_us)
 
