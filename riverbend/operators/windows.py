@@ -51,18 +51,17 @@ def windowed_word_count(df: DataFrame, text: str, ts: str, width: str) -> DataFr
 
 
 def sessionize(df: DataFrame, key: str | Sequence[str], ts: str, gap_seconds: float,
-               chunk_seconds: int | None = 3_600, tiebreak: Sequence[str] = ()) -> DataFrame:
+               chunk_seconds: int | None = None, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Sessions per key: rows at most ``gap_seconds`` apart share a session.
 
     Output: ``*key, activity_start, activity_end, num_interactions``.  Same
     rule as ``session_window``: a row exactly one gap after the previous one
-    still joins its session.  ``chunk_seconds`` sets the first-level time
-    partition (default one hour): any value gives the same result; smaller
-    chunks spread a dense user over more tasks, and the second level only sees
-    chunk-local sessions (at most sessions + chunks rows per user).
-    ``chunk_seconds=None`` makes the chunks row-balanced instead (time ranges
-    of about equal row count, from approximate quantiles), so even one very
-    dense user-hour is split.
+    still joins its session.  The first level works inside chunks of time: by
+    default row-balanced ones (time ranges of about equal row count, from
+    approximate quantiles), so even one very dense user is split over many
+    tasks; ``chunk_seconds`` gives fixed-width chunks instead and saves the
+    sketch pass.  Any chunking gives the same result; the second level only
+    sees chunk-local sessions (at most sessions + chunks rows per user).
     """
     key = _cols(key)
     gap_us = int(round(gap_seconds * 1_000_000))
