@@ -43,6 +43,29 @@ def _search(bounds: list[float], v: Column, lo: int, hi: int) -> Column:
     return F.when(v < F.lit(bounds[mid]), _search(bounds, v, lo, mid)).otherwise(_search(bounds, v, mid + 1, hi))
 
 
+_TREE_MAX = 255
+
+
+def _count_le(bounds: list[float], v: Column) -> Column:
+    """Number of (sorted, distinct) ``bounds`` at or below ``v``.
+
+    Up to 255 bounds: a balanced CASE tree (log depth, compiles to small code).
+    More: a CASE tree over at most 255 group heads picks the group, then the
+    bounds of that group (at most ``len / 255 + 1``) are counted - so the
+    generated code stays small however many buckets the cluster uses.
+    """
+    m = len(bounds)
+    if m <= _TREE_MAX:
+        return _search(bounds, v, 0, m)
+    k = -(-m // _TREE_MAX)
+    groups = [bounds[i:i + k] for i in range(0, m, k)]
+    heads = [g[0] for g in groups[1:]]
+    gi = _search(heads, v, 0, len(heads))
+    table = F.array(*[F.array(*[F.lit(float(x)) for x in g]) for g in groups])
+    inside = F.size(F.filter(F.element_at(table, gi + 1), lambda x: x <= v))
+    return gi * F.lit(k) + inside
+
+
 def balanced_bucket(df: DataFrame, order_col: Column, buckets: int | None = None) -> Column:
     """Bucket index of ``order_col`` among ~equal-count ranges of its values (NULL -> 0)."""
     n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -51,7 +74,7 @@ def balanced_bucket(df: DataFrame, order_col: Column, buckets: int | None = None
     probs = [i / n for i in range(1, n)]
     bounds = sorted({b for b in probe.approxQuantile(tmp, probs, 1.0 / (4 * n)) if b is not None}) if probs else []
     v = order_col.cast("double")
-    return F.when(v.isNull(), F.lit(0)).otherwise(_search(bounds, v, 0, len(bounds))).cast("long")
+    return F.when(v.isNull(), F.lit(0)).otherwise(_count_le(bounds, v)).cast("long")
 
 
 def bucketed_prefix(df: DataFrame, keys: list[str], bucket: Column | None, order: list[Column],

@@ -66,3 +66,18 @@ def test_plan_shuffles_rows_once_by_key_and_bucket(spark):
     got = bucketed_prefix(df, ["k"], F.floor(F.col("o") / 10), [F.col("o")], F.col("v"), out="p")
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Window" in plan
+
+
+def test_bucket_search_matches_bisect_for_many_bounds(spark):
+    import bisect
+
+    from riverbend.operators.prefix import _count_le
+
+    rnd = random.Random(4)
+    vals = [rnd.uniform(-5, 1005) for _ in range(500)] + [None]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    for n in (1, 5, 255, 256, 1000):
+        bounds = sorted({round(i * 1000 / n, 4) for i in range(1, n)})
+        expr = F.when(F.col("v").isNull(), F.lit(0)).otherwise(_count_le(bounds, F.col("v")))
+        got = [r.b for r in df.select(expr.alias("b")).collect()]
+        assert got == [0 if v is None else bisect.bisect_right(bounds, v) for v in vals], n
