@@ -136,12 +136,16 @@ def run_available(query) -> None:
 
 
 def keyed_latest_stream(source: DataFrame, key: str, value_schema: T.StructType, arrival: str,
-                        checkpoint: str, initial: DataFrame | None = None, state_name: str = "latest") -> None:
-    """Run the latest-per-key state over a stream until its input is exhausted.
+                        checkpoint: str, initial: DataFrame | None = None, state_name: str = "latest",
+                        trigger: dict | None = None, wait: bool = True):
+    """Run the latest-per-key state over a stream.
 
     The query writes nothing (``noop`` sink); its checkpoint holds the state.
     ``initial`` (rows with ``key`` + value columns) seeds the state of a new
-    checkpoint, e.g. state migrated from an older query.
+    checkpoint, e.g. state migrated from an older query.  The default trigger
+    consumes the available input and stops (``wait`` blocks until then);
+    pass e.g. ``{"processingTime": "10 seconds"}`` for a long-running job;
+    the query is returned either way.
     """
     ensure_rocksdb(source.sparkSession)
     proc = LatestByArrival(key, value_schema, arrival, emit=False, state_name=state_name)
@@ -150,8 +154,10 @@ def keyed_latest_stream(source: DataFrame, key: str, value_schema: T.StructType,
     stateful = source.groupBy(key).transformWithStateInPandas(
         proc, out_schema, "Update", "None", initialState=init)
     q = (stateful.writeStream.format("noop").option("checkpointLocation", checkpoint)
-                 .outputMode("update").trigger(availableNow=True).start())
-    run_available(q)
+                 .outputMode("update").trigger(**(trigger or {"availableNow": True})).start())
+    if wait and trigger is None:
+        run_available(q)
+    return q
 
 
 def migrate_state(spark: SparkSession, old_checkpoint: str, transform: Callable[[DataFrame], DataFrame],
