@@ -165,3 +165,41 @@ def migrate_state(spark: SparkSession, old_checkpoint: str, transform: Callable[
     """Read a query's keyed state and rewrite it (e.g. drop or add a nested
     field); the result seeds a new query through ``initialState``."""
     return transform(read_state(spark, old_checkpoint, state_name))
+
+
+class KeepFirstTTL(StatefulProcessor):
+    """First row per key; the "seen" mark expires ``ttl_ms`` of processing time
+    after it was set, after which the key's next row is emitted again (a state
+    TTL on keep-first deduplication).  Rows of one micro-batch are ordered by
+    ``order`` before the first is taken."""
+
+    def __init__(self, order: list[str], ttl_ms: int):
+        self.order, self.ttl_ms = order, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "seen BOOLEAN", self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if self.seen.exists():
+            for _ in rows:
+                pass
+            return
+        pdf = pd.concat(list(rows), ignore_index=True)
+        if len(pdf):
+            self.seen.update((True,))
+            yield pdf.sort_values(self.order, kind="stable").head(1)
+
+    def close(self) -> None:
+        pass
+
+
+def keep_first_ttl_stream(df: DataFrame, key: str, order: list[str], ttl_ms: int) -> DataFrame:
+    """Streaming keep-first per key with a processing-time state TTL (append mode).
+
+    Output has the input's columns.  Uses ``ProcessingTime`` time mode; run it
+    with a processing-time trigger (under ``availableNow`` this time mode keeps
+    scheduling empty batches and does not finish) and stop it explicitly.
+    """
+    ensure_rocksdb(df.sparkSession)
+    return df.groupBy(key).transformWithStateInPandas(
+        KeepFirstTTL(order, ttl_ms), df.schema, "Append", "ProcessingTime")

@@ -62,3 +62,35 @@ def test_latest_improvements_stream_equals_batch(spark):
     state.run_available(q)
     got = {r.event_id for r in spark.read.parquet(out_dir).collect()}
     assert got == batch
+
+
+def test_keep_first_with_state_ttl(spark):
+    import datetime as dt
+
+    schema = "t_id long, t_time timestamp, copy int"
+    base = dt.datetime(2022, 1, 1)
+    results = {}
+    for ttl in (1, 3_600_000):
+        src = new_output(spark, "ttl-src")
+        for rows in ([(1, base, 0), (1, base, 1), (2, base, 0)], [(1, base, 2)]):
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+        out, ck = new_output(spark, "ttl-out"), new_output(spark, "ttl-ck")
+        q = (state.keep_first_ttl_stream(stream, "t_id", ["t_time", "copy"], ttl)
+             .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+             .outputMode("append").trigger(processingTime="200 milliseconds").start())
+        # ProcessingTime mode keeps running state-cleanup batches, so the query
+        # never goes idle: wait until every input row has been consumed
+        import time
+        try:
+            deadline = time.time() + 120
+            while time.time() < deadline:
+                consumed = sum(p["numInputRows"] for p in q.recentProgress)
+                if consumed >= 4 and q.lastProgress and q.lastProgress["numInputRows"] == 0:
+                    break
+                time.sleep(0.5)
+        finally:
+            q.stop()
+        results[ttl] = sorted((r.t_id, r.copy) for r in spark.read.parquet(out).collect())
+    assert results[3_600_000] == [(1, 0), (2, 0)]          # the repeat of key 1 is dropped
+    assert results[1] == [(1, 0), (1, 2), (2, 0)]          # expired mark: key 1 emitted again
