@@ -14,6 +14,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riverbend.operators.routing import split_late
@@ -32,11 +33,13 @@ def split_late_stream(df: DataFrame, ts: str, offset: str, source_partition: str
     """Route each row of a stream to ``on_time`` or ``late`` writers."""
     spark = df.sparkSession
     cols = df.columns
+    carry_schema = T.StructType([df.schema[source_partition], T.StructField("__max_ms", T.LongType())])
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.withColumn("__carry", F.lit(False))
         if batch_id > 0:
-            prev = spark.read.parquet(_carry_path(state_path, batch_id - 1))
+            # explicit schema: an empty earlier batch may have left no data file
+            prev = spark.read.schema(carry_schema).parquet(_carry_path(state_path, batch_id - 1))
             seed = prev.select(
                 *[(F.timestamp_millis("__max_ms") if c == ts else
                    F.lit(_MIN_OFFSET).cast(batch.schema[c].dataType) if c == offset else
