@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riverbend.functions.text import NON_WORD, tokens
-from riverbend.operators.prefix import balanced_bucket
+from riverbend.operators.prefix import balanced_bucket, bucketed_prefix
 
 
 def _cols(names: str | Sequence[str]) -> list[str]:
@@ -60,8 +60,9 @@ def sessionize(df: DataFrame, key: str | Sequence[str], ts: str, gap_seconds: fl
     default row-balanced ones (time ranges of about equal row count, from
     approximate quantiles), so even one very dense user is split over many
     tasks; ``chunk_seconds`` gives fixed-width chunks instead and saves the
-    sketch pass.  Any chunking gives the same result; the second level only
-    sees chunk-local sessions (at most sessions + chunks rows per user).
+    sketch pass.  Any chunking gives the same result.  The second level joins
+    chunk-local sessions across chunk boundaries with running aggregates that
+    are themselves bucketed by chunk, so no level gathers a user in one task.
     """
     key = _cols(key)
     gap_us = int(round(gap_seconds * 1_000_000))
@@ -82,11 +83,15 @@ def sessionize(df: DataFrame, key: str | Sequence[str], ts: str, gap_seconds: fl
         F.count(F.lit(1)).alias("__n"))
 
     # Level 2: merge chunk-local sessions that are within one gap of each other.
-    w2 = Window.partitionBy(*key).orderBy("__first", "__chunk")
-    prev_last = F.lag("__last").over(w2)
-    local = local.withColumn(
-        "__new", F.when(prev_last.isNull() | (F.col("__first") - prev_last > gap_us), 1).otherwise(0))
-    local = local.withColumn("__sid", F.sum("__new").over(w2.rowsBetween(Window.unboundedPreceding, 0)))
+    # The previous session's end is a running maximum and the session id a
+    # running count of starts, both over the chunks (bucketed, so a user with
+    # very many sessions is still spread over many tasks).
+    order = [F.col("__first"), F.col("__chunk")]
+    local = bucketed_prefix(local, key, F.col("__chunk"), order, F.col("__last"), kind="max", out="__prev_last")
+    local = local.withColumn("__new", F.when(F.col("__prev_last").isNull()
+                                             | (F.col("__first") - F.col("__prev_last") > gap_us), 1).otherwise(0))
+    local = bucketed_prefix(local, key, F.col("__chunk"), order, F.col("__new"), kind="sum", inclusive=True,
+                            out="__sid")
     sessions = local.groupBy(*key, "__sid").agg(
         F.min("__first").alias("__first"), F.max("__last").alias("__last"),
         F.sum("__n").alias("num_interactions"))
