@@ -96,7 +96,8 @@ class LatestImprovements(StatefulProcessor):
     """Streaming form of :func:`riverbend.operators.dedup.latest_improvements`:
     emits a row iff it is the key's first, or its time is strictly later than
     the stored one; the stored time then advances.  Rows of one micro-batch are
-    taken in ``arrival`` order."""
+    taken in ``arrival`` order, so a key's rows of one batch are sorted together
+    (bounded by the trigger's batch size, e.g. ``maxOffsetsPerTrigger``)."""
 
     def __init__(self, ts_us: str, arrival: str, output_cols: list[str]):
         self.ts_us, self.arrival, self.output_cols = ts_us, arrival, output_cols
@@ -184,10 +185,12 @@ class KeepFirstTTL(StatefulProcessor):
             for _ in rows:
                 pass
             return
-        pdf = pd.concat(list(rows), ignore_index=True)
-        if len(pdf):
+        # first row of each chunk, then the first of those: a key's rows are
+        # never gathered into one frame
+        firsts = [pdf.sort_values(self.order, kind="stable").head(1) for pdf in rows if len(pdf)]
+        if firsts:
             self.seen.update((True,))
-            yield pdf.sort_values(self.order, kind="stable").head(1)
+            yield pd.concat(firsts, ignore_index=True).sort_values(self.order, kind="stable").head(1)
 
     def close(self) -> None:
         pass
