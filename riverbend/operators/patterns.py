@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riverbend.operators.prefix import bucketed_prefix
+from riverbend.operators.prefix import PLAIN_WINDOW_MAX_ROWS, bucketed_prefix, largest_group
 
 HOUR_US = 3_600 * 1_000_000
 
@@ -36,7 +36,7 @@ def _bucket(chunk_us: int | None, col: str):
 
 
 def _prepare(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
-             chunk_us: int | None, runs: bool = True) -> DataFrame:
+             chunk_us: int | None, runs: bool = True, plain: bool | None = None) -> DataFrame:
     d = df.withColumn("__us", F.unix_micros(F.col(ts)))
     d = d.withColumn("__hot", F.col(temp) >= F.lit(threshold))
     d = d.filter(F.col(ts).isNotNull() & F.col(temp).isNotNull())
@@ -46,7 +46,7 @@ def _prepare(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, thresho
     return bucketed_prefix(d, [key], _bucket(chunk_us, "__us"),
                            [F.col("__us"), F.col(tiebreak)],
                            F.when(F.col("__hot"), 0).otherwise(1), kind="sum", inclusive=True,
-                           out="__run")
+                           out="__run", plain=plain)
 
 
 def hot_v3(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
@@ -54,7 +54,8 @@ def hot_v3(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold
     """V3 alerts: the closing reading of each qualifying hot run (input columns)."""
     cols = df.columns
     tol = int(round(tolerance_seconds * 1_000_000))
-    d = _prepare(df, key, ts, temp, tiebreak, threshold, chunk_us)
+    plain = largest_group(df, [key]) <= PLAIN_WINDOW_MAX_ROWS
+    d = _prepare(df, key, ts, temp, tiebreak, threshold, chunk_us, plain=plain)
     hot = d.filter(F.col("__hot") & (F.col("__run") >= 1))
     first = hot.groupBy(key, "__run").agg(F.min(F.struct("__us", tiebreak)).alias("__first"))
     cand = (hot.join(first, [key, "__run"])
@@ -106,11 +107,13 @@ def _greedy(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshol
             tolerance_seconds: float, reset_on_cool: bool, chunk_us: int | None) -> DataFrame:
     cols = df.columns
     tol = int(round(tolerance_seconds * 1_000_000))
-    d = _prepare(df, key, ts, temp, tiebreak, threshold, chunk_us, runs=reset_on_cool)
+    # groups (device, or device + run) are within a device: one check bounds every pass
+    plain = largest_group(df, [key]) <= PLAIN_WINDOW_MAX_ROWS
+    d = _prepare(df, key, ts, temp, tiebreak, threshold, chunk_us, runs=reset_on_cool, plain=plain)
     group = F.struct(F.col(key), F.col("__run")) if reset_on_cool else F.struct(F.col(key))
     hot = d.filter("__hot").withColumn("__g", group)
     ranked = bucketed_prefix(hot, ["__g"], _bucket(chunk_us, "__us"), [F.col("__us"), F.col(tiebreak)], F.lit(1),
-                             kind="sum", inclusive=True, out="r").checkpoint()
+                             kind="sum", inclusive=True, out="r", plain=plain).checkpoint()
     sizes = ranked.groupBy("__g").agg(F.max("r").alias("m"))
 
     # end(r): first rank whose time is >= time(r) + tolerance, and > r.
@@ -120,7 +123,7 @@ def _greedy(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshol
                           F.col(tiebreak).alias("tb"), F.lit(0).alias("w"), F.col("r").alias("q"))
     counted = bucketed_prefix(data.unionByName(query), ["__g"], _bucket(chunk_us, "t"),
                               [F.col("t"), F.col("kind"), F.col("tb")], F.col("w"),
-                              kind="sum", inclusive=True, out="before")
+                              kind="sum", inclusive=True, out="before", plain=plain)
     ends = (counted.filter(F.col("kind") == 0)
                    .select("__g", F.col("q").alias("r"),
                            F.greatest(F.col("q") + 1, F.coalesce(F.col("before"), F.lit(0)) + 1).alias("end"))

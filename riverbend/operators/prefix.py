@@ -77,9 +77,21 @@ def balanced_bucket(df: DataFrame, order_col: Column, buckets: int | None = None
     return F.when(v.isNull(), F.lit(0)).otherwise(_count_le(bounds, v)).cast("long")
 
 
+# Fixed size bound: a key group up to this many rows is handled by a plain
+# window in one task; larger groups take the bucketed plan.
+PLAIN_WINDOW_MAX_ROWS = 5_000_000
+
+
+def largest_group(df: DataFrame, keys: list[str]) -> int:
+    """Row count of the largest key group (one partial aggregation; one number to the driver)."""
+    row = df.groupBy(*keys).count().agg(F.max("count")).first()
+    return int(row[0] or 0)
+
+
 def bucketed_prefix(df: DataFrame, keys: list[str], bucket: Column | None, order: list[Column],
                     value: Column, kind: str = "max", inclusive: bool = False,
-                    out: str = "prefix") -> DataFrame:
+                    out: str = "prefix", plain_below: int | None = PLAIN_WINDOW_MAX_ROWS,
+                    plain: bool | None = None) -> DataFrame:
     """Add column ``out`` = running ``kind`` of ``value`` over earlier rows of the same keys.
 
     ``order`` must sort rows totally within a key and ``bucket`` must not
@@ -93,10 +105,22 @@ def bucketed_prefix(df: DataFrame, keys: list[str], bucket: Column | None, order
     however the rows are spread over keys.  The bucket is a function of the
     value (a binary search over the cut points), so every evaluation of the
     plan assigns the same bucket.
+
+    ``plain_below``: when the largest key group has at most this many rows
+    (checked with one aggregation), a plain window per key is used - one
+    shuffle, and every task's group is within that proven bound.  ``0`` or
+    ``None`` always takes the bucketed plan.  ``plain`` skips the check when
+    the caller already knows the answer (e.g. from a bound on its input).
     """
+    agg = _AGGS[kind]
+    if plain is None:
+        plain = bool(plain_below) and largest_group(df, keys) <= plain_below
+    if plain:
+        end = 0 if inclusive else -1
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+        return df.withColumn(out, agg(value).over(w))
     if bucket is None:
         bucket = balanced_bucket(df, order[0])
-    agg = _AGGS[kind]
     k, b, v = "__rb_key", "__rb_bucket", "__rb_value"
     # One struct key: never NULL itself, and NULL members compare equal in the
     # join, so a NULL key is a group of its own exactly as in a window.

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riverbend.functions.text import NON_WORD, tokens
-from riverbend.operators.prefix import balanced_bucket, bucketed_prefix
+from riverbend.operators.prefix import PLAIN_WINDOW_MAX_ROWS, balanced_bucket, bucketed_prefix, largest_group
 
 
 def _cols(names: str | Sequence[str]) -> list[str]:
@@ -68,6 +68,8 @@ def sessionize(df: DataFrame, key: str | Sequence[str], ts: str, gap_seconds: fl
     gap_us = int(round(gap_seconds * 1_000_000))
     d = (df.filter(F.col(ts).isNotNull())
            .select(*key, F.unix_micros(F.col(ts)).alias("__us"), *tiebreak))
+    # a user's chunk-local sessions are at most its rows: one check bounds level 2
+    plain = largest_group(d, key) <= PLAIN_WINDOW_MAX_ROWS
     if chunk_seconds is None:
         d = d.withColumn("__chunk", balanced_bucket(d, F.col("__us")))
     else:
@@ -87,11 +89,12 @@ def sessionize(df: DataFrame, key: str | Sequence[str], ts: str, gap_seconds: fl
     # running count of starts, both over the chunks (bucketed, so a user with
     # very many sessions is still spread over many tasks).
     order = [F.col("__first"), F.col("__chunk")]
-    local = bucketed_prefix(local, key, F.col("__chunk"), order, F.col("__last"), kind="max", out="__prev_last")
+    local = bucketed_prefix(local, key, F.col("__chunk"), order, F.col("__last"), kind="max", out="__prev_last",
+                            plain=plain)
     local = local.withColumn("__new", F.when(F.col("__prev_last").isNull()
                                              | (F.col("__first") - F.col("__prev_last") > gap_us), 1).otherwise(0))
     local = bucketed_prefix(local, key, F.col("__chunk"), order, F.col("__new"), kind="sum", inclusive=True,
-                            out="__sid")
+                            out="__sid", plain=plain)
     sessions = local.groupBy(*key, "__sid").agg(
         F.min("__first").alias("__first"), F.max("__last").alias("__last"),
         F.sum("__n").alias("num_interactions"))

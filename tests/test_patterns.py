@@ -56,8 +56,10 @@ def brute(rows, tol_us, version):
     return sorted(out)
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_against_brute_force(spark, seed):
+@pytest.mark.parametrize("seed,bucketed", [(1, False), (2, True), (3, True)])
+def test_against_brute_force(spark, seed, bucketed, monkeypatch):
+    if bucketed:  # force the two-level (bucketed) plan instead of plain windows
+        monkeypatch.setattr(patterns, "PLAIN_WINDOW_MAX_ROWS", 0)
     rnd = random.Random(seed)
     rows, rid = [], 0
     for dev in range(4):

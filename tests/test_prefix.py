@@ -29,7 +29,7 @@ def test_matches_window(spark):
         for inclusive in (False, True):
             for width in (1, 7, 1000):
                 got = bucketed_prefix(df, ["k"], F.floor(F.col("o") / width), [F.col("o")], F.col("v"),
-                                      kind=kind, inclusive=inclusive, out="p")
+                                      kind=kind, inclusive=inclusive, out="p", plain_below=0)
                 res = {(r.k, r.o): r.p for r in got.collect()}
                 assert res == _expected(df, kind, inclusive), (kind, inclusive, width)
 
@@ -38,7 +38,8 @@ def test_balanced_buckets_match_window(spark):
     df = _data(spark, seed=11, n=600)
     for kind in ("max", "sum"):
         for inclusive in (False, True):
-            got = bucketed_prefix(df, ["k"], None, [F.col("o")], F.col("v"), kind=kind, inclusive=inclusive, out="p")
+            got = bucketed_prefix(df, ["k"], None, [F.col("o")], F.col("v"), kind=kind, inclusive=inclusive, out="p",
+                                  plain_below=0)
             assert {(r.k, r.o): r.p for r in got.collect()} == _expected(df, kind, inclusive)
 
 
@@ -50,20 +51,24 @@ def test_balanced_buckets_split_a_hot_key(spark):
     b = df.withColumn("b", balanced_bucket(df, F.col("o")))
     sizes = [r["count"] for r in b.filter("k = 1").groupBy("b").count().collect()]
     assert len(sizes) == n and max(sizes) <= 2 * 2000 / n  # the hot key is cut into ~equal slices
-    got = bucketed_prefix(df, ["k"], None, [F.col("o")], F.col("v"), kind="sum", inclusive=True, out="p")
+    got = bucketed_prefix(df, ["k"], None, [F.col("o")], F.col("v"), kind="sum", inclusive=True, out="p",
+                          plain_below=0)
     assert {(r.k, r.o): r.p for r in got.collect()} == _expected(df, "sum", True)
+    plain = bucketed_prefix(df, ["k"], None, [F.col("o")], F.col("v"), kind="sum", inclusive=True, out="p")
+    assert {(r.k, r.o): r.p for r in plain.collect()} == _expected(df, "sum", True)
 
 
 def test_null_order_rows_are_kept(spark):
     df = spark.createDataFrame([(1, None, 5), (1, 1, 3), (1, 2, 9), (2, None, 1)], "k long, o long, v long")
-    got = bucketed_prefix(df, ["k"], F.floor(F.col("o") / 1), [F.col("o")], F.col("v"), kind="max", out="p")
+    got = bucketed_prefix(df, ["k"], F.floor(F.col("o") / 1), [F.col("o")], F.col("v"), kind="max", out="p",
+                          plain_below=0)
     assert sorted(((r.k, r.o, r.p) for r in got.collect()), key=str) == sorted(
         [(1, None, None), (1, 1, 5), (1, 2, 5), (2, None, None)], key=str)
 
 
 def test_plan_shuffles_rows_once_by_key_and_bucket(spark):
     df = _data(spark)
-    got = bucketed_prefix(df, ["k"], F.floor(F.col("o") / 10), [F.col("o")], F.col("v"), out="p")
+    got = bucketed_prefix(df, ["k"], F.floor(F.col("o") / 10), [F.col("o")], F.col("v"), out="p", plain_below=0)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Window" in plan
 

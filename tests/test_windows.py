@@ -27,9 +27,12 @@ def test_session_gap_boundaries(spark):
     assert out[0].activity_end == BASE + dt.timedelta(seconds=10)
 
 
-def test_sessionize_chunking_invariant(spark):
+def test_sessionize_chunking_invariant(spark, monkeypatch):
     ev = read_table(spark, SF_SMALL, "events", ["user_id", "ts"])
+    monkeypatch.setattr(windows, "PLAIN_WINDOW_MAX_ROWS", 0)  # force the bucketed level 2
+    monkeypatch.undo()
     ref = {tuple(r) for r in windows.sessionize(ev, "user_id", "ts", 3 * 3600, chunk_seconds=10**9).collect()}
+    monkeypatch.setattr(windows, "PLAIN_WINDOW_MAX_ROWS", 0)
     for chunk in (60, 3600, 86400):
         assert {tuple(r) for r in windows.sessionize(ev, "user_id", "ts", 3 * 3600, chunk_seconds=chunk).collect()} == ref
 
