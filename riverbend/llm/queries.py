@@ -2,14 +2,72 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..session import scratch_dir
 from ..sources.tables import read_table
-from . import near_text
+from . import decontaminate, language, licenses, line_chunks, mixing, near_text, near_vectors, quality, token_counts, warc
+
+
+TOKEN_LIMIT = 2048
+
+
+def op1_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
+    path = scratch_dir(spark, "warc")
+    warc.archive_pages(pages, path)
+    page_id = pages.schema["page_id"].dataType.simpleString()
+    refers = F.regexp_extract(warc.field("WARC-Refers-To"), "^<urn:x-page:(.*)>$", 1).cast(page_id)
+    return warc.read_archive(spark, path).select(
+        F.col("id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"),
+        warc.field("WARC-Type").alias("record_type"), refers.alias("refers_to"))
+
+
+def op2_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "source"]))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return licenses.find_licenses(docs, licenses.train(docs))
+
+
+def op4_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    table = token_counts.prefix_table(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return table.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+def op5_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
+                                    read_table(spark, sf_dir, "benchmark", ["item_id", "text"]))
+
+
+def op6_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+    model = language.train(docs.where(docs.doc_id.isNotNull() & ~language.held_out()))
+    return language.predict(docs, model).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op7_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    _, scorer = quality.train(docs)
+    return quality.judge(docs, scorer).drop("text")
 
 
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_text.link_documents(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
 
-QUERIES = {f.__name__: f for f in (op8_minhash_near_dedup,)}
+def op9_line_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_chunks.remove_repeats(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.link_vectors(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"]))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc_archive, op2_hierarchical_mixing, op3_license_scan, op4_prefix_token_counts, op5_spaced_seed_decontamination,
+                                   op6_language_spans, op7_weak_label_quality, op8_minhash_near_dedup, op9_line_chunk_dedup, op10_embedding_near_dedup)}
