@@ -4,10 +4,11 @@ A text's set holds its distinct shingles of five words (``split_words``); a shor
 
 1. One pass computes, per document, the set's size, a 128-bit digest of the set, ``BANDS * ROWS`` minimum
    hashes kept as one byte each, and one key per band.  Documents with equal digests are one class.
-2. Classes that share a band key are candidates.  No bucket is expanded into all its pairs: first every member
-   is compared with the bucket's smallest member; then only members that are still in different components are
-   compared, with 64, 512, 4096, ... drawn members of their bucket until every pair of members has been compared
-   or joined.  So the result is the one that all pairs of all buckets would give.
+2. Classes that share a band key are candidates.  A bucket's pairs are never emitted: first every member is
+   compared with the member that stands in the most and largest buckets, which is near to most copies.  Where a bucket
+   then still holds several components, its members are dealt into chunks of about ``CHUNK`` and each pair of chunks
+   compares, inside one task, all members that differ in component; only links come out.  So the components are the
+   ones that all pairs of all buckets would give.
 3. A pair's signature bytes are compared batch by batch.  After each batch the pair goes if the posterior
    probability (uniform prior) that its similarity reaches the threshold is below ``MISS``.
 4. What survives is checked on the full sets (64-bit shingle hashes).
@@ -34,7 +35,8 @@ THRESHOLD = (75, 100)
 BANDS, ROWS = 32, 5
 #: Signature bytes compared at a time, and the probability at which a pair is given up.
 BATCH, MISS = 32, 1e-6
-FIRST_DRAW, NEXT_DRAW = 64, 8
+#: Members of a bucket that one task compares with as many others.
+CHUNK = 512
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -130,16 +132,54 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in cut(batches, "set_b"):
         kept = []
         for i, (x, y) in enumerate(zip(batch.column("set_a"), batch.column("set_b"), strict=True)):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            if len(y) > len(x):
-                x, y = y, x
-            at = np.searchsorted(x, y)
-            both = int((x[np.minimum(at, len(x) - 1)] == y).sum())
-            if THRESHOLD[1] * both >= THRESHOLD[0] * (len(x) + len(y) - both):
+            if _linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)):
                 kept.append(i)
         yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
 
 
+def _linked(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted sets are similar enough."""
+    if len(y) > len(x):
+        x, y = y, x
+    at = np.searchsorted(x, y)
+    both = int((x[np.minimum(at, len(x) - 1)] == y).sum())
+    return THRESHOLD[1] * both >= THRESHOLD[0] * (len(x) + len(y) - both)
+
+
+def _settle(schema: pa.Schema):
+    def settle(key: tuple, table: pa.Table) -> pa.Table:
+        """Links between the members of two chunks of a bucket, or within one, that differ in component."""
+        table = table.combine_chunks()
+        side = table["side"].to_numpy()
+        left = np.flatnonzero(side == 0)
+        right = left if key[1] == key[2] else np.flatnonzero(side == 1)
+        signature = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint8).reshape(len(table), -1)
+        bands = table["bands"].combine_chunks().flatten().to_numpy().reshape(len(table), -1)
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["set"].combine_chunks()]
+        component = table["c"].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        n = np.array([len(x) for x in sets], np.int64)
+        (first, least), *more = least_matches()
+        found: list[tuple[int, int]] = []
+        for start in range(0, len(left), 64):
+            own = left[start:start + 64]
+            equal = (signature[own, None, :first] == signature[None, right, :first]).sum(axis=2)
+            i, j = np.nonzero((component[own, None] != component[right]) & (equal >= least))
+            equal, i, j = equal[i, j], own[i], right[j]
+            kept = (np.minimum(n[i], n[j]) * THRESHOLD[1] >= np.maximum(n[i], n[j]) * THRESHOLD[0]) & ((i < j) | (key[1] != key[2]))
+            equal, i, j, done = equal[kept], i[kept], j[kept], first
+            for stop, fewest in more:
+                equal = equal + (signature[i, done:stop] == signature[j, done:stop]).sum(axis=1)
+                kept, done = equal >= fewest, stop
+                equal, i, j = equal[kept], i[kept], j[kept]
+            same = bands[i] == bands[j]
+            here = bands[i, same.argmax(axis=1)] == key[0].as_py()  # a pair counts in its first bucket
+            found += [(x, y) for x, y in zip(i[here], j[here], strict=True) if _linked(sets[x], sets[y])]
+        rep = table["rep"].combine_chunks()
+        at = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table([rep.take(pa.array(at[:, 0])), rep.take(pa.array(at[:, 1]))], schema=schema)
+    return settle
+
+
 def _collect_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in cut(batches, "text"):
         yield pa.record_batch([batch.column("id"), pack([s.tobytes() for s in shingle_sets(batch.column("text"))])], ["id", "set"])
@@ -182,28 +222,28 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.min("id").alias("rep"), *(F.first(c).alias(c) for c in ("n", "signature", "bands"))), "classes")
 
     banded = classes.select("rep", F.explode("bands").alias("key"))
-    shared = save(banded.groupBy("key").agg(F.count("*").alias("size"), F.min("rep").alias("least")).where("size > 1"), "buckets")
+    shared = save(banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
     members = save(banded.join(shared, "key"), "members")
-    wanted = members.select(F.col("rep").alias("id")).distinct()
+    wanted = members.groupBy("rep").agg(F.sum("size").alias("seen"))
+    heads = members.join(wanted, "rep").groupBy("key").agg(F.min(F.struct(-F.col("seen"), "rep")).getField("rep").alias("head"))
     # a row that repeats another's id and set adds nothing
-    sets = save(base.join(wanted, "id", "left_semi").mapInArrow(_collect_sets, f"id {id_type}, set binary")
+    sets = save(base.join(wanted.select(F.col("rep").alias("id")), "id", "left_semi").mapInArrow(_collect_sets, f"id {id_type}, set binary")
                 .where(F.length("set") > 0).select(F.col("id").alias("rep"), "set").distinct(), "sets")
 
     verifier = _Verifier(classes, sets, id_type)
-    links = verifier.links(members.where("rep != least").select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct())
-    found, draw, drawn = components(links), FIRST_DRAW, 0
-    while True:
-        found = save(found, "components")
-        placed = members.join(found, members.rep == found.node, "left").select("key", "size", "rep", F.coalesce("component", "rep").alias("c"))
-        split = placed.where(F.col("size") > max(drawn, 2)).groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi")
-        left = save(placed.join(split.select("key"), "key"), "unsettled")
-        if left.isEmpty():
-            break
-        some = left.where(F.pmod(F.xxhash64("rep", F.lit(draw)), F.col("size")) < draw)
-        pairs = some.select("key", F.col("rep").alias("x"), F.col("c").alias("cx")).join(
-            left.select("key", F.col("rep").alias("y"), F.col("c").alias("cy")), "key").where("cx != cy")
-        links = links.union(verifier.links(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()))
-        found, drawn, draw = components(links), draw, draw * NEXT_DRAW
+    links = verifier.links(members.join(save(heads, "heads"), "key").where("rep != head").select(
+        F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")).distinct())
+    found = save(components(links), "components")
+    placed = members.join(found, members.rep == found.node, "left").select("key", "size", "rep", F.coalesce("component", "rep").alias("c"))
+    split = save(placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("key"), "unsettled")
+    dealt = placed.join(split, "key").withColumn("k", F.ceil(F.col("size") / CHUNK).cast("int")).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("k")).cast("int"))
+    dealt = dealt.join(classes.select("rep", "signature", "bands"), "rep").join(sets, "rep").withColumn("other", F.explode(F.expr("sequence(0, k - 1)")))
+    dealt = dealt.select("key", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"),
+                         F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "rep", "c", "signature", "bands", "set")
+    kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
+    settle = _settle(pa.schema([("a", kind), ("b", kind)]))
+    more = save(dealt.groupBy("key", "one", "two").applyInArrow(settle, verifier.schema).distinct(), "settled")
+    found = components(links.union(more))
 
     placed = classes.join(found, classes.rep == found.node, "left").select("digest", F.coalesce("component", "rep").alias("component"))
     return signed.join(placed, "digest", "left").select(

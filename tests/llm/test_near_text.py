@@ -73,16 +73,15 @@ def test_components_equal_brute_force(spark):
 
 
 def test_large_group_whose_members_are_not_all_alike(spark, monkeypatch):
-    """A hub close to each of many copies that differ from one another: later draws find it."""
-    monkeypatch.setattr(near_text, "FIRST_DRAW", 2)
-    monkeypatch.setattr(near_text, "NEXT_DRAW", 2)
+    """Many copies that differ from one another, some beyond the threshold, and buckets of many chunks."""
+    monkeypatch.setattr(near_text, "CHUNK", 3)
     rnd = random.Random(5)
     vocabulary = [f"v{k}" for k in range(3000)]
     hub = rnd.choices(vocabulary, k=150)
     rows = [(500, " ".join(hub))]
     for i in range(40):
         copy = list(hub)
-        for at in rnd.sample(range(150), 3):
+        for at in rnd.sample(range(150), rnd.choice([1, 3, 3, 6, 9])):
             copy[at] = rnd.choice(vocabulary)
         rows.append((i, " ".join(copy)))
     out = near_text.link_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
