@@ -48,12 +48,13 @@ def _weight(column: str, weights: dict[str, int]) -> Column:
 
 
 def place(docs: DataFrame, mixture: Mixture, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          source_col: str = "source") -> DataFrame:
-    """(id, domain, lang, source, n_tokens) of every document.  Tokens are the words ``[^\\x20\\x09-\\x0D]+`` (null text:
-    none); a null language or source is named ``und``."""
-    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(lang_col, F.lit("und")).alias("lang"),
+          source_col: str = "source", with_row: bool = False) -> DataFrame:
+    """(id, domain, lang, source, n_tokens) of every document, and its whole row in ``row`` if asked.  Tokens are the
+    words ``[^\\x20\\x09-\\x0D]+`` (null text: none); a null language or source is named ``und``."""
+    row = [F.struct(*docs.columns).alias("row")] if with_row else []
+    d = docs.select(*row, F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(lang_col, F.lit("und")).alias("lang"),
                     F.coalesce(source_col, F.lit("und")).alias("source"))
-    return d.select("id", F.expr(mixture.domain).alias("domain"), "lang", "source",
+    return d.select(*(["row"] if with_row else []), "id", F.expr(mixture.domain).alias("domain"), "lang", "source",
                     F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("n_tokens"))
 
 
@@ -115,7 +116,7 @@ def choices(placed: DataFrame, mixture: Mixture) -> DataFrame:
     within = Window.partitionBy(*LEAF, "prefix").orderBy("h")  # up to all rows of one hash
     fits = hashed.join(last, [*LEAF, "prefix"]).withColumn("sum", F.col("before") + F.sum("n_tokens").over(within)).where("sum <= rest")
     cut = last.join(fits.groupBy(*LEAF).agg(F.max("h").alias("h")), LEAF, "left").select(*LEAF, F.coalesce("h", "prefix").alias("cut"))
-    return leaves.join(cut, LEAF, "left").select(*LEAF, "whole", "cut")
+    return save(leaves.join(cut, LEAF, "left").select(*LEAF, "whole", "cut"), "choices")
 
 
 def take(placed: DataFrame, chosen: DataFrame, mixture: Mixture) -> DataFrame:
@@ -136,3 +137,13 @@ def mix(docs: DataFrame, mixture: Mixture | None = None) -> DataFrame:
     mixture = mixture or Mixture()
     placed = save(place(docs, mixture), "placed")
     return take(placed, choices(placed, mixture), mixture).withColumnRenamed("id", "doc_id")
+
+
+def mix_rows(docs: DataFrame, mixture: Mixture | None = None) -> DataFrame:
+    """The rows that ``mix`` takes with all their columns, and ``domain``, ``n_tokens`` and ``epoch``; columns of those
+    names in ``docs`` give way to them.  Texts aren't shuffled: the choices are one row for each leaf."""
+    mixture = mixture or Mixture()
+    chosen = choices(save(place(docs, mixture), "placed"), mixture)
+    own = [c for c in docs.columns if c not in ("domain", "n_tokens", "epoch")]
+    return take(place(docs, mixture, with_row=True), chosen, mixture).select(
+        *(F.col("row").getField(c).alias(c) for c in own), "domain", "n_tokens", "epoch")
