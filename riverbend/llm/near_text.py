@@ -249,3 +249,20 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return signed.join(placed, "digest", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"),
         F.coalesce(F.col("id") == F.coalesce("component", "id"), F.lit(True)).alias("kept"))
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each component, that with the smallest id; all its columns.
+
+    Of rows that repeat both id and text one stays; rows that repeat an id with other texts are one document and stay
+    or go together.  Rows without an id, and texts without words, stay.
+    """
+    linked = link_documents(docs, id_col, text_col)
+    gone = linked.where("NOT kept").select(F.col(id_col).alias("gone")).distinct()
+    repeated = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(F.col(id_col).alias("repeated"))
+    marks = save(gone.join(repeated, F.col("gone") == F.col("repeated"), "full"), "marks")
+    row = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"))
+    once = row.join(marks, F.col("id") == F.coalesce("gone", "repeated"), "left").where("gone IS NULL")
+    single = once.where("repeated IS NULL").select("row")
+    several = once.where("repeated IS NOT NULL").groupBy("id", "hash").agg(F.first("row").alias("row")).select("row")
+    return single.union(several).select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

@@ -95,6 +95,16 @@ def test_empty_table_and_repeated_rows(spark):
     assert len(out) == 5 and {r.component_id for r in out} == {1}
 
 
+def test_drop_copies_keeps_one_of_each_group(spark):
+    rows = [(1, "a b c d e f", 1, "x", 1), (2, "A b c d e f", 2, "x", 1), (3, None, 3, "x", 1), (4, "", 4, "x", 1), (None, "a b c d e f", 5, "x", 1),
+            (6, "q r s t u v", 6, "x", 1), (6, "q r s t u v", 6, "x", 1), (6, "other words of the same id", 7, "x", 1)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = near_text.drop_copies(df)
+    assert out.columns == df.columns
+    assert sorted(r.n for r in out.collect()) == [1, 3, 4, 5, 6, 7]
+    assert near_text.drop_copies(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
 def test_very_long_text(spark):
     long = " ".join(f"t{k}" for k in range(60_000))
     rows = [(1, long), (2, long + " tail"), (3, "x" * 1_000_000)]
