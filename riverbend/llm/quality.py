@@ -139,13 +139,12 @@ def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 @dataclass
 class LabelModel:
     good: float  # share of good documents
-    chance: np.ndarray  # class (bad, good), labeller, vote (bad, good): chance of the vote
+    chance: np.ndarray  # class (bad, good), labeller, vote (bad, good, none)
 
     def posterior(self, vote: np.ndarray) -> np.ndarray:
-        """Chance that documents with these votes are good; a labeller that doesn't vote tells nothing."""
+        """Chance that documents with these votes are good."""
         each = np.log(self.chance[GOOD] / self.chance[BAD])  # labeller, vote
-        logit = np.log(self.good / (1 - self.good)) + sum(
-            np.where(vote == v, each[:, v], 0).sum(axis=1) for v in (BAD, GOOD))
+        logit = np.log(self.good / (1 - self.good)) + each[np.arange(vote.shape[1]), vote].sum(axis=1)
         return 1 / (1 + np.exp(-np.clip(logit, -700, 700)))
 
 
@@ -157,8 +156,8 @@ def fit_labels(vote: np.ndarray, n: np.ndarray, rounds: int = 200) -> LabelModel
     good = np.where((vote == BAD).any(axis=1), 0.05, 0.95)
     for _ in range(rounds):
         weight = np.stack([n * (1 - good), n * good])
-        total = weight.sum(axis=1) + 1
-        chance = np.stack([((weight[:, :, None] * (vote == v)).sum(axis=1) + 0.5) / (total[:, None] + 0.5) for v in (BAD, GOOD)], axis=2)
+        total = weight.sum(axis=1) + 1.5
+        chance = np.stack([((weight[:, :, None] * (vote == v)).sum(axis=1) + 0.5) / total[:, None] for v in (BAD, GOOD, NONE)], axis=2)
         model = LabelModel(float(total[GOOD] / total.sum()), chance)
         now = model.posterior(vote)
         done, good = np.abs(now - good).max(initial=0) < 1e-9, now
