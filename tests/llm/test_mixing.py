@@ -1,0 +1,87 @@
+"""Budgets and choices against a plain version."""
+
+import hashlib
+import random
+import re
+from fractions import Fraction
+
+import pytest
+
+from riverbend.llm import mixing
+from riverbend.llm.mixing import Mixture
+
+SCHEMA = "doc_id long, text string, lang string, source string, epoch string, domain int"
+
+
+def deal(total, children):
+    """Water-filling, by whole numbers as documented: {child: budget}; children are {name: (cap, weight)}."""
+    out, left = {}, dict(children)
+    while left:
+        level = Fraction(total - sum(out.values()), sum(w for _, w in left.values()))
+        full = [c for c, (cap, w) in left.items() if cap <= level * w]
+        if not full:
+            return out | {c: w * (total - sum(out.values())) // sum(x for _, x in left.values()) for c, (_, w) in left.items()}
+        for c in full:
+            out[c] = left.pop(c)[0]
+    return out
+
+
+def plain(rows, m):
+    leaves = {}
+    for i, text, lang, source in rows:
+        n = len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+        number = re.search("([0-9]+)$", source or "")
+        leaf = (f"d{int(number[1]) % 4}" if number else "other", lang or "und", source or "und")
+        leaves.setdefault(leaf, []).append((i, n))
+    tokens = {k: sum(n for _, n in v) for k, v in leaves.items() if sum(n for _, n in v)}
+    cap = lambda *prefix: sum(t * m.max_epochs for k, t in tokens.items() if k[:len(prefix)] == prefix)
+    weights = (m.domains, m.languages, m.sources)
+    budget = {(): min(sum(tokens.values()) * m.percent // 100, cap())}
+    for depth in range(3):
+        for parent in [k for k in budget if len(k) == depth]:
+            names = {k[depth] for k in tokens if k[:depth] == parent}
+            for name, b in deal(budget[parent], {n: (cap(*parent, n), weights[depth].get(n, 1)) for n in names}).items():
+                budget[*parent, name] = b
+    out = []
+    for leaf, t in tokens.items():
+        whole, rest = divmod(budget[leaf], t)
+        docs = [(hashlib.md5(":".join([str(m.seed), str(whole), *([str(i)] if i is not None else [])]).encode()).hexdigest(), i, n) for i, n in leaves[leaf] if n]
+        for h, i, n in docs:
+            more = sum(x for g, _, x in docs if g <= h) <= rest
+            out += [(i, *leaf, n, e) for e in range(1, whole + more + 1)]
+    return sorted(out, key=repr), {k: b for k, b in budget.items() if len(k) == 3}
+
+
+@pytest.mark.parametrize("percent,epochs", [(100, 3), (40, 1), (300, 2), (1000, 2)])
+def test_mix_equals_plain_version(spark, percent, epochs):
+    rnd = random.Random(percent)
+    rows = [(k, " ".join(["w"] * rnd.randrange(40)) + rnd.choice(["", "\n x"]), rnd.choice(["en"] * 6 + ["de", "fr", None]),
+             rnd.choice(["src0"] * 5 + ["src1", "src2", "src3", "src6", "blog", None])) for k in range(400)]
+    rows += [(None, "no id here", "en", "src0"), (None, "none", "en", "src0"), (7, "repeated id", "en", "src1"), (900, None, "en", "src0"), (901, "", "en", "src0")]
+    m = Mixture(percent=percent, max_epochs=epochs)
+    out = mixing.mix(spark.createDataFrame([(*r, "own", 1) for r in rows], SCHEMA), m)
+    assert out.columns == ["doc_id", "domain", "lang", "source", "n_tokens", "epoch"]
+    expected, budget = plain(rows, m)
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == expected
+    assert all(b >= 0 for b in budget.values())
+
+
+def test_shortage_goes_to_siblings_first(spark):
+    text = lambda n: " ".join(["w"] * n)
+    rows = [(k, text(10), "en", "src0") for k in range(100)] + [(200, text(10), "de", "src0")] + [(300 + k, text(10), "en", "src1") for k in range(100)]
+    m = Mixture(domains={"d0": 1, "d1": 1}, languages={"en": 1, "de": 1}, percent=50, max_epochs=1)
+    got = {}
+    for r in mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), m).collect():
+        got[r.domain, r.lang] = got.get((r.domain, r.lang), 0) + r.n_tokens
+    assert got == {("d0", "de"): 10, ("d0", "en"): 490, ("d1", "en"): 500}  # de's shortage stays within d0
+
+
+def test_rows_keep_columns_and_empty_tables(spark):
+    rows = [(k, "a b c", "en", "src0", "own", 5) for k in range(10)]
+    out = mixing.mix_rows(spark.createDataFrame(rows, SCHEMA))
+    assert out.columns == ["doc_id", "text", "lang", "source", "domain", "n_tokens", "epoch"]
+    assert {r.domain for r in out.collect()} == {"d0"} and out.count() == 10
+    assert mixing.mix(spark.createDataFrame([], SCHEMA)).count() == 0
+    assert mixing.mix_rows(spark.createDataFrame([(1, "", None, None, "", 1)], SCHEMA)).count() == 0
+    long = [(1, "w " * 500_000, "en", "src0", "", 1)]
+    assert mixing.mix(spark.createDataFrame(long, SCHEMA)).first().n_tokens == 500_000
