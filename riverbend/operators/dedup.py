@@ -73,20 +73,16 @@ def keep_latest(df: DataFrame, key: str | Sequence[str], order: str | Sequence[s
 
 
 def latest_improvements(df: DataFrame, key: str | Sequence[str], ts: str, arrival: str,
-                        tiebreak: Sequence[str] = (), bucket_width: int | None = None) -> DataFrame:
+                        tiebreak: Sequence[str] = ()) -> DataFrame:
     """Rows that are the first for their key, or strictly newer (by ``ts``) than
     every earlier arrival of that key; ties keep the stored row.
 
-    ``arrival`` is a numeric arrival position (e.g. a source offset); the
-    running maximum is computed in buckets of ``bucket_width`` positions so a
-    hot key is spread over many tasks (see :mod:`riverbend.operators.prefix`).
-    The default (``None``) uses row-balanced buckets, bounded however the
-    rows are distributed; a fixed width saves the range-partitioning pass.
+    ``arrival`` is an arrival position (e.g. a source offset); the running
+    maximum is computed in bounded buckets, so a hot key is spread over many
+    tasks (see :mod:`riverbend.operators.prefix`).
     """
     order = [F.col(arrival)] + [F.col(c) for c in tiebreak]
-    bucket = None if bucket_width is None else F.floor(F.col(arrival) / F.lit(bucket_width))
-    with_prev = bucketed_prefix(df, _cols(key), bucket,
-                                order, F.col(ts), kind="max", out="__prev_ts")
+    with_prev = bucketed_prefix(df, _cols(key), order, F.col(ts), kind="max", out="__prev_ts")
     keep = F.col("__prev_ts").isNull() | (F.col(ts) > F.col("__prev_ts"))
     return with_prev.filter(keep).drop("__prev_ts")
 
@@ -104,14 +100,18 @@ def dedup_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
 
 
 def dedup_join_stream(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                      left_ts: str, right_ts: str, delay: str, max_gap: str,
-                      select: Sequence[Column] | None = None) -> DataFrame:
-    """Stream-stream form of :func:`dedup_join` with bounded state.
-
-    Both sides get a watermark of ``delay``; right rows are deduplicated within
-    the watermark and must fall within ``max_gap`` of their left row, so Spark
-    can drop join and dedup state once the watermark passes.
+                      left_ts: str | None = None, right_ts: str | None = None, delay: str | None = None,
+                      max_gap: str | None = None, select: Sequence[Column] | None = None) -> DataFrame:
+    """Stream-stream form of :func:`dedup_join`.
+
+    Without ``max_gap`` every pair joins, however far apart, and Spark keeps
+    all rows of both sides in its (on-disk) state.  With it, both sides get a
+    watermark of ``delay``, right rows are deduplicated within the watermark
+    and must fall within ``max_gap`` of their left row; state is then dropped
+    once the watermark passes.
     """
+    if max_gap is None:
+        return dedup_join(left, right, left_key, right_key, select)
     lw = left.withWatermark(left_ts, delay)
     rw = right.withWatermark(right_ts, delay).dropDuplicatesWithinWatermark()
     cond = ((lw[left_key] == rw[right_key])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import deque
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,13 +39,14 @@ def lag_stats(df: DataFrame, lag: str, arrival: str, n: int = 10_000) -> DataFra
 
 
 def observe_lag(df: DataFrame, lag: str, name: str = "event_time_lag") -> DataFrame:
-    """Attach lag metrics to a stream (or batch): count, mean, max per micro-batch.
+    """Attach lag metrics to a stream (or batch): count, mean, max and percentiles per micro-batch.
 
     Values appear in ``StreamingQueryProgress.observedMetrics[name]``; read
     them with :class:`LagMetrics` or any ``StreamingQueryListener``.
     """
     return df.observe(name, F.count(F.lit(1)).alias("rows"), F.avg(lag).alias("mean_lag_ms"),
-                      F.max(lag).alias("max_lag_ms"))
+                      F.max(lag).alias("max_lag_ms"),
+                      F.percentile_approx(lag, list(LAG_PERCENTILES)).alias("percentiles_ms"))
 
 
 try:  # listener base class (PySpark >= 3.4)
@@ -53,11 +56,11 @@ except ImportError:  # pragma: no cover
 
 
 class LagMetrics(StreamingQueryListener):
-    """Collects the observed lag metrics of every progress report (driver side;
-    one small row per micro-batch)."""
+    """Collects the observed lag metrics of the newest ``keep`` progress reports
+    (driver side; one small row per micro-batch)."""
 
-    def __init__(self, name: str = "event_time_lag"):
-        self.name, self.reports = name, []
+    def __init__(self, name: str = "event_time_lag", keep: int = 1000):
+        self.name, self.reports = name, deque(maxlen=keep)
 
     def onQueryStarted(self, event) -> None:
         pass

@@ -14,54 +14,47 @@ continues after it (skip past the last event).
 V1/V2 are greedy chains: each match starts at the first hot reading after the
 previous match's end.  The chain is followed with pointer doubling over rank
 tables (``log2`` rounds of equi-joins on unique ``(group, rank)`` keys), so no
-device or run is ever gathered into one task.  Ranks and "first reading at or
-after t" lookups are running counts computed in two levels
-(:mod:`riverbend.operators.prefix`), over row-balanced buckets by default
-(``chunk_us=None``) or fixed time buckets of ``chunk_us`` microseconds.
+device or run is ever gathered into one task.  Ranks, run starts and "first
+reading at or after t" lookups are running aggregates computed in two levels
+(:mod:`riverbend.operators.prefix`).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riverbend.operators.prefix import PLAIN_WINDOW_MAX_ROWS, bucketed_prefix, largest_group
+from riverbend.operators.prefix import bucketed_prefix
+from riverbend.session import land, remove, scratch_dir
 
 HOUR_US = 3_600 * 1_000_000
 
 
-def _bucket(chunk_us: int | None, col: str):
-    """Time bucket of the running counts; ``None`` = row-balanced buckets."""
-    return None if chunk_us is None else F.floor(F.col(col) / F.lit(chunk_us))
+def readings(df: DataFrame, ts: str, temp: str, threshold: float) -> DataFrame:
+    """Rows that count, with ``__us`` and ``__hot``.  A reading whose time or
+    temperature is NULL or NaN is no reading, on streams as in batch."""
+    return (df.filter(F.col(ts).isNotNull() & F.col(temp).isNotNull() & ~F.isnan(F.col(temp).cast("double")))
+              .withColumn("__us", F.unix_micros(F.col(ts))).withColumn("__hot", F.col(temp) >= F.lit(threshold)))
 
 
-def _prepare(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
-             chunk_us: int | None, runs: bool = True, plain: bool | None = None) -> DataFrame:
-    d = df.withColumn("__us", F.unix_micros(F.col(ts)))
-    d = d.withColumn("__hot", F.col(temp) >= F.lit(threshold))
-    d = d.filter(F.col(ts).isNotNull() & F.col(temp).isNotNull())
-    if not runs:
-        return d
-    # run id = number of cool readings up to and including this row
-    return bucketed_prefix(d, [key], _bucket(chunk_us, "__us"),
-                           [F.col("__us"), F.col(tiebreak)],
-                           F.when(F.col("__hot"), 0).otherwise(1), kind="sum", inclusive=True,
-                           out="__run", plain=plain)
+def _runs(d: DataFrame, key: str, tiebreak: str) -> DataFrame:
+    """``__run``: the number of cool readings up to and including this row."""
+    return bucketed_prefix(d, [key], [F.col("__us"), F.col(tiebreak)], F.when(F.col("__hot"), 0).otherwise(1),
+                           kind="sum", inclusive=True, out="__run")
 
 
 def hot_v3(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
-           tolerance_seconds: float, chunk_us: int | None = None) -> DataFrame:
+           tolerance_seconds: float) -> DataFrame:
     """V3 alerts: the closing reading of each qualifying hot run (input columns)."""
     cols = df.columns
     tol = int(round(tolerance_seconds * 1_000_000))
-    plain = largest_group(df, [key]) <= PLAIN_WINDOW_MAX_ROWS
-    d = _prepare(df, key, ts, temp, tiebreak, threshold, chunk_us, plain=plain)
-    hot = d.filter(F.col("__hot") & (F.col("__run") >= 1))
-    first = hot.groupBy(key, "__run").agg(F.min(F.struct("__us", tiebreak)).alias("__first"))
-    cand = (hot.join(first, [key, "__run"])
-               .filter((F.struct("__us", tiebreak) > F.col("__first"))
-                       & (F.col("__us") >= F.col("__first.__us") + F.lit(tol))))
-    closing = cand.groupBy(key, "__run").agg(
+    hot = _runs(readings(df, ts, temp, threshold), key, tiebreak).filter(F.col("__hot") & (F.col("__run") >= 1))
+    # the run's first time is the least one before a row: no run is joined or gathered
+    seen = bucketed_prefix(hot, [key, "__run"], [F.col("__us"), F.col(tiebreak)], F.col("__us"), kind="min",
+                           out="__first")
+    closing = seen.filter(F.col("__us") >= F.col("__first") + F.lit(tol)).groupBy(key, "__run").agg(
         F.min_by(F.struct(*cols), F.struct("__us", tiebreak)).alias("__row"))
     return closing.select("__row.*")
 
@@ -69,83 +62,77 @@ def hot_v3(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold
 def _chain(ends: DataFrame) -> DataFrame:
     """Ranks ``r`` on the greedy chain that starts at rank 1 of every group.
 
-    ``ends``: ``__g, r, end, m`` - ``end`` is the closing rank of a match
-    started at ``r``; the next match starts at ``end + 1``.  Returns
-    ``__g, r`` for each chain member.
+    ``ends``: ``__g, r, end`` - ``end`` is the closing rank of a match started
+    at ``r``; the next match starts at ``end + 1``.  Returns ``__g, r`` for each
+    chain member (and one rank past the group where the chain leaves it).
 
     Round k holds the jump table ``J_k`` (the start 2^k matches ahead) and the
     members found so far (chain positions ``0 .. 2^k - 1``); one round
-    produces ``J_{k+1} = J_k o J_k`` and adds ``J_k(members)``.  Only jumps that
-    stay inside their group are kept - a rank whose jump leaves the group
-    cannot contribute again - so the table shrinks every round.  Jumps and
-    members are written in one checkpoint per round, tagged by kind.
+    produces ``J_{k+1} = J_k o J_k`` and the new members ``J_k(members)``.  A
+    jump that lands outside its group has no successor and is dropped by the
+    join, so the table shrinks every round.  A round writes only its jumps and
+    its new members, and the jumps before it are deleted.
     """
-    jump = (ends.filter(F.col("end") + 1 <= F.col("m"))
-                .select(F.lit("j").alias("kind"), "__g", "r", (F.col("end") + 1).alias("a"), "m"))
-    member = ends.filter(F.col("r") == 1).select(F.lit("m").alias("kind"), "__g", "r",
-                                                 F.lit(None).cast("long").alias("a"), "m")
-    # a checkpointed union keeps the sum of its inputs' partitions; coalesce
-    # (no shuffle) so the table does not gain partitions every round
-    width = int(ends.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    table = jump.unionByName(member).coalesce(width).checkpoint()
+    spark = ends.sparkSession
+    jump, jump_path = ends.select("__g", "r", (F.col("end") + 1).alias("a")), None
+    found = [land(ends.filter(F.col("r") == 1).select("__g", "r"), "chain")]
     while True:
-        j = table.filter(F.col("kind") == "j")
-        members = table.filter(F.col("kind") == "m")
-        if j.filter(F.col("r") == 1).isEmpty():
-            return members.select("__g", "r")
-        right = j.select(F.col("__g").alias("__g2"), F.col("r").alias("__r2"), F.col("a").alias("__a2"))
-        # a jump whose landing rank has no in-group jump itself leaves the group: dropped
-        nxt = (j.join(right, (F.col("__g") == F.col("__g2")) & (F.col("a") == F.col("__r2")), "inner")
-                .select("kind", "__g", "r", F.col("__a2").alias("a"), "m"))
-        step = (members.select("__g", "r").join(j.select("__g", "r", "a", "m"), ["__g", "r"])
-                       .select(F.lit("m").alias("kind"), "__g", F.col("a").alias("r"),
-                               F.lit(None).cast("long").alias("a"), "m"))
-        table = nxt.unionByName(members).unionByName(step).coalesce(width).checkpoint()
+        members = reduce(DataFrame.unionByName, found)
+        new = land(members.join(jump, ["__g", "r"]).select("__g", F.col("a").alias("r")), "chain")
+        if new.isEmpty():
+            break
+        found.append(new)
+        right = jump.select(F.col("__g").alias("__g2"), F.col("r").alias("__r2"), F.col("a").alias("__a2"))
+        after = jump.join(right, (F.col("__g") == F.col("__g2")) & (F.col("a") == F.col("__r2"))).select(
+            "__g", "r", F.col("__a2").alias("a"))
+        path = scratch_dir(spark, "jumps")
+        after.write.parquet(path)
+        jump = spark.read.schema(after.schema).parquet(path)
+        if jump_path:
+            remove(spark, jump_path)
+        jump_path = path
+    if jump_path:
+        remove(spark, jump_path)
+    return reduce(DataFrame.unionByName, found)
 
 
 def _greedy(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
-            tolerance_seconds: float, reset_on_cool: bool, chunk_us: int | None) -> DataFrame:
+            tolerance_seconds: float, reset_on_cool: bool) -> DataFrame:
     cols = df.columns
     tol = int(round(tolerance_seconds * 1_000_000))
-    # groups (device, or device + run) are within a device: one check bounds every pass
-    plain = largest_group(df, [key]) <= PLAIN_WINDOW_MAX_ROWS
-    d = _prepare(df, key, ts, temp, tiebreak, threshold, chunk_us, runs=reset_on_cool, plain=plain)
+    d = readings(df, ts, temp, threshold)
+    if reset_on_cool:
+        d = _runs(d, key, tiebreak)
     group = F.struct(F.col(key), F.col("__run")) if reset_on_cool else F.struct(F.col(key))
     hot = d.filter("__hot").withColumn("__g", group)
-    ranked = bucketed_prefix(hot, ["__g"], _bucket(chunk_us, "__us"), [F.col("__us"), F.col(tiebreak)], F.lit(1),
-                             kind="sum", inclusive=True, out="r", plain=plain).checkpoint()
-    sizes = ranked.groupBy("__g").agg(F.max("r").alias("m"))
+    ranked = land(bucketed_prefix(hot, ["__g"], [F.col("__us"), F.col(tiebreak)], F.lit(1), kind="sum",
+                                  inclusive=True, out="r"), "ranked")
 
     # end(r): first rank whose time is >= time(r) + tolerance, and > r.
     data = ranked.select("__g", F.col("__us").alias("t"), F.lit(1).alias("kind"),
                          F.col(tiebreak).alias("tb"), F.lit(1).alias("w"), F.lit(None).cast("long").alias("q"))
     query = ranked.select("__g", (F.col("__us") + F.lit(tol)).alias("t"), F.lit(0).alias("kind"),
                           F.col(tiebreak).alias("tb"), F.lit(0).alias("w"), F.col("r").alias("q"))
-    counted = bucketed_prefix(data.unionByName(query), ["__g"], _bucket(chunk_us, "t"),
-                              [F.col("t"), F.col("kind"), F.col("tb")], F.col("w"),
-                              kind="sum", inclusive=True, out="before", plain=plain)
-    ends = (counted.filter(F.col("kind") == 0)
-                   .select("__g", F.col("q").alias("r"),
-                           F.greatest(F.col("q") + 1, F.coalesce(F.col("before"), F.lit(0)) + 1).alias("end"))
-                   .join(sizes, "__g")
-                   .checkpoint())
-    members = _chain(ends)
-    closing = (members.join(ends, ["__g", "r"])
-                      .filter(F.col("end") <= F.col("m"))
-                      .select("__g", F.col("end").alias("r")))
+    counted = bucketed_prefix(data.unionByName(query), ["__g"], [F.col("t"), F.col("kind"), F.col("tb")],
+                              F.col("w"), kind="sum", inclusive=True, out="before")
+    ends = land(counted.filter(F.col("kind") == 0).select(
+        "__g", F.col("q").alias("r"),
+        F.greatest(F.col("q") + 1, F.coalesce(F.col("before"), F.lit(0)) + 1).alias("end")), "ends")
+    # an end past the group's last rank is no reading: the join drops it
+    closing = _chain(ends).join(ends, ["__g", "r"]).select("__g", F.col("end").alias("r"))
     return ranked.join(closing, ["__g", "r"]).select(*cols)
 
 
 def hot_v1(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
-           tolerance_seconds: float, chunk_us: int | None = None) -> DataFrame:
+           tolerance_seconds: float) -> DataFrame:
     """V1 alerts (closing readings); cool readings do not break a match."""
-    return _greedy(df, key, ts, temp, tiebreak, threshold, tolerance_seconds, False, chunk_us)
+    return _greedy(df, key, ts, temp, tiebreak, threshold, tolerance_seconds, False)
 
 
 def hot_v2(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
-           tolerance_seconds: float, chunk_us: int | None = None) -> DataFrame:
+           tolerance_seconds: float) -> DataFrame:
     """V2 alerts (closing readings); a cool reading cancels the open match."""
-    return _greedy(df, key, ts, temp, tiebreak, threshold, tolerance_seconds, True, chunk_us)
+    return _greedy(df, key, ts, temp, tiebreak, threshold, tolerance_seconds, True)
 
 
 # Pluggable matchers: every matcher has the signature

@@ -2,19 +2,20 @@
 
 A plain ``max(x) OVER (PARTITION BY key ORDER BY o)`` sends every row of a key
 to one task; a key holding a third of the data then runs in one task.  Here
-the order axis is cut into buckets (a value that never decreases along the
-order, e.g. ``floor(offset / W)`` or ``floor(epoch / W)``):
+the rows are first sorted by ``(keys, order)`` over the cluster and cut into
+buckets of consecutive rows, ``2 ** BUCKET_BITS`` at most:
 
-1. totals per ``(key, bucket)`` – a partial aggregation, so a hot key is
-   reduced map-side before any shuffle;
-2. an exclusive running total over those bucket totals per key – a window over
+1. totals per ``(key, bucket)`` - a partial aggregation;
+2. an exclusive running total over those bucket totals per key - a window over
    one row per bucket, not one row per event;
 3. rows are joined to that carry and the in-bucket running aggregate is taken
-   with a window partitioned by ``(key, bucket)``, which spreads a hot key over
-   as many tasks as it has buckets.
+   with a window partitioned by ``(key, bucket)``.
 
-The join and the in-bucket window share the ``(key, bucket)`` partitioning, so
-the event rows are shuffled once.
+The cut follows the sorted position, so the number of buckets follows the row
+count, a hot key is cut into many, and rows that tie in the first order column
+are split by the next ones.  The sorted rows are written once to the shared
+scratch folder: every later step reads the same buckets, also after an
+executor is lost.
 """
 
 from __future__ import annotations
@@ -22,8 +23,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riverbend.session import land
+
 _AGGS = {"max": F.max, "min": F.min, "sum": F.sum}
 
+# A bucket has 2 ** BUCKET_BITS rows at most: what one in-bucket window sorts.
+BUCKET_BITS = 20
+
 
 def _combine(kind: str, carry: Column, local: Column) -> Column:
     if kind == "max":
@@ -35,99 +41,33 @@ def _combine(kind: str, carry: Column, local: Column) -> Column:
         F.coalesce(carry, F.lit(0)) + F.coalesce(local, F.lit(0)))
 
 
-def _search(bounds: list[float], v: Column, lo: int, hi: int) -> Column:
-    """Number of ``bounds[lo:hi]`` at or below ``v`` (+ ``lo``), as nested CASE (log depth)."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(v < F.lit(bounds[mid]), _search(bounds, v, lo, mid)).otherwise(_search(bounds, v, mid + 1, hi))
-
+def sorted_buckets(df: DataFrame, keys: list[str], order: list[Column], out: str = "__rb_bucket") -> DataFrame:
+    """``df``, landed, with column ``out``: a bucket number that never decreases
+    along ``(keys, order)``, at most ``2 ** BUCKET_BITS`` rows each."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cols = [F.col(k) for k in keys] + list(order)
+    ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    # the id holds the partition number above the row's place in its partition
+    bucket = F.shiftright(F.monotonically_increasing_id(), BUCKET_BITS)
+    return land(ranged.withColumn(out, bucket), "sorted")
 
-_TREE_MAX = 255
 
-
-def _count_le(bounds: list[float], v: Column) -> Column:
-    """Number of (sorted, distinct) ``bounds`` at or below ``v``.
-
-    Up to 255 bounds: a balanced CASE tree (log depth, compiles to small code).
-    More: a CASE tree over at most 255 group heads picks the group, then the
-    bounds of that group (at most ``len / 255 + 1``) are counted - so the
-    generated code stays small however many buckets the cluster uses.
-    """
-    m = len(bounds)
-    if m <= _TREE_MAX:
-        return _search(bounds, v, 0, m)
-    k = -(-m // _TREE_MAX)
-    groups = [bounds[i:i + k] for i in range(0, m, k)]
-    heads = [g[0] for g in groups[1:]]
-    gi = _search(heads, v, 0, len(heads))
-    table = F.array(*[F.array(*[F.lit(float(x)) for x in g]) for g in groups])
-    inside = F.size(F.filter(F.element_at(table, gi + 1), lambda x: x <= v))
-    return gi * F.lit(k) + inside
-
-
-def balanced_bucket(df: DataFrame, order_col: Column, buckets: int | None = None) -> Column:
-    """Bucket index of ``order_col`` among ~equal-count ranges of its values (NULL -> 0)."""
-    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tmp = "__rb_q"
-    probe = df.select(order_col.cast("double").alias(tmp))
-    probs = [i / n for i in range(1, n)]
-    bounds = sorted({b for b in probe.approxQuantile(tmp, probs, 1.0 / (4 * n)) if b is not None}) if probs else []
-    v = order_col.cast("double")
-    return F.when(v.isNull(), F.lit(0)).otherwise(_count_le(bounds, v)).cast("long")
-
-
-# Fixed size bound: a key group up to this many rows is handled by a plain
-# window in one task; larger groups take the bucketed plan.
-PLAIN_WINDOW_MAX_ROWS = 5_000_000
-
-
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Row count of the largest key group (one partial aggregation; one number to the driver)."""
-    row = df.groupBy(*keys).count().agg(F.max("count")).first()
-    return int(row[0] or 0)
-
-
-def bucketed_prefix(df: DataFrame, keys: list[str], bucket: Column | None, order: list[Column],
-                    value: Column, kind: str = "max", inclusive: bool = False,
-                    out: str = "prefix", plain_below: int | None = PLAIN_WINDOW_MAX_ROWS,
-                    plain: bool | None = None) -> DataFrame:
+def bucketed_prefix(df: DataFrame, keys: list[str], order: list[Column], value: Column, kind: str = "max",
+                    inclusive: bool = False, out: str = "prefix", bucket: str | None = None) -> DataFrame:
     """Add column ``out`` = running ``kind`` of ``value`` over earlier rows of the same keys.
 
-    ``order`` must sort rows totally within a key and ``bucket`` must not
-    decrease along it.  ``inclusive`` also counts the current row.  NULL keys
-    form their own group, as in a window.
-
-    ``bucket=None`` balances buckets by row count instead: approximate
-    quantiles of the first ``order`` column (one distributed sketch; the
-    driver receives ``spark.sql.shuffle.partitions - 1`` numbers) cut the order
-    axis into ranges of about equal row count, so every bucket stays bounded
-    however the rows are spread over keys.  The bucket is a function of the
-    value (a binary search over the cut points), so every evaluation of the
-    plan assigns the same bucket.
-
-    ``plain_below``: when the largest key group has at most this many rows
-    (checked with one aggregation), a plain window per key is used - one
-    shuffle, and every task's group is within that proven bound.  ``0`` or
-    ``None`` always takes the bucketed plan.  ``plain`` skips the check when
-    the caller already knows the answer (e.g. from a bound on its input).
+    ``order`` should sort rows totally within a key.  ``inclusive`` also counts
+    the current row.  NULL keys form their own group, as in a window, and NULL
+    order values come first.  ``bucket`` names a column that a previous
+    :func:`sorted_buckets` left on these rows, if it still never decreases
+    along ``order``; otherwise the rows are sorted and cut here.
     """
     agg = _AGGS[kind]
-    if plain is None:
-        plain = bool(plain_below) and largest_group(df, keys) <= plain_below
-    if plain:
-        end = 0 if inclusive else -1
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-        return df.withColumn(out, agg(value).over(w))
-    if bucket is None:
-        bucket = balanced_bucket(df, order[0])
     k, b, v = "__rb_key", "__rb_bucket", "__rb_value"
+    d = sorted_buckets(df, keys, order, b) if bucket is None else df.withColumn(b, F.col(bucket))
     # One struct key: never NULL itself, and NULL members compare equal in the
     # join, so a NULL key is a group of its own exactly as in a window.
-    # A NULL order value gets the lowest bucket (NULLs also sort first in the
-    # in-bucket window), so such rows are kept, not dropped by the join.
-    d = (df.withColumn(k, F.struct(*keys)).withColumn(b, F.coalesce(bucket, F.lit(-(2 ** 63))))
-           .withColumn(v, value))
+    d = d.withColumn(k, F.struct(*keys)).withColumn(v, value)
 
     totals = d.groupBy(k, b).agg(agg(v).alias("__rb_total"))
     w_bucket = Window.partitionBy(k).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)

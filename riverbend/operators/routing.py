@@ -75,30 +75,29 @@ def dead_letter_split(df: DataFrame, value: str, schema: T.StructType, required:
     return good, bad
 
 
-def split_late(df: DataFrame, ts: str, offset: str, source_partition: str | None = None,
-               bucket_width: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Split rows that arrive behind the event-time watermark.
+def tag_late(df: DataFrame, ts: str, offset: str, source_partition: str | None = None,
+             out: str = "__late") -> DataFrame:
+    """Tag rows that arrive behind the event-time watermark.
 
     Watermark seen by a row = (largest event time, in ms, among earlier rows of
     its source partition) - 1 ms; a row is late iff its own time in ms is below
     it.  Earlier = smaller ``offset`` in the same ``source_partition``.  The
-    running maximum is bucketed by ``offset`` so one partition (or one hot
-    source) is still spread over many tasks.  Default ``bucket_width=None``:
-    row-balanced buckets (range partitions of the offsets), so both levels stay
-    bounded even for a single source partition; a fixed width of offsets
-    saves the range-partitioning pass.  Returns ``(on_time, late)``.
+    running maximum is taken in bounded buckets, so one partition (or one hot
+    source) is still spread over many tasks.
     """
     keys = [source_partition] if source_partition else []
     tmp = df if keys else df.withColumn("__one_source", F.lit(0))
     keys = keys or ["__one_source"]
-    bucket = None if bucket_width is None else F.floor(F.col(offset) / F.lit(bucket_width))
-    with_wm = bucketed_prefix(tmp, keys, bucket,
-                              [F.col(offset)], F.unix_millis(F.col(ts)), kind="max", out="__max_prev")
+    with_wm = bucketed_prefix(tmp, keys, [F.col(offset)], F.unix_millis(F.col(ts)), kind="max", out="__max_prev")
     late = F.coalesce(F.unix_millis(F.col(ts)) < F.col("__max_prev") - 1, F.lit(False))
-    tagged = with_wm.withColumn("__late", late).drop("__max_prev")
-    if "__one_source" in tagged.columns:
-        tagged = tagged.drop("__one_source")
+    return with_wm.withColumn(out, late).drop("__max_prev", "__one_source")
+
+
+def split_late(df: DataFrame, ts: str, offset: str,
+               source_partition: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(on_time, late)`` rows by :func:`tag_late`; both read the rows tagged once."""
+    tagged = tag_late(df, ts, offset, source_partition)
     return tagged.filter(~F.col("__late")).drop("__late"), tagged.filter("__late").drop("__late")
 
 
-__all__ = ["route_label", "split_by", "labelled", "dead_letter_split", "split_late"]
+__all__ = ["route_label", "split_by", "labelled", "dead_letter_split", "tag_late", "split_late"]

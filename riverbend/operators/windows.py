@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riverbend.functions.text import NON_WORD, tokens
-from riverbend.operators.prefix import PLAIN_WINDOW_MAX_ROWS, balanced_bucket, bucketed_prefix, largest_group
+from riverbend.operators.prefix import bucketed_prefix, sorted_buckets
 
 
 def _cols(names: str | Sequence[str]) -> list[str]:
@@ -51,29 +51,22 @@ def windowed_word_count(df: DataFrame, text: str, ts: str, width: str) -> DataFr
 
 
 def sessionize(df: DataFrame, key: str | Sequence[str], ts: str, gap_seconds: float,
-               chunk_seconds: int | None = None, tiebreak: Sequence[str] = ()) -> DataFrame:
+               tiebreak: Sequence[str] = ()) -> DataFrame:
     """Sessions per key: rows at most ``gap_seconds`` apart share a session.
 
     Output: ``*key, activity_start, activity_end, num_interactions``.  Same
     rule as ``session_window``: a row exactly one gap after the previous one
-    still joins its session.  The first level works inside chunks of time: by
-    default row-balanced ones (time ranges of about equal row count, from
-    approximate quantiles), so even one very dense user is split over many
-    tasks; ``chunk_seconds`` gives fixed-width chunks instead and saves the
-    sketch pass.  Any chunking gives the same result.  The second level joins
-    chunk-local sessions across chunk boundaries with running aggregates that
-    are themselves bucketed by chunk, so no level gathers a user in one task.
+    still joins its session.  The first level works inside bounded chunks of
+    consecutive rows of a user, so even one very dense user is split over many
+    tasks.  The second level joins chunk-local sessions across chunk boundaries
+    with running aggregates over the same chunks, so no level gathers a user in
+    one task.
     """
     key = _cols(key)
     gap_us = int(round(gap_seconds * 1_000_000))
     d = (df.filter(F.col(ts).isNotNull())
            .select(*key, F.unix_micros(F.col(ts)).alias("__us"), *tiebreak))
-    # a user's chunk-local sessions are at most its rows: one check bounds level 2
-    plain = largest_group(d, key) <= PLAIN_WINDOW_MAX_ROWS
-    if chunk_seconds is None:
-        d = d.withColumn("__chunk", balanced_bucket(d, F.col("__us")))
-    else:
-        d = d.withColumn("__chunk", F.floor(F.col("__us") / F.lit(int(chunk_seconds) * 1_000_000)))
+    d = sorted_buckets(d, key, [F.col("__us"), *[F.col(c) for c in tiebreak]], "__chunk")
 
     # Level 1: sessions inside each (key, chunk).
     w1 = Window.partitionBy(*key, "__chunk").orderBy("__us", *tiebreak)
@@ -89,12 +82,11 @@ def sessionize(df: DataFrame, key: str | Sequence[str], ts: str, gap_seconds: fl
     # running count of starts, both over the chunks (bucketed, so a user with
     # very many sessions is still spread over many tasks).
     order = [F.col("__first"), F.col("__chunk")]
-    local = bucketed_prefix(local, key, F.col("__chunk"), order, F.col("__last"), kind="max", out="__prev_last",
-                            plain=plain)
+    local = bucketed_prefix(local, key, order, F.col("__last"), kind="max", out="__prev_last", bucket="__chunk")
     local = local.withColumn("__new", F.when(F.col("__prev_last").isNull()
                                              | (F.col("__first") - F.col("__prev_last") > gap_us), 1).otherwise(0))
-    local = bucketed_prefix(local, key, F.col("__chunk"), order, F.col("__new"), kind="sum", inclusive=True,
-                            out="__sid", plain=plain)
+    local = bucketed_prefix(local, key, order, F.col("__new"), kind="sum", inclusive=True, out="__sid",
+                            bucket="__chunk")
     sessions = local.groupBy(*key, "__sid").agg(
         F.min("__first").alias("__first"), F.max("__last").alias("__last"),
         F.sum("__n").alias("num_interactions"))

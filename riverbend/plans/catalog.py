@@ -20,9 +20,11 @@ from riverbend.operators import dedup, latency, patterns, routing, windows
 from riverbend.plans import derive
 from riverbend.sources import cdc, kafka, protobuf
 from riverbend.sources import files as file_sources
-from riverbend.sources.tables import read_table, spread, to_ntz
+from riverbend.sources.tables import read_table, to_ntz
+from riverbend.streaming import patterns as stream_patterns
 from riverbend.streaming import sinks
 from riverbend.streaming import state as keyed_state
+from riverbend.streaming.late import split_late_stream
 
 HOT = 50.0
 TOLERANCE_S = 6 * 3600
@@ -60,9 +62,9 @@ def latest_per_key_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_ntz(spark.sql(f"""
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
         FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey
-                                           ORDER BY o_orderdate DESC, o_orderkey DESC) AS rownum
-              FROM {view})
-        WHERE rownum <= 1"""))
+                                           ORDER BY o_orderdate DESC, o_orderkey DESC) AS place
+              FROM {view}) AS placed
+        WHERE place = 1"""))
 
 
 def top_n_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,11 +113,12 @@ def keep_first_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .alias("t_time"), F.lit(1).alias("copy"))
     view = f"transactions_{uuid.uuid4().hex[:8]}"
     tx.unionByName(copy).createOrReplaceTempView(view)
-    return to_ntz(spark.sql(f"""
-        SELECT t_id, t_customer_id, TRY_CAST(t_amount AS DECIMAL(15,2)) AS t_amount, t_time
-        FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY t_id ORDER BY t_time ASC, copy ASC) AS row_num
-              FROM {view})
-        WHERE row_num = 1"""))
+    return to_ntz(spark.sql(FIRST_SQL.format(view=view)))
+
+
+FIRST_SQL = """
+    WITH arrivals AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY t_id ORDER BY t_time, copy) AS arrival FROM {view})
+    SELECT t_id, t_customer_id, TRY_CAST(t_amount AS DECIMAL(15,2)) AS t_amount, t_time FROM arrivals WHERE arrival = 1"""
 
 
 def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,13 +143,13 @@ def decimal_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cdc_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change feed (inserts, updates, deletes) folded into the current table."""
-    feed = derive.change_feed(spread(_orders(spark, sf_dir, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])))
+    feed = derive.change_feed(_orders(spark, sf_dir, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]))
     return cdc.apply_cdc(cdc.parse_cdc(feed, "value", CDC_ROW), "t_id")
 
 
 def cdc_after_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row images carried by the change feed (``/after`` of every insert and update)."""
-    feed = derive.change_feed(spread(_orders(spark, sf_dir, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])))
+    feed = derive.change_feed(_orders(spark, sf_dir, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]))
     return cdc.after_images(cdc.parse_cdc(feed, "value", CDC_ROW))
 
 
@@ -160,7 +163,7 @@ def tumbling_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts over all document texts."""
-    return windows.word_count(spread(read_table(spark, sf_dir, "documents", ["text"])), "text")
+    return windows.word_count(read_table(spark, sf_dir, "documents", ["text"]), "text")
 
 
 def session_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,7 +196,7 @@ def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dead_letter(spark, sf_dir):
-    msgs = derive.dead_letter_messages(spread(_events(spark, sf_dir, ["event_id", "event_type", "ts"])))
+    msgs = derive.dead_letter_messages(_events(spark, sf_dir, ["event_id", "event_type", "ts"]))
     return routing.dead_letter_split(msgs, "value", EVENT_SCHEMA, required=["id", "data", "timestamp"],
                                      time_fields=["timestamp"])
 
@@ -210,7 +213,7 @@ def dead_letter_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kafka_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kafka records -> parsed event + record metadata + header values (flattened)."""
-    env = derive.kafka_envelope(spread(_events(spark, sf_dir, ["event_id", "user_id", "event_type", "ts"])))
+    env = derive.kafka_envelope(_events(spark, sf_dir, ["event_id", "user_id", "event_type", "ts"]))
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("data", T.StringType()),
                            T.StructField("timestamp", T.StringType())])
     e = kafka.enrich(env, schema, ["tracestate", "traceparent"])
@@ -220,7 +223,7 @@ def kafka_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def protobuf_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders encoded as protobuf Transaction messages in one job, decoded in another."""
-    o = spread(_orders(spark, sf_dir, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]))
+    o = _orders(spark, sf_dir, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
     rows = o.select(iso_wire("o_orderdate").alias("t_time"), F.col("o_orderkey").alias("t_id"),
                     F.col("o_custkey").alias("t_customer_id"),
                     F.when(F.col("o_orderkey") % 17 != 0, F.col("o_totalprice")).alias("t_amount"))
@@ -285,12 +288,14 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compacted_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The day-partitioned output compacted into fewer files; rows unchanged."""
-    path = sinks.write_partitioned(_transactions_for_parquet(spark, sf_dir), "t_date",
-                                   sinks.new_output(spark, "txn-parquet"), split_by="t_id")
-    compacted = sinks.compact(spark, path, sinks.new_output(spark, "txn-compacted"), "t_date", TXN_PARQUET,
-                              split_by="t_id")
-    return spark.read.schema(TXN_PARQUET).parquet(compacted)
+    """A day-partitioned table to which some days were appended later, compacted in place: rows unchanged, fewer files."""
+    tx, path = _transactions_for_parquet(spark, sf_dir), sinks.new_output(spark, "txn-fragmented")
+    for part in (F.col("t_id") % 40 != 1, F.col("t_id") % 40 == 1):
+        sinks.write_partitioned(tx.filter(part), "t_date", path, mode="append", split_by="t_id")
+    before = sinks.compact(spark, path, "t_date", TXN_PARQUET, split_by="t_id")
+    table = spark.read.schema(TXN_PARQUET).parquet(path)
+    after = sinks.files_per_folder(table, "t_date").agg(F.sum("n_files")).first()[0]
+    return table.withColumn("fewer_files", F.lit(after < before))
 
 
 QUERIES = {
@@ -341,8 +346,8 @@ def _state_value(sub: T.StructType) -> T.StructType:
 
 
 def _split_point(df: DataFrame, col: str) -> int:
-    """Median of ``col``: the first half of a stream arrives before a restart."""
-    return int(df.agg(F.percentile_approx(col, 0.5)).first()[0])
+    """Half of the largest ``col``: the first half of a stream arrives before a restart."""
+    return df.agg(F.max(col)).first()[0] // 2
 
 
 def _stage(df: DataFrame, path: str, order: str, fmt: str = "parquet", mode: str = "errorifexists"):
@@ -353,6 +358,18 @@ def _stage(df: DataFrame, path: str, order: str, fmt: str = "parquet", mode: str
     df.repartitionByRange(n, order).write.mode(mode).format(fmt).save(path)
 
 
+def _land(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists"):
+    """Land derived rows as files for a stream to pick up, as they come."""
+    df.write.mode(mode).format(fmt).save(path)
+
+
+def _land_in_order(df: DataFrame, order: str, path: str, batches: int = 3) -> None:
+    """Land rows as successive batches of files along ``order`` (a number that starts at 0 or above)."""
+    step = (df.agg(F.max(order)).first()[0] or 0) // batches + 1
+    for b in range(batches):
+        df.filter(F.floor(F.col(order) / step) == b).coalesce(1).write.mode("append").parquet(path)
+
+
 def _state_rows(spark, sf_dir):
     ev = _events(spark, sf_dir, ["event_id", "user_id", "ts", "event_type", "props"])
     return ev.select("user_id", "event_id", F.unix_micros("ts").alias("ts_us"),
@@ -367,11 +384,12 @@ def _state_flat(st: DataFrame) -> DataFrame:
 
 
 def _run_state(spark, sf_dir, migrate: bool) -> DataFrame:
+    """Latest event per user over two halves of the events; users divisible by 5 come before the restart only."""
     rows = _state_rows(spark, sf_dir)
     split = _split_point(rows, "event_id")
     first, second = sinks.new_output(spark, "state-src1"), sinks.new_output(spark, "state-src2")
-    _stage(rows.filter(F.col("event_id") <= split), first, "event_id")
-    _stage(rows.filter(F.col("event_id") > split), second, "event_id")
+    later = rows.filter((F.col("event_id") > split) & (F.col("user_id") % 5 != 0))
+    _land(rows.filter(F.col("event_id") <= split), first)
     schema_v1 = T.StructType([T.StructField("user_id", T.LongType())] + _state_value(SUB_EVENT_V1).fields)
     ck1 = sinks.new_output(spark, "state-ck1")
     # version 1 of the job runs over the first half
@@ -379,22 +397,21 @@ def _run_state(spark, sf_dir, migrate: bool) -> DataFrame:
                                     "user_id", _state_value(SUB_EVENT_V1), "event_id", ck1)
     if not migrate:
         # the same job resumes from its checkpoint when the second half arrives
-        _stage(spark.read.parquet(second), first, "event_id", mode="append")
+        _land(later, first, mode="append")
         keyed_state.keyed_latest_stream(file_sources.parquet_folder(spark, first, schema_v1, True),
                                         "user_id", _state_value(SUB_EVENT_V1), "event_id", ck1)
         return keyed_state.read_state(spark, ck1)
     # version 2 drops content2 from the stored sub-events: rewrite the state,
     # seed a new checkpoint with it and continue with the second half
-    migrated = keyed_state.migrate_state(spark, ck1, lambda st: st.select(
+    _land(later, second)
+    seed = keyed_state.migrate_state(spark, ck1, lambda st: st.select(
         "user_id", "event_id", "ts_us",
         F.transform("sub_events", lambda s: F.struct(s["content1"].alias("content1"))).alias("sub_events")))
-    schema_v2 = T.StructType([T.StructField("user_id", T.LongType())] + _state_value(SUB_EVENT_V2).fields)
     src2 = file_sources.parquet_folder(spark, second, schema_v1, True).select(
         "user_id", "event_id", "ts_us",
         F.transform("sub_events", lambda s: F.struct(s["content1"].alias("content1"))).alias("sub_events"))
     ck2 = sinks.new_output(spark, "state-ck2")
-    keyed_state.keyed_latest_stream(src2, "user_id", _state_value(SUB_EVENT_V2), "event_id", ck2,
-                                    initial=migrated)
+    keyed_state.keyed_latest_stream(src2, "user_id", _state_value(SUB_EVENT_V2), "event_id", ck2, seed=seed)
     return keyed_state.read_state(spark, ck2)
 
 
@@ -454,20 +471,156 @@ def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         F.col("o_custkey").alias("t_customer_id"),
                                         F.col("o_totalprice").alias("t_amount"))).alias("value"))
     src = sinks.new_output(spark, "json-src")
-    _stage(lines, src, "value", fmt="text")
+    _land(lines, src, fmt="text")
     tx = file_sources.json_lines(spark, src, TXN_JSON)
     return to_ntz(dedup.keep_latest(tx, "t_customer_id", ["t_time", "t_id"]))
 
 
 def kafka_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kafka record values parsed into typed records (a malformed record fails the job)."""
-    env = derive.kafka_envelope(spread(_events(spark, sf_dir, ["event_id", "user_id", "event_type", "ts"])))
+    env = derive.kafka_envelope(_events(spark, sf_dir, ["event_id", "user_id", "event_type", "ts"]))
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("data", T.StringType()),
                            T.StructField("timestamp", T.StringType())])
     rec = kafka.parse_value(env, schema, fail_on_error=True)
     return to_ntz(rec.select("id", "data", wire_timestamp("timestamp").alias("timestamp")))
 
 
+def cdc_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change events that aren't one, kept apart from the feed they came in."""
+    feed = derive.change_feed_with_errors(_orders(spark, sf_dir, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]))
+    return cdc.split_cdc(feed, "value", CDC_ROW)[1]
+
+
+def windowed_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words per tumbling hour over conversation turns, a minute for each conversation."""
+    c = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "text"])
+    lines = c.select("text", F.timestamp_seconds(F.col("conv_id") * 60 + F.col("turn")).alias("ts"))
+    return to_ntz(windows.windowed_word_count(lines, "text", "ts", "1 hour"))
+
+
+def json_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL text over a file of JSON lines: payments per customer."""
+    o = _orders(spark, sf_dir, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
+    src, view = sinks.new_output(spark, "json-sql"), f"payments_{uuid.uuid4().hex[:8]}"
+    _land(o.select(F.to_json(F.struct(F.col("o_custkey").alias("payer"), F.col("o_totalprice").alias("amount"))).alias("value")), src, "text")
+    spark.sql(f"CREATE TEMPORARY VIEW {view} (payer BIGINT, amount DECIMAL(12,2)) USING json OPTIONS (path '{src}')")
+    return spark.sql(f"SELECT payer, count(*) AS n, sum(amount) AS paid FROM {view} GROUP BY payer")
+
+
+def kafka_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL text over a view of parsed Kafka records: newest event time per type."""
+    env = derive.kafka_envelope(_events(spark, sf_dir, ["event_id", "user_id", "event_type", "ts"]))
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("data", T.StringType()),
+                           T.StructField("timestamp", T.StringType())])
+    view = f"topic_{uuid.uuid4().hex[:8]}"
+    kafka.parse_value(env, schema, fail_on_error=True).select(
+        "id", "data", wire_timestamp("timestamp").alias("seen")).createOrReplaceTempView(view)
+    return to_ntz(spark.sql(f"SELECT data, count(DISTINCT id) AS n, max(seen) AS newest FROM {view} GROUP BY data"))
+
+
+def insert_into(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``INSERT INTO`` a table the first arrival of each transaction, cast to the table's columns."""
+    o = _orders(spark, sf_dir, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
+    both = [o.select(F.col("o_orderkey").alias("t_id"), F.col("o_custkey").alias("t_customer_id"),
+                     F.col("o_totalprice").alias("t_amount"), F.timestamp_micros(
+                         F.unix_micros("o_orderdate") + F.lit(copy) * (F.col("o_orderkey") % 3 - 1) * 1_000_000).alias("t_time"),
+                     F.lit(copy).alias("copy")) for copy in (0, 1)]
+    name, path = uuid.uuid4().hex[:8], sinks.new_output(spark, "inserted")
+    both[0].unionByName(both[1]).createOrReplaceTempView(f"arrived_{name}")
+    spark.sql(f"CREATE TABLE first_{name} (t_id BIGINT, t_customer_id BIGINT, t_amount DECIMAL(15,2), t_time TIMESTAMP) "
+              f"USING parquet LOCATION '{path}'")
+    spark.sql(f"INSERT INTO first_{name} " + FIRST_SQL.format(view=f"arrived_{name}"))
+    out = spark.read.schema(spark.table(f"first_{name}").schema).parquet(path)
+    spark.sql(f"DROP TABLE first_{name}")
+    return to_ntz(out)
+
+
+def late_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late rows split off a stream that comes in three batches; both outputs, tagged."""
+    le = derive.late_events(_events(spark, sf_dir, ["event_id", "event_type", "ts"])).withColumn("part", (F.col("offset") % 4).cast("int"))
+    src, on_time, late, ck, carry = (sinks.new_output(spark, f"late-{n}") for n in ("src", "on", "late", "ck", "carry"))
+    _land_in_order(le, "offset", src)
+    stream = spark.readStream.schema(le.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    keyed_state.run_available(split_late_stream(stream, "event_time", "offset", "part", sinks.parquet_batch_writer(on_time),
+                                                sinks.parquet_batch_writer(late), ck, carry))
+    read = lambda path, tag: spark.read.schema(le.schema).parquet(path).drop("batch_id").withColumn("late", F.lit(tag))
+    return to_ntz(read(on_time, False).unionByName(read(late, True)))
+
+
+def improvements_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3 over a stream of three batches in arrival order."""
+    ev = _events(spark, sf_dir, ["event_id", "user_id", "ts", "event_type", "value"])
+    ev = ev.withColumn("arrival", ((F.col("event_id") * 7919) % 100003) * 1_000_000 + F.col("event_id"))
+    src, out, ck, carry = (sinks.new_output(spark, f"better-{n}") for n in ("src", "out", "ck", "carry"))
+    _land_in_order(ev, "arrival", src)
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    keyed_state.run_available(keyed_state.latest_improvements_stream(
+        stream, "user_id", "ts", "arrival", ck, carry, sinks.parquet_batch_writer(out)))
+    return to_ntz(spark.read.schema(ev.schema).parquet(out).drop("arrival", "batch_id"))
+
+
+def dedup_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 on two streams without a time bound: every pair joins."""
+    cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name"]).withColumnRenamed("c_custkey", "c_id")
+    tx = _transactions_twice(_orders(spark, sf_dir))
+    left, right, out, ck = (sinks.new_output(spark, f"join-{n}") for n in ("left", "right", "out", "ck"))
+    _land(cust, left)
+    _land(tx, right)
+    joined = dedup.dedup_join_stream(
+        file_sources.parquet_folder(spark, left, cust.schema, True), file_sources.parquet_folder(spark, right, tx.schema, True),
+        "c_id", "t_customer_id", select=[F.col("t_id"), F.col("c_name"), F.col("t_amount").try_cast("decimal(15,2)").alias("t_amount")])
+    keyed_state.run_available(sinks.exactly_once_copy(joined, out, ck))
+    return spark.read.schema(joined.schema).parquet(out)
+
+
+def alerts_and_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One read of a stream feeds the raw rows' sink and the V3 alerts' sink."""
+    ev = _readings(spark, sf_dir)
+    src, raw, alerts, ck = (sinks.new_output(spark, f"both-{n}") for n in ("src", "raw", "alerts", "ck"))
+    _land(ev, src)
+    keyed_state.run_available(sinks.fan_out(file_sources.parquet_folder(spark, src, ev.schema, True), {
+        "raw": (lambda b: b, sinks.parquet_batch_writer(raw)),
+        "alerts": (lambda b: patterns.hot_v3(b, "user_id", "ts", "value", "event_id", HOT, TOLERANCE_S), sinks.parquet_batch_writer(alerts)),
+    }, ck))
+    read = lambda path, kind: spark.read.schema(ev.schema).parquet(path).drop("batch_id").withColumn("kind", F.lit(kind))
+    return to_ntz(read(raw, "raw").unionByName(read(alerts, "alert")))
+
+
+def _hot_stream(version: int):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ev = _readings(spark, sf_dir)
+        src, out, ck = (sinks.new_output(spark, f"hot{version}-{n}") for n in ("src", "out", "ck"))
+        _land_in_order(ev.withColumn("at", F.unix_micros("ts")).withColumn(
+            "at", F.col("at") - F.lit(ev.agg(F.min(F.unix_micros("ts"))).first()[0])), "at", src)
+        # a reading in the far future moves the watermark past all others
+        last = ev.limit(1).select(F.lit(-1).cast("long").alias("event_id"), F.lit(-1).cast("long").alias("user_id"),
+                                  F.timestamp_seconds(F.lit(4_102_444_800)).alias("ts"), F.lit(0.0).alias("value"))
+        last.write.mode("append").parquet(src)
+        stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        alerts = stream_patterns.hot_stream(stream, "user_id", "ts", "value", "event_id", HOT, TOLERANCE_S, version)
+        keyed_state.run_available(sinks.exactly_once_copy(alerts, out, ck))
+        return to_ntz(spark.read.schema(alerts.schema).parquet(out))
+
+    query.__doc__ = f"V{version} alerts matched on a stream that comes in event-time order."
+    return query
+
+
+QUERIES.update({
+    "cdc_bad": cdc_bad,
+    "windowed_word_count": windowed_word_count,
+    "json_sql": json_sql,
+    "kafka_sql": kafka_sql,
+    "insert_into": insert_into,
+    "late_stream": late_stream,
+    "improvements_stream": improvements_stream,
+    "dedup_join_stream": dedup_join_stream,
+    "alerts_and_raw": alerts_and_raw,
+    "hot_v1_stream": _hot_stream(1),
+    "hot_v2_stream": _hot_stream(2),
+    "hot_v3_stream": _hot_stream(3),
+})
+
+
 QUERIES.update({
     "kafka_json_records": kafka_json_records,
     "json_lines": json_lines,

@@ -3,10 +3,12 @@ driver tables so their size follows the tables.
 
 Fixed derivation rules (the oracle SQL repeats them):
 * wire time = decimal epoch seconds with six digits, from ``events.ts``;
-* late rows: ``event_id > 50 and event_id % 10 = 0`` -> data "Eagles", time 5 h earlier;
+* late rows: ``event_id > 50 and event_id % 10 = 0`` -> data "delayed", time 5 h earlier;
 * dead letters by ``event_id``: ``% 10 = 9`` no id key, ``% 97 = 13`` extra key,
   ``% 89 = 7`` not JSON, ``% 83 = 5`` empty text, ``% 79 = 3`` id of wrong type;
 * headers: ``% 11 = 0`` no tracestate, ``% 7 = 0`` a second (winning) traceparent;
+* broken change events: for ``o_orderkey % 29 = 3`` a text that is no JSON, for ``% 31 = 4`` a ``t_id`` that is no
+  number, for ``% 37 = 5`` an unknown ``op``, each beside the order's own events;
 * change feed from orders: insert all, update ``% 5 = 4`` (+1.00), delete ``% 13 = 6``.
 """
 
@@ -45,7 +47,7 @@ def late_events(events: DataFrame) -> DataFrame:
     late = (F.col("event_id") > 50) & (F.col("event_id") % 10 == 0)
     t = F.when(late, F.timestamp_micros(F.unix_micros("ts") - F.lit(5 * HOUR_US))).otherwise(F.col("ts"))
     return events.select(F.col("event_id").alias("id"),
-                         F.when(late, F.lit("Eagles")).otherwise(F.col("event_type")).alias("data"),
+                         F.when(late, F.lit("delayed")).otherwise(F.col("event_type")).alias("data"),
                          t.alias("event_time"), F.col("event_id").alias("offset"))
 
 
@@ -70,7 +72,7 @@ def kafka_envelope(events: DataFrame) -> DataFrame:
     sid = eid.cast("string")
     h = F.md5(sid)
     tracestate = F.struct(F.lit("tracestate").alias("key"),
-                          F.concat(F.lit("apache_flink="), F.substring(h, 1, 11)).cast("binary").alias("value"))
+                          F.concat(F.lit("rb="), F.substring(h, 1, 11)).cast("binary").alias("value"))
     parent = F.struct(F.lit("traceparent").alias("key"),
                       F.concat(F.lit("00-"), h, F.lit("-"), F.substring(F.md5(F.concat(sid, F.lit("p"))), 1, 16),
                                F.lit("-01")).cast("binary").alias("value"))
@@ -108,3 +110,15 @@ def change_feed(orders: DataFrame) -> DataFrame:
         F.when(k % 13 == 6, event(OP_DELETE, F.when(k % 5 == 4, row_upd).otherwise(row), null_row, 2000, 2)),
     ), lambda x: x.isNotNull())
     return orders.select(F.explode(changes).alias("value"))
+
+
+def change_feed_with_errors(orders: DataFrame) -> DataFrame:
+    """The change feed, with broken events among it."""
+    k = F.col("o_orderkey")
+    text = k.cast("string")
+    broken = F.filter(F.array(
+        F.when(k % 29 == 3, F.concat(F.lit("oops "), text)),
+        F.when(k % 31 == 4, F.concat(F.lit('{"op": "c", "after": {"t_id": "x'), text, F.lit('"}}'))),
+        F.when(k % 37 == 5, F.concat(F.lit('{"op": "z", "after": {"t_id": '), text, F.lit("}}"))),
+    ), lambda x: x.isNotNull())
+    return change_feed(orders).unionByName(orders.select(F.explode(broken).alias("value")))

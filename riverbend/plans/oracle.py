@@ -31,7 +31,7 @@ _DEAD = f"""
 _LATE = """
     WITH e AS (
       SELECT event_id AS id,
-             CASE WHEN event_id > 50 AND event_id % 10 = 0 THEN 'Eagles' ELSE event_type END AS data,
+             CASE WHEN event_id > 50 AND event_id % 10 = 0 THEN 'delayed' ELSE event_type END AS data,
              CASE WHEN event_id > 50 AND event_id % 10 = 0 THEN ts - INTERVAL 5 HOUR ELSE ts END AS event_time
       FROM events),
     w AS (
@@ -174,7 +174,7 @@ ORACLE = {
                event_id AS metadataOffset, (epoch_us(ts) // 1000) AS metadataTimestamp,
                'CreateTime' AS metadataTimestampType,
                CASE WHEN event_id % 11 <> 0
-                    THEN 'apache_flink=' || substr(md5(CAST(event_id AS VARCHAR)), 1, 11) END AS tracestate,
+                    THEN 'rb=' || substr(md5(CAST(event_id AS VARCHAR)), 1, 11) END AS tracestate,
                CASE WHEN event_id % 7 = 0
                     THEN '00-' || md5(CAST(event_id AS VARCHAR) || 'x') || '-'
                          || substr(md5(CAST(event_id AS VARCHAR)), 17, 16) || '-01'
@@ -209,13 +209,13 @@ ORACLE = {
                round(quantile_cont(CAST(lag_ms AS DOUBLE), 0.999), 6) AS p999_ms
         FROM l""",
     "parquet_roundtrip": _TXN,
-    "compacted_roundtrip": _TXN,
+    "compacted_roundtrip": f"SELECT *, true AS fewer_files FROM ({_TXN}) t",
 }
 
 _STATE = """
     SELECT user_id, max(event_id) AS event_id, arg_max(ts, event_id) AS ts,
            arg_max(event_type, event_id) AS content1, CAST(1 AS INTEGER) AS n_sub_events
-    FROM events GROUP BY user_id"""
+    FROM events WHERE user_id % 5 <> 0 OR event_id <= (SELECT max(event_id) // 2 FROM events) GROUP BY user_id"""
 
 ORACLE.update({
     "kafka_json_records": 'SELECT event_id AS id, event_type AS data, ts AS "timestamp" FROM events',
@@ -233,3 +233,34 @@ ORACLE.update({
     "state_latest": _STATE,
     "state_migrated": _STATE,
 })
+
+ORACLE.update({
+    "cdc_bad": """
+        SELECT 'oops ' || o_orderkey AS value FROM orders WHERE o_orderkey % 29 = 3
+        UNION ALL SELECT '{"op": "c", "after": {"t_id": "x' || o_orderkey || '"}}' FROM orders WHERE o_orderkey % 31 = 4
+        UNION ALL SELECT '{"op": "z", "after": {"t_id": ' || o_orderkey || '}}' FROM orders WHERE o_orderkey % 37 = 5""",
+    "windowed_word_count": r"""
+        WITH w AS (SELECT time_bucket(INTERVAL '1 hour', make_timestamp((conv_id * 60 + turn) * 1000000)) AS window_start,
+                          unnest(regexp_split_to_array(lower(text), '\W+')) AS word FROM conversations)
+        SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, word, count(*) AS count
+        FROM w WHERE word <> '' GROUP BY ALL""",
+    "json_sql": """
+        SELECT o_custkey AS payer, count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(12,2))) AS paid FROM orders GROUP BY o_custkey""",
+    "kafka_sql": "SELECT event_type AS data, count(DISTINCT event_id) AS n, max(ts) AS newest FROM events GROUP BY event_type",
+    "insert_into": ORACLE["keep_first_sql"],
+    "late_stream": """
+        WITH e AS (SELECT event_id AS id,
+                          CASE WHEN event_id > 50 AND event_id % 10 = 0 THEN 'delayed' ELSE event_type END AS data,
+                          CASE WHEN event_id > 50 AND event_id % 10 = 0 THEN ts - INTERVAL 5 HOUR ELSE ts END AS event_time,
+                          event_id AS "offset", CAST(event_id % 4 AS INTEGER) AS part FROM events)
+        SELECT *, coalesce(epoch_us(event_time) // 1000 < max(epoch_us(event_time) // 1000) OVER (
+            PARTITION BY part ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 1, false) AS late FROM e""",
+    "improvements_stream": ORACLE["latest_improvements"],
+    "dedup_join_stream": ORACLE["dedup_join"],
+    "alerts_and_raw": f"""
+        SELECT event_id, user_id, ts, value, 'raw' AS kind FROM events
+        UNION ALL SELECT event_id, user_id, ts, value, 'alert' AS kind FROM ({ORACLE["hot_v3"]}) a""",
+    "hot_v1_stream": ORACLE["hot_v1"],
+    "hot_v2_stream": ORACLE["hot_v2"],
+    "hot_v3_stream": ORACLE["hot_v3"],
+})

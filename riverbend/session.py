@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session built here gets.  AQE re-plans joins and coalesces
 # shuffle partitions from runtime statistics; the skew-join rule splits a
@@ -26,6 +26,8 @@ DEFAULT_CONF = {
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # a table of thousands of folders is listed by this many tasks, not by one each
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "32",
     "spark.ui.enabled": "false",
 }
 
@@ -42,12 +44,6 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
-    if (master or "").startswith("local"):
-        # One machine: list partition folders on the driver instead of running
-        # a listing job with one task per folder.
-        conf.setdefault("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
-        for k in ("spark.sql.sources.parallelPartitionDiscovery.threshold",):
-            builder = builder.config(k, conf[k])
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -86,6 +82,20 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
+def land(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a fresh scratch folder as Parquet and read it back: cuts
+    the lineage, survives the loss of executors, and every reader sees the same rows."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 _SHIPPED: set[str] = set()
 
 

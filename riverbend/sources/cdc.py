@@ -26,11 +26,33 @@ def envelope_schema(row: T.StructType) -> T.StructType:
     ])
 
 
+def split_cdc(df: DataFrame, value: str, row: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """JSON change events -> ``(changes, bad)``.
+
+    ``changes`` has ``op, before, after, ts_ms, lsn``.  ``bad`` has the input
+    rows, unchanged, that are no change event: no JSON, a value that doesn't
+    have its column's type, an unknown ``op``, or neither row image.
+    """
+    kept = "__bad_json"
+    schema = T.StructType([*envelope_schema(row).fields, T.StructField(kept, T.StringType())])
+    parsed = df.select("*", F.inline(F.array(F.struct(F.from_json(
+        F.col(value), schema, {"columnNameOfCorruptRecord": kept}).alias("__e")))))  # parsed once a row
+    e = F.col("__e")
+    image = F.coalesce(e["after"], e["before"])
+    good = (F.col(value).isNotNull() & e[kept].isNull() & image.isNotNull()
+            & e["op"].isin(OP_CREATE, OP_UPDATE, OP_DELETE, OP_READ))
+    tagged = parsed.withColumn("__good", F.coalesce(good, F.lit(False)))
+    changes = tagged.filter("__good").select("__e.op", "__e.before", "__e.after", "__e.ts_ms", F.col("__e.source.lsn").alias("lsn"))
+    return changes, tagged.filter(~F.col("__good")).select(*df.columns)
+
+
 def parse_cdc(df: DataFrame, value: str, row: T.StructType) -> DataFrame:
-    """JSON change events -> ``op, before, after, ts_ms, lsn``."""
-    env = F.from_json(F.col(value), envelope_schema(row))
-    return df.select(env.alias("__e")).select(
-        "__e.op", "__e.before", "__e.after", "__e.ts_ms", F.col("__e.source.lsn").alias("lsn"))
+    """JSON change events -> ``op, before, after, ts_ms, lsn``; an event that
+    isn't one fails the job.  Use :func:`split_cdc` to keep such events apart."""
+    parsed = df.select(F.from_json(F.col(value), envelope_schema(row), {"mode": "FAILFAST"}).alias("e"), F.col(value).alias("v"))
+    known = F.col("e.op").isin(OP_CREATE, OP_UPDATE, OP_DELETE, OP_READ) & F.coalesce("e.after", "e.before").isNotNull()
+    op = F.when(known, F.col("e.op")).otherwise(F.raise_error(F.concat(F.lit("not a change event: "), F.coalesce("v", F.lit("null")))))
+    return parsed.select(op.alias("op"), "e.before", "e.after", "e.ts_ms", F.col("e.source.lsn").alias("lsn"))
 
 
 def after_images(changes: DataFrame) -> DataFrame:

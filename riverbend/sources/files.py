@@ -46,8 +46,3 @@ def parquet_folder(spark: SparkSession, path: str, schema: T.StructType, stream:
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.parquet(path)
-
-
-def rate_source(spark: SparkSession, rows_per_second: int = 1000) -> DataFrame:
-    """Generated rows at a fixed rate (``timestamp, value``) for load tests."""
-    return spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()

@@ -48,16 +48,3 @@ def to_ntz(df: DataFrame) -> DataFrame:
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a small input over the cluster's cores before CPU-heavy per-row
-    work (tokenizing, JSON or protobuf coding).
-
-    A large input already arrives in many splits and is returned unchanged; an
-    input read as fewer splits than ``defaultParallelism`` (one file, one row
-    group) is round-robin repartitioned so that work is not a single task.
-    Decided at planning time from the scan's split count; no job runs.
-    """
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from riverbend.operators.routing import split_late
+from riverbend.operators.routing import tag_late
+from riverbend.session import land, remove
 
 _MIN_OFFSET = -(2 ** 63)
 
@@ -28,7 +29,7 @@ def _carry_path(state_path: str, batch_id: int) -> str:
 
 def split_late_stream(df: DataFrame, ts: str, offset: str, source_partition: str,
                       on_time: Callable[[DataFrame, int], None], late: Callable[[DataFrame, int], None],
-                      checkpoint: str, state_path: str, bucket_width: int = 100_000,
+                      checkpoint: str, state_path: str,
                       trigger: Mapping | None = None) -> StreamingQuery:
     """Route each row of a stream to ``on_time`` or ``late`` writers."""
     spark = df.sparkSession
@@ -47,15 +48,17 @@ def split_late_stream(df: DataFrame, ts: str, offset: str, source_partition: str
                    F.lit(None).cast(batch.schema[c].dataType)).alias(c) for c in cols],
                 F.lit(True).alias("__carry"))
             batch = batch.unionByName(seed)
-        batch.persist()
-        try:
-            good, bad = split_late(batch, ts, offset, source_partition, bucket_width)
-            on_time(good.filter(~F.col("__carry")).drop("__carry"), batch_id)
-            late(bad.filter(~F.col("__carry")).drop("__carry"), batch_id)
-            (batch.groupBy(source_partition).agg(F.max(F.unix_millis(F.col(ts))).alias("__max_ms"))
-                  .coalesce(1).write.mode("overwrite").parquet(_carry_path(state_path, batch_id)))
-        finally:
-            batch.unpersist()
+        # tagged once; both outputs and the carry read the tagged rows
+        tagged = land(tag_late(batch, ts, offset, source_partition), "late-batch")
+        rows = tagged.filter(~F.col("__carry")).drop("__carry")
+        on_time(rows.filter(~F.col("__late")).drop("__late"), batch_id)
+        late(rows.filter("__late").drop("__late"), batch_id)
+        (tagged.groupBy(source_partition).agg(F.max(F.unix_millis(F.col(ts))).alias("__max_ms"))
+               .coalesce(1).write.mode("overwrite").parquet(_carry_path(state_path, batch_id)))
+        for path in tagged.inputFiles()[:1]:
+            remove(spark, path.rsplit("/", 1)[0])
+        if batch_id > 1:  # the batch before may be replayed, and reads the carry before it
+            remove(spark, _carry_path(state_path, batch_id - 2))
 
     w = df.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()

@@ -1,7 +1,8 @@
 """Streaming "sensor stays hot too long" matching (V1, V2, V3).
 
-Per device, readings are buffered in list state until the event-time
-watermark passes them, then folded in ``(ts, tiebreak)`` order; the fold's
+Per device, readings are buffered in map state, by minute, until the event-time
+watermark passes them; a call touches only the minutes it adds to or drains.
+Then they are folded in ``(ts, tiebreak)`` order; the fold's
 position (open match start, last reading cool, alert already raised in this
 run) lives in value state.  Event-time timers wake a device when the watermark
 moves, so matches are emitted without waiting for the device's next reading.
@@ -18,10 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from riverbend.operators.patterns import readings
 from riverbend.streaming.state import ensure_rocksdb
 
-BUFFER = T.StructType([T.StructField("ts_us", T.LongType()), T.StructField("tb", T.LongType()),
-                       T.StructField("temp", T.DoubleType())])
+MINUTE_US = 60_000_000
+MINUTE = T.StructType([T.StructField("minute", T.LongType())])
+BUFFER = T.StructType([T.StructField("rows", T.ArrayType(T.StructType([
+    T.StructField("ts_us", T.LongType()), T.StructField("tb", T.LongType()), T.StructField("temp", T.DoubleType())])))])
 FOLD = T.StructType([T.StructField("start_us", T.LongType()), T.StructField("last_cool", T.BooleanType()),
                      T.StructField("done", T.BooleanType())])
 
@@ -32,7 +36,7 @@ class HotPattern(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buffer = handle.getListState("buffer", BUFFER)
+        self.buffer = handle.getMapState("buffer", MINUTE, BUFFER)
         self.fold = handle.getValueState("fold", FOLD)
 
     def _step(self, start, last_cool, done, ts, temp):
@@ -54,36 +58,40 @@ class HotPattern(StatefulProcessor):
             return None, False, done, True
         return start, False, done, False
 
+    def _rows(self, minute: int) -> list[tuple]:
+        return [tuple(r) for r in self.buffer.getValue((minute,))[0]] if self.buffer.containsKey((minute,)) else []
+
     def _drain(self, key, watermark_ms: int) -> Iterator[pd.DataFrame]:
-        rows = sorted(self.buffer.get()) if self.buffer.exists() else []
-        if not rows:
-            return
         limit_us = watermark_ms * 1000
-        ready = [r for r in rows if r[0] < limit_us]
-        rest = [r for r in rows if r[0] >= limit_us]
-        if not ready:
+        due = sorted(m for (m,) in self.buffer.keys() if m * MINUTE_US < limit_us)
+        if not due:
             return
         start, last_cool, done = self.fold.get() if self.fold.exists() else (None, False, False)
         out = []
-        for ts, tb, temp in ready:
-            start, last_cool, done, closes = self._step(start, last_cool, done, ts, temp)
-            if closes:
-                out.append((key[0], ts, tb, temp))
+        for minute in due:
+            rows = sorted(self._rows(minute))
+            rest = [r for r in rows if r[0] >= limit_us]
+            for ts, tb, temp in rows[:len(rows) - len(rest)]:
+                start, last_cool, done, closes = self._step(start, last_cool, done, ts, temp)
+                if closes:
+                    out.append((key[0], ts, tb, temp))
+            if rest:
+                self.buffer.updateValue((minute,), (rest,))
+                self.handle.registerTimer(rest[0][0] // 1000 + 1)
+            else:
+                self.buffer.removeKey((minute,))
         self.fold.update((start, last_cool, done))
-        self.buffer.clear()
-        if rest:
-            self.buffer.put(rest)
-            self.handle.registerTimer(rest[0][0] // 1000 + 1)
         if out:
             yield pd.DataFrame(out, columns=["key", "ts_us", "tb", "temp"])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = []
         for pdf in rows:
-            new.extend(zip(pdf["ts_us"].tolist(), pdf["tb"].tolist(), pdf["temp"].tolist()))
-        if new:
-            self.buffer.appendList(new)
-            self.handle.registerTimer(min(r[0] for r in new) // 1000 + 1)
+            minutes: dict[int, list[tuple]] = {}
+            for r in zip(pdf["ts_us"].tolist(), pdf["tb"].tolist(), pdf["temp"].tolist()):
+                minutes.setdefault(r[0] // MINUTE_US, []).append(r)
+            for minute, new in minutes.items():
+                self.buffer.updateValue((minute,), (self._rows(minute) + new,))
+                self.handle.registerTimer(min(new)[0] // 1000 + 1)
         yield from self._drain(key, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -98,13 +106,14 @@ def hot_stream(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, thres
     """Closing readings of V1/V2/V3 matches on a stream (append mode).
 
     Output: ``key, ts, tiebreak, temp`` named like the input columns.  Rows
-    behind the watermark (``delay``) are dropped by Spark before matching.
+    behind the watermark (``delay``) are dropped by Spark before matching; NULL
+    and NaN readings are none, as in batch.
     """
     ensure_rocksdb(df.sparkSession)
-    rows = (df.withWatermark(ts, delay)
+    rows = (readings(df, ts, temp, threshold).withWatermark(ts, delay)
               .select(F.col(key).alias("key"), F.col(ts), F.unix_micros(F.col(ts)).alias("ts_us"),
                       F.col(tiebreak).cast("long").alias("tb"), F.col(temp).cast("double").alias("temp")))
-    out_schema = "key long, ts_us long, tb long, temp double"
+    out_schema = f"key {df.schema[key].dataType.simpleString()}, ts_us long, tb long, temp double"
     matched = rows.groupBy("key").transformWithStateInPandas(
         HotPattern(version, threshold, int(round(tolerance_seconds * 1_000_000))), out_schema,
         "Append", "EventTime")

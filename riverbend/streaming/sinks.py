@@ -6,6 +6,7 @@ the caller passes its own path.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,55 +14,59 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from riverbend.session import scratch_dir
+from riverbend.session import land, scratch_dir, ship_package
 
 
 def new_output(spark: SparkSession, name: str) -> str:
     return scratch_dir(spark, name)
 
 
+def _by_folder(df: DataFrame, partition_col: str, split_by: str | None, tasks: int | None) -> DataFrame:
+    """Ranges of ``(folder, hash of the row)``: a small folder lies in one range, and so in one file; a folder with
+    many rows spans several ranges, written by as many tasks.  One shuffle, no count and no join."""
+    n = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, F.col(partition_col), F.xxhash64(*([split_by] if split_by else df.columns)))
+
+
 def write_partitioned(df: DataFrame, partition_col: str, path: str, mode: str = "errorifexists",
-                      split_by: str | None = None, rows_per_file: int = 1_000_000,
-                      tasks: int | None = None) -> str:
+                      split_by: str | None = None, tasks: int | None = None) -> str:
     """Batch write partitioned by ``partition_col``, one file per folder unless
-    the folder is large.
-
-    Rows per folder are counted first (one small row per output folder), and
-    each folder is spread over ``ceil(rows / rows_per_file)`` write slots by a
-    hash of ``split_by``.  Slots are hash-partitioned over ``tasks`` write
-    tasks (default ``spark.sql.shuffle.partitions``): a small day is one file
-    written by one task, a day holding a large share of the rows is written by
-    many tasks in parallel.  (A plain ``REBALANCE`` lets AQE coalesce small
-    inputs into a single task that writes every folder serially; a plain hash
-    on the folder sends a hot day to one task.)
+    the folder is large (or lies across the border of two ranges).
+
+    ``split_by`` is the column whose hash spreads a large folder's rows over
+    tasks; by default all columns are hashed.
     """
-    spark = df.sparkSession
-    n = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if split_by is None:
-        out = df.repartition(n, partition_col)
-    else:
-        fan = (df.groupBy(partition_col).agg(F.count(F.lit(1)).alias("__rows"))
-                 .select(F.col(partition_col).alias("__part"),
-                         F.greatest(F.lit(1), F.ceil(F.col("__rows") / F.lit(rows_per_file))).alias("__fan")))
-        salted = (df.join(fan, df[partition_col].eqNullSafe(fan["__part"]))
-                    .withColumn("__slot", F.pmod(F.xxhash64(split_by), F.col("__fan"))))
-        out = salted.repartition(n, partition_col, "__slot").drop("__part", "__fan", "__slot")
-    out.write.mode(mode).partitionBy(partition_col).parquet(path)
+    _by_folder(df, partition_col, split_by, tasks).write.mode(mode).partitionBy(partition_col).parquet(path)
     return path
 
 
-def compact(spark: SparkSession, src: str, dst: str, partition_col: str, schema: T.StructType,
-            where: str | None = None, split_by: str | None = None) -> str:
-    """Rewrite a batch-written partitioned folder (or the partitions selected by
-    ``where``) into ``dst`` with fewer, larger files.  Rows are unchanged.
+def files_per_folder(table: DataFrame, partition_col: str) -> DataFrame:
+    """``partition_col, n_files`` of a partitioned table read from Parquet."""
+    files = table.select(partition_col, F.col("_metadata.file_path").alias("f")).distinct()
+    return files.groupBy(partition_col).agg(F.count("f").alias("n_files"))
+
 
-    A streaming sink's folder is compacted into a *separate* folder: its
+def compact(spark: SparkSession, path: str, partition_col: str, schema: T.StructType, where: str | None = None,
+            split_by: str | None = None) -> int:
+    """Rewrite the folders of a batch-written partitioned table (or those that
+    ``where`` selects) that have more than one file, in place; returns how many
+    files these had.  Rows are unchanged and other folders aren't touched.
+
+    The rows are landed first and the folders then replaced by a dynamic
+    partition overwrite.  Not for a streaming sink's folder: its
     ``_spark_metadata`` log names the original files.
     """
-    df = spark.read.schema(schema).parquet(src)
-    if where:
-        df = df.filter(where)
-    return write_partitioned(df, partition_col, dst, split_by=split_by)
+    table = spark.read.schema(schema).parquet(path)
+    counts = files_per_folder(table, partition_col)
+    many = land((counts.filter(where) if where else counts).filter("n_files > 1"), "fragmented")
+    n_files = many.agg(F.sum("n_files")).first()[0]
+    if n_files is None:
+        return 0
+    kept = land(table.join(many.select(F.col(partition_col).alias("__part")),
+                           F.col(partition_col).eqNullSafe(F.col("__part"))).drop("__part"), "fragments")
+    (_by_folder(kept, partition_col, split_by, None).write.mode("overwrite").partitionBy(partition_col)
+        .option("partitionOverwriteMode", "dynamic").parquet(path))
+    return n_files
 
 
 def stream_partitioned(df: DataFrame, partition_col: str, path: str, checkpoint: str,
@@ -116,20 +121,26 @@ def exactly_once_copy(df: DataFrame, path: str, checkpoint: str, trigger: Mappin
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def print_sink(df: DataFrame, checkpoint: str, prefix: str | None = None, num_rows: int = 20,
-               to_stderr: bool = False, trigger: Mapping | None = None) -> StreamingQuery:
-    """Print each micro-batch (debugging).  Only the first ``num_rows`` rows
-    of a batch reach the driver; ``prefix`` tags every printed line."""
-    import sys
+def print_sink(df: DataFrame, checkpoint: str, prefix: str | None = None, to_stderr: bool = False,
+               trigger: Mapping | None = None) -> StreamingQuery:
+    """Print every row of a stream, as JSON, where it is: in the executors' output
+    (the console in local mode).  ``prefix`` tags every line; nothing reaches the driver."""
+    ship_package(df.sparkSession)
+    lines = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("line"))
+    w = lines.writeStream.foreach(LinePrinter(prefix, to_stderr)).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
 
-    out = sys.stderr if to_stderr else sys.stdout
+class LinePrinter:
+    """Writer of :func:`print_sink`: one line per row."""
 
-    def show(batch: DataFrame, batch_id: int) -> None:
-        for row in batch.limit(num_rows).collect():
-            print(f"{prefix}> {row}" if prefix else str(row), file=out)
+    def __init__(self, prefix: str | None, to_stderr: bool):
+        self.prefix, self.to_stderr = prefix, to_stderr
 
-    w = df.writeStream.foreachBatch(show).option("checkpointLocation", checkpoint)
-    return w.trigger(**(trigger or {"availableNow": True})).start()
+    def process(self, row) -> None:
+        out = sys.stderr if self.to_stderr else sys.stdout
+        out.write(f"{self.prefix}> {row.line}\n" if self.prefix else f"{row.line}\n")  # one write: lines stay whole
+        out.flush()
 
 
 def discard(df: DataFrame, checkpoint: str, trigger: Mapping | None = None) -> StreamingQuery:

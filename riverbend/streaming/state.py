@@ -1,24 +1,27 @@
 """Keyed state on streams: latest row per key, latest improvements, and
 reading / migrating / re-seeding that state.
 
-Processors run with ``transformWithStateInPandas`` (RocksDB state store).
-Times are stored as epoch microseconds (LONG) so stored and incoming values
-compare without time-zone conversions.  The state of a stopped query is read
-back as rows with the ``statestore`` data source; a new query is seeded from
-rows with ``initialState``.
+The latest row per key is a built-in streaming aggregate (``max_by`` of the
+row struct), so it runs in the JVM with a map-side partial step and the values
+keep their types.  The state of a stopped query is read back as rows with the
+``statestore`` data source; a new query is seeded by reading those rows,
+rewritten, before its own input.  Processors that need their own logic run
+with ``transformWithStateInPandas`` (RocksDB state store).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from riverbend.session import ship_package
+from riverbend.operators.dedup import latest_improvements
+from riverbend.session import remove, scratch_dir, ship_package
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
@@ -32,101 +35,11 @@ def ensure_rocksdb(spark: SparkSession) -> None:
         spark.conf.set(PROVIDER_CONF, ROCKSDB)
 
 
-def _plain(v, dtype: T.DataType):
-    """A pandas cell as a plain Python value shaped for ``dtype`` (structs as tuples)."""
-    if v is None or (isinstance(v, float) and pd.isna(v)):
-        return None
-    if isinstance(dtype, T.StructType):
-        get = v.get if isinstance(v, dict) else (lambda n: v[n])
-        return tuple(_plain(get(f.name), f.dataType) for f in dtype.fields)
-    if isinstance(dtype, T.ArrayType):
-        return [_plain(x, dtype.elementType) for x in list(v)]
-    if hasattr(v, "item"):
-        return v.item()
-    return v
-
-
-class LatestByArrival(StatefulProcessor):
-    """Keeps, per key, the row with the largest ``arrival`` value seen so far.
-
-    With ``emit=False`` it produces no output (the state is the product, read
-    later with :func:`read_state`); otherwise it emits the key's row whenever
-    it changes.  Ties keep the stored row.
-    """
-
-    def __init__(self, key: str, value_schema: T.StructType, arrival: str, emit: bool = False,
-                 state_name: str = "latest", ttl_ms: int | None = None):
-        self.key, self.value_schema, self.arrival, self.emit = key, value_schema, arrival, emit
-        self.state_name, self.ttl_ms = state_name, ttl_ms
-        self.names = value_schema.names
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        # ttl_ms: processing-time expiry of an idle key (query timeMode "ProcessingTime")
-        self.latest = handle.getValueState(self.state_name, self.value_schema, self.ttl_ms)
-
-    def _store(self, key, row) -> Iterator[pd.DataFrame]:
-        values = tuple(_plain(row[f.name], f.dataType) for f in self.value_schema.fields)
-        if self.latest.exists() and self.latest.get()[self.names.index(self.arrival)] >= values[
-                self.names.index(self.arrival)]:
-            return
-        self.latest.update(values)
-        if self.emit:
-            yield pd.DataFrame([{self.key: key[0], **dict(zip(self.names, values))}])
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        best = None
-        for pdf in rows:
-            if len(pdf):
-                cand = pdf.loc[pdf[self.arrival].idxmax()]
-                if best is None or cand[self.arrival] > best[self.arrival]:
-                    best = cand
-        if best is not None:
-            yield from self._store(key, best)
-
-    def handleInitialState(self, key, initialState, timerValues) -> None:
-        if len(initialState):
-            for _ in self._store(key, initialState.loc[initialState[self.arrival].idxmax()]):
-                pass
-
-    def close(self) -> None:
-        pass
-
-
-class LatestImprovements(StatefulProcessor):
-    """Streaming form of :func:`riverbend.operators.dedup.latest_improvements`:
-    emits a row iff it is the key's first, or its time is strictly later than
-    the stored one; the stored time then advances.  Rows of one micro-batch are
-    taken in ``arrival`` order, so a key's rows of one batch are sorted together
-    (bounded by the trigger's batch size, e.g. ``maxOffsetsPerTrigger``)."""
-
-    def __init__(self, ts_us: str, arrival: str, output_cols: list[str]):
-        self.ts_us, self.arrival, self.output_cols = ts_us, arrival, output_cols
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.best = handle.getValueState("best_ts_us", "ts_us LONG")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(self.arrival, kind="stable")
-        best = self.best.get()[0] if self.best.exists() else None
-        keep = []
-        for i, t in enumerate(pdf[self.ts_us].tolist()):
-            if best is None or t > best:
-                best = t
-                keep.append(i)
-        if keep:
-            self.best.update((int(best),))
-            yield pdf.iloc[keep][self.output_cols]
-
-    def close(self) -> None:
-        pass
-
-
-def read_state(spark: SparkSession, checkpoint: str, state_name: str = "latest",
-               key_cols: list[str] | None = None) -> DataFrame:
-    """Value state of a (stopped) query as rows: key columns + value columns."""
-    raw = spark.read.format("statestore").option("stateVarName", state_name).load(checkpoint)
-    return raw.select("key.*", "value.*") if key_cols is None else raw.select(
-        *[F.col(f"key.{k}") for k in key_cols], "value.*")
+def read_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The state of a (stopped) latest-per-key query as rows: key column and value columns."""
+    raw = spark.read.format("statestore").load(checkpoint)
+    value = raw.schema["value"].dataType.names[0]  # the aggregate's picked row
+    return raw.select("key.*", F.col(f"value.{value}.*"))
 
 
 def run_available(query) -> None:
@@ -137,35 +50,69 @@ def run_available(query) -> None:
 
 
 def keyed_latest_stream(source: DataFrame, key: str, value_schema: T.StructType, arrival: str,
-                        checkpoint: str, initial: DataFrame | None = None, state_name: str = "latest",
-                        trigger: dict | None = None, wait: bool = True):
-    """Run the latest-per-key state over a stream.
+                        checkpoint: str, seed: str | None = None, trigger: dict | None = None, wait: bool = True):
+    """Keep, per key, the value columns of the row with the largest ``arrival``.
 
     The query writes nothing (``noop`` sink); its checkpoint holds the state.
-    ``initial`` (rows with ``key`` + value columns) seeds the state of a new
-    checkpoint, e.g. state migrated from an older query.  The default trigger
-    consumes the available input and stops (``wait`` blocks until then);
-    pass e.g. ``{"processingTime": "10 seconds"}`` for a long-running job;
-    the query is returned either way.
+    Keys and values may be of any type; a row without ``arrival`` never wins.
+    ``seed`` names a folder from :func:`migrate_state`: its rows are read
+    before and beside the source, so a new checkpoint starts from them (give
+    it again when the same checkpoint resumes).  The default trigger consumes
+    the available input and stops (``wait`` blocks until then); pass e.g.
+    ``{"processingTime": "10 seconds"}`` for a long-running job.
     """
-    ensure_rocksdb(source.sparkSession)
-    proc = LatestByArrival(key, value_schema, arrival, emit=False, state_name=state_name)
-    out_schema = T.StructType([T.StructField(key, T.LongType())] + list(value_schema.fields))
-    init = initial.groupBy(key) if initial is not None else None
-    stateful = source.groupBy(key).transformWithStateInPandas(
-        proc, out_schema, "Update", "None", initialState=init)
-    q = (stateful.writeStream.format("noop").option("checkpointLocation", checkpoint)
-                 .outputMode("update").trigger(**(trigger or {"availableNow": True})).start())
+    spark = source.sparkSession
+    names = value_schema.names
+    rows = source.select(key, *names)
+    if seed is not None:
+        rows = spark.readStream.schema(rows.schema).parquet(seed).unionByName(rows)
+    latest = rows.groupBy(key).agg(F.max_by(F.struct(*names), arrival).alias("latest"))
+    q = (latest.writeStream.format("noop").option("checkpointLocation", checkpoint)
+               .outputMode("update").trigger(**(trigger or {"availableNow": True})).start())
     if wait and trigger is None:
         run_available(q)
     return q
 
 
-def migrate_state(spark: SparkSession, old_checkpoint: str, transform: Callable[[DataFrame], DataFrame],
-                  state_name: str = "latest") -> DataFrame:
-    """Read a query's keyed state and rewrite it (e.g. drop or add a nested
-    field); the result seeds a new query through ``initialState``."""
-    return transform(read_state(spark, old_checkpoint, state_name))
+def migrate_state(spark: SparkSession, old_checkpoint: str, transform: Callable[[DataFrame], DataFrame]) -> str:
+    """Read a query's keyed state, rewrite it (e.g. drop or add a nested field)
+    and land it as the ``seed`` folder of the next version."""
+    path = scratch_dir(spark, "state-seed")
+    transform(read_state(spark, old_checkpoint)).write.parquet(path)
+    return path
+
+
+def latest_improvements_stream(df: DataFrame, key: str, ts: str, arrival: str, checkpoint: str, state_path: str,
+                               write: Callable[[DataFrame, int], None],
+                               trigger: Mapping | None = None) -> StreamingQuery:
+    """Streaming form of :func:`riverbend.operators.dedup.latest_improvements`.
+
+    Every micro-batch runs the batch operator, so a hot key is cut into bounded
+    buckets; each key's newest time so far is a table under ``state_path`` per
+    batch id and stands before the batch's rows.  ``arrival`` must be numeric
+    and not fall from batch to batch.  A replayed batch reads the same table
+    and writes the same rows (``write`` must be idempotent per batch id).
+    """
+    spark = df.sparkSession
+    carry_schema = T.StructType([df.schema[key], df.schema[ts]])
+    at = lambda batch_id: f"{state_path.rstrip('/')}/batch={batch_id}"
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        carried = batch.withColumn("__carry", F.lit(False)).withColumn("__first", F.lit(1))
+        if batch_id > 0:
+            before = spark.read.schema(carry_schema).parquet(at(batch_id - 1))
+            other = [c for c in batch.columns if c not in (key, ts)]
+            carried = carried.unionByName(before.select(
+                key, ts, *[F.lit(None).cast(batch.schema[c].dataType).alias(c) for c in other],
+                F.lit(True).alias("__carry"), F.lit(0).alias("__first")))
+        better = latest_improvements(carried, key, ts, "__first", [arrival])
+        write(better.filter(~F.col("__carry")).drop("__carry", "__first"), batch_id)
+        carried.groupBy(key).agg(F.max(ts).alias(ts)).write.mode("overwrite").parquet(at(batch_id))
+        if batch_id > 1:  # the batch before may be replayed, and reads the table before it
+            remove(spark, at(batch_id - 2))
+
+    w = df.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
 class KeepFirstTTL(StatefulProcessor):

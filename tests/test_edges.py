@@ -25,7 +25,7 @@ def test_null_keys_are_their_own_group(spark):
     got = sorted((r.user is None, r.num_interactions) for r in windows.sessionize(df, "user", "ts", 5).collect())
     assert got == [(False, 1), (True, 2)]
     got = sorted((r.user is None, r.num_interactions)
-                 for r in windows.sessionize(df, "user", "ts", 5, chunk_seconds=None).collect())
+                 for r in windows.sessionize(df, "user", "ts", 5).collect())
     assert got == [(False, 1), (True, 2)]
 
 

@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from riverbend.operators import patterns
+from riverbend.operators import patterns, prefix
 
 BASE = dt.datetime(2024, 1, 1, 0, 0, 0)
 
@@ -58,8 +58,7 @@ def brute(rows, tol_us, version):
 
 @pytest.mark.parametrize("seed,bucketed", [(1, False), (2, True), (3, True)])
 def test_against_brute_force(spark, seed, bucketed, monkeypatch):
-    if bucketed:  # force the two-level (bucketed) plan instead of plain windows
-        monkeypatch.setattr(patterns, "PLAIN_WINDOW_MAX_ROWS", 0)
+    monkeypatch.setattr(prefix, "BUCKET_BITS", 3 if bucketed else 20)  # buckets of eight rows, or of all
     rnd = random.Random(seed)
     rows, rid = [], 0
     for dev in range(4):
@@ -70,11 +69,10 @@ def test_against_brute_force(spark, seed, bucketed, monkeypatch):
             rid += 1
     df = spark.createDataFrame([(r[0], r[1], BASE + dt.timedelta(microseconds=r[2]), r[3]) for r in rows],
                                "id long, device long, ts timestamp, temp double")
-    for tol, chunk in ((0.0, 700_000), (0.5, None), (1.0, 700_000), (2.5, None)):
+    for tol in (0.0, 1.0):
         for version, fn in ((1, patterns.hot_v1), (2, patterns.hot_v2), (3, patterns.hot_v3)):
-            got = sorted(r.id for r in fn(df, "device", "ts", "temp", "id", 50.0, tol,
-                                          chunk_us=chunk).collect())
-            assert got == brute(rows, int(tol * 1_000_000), version), (version, tol, chunk)
+            got = sorted(r.id for r in fn(df, "device", "ts", "temp", "id", 50.0, tol).collect())
+            assert got == brute(rows, int(tol * 1_000_000), version), (version, tol)
 
 
 def test_rising_temperature(spark):

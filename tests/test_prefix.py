@@ -1,11 +1,14 @@
 """Two-level running aggregates equal a plain window."""
 
 import random
+import re
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from riverbend.operators.prefix import bucketed_prefix
+from riverbend.operators import prefix
+from riverbend.operators.prefix import bucketed_prefix, sorted_buckets
 
 
 def _data(spark, seed=7, n=400):
@@ -23,66 +26,58 @@ def _expected(df, kind, inclusive):
     return {(r.k, r.o): r.e for r in df.select("k", "o", f("v").over(w).alias("e")).collect()}
 
 
-def test_matches_window(spark):
+@pytest.mark.parametrize("bits", [0, 2, 5, 20])
+def test_matches_window(spark, monkeypatch, bits):
+    monkeypatch.setattr(prefix, "BUCKET_BITS", bits)
     df = _data(spark)
     for kind in ("max", "min", "sum"):
         for inclusive in (False, True):
-            for width in (1, 7, 1000):
-                got = bucketed_prefix(df, ["k"], F.floor(F.col("o") / width), [F.col("o")], F.col("v"),
-                                      kind=kind, inclusive=inclusive, out="p", plain_below=0)
-                res = {(r.k, r.o): r.p for r in got.collect()}
-                assert res == _expected(df, kind, inclusive), (kind, inclusive, width)
-
-
-def test_balanced_buckets_match_window(spark):
-    df = _data(spark, seed=11, n=600)
-    for kind in ("max", "sum"):
-        for inclusive in (False, True):
-            got = bucketed_prefix(df, ["k"], None, [F.col("o")], F.col("v"), kind=kind, inclusive=inclusive, out="p",
-                                  plain_below=0)
-            assert {(r.k, r.o): r.p for r in got.collect()} == _expected(df, kind, inclusive)
-
-
-def test_balanced_buckets_split_a_hot_key(spark):
-    rows = [(1, i, i % 7) for i in range(2000)] + [(2, i, 1) for i in range(10)]
-    df = spark.createDataFrame(rows, "k long, o long, v long")
-    from riverbend.operators.prefix import balanced_bucket
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    b = df.withColumn("b", balanced_bucket(df, F.col("o")))
-    sizes = [r["count"] for r in b.filter("k = 1").groupBy("b").count().collect()]
-    assert len(sizes) == n and max(sizes) <= 2 * 2000 / n  # the hot key is cut into ~equal slices
-    got = bucketed_prefix(df, ["k"], None, [F.col("o")], F.col("v"), kind="sum", inclusive=True, out="p",
-                          plain_below=0)
-    assert {(r.k, r.o): r.p for r in got.collect()} == _expected(df, "sum", True)
-    plain = bucketed_prefix(df, ["k"], None, [F.col("o")], F.col("v"), kind="sum", inclusive=True, out="p")
-    assert {(r.k, r.o): r.p for r in plain.collect()} == _expected(df, "sum", True)
+            got = bucketed_prefix(df, ["k"], [F.col("o")], F.col("v"), kind=kind, inclusive=inclusive, out="p")
+            assert {(r.k, r.o): r.p for r in got.collect()} == _expected(df, kind, inclusive), (kind, inclusive)
+
+
+def test_hot_key_and_ties_are_cut_into_bounded_buckets(spark, monkeypatch):
+    monkeypatch.setattr(prefix, "BUCKET_BITS", 6)
+    rows = [(1, 7, i) for i in range(3000)] + [(2, i, i) for i in range(10)]  # all of key 1 tie in the first column
+    df = spark.createDataFrame(rows, "k long, o long, i long")
+    cut = sorted_buckets(df, ["k"], [F.col("o"), F.col("i")], "b")
+    sizes = [r["count"] for r in cut.groupBy("b").count().collect()]
+    assert max(sizes) <= 64 and len(sizes) >= 3010 / 64
+    spans = cut.filter("k = 1").groupBy("b").agg(F.min("i").alias("lo"), F.max("i").alias("hi")).orderBy("b").collect()
+    assert all(x.hi < y.lo for x, y in zip(spans, spans[1:]))  # buckets never decrease along the order
+    got = bucketed_prefix(df, ["k"], [F.col("o"), F.col("i")], F.lit(1), kind="sum", inclusive=True, out="p")
+    assert {(r.k, r.i): r.p for r in got.collect()} == {(k, i): i + 1 for k, _, i in rows}
+
+
+def test_one_key_runs_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(prefix, "BUCKET_BITS", 4)
+    df = spark.createDataFrame([(1, i) for i in range(2000)], "k long, o long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = bucketed_prefix(df, ["k"], [F.col("o")], F.col("o"), out="p")
+        assert out.select(F.spark_partition_id().alias("t")).distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
 def test_null_order_rows_are_kept(spark):
     df = spark.createDataFrame([(1, None, 5), (1, 1, 3), (1, 2, 9), (2, None, 1)], "k long, o long, v long")
-    got = bucketed_prefix(df, ["k"], F.floor(F.col("o") / 1), [F.col("o")], F.col("v"), kind="max", out="p",
-                          plain_below=0)
+    got = bucketed_prefix(df, ["k"], [F.col("o")], F.col("v"), kind="max", out="p")
     assert sorted(((r.k, r.o, r.p) for r in got.collect()), key=str) == sorted(
         [(1, None, None), (1, 1, 5), (1, 2, 5), (2, None, None)], key=str)
 
 
-def test_plan_shuffles_rows_once_by_key_and_bucket(spark):
-    df = _data(spark)
-    got = bucketed_prefix(df, ["k"], F.floor(F.col("o") / 10), [F.col("o")], F.col("v"), out="p", plain_below=0)
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "Window" in plan
-
-
-def test_bucket_search_matches_bisect_for_many_bounds(spark):
-    import bisect
-
-    from riverbend.operators.prefix import _count_le
-
-    rnd = random.Random(4)
-    vals = [rnd.uniform(-5, 1005) for _ in range(500)] + [None]
-    df = spark.createDataFrame([(v,) for v in vals], "v double")
-    for n in (1, 5, 255, 256, 1000):
-        bounds = sorted({round(i * 1000 / n, 4) for i in range(1, n)})
-        expr = F.when(F.col("v").isNull(), F.lit(0)).otherwise(_count_le(bounds, F.col("v")))
-        got = [r.b for r in df.select(expr.alias("b")).collect()]
-        assert got == [0 if v is None else bisect.bisect_right(bounds, v) for v in vals], n
+def test_rows_are_shuffled_once_after_the_sort(spark):
+    """The rows are exchanged once, besides the bucket totals and their carries."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = bucketed_prefix(_data(spark), ["k"], [F.col("o")], F.col("v"), out="p")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffles = re.findall(r"Exchange hashpartitioning\(([^)]*)", plan)
+    assert len(re.findall(r"\bWindow \[", plan)) == 2 and "SinglePartition" not in plan
+    assert sum("__rb_bucket" in s for s in shuffles) == 3  # totals, carries and rows, each once
+    assert len(shuffles) <= 4

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riverbend.operators import routing
+from riverbend.operators import prefix, routing
 from riverbend.plans import derive
 from riverbend.sources.tables import read_table
 from riverbend.streaming.late import split_late_stream
@@ -57,19 +57,20 @@ def test_dead_letter_note_d_cases(spark):
     assert len(good) == 2
 
 
-def test_late_rows_golden(spark):
-    # G8: ids from 1; id > 50 and id % 10 == 0 -> "Eagles", 5 h in the past
+def test_late_rows_golden(spark, monkeypatch):
+    monkeypatch.setattr(prefix, "BUCKET_BITS", 4)  # many buckets
+    # G8: ids from 1; id > 50 and id % 10 == 0 -> "delayed", 5 h in the past
     t0 = dt.datetime(2024, 1, 1)
     rows = []
     for i in range(1, 301):
         late = i > 50 and i % 10 == 0
-        rows.append((i, "Eagles" if late else "x", t0 + dt.timedelta(seconds=i) - dt.timedelta(hours=5 if late else 0)))
+        rows.append((i, "delayed" if late else "x", t0 + dt.timedelta(seconds=i) - dt.timedelta(hours=5 if late else 0)))
     df = spark.createDataFrame(rows, "id long, data string, ts timestamp")
-    main, late = routing.split_late(df, "ts", "id", bucket_width=16)
+    main, late = routing.split_late(df, "ts", "id")
     main_rows = main.orderBy("id").collect()
     late_rows = late.orderBy("id").collect()
-    assert all(r.data != "Eagles" for r in main_rows[:100])
-    assert [r.data for r in late_rows[:10]] == ["Eagles"] * 10
+    assert all(r.data != "delayed" for r in main_rows[:100])
+    assert [r.data for r in late_rows[:10]] == ["delayed"] * 10
     assert len(main_rows) + len(late_rows) == 300
 
 
@@ -85,7 +86,7 @@ def test_late_split_one_ms_tolerance(spark):
 def test_late_stream_equals_batch(spark):
     ev = read_table(spark, SF_SMALL, "events", ["event_id", "event_type", "ts"])
     le = derive.late_events(ev).withColumn("part", (F.col("offset") % 2).cast("int"))
-    main_b, late_b = routing.split_late(le, "event_time", "offset", "part", bucket_width=64)
+    main_b, late_b = routing.split_late(le, "event_time", "offset", "part")
     src = new_output(spark, "late-src")
     for lo, hi in ((0, 300), (300, 700), (700, 10**9)):
         le.filter((F.col("offset") >= lo) & (F.col("offset") < hi)).coalesce(1).write.mode("append").parquet(src)
@@ -93,7 +94,7 @@ def test_late_stream_equals_batch(spark):
     on_dir, late_dir = new_output(spark, "late-on"), new_output(spark, "late-late")
     q = split_late_stream(stream, "event_time", "offset", "part", parquet_batch_writer(on_dir),
                           parquet_batch_writer(late_dir), new_output(spark, "late-ck"),
-                          new_output(spark, "late-state"), bucket_width=64)
+                          new_output(spark, "late-state"))
     run_available(q)
     cols = ["id", "data", "event_time", "offset", "part"]
     got_main = {tuple(r) for r in spark.read.parquet(on_dir).select(*cols).collect()}

@@ -18,14 +18,14 @@ def _envelope(spark, rows):
 def test_headers_last_wins_and_missing_is_null(spark):
     # G10 headers plus a repeated and a missing one
     ts = dt.datetime(2024, 1, 1, 0, 0, 1, 234000)
-    h1 = [("tracestate", b"apache_flink=abcdefghijk"), ("traceparent", b"00-a-b-01"), ("traceparent", b"00-c-d-01")]
+    h1 = [("tracestate", b"rb=abcdefghijk"), ("traceparent", b"00-a-b-01"), ("traceparent", b"00-c-d-01")]
     rows = [(b"k", b'{"id": 1, "data": "x", "timestamp": 1}', "t", 3, 42, ts, 1, h1),
             (b"k", b'{"id": 2, "data": "y", "timestamp": 2}', "t", 3, 43, ts, 0, [])]
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("data", T.StringType()),
                            T.StructField("timestamp", T.StringType())])
     out = kafka.enrich(_envelope(spark, rows), schema, ["tracestate", "traceparent"]).orderBy("event.id").collect()
     assert out[0].headers.traceparent == "00-c-d-01"
-    assert out[0].headers.tracestate == "apache_flink=abcdefghijk"
+    assert out[0].headers.tracestate == "rb=abcdefghijk"
     assert out[1].headers.tracestate is None
     m = out[0].metadata
     assert (m.metadataTopic, m.metadataPartition, m.metadataOffset, m.metadataTimestampType) == ("t", 3, 42, "LogAppendTime")

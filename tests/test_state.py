@@ -4,10 +4,12 @@ and the streaming form of latest improvements."""
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riverbend.operators import dedup
+import pytest
+
+from riverbend.operators import dedup, prefix
 from riverbend.sources.tables import read_table
 from riverbend.streaming import state
-from riverbend.streaming.sinks import new_output
+from riverbend.streaming.sinks import new_output, parquet_batch_writer
 
 from conftest import SF_SMALL
 
@@ -29,39 +31,43 @@ def test_state_read_migrate_reseed(spark):
 
     value2 = T.StructType([T.StructField("event_id", T.LongType()),
                            T.StructField("sub_events", T.ArrayType(T.StructType([T.StructField("content1", T.StringType())])))])
-    migrated = state.migrate_state(spark, ck, lambda s: s.select(
+    seed = state.migrate_state(spark, ck, lambda s: s.select(
         "userId", "event_id", F.transform("sub_events", lambda e: F.struct(e["content1"].alias("content1"))).alias("sub_events")))
     src2 = new_output(spark, "g14-2")
     spark.createDataFrame([(0, 7, [("late",)])], "userId long, event_id long, sub_events array<struct<content1:string>>") \
         .write.parquet(src2)
     ck2 = new_output(spark, "g14-ck2")
     schema2 = T.StructType([T.StructField("userId", T.LongType())] + value2.fields)
-    state.keyed_latest_stream(spark.readStream.schema(schema2).parquet(src2), "userId", value2, "event_id", ck2,
-                              initial=migrated)
+    state.keyed_latest_stream(spark.readStream.schema(schema2).parquet(src2), "userId", value2, "event_id", ck2, seed=seed)
     st2 = state.read_state(spark, ck2).orderBy("userId").collect()
     # the older event 7 does not replace the migrated event 18; user 1 carried over
     assert [(r.userId, r.event_id, r.sub_events[0].content1) for r in st2] == [(0, 18, "c1-18"), (1, 19, "c1-19")]
 
 
-def test_latest_improvements_stream_equals_batch(spark):
+def test_state_keeps_large_ids_string_keys_and_null_arrivals(spark):
+    value = T.StructType([T.StructField("id", T.LongType()), T.StructField("x", T.DoubleType()), T.StructField("at", T.LongType())])
+    schema = T.StructType([T.StructField("k", T.StringType())] + value.fields)
+    big = 2 ** 53 + 1
+    src, ck = new_output(spark, "big"), new_output(spark, "big-ck")
+    spark.createDataFrame([("a", big, 1.5, 1), ("a", 3, None, None), (None, big + 2, 0.5, 4)], schema).write.parquet(src)
+    state.keyed_latest_stream(spark.readStream.schema(schema).parquet(src), "k", value, "at", ck)
+    assert {tuple(r) for r in state.read_state(spark, ck).collect()} == {("a", big, 1.5, 1), (None, big + 2, 0.5, 4)}
+
+
+@pytest.mark.parametrize("bits", [2, 20])
+def test_latest_improvements_stream_equals_batch(spark, monkeypatch, bits):
+    monkeypatch.setattr(prefix, "BUCKET_BITS", bits)
     ev = read_table(spark, SF_SMALL, "events", ["event_id", "user_id", "ts"])
-    ev = ev.withColumn("arrival", (F.col("event_id") * 7919) % 100003).withColumn("ts_us", F.unix_micros("ts"))
-    batch = {r.event_id for r in dedup.latest_improvements(ev, "user_id", "ts", "arrival", ["event_id"], 64).collect()}
+    ev = ev.withColumn("arrival", ((F.col("event_id") * 7919) % 100003) * 1_000_000 + F.col("event_id"))
+    batch = {r.event_id for r in dedup.latest_improvements(ev, "user_id", "ts", "arrival").collect()}
     src = new_output(spark, "li-src")
     for lo, hi in ((0, 40000), (40000, 80000), (80000, 10**9)):  # three arrival slices, in order
-        ev.filter((F.col("arrival") >= lo) & (F.col("arrival") < hi)).coalesce(1).write.mode("append").parquet(src)
+        ev.filter((F.col("arrival") >= lo * 1_000_000) & (F.col("arrival") < hi * 1_000_000)).coalesce(1).write.mode("append").parquet(src)
     stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    state.ensure_rocksdb(spark)
-    cols = ["event_id", "user_id", "ts_us", "arrival"]
-    out_schema = "event_id long, user_id long, ts_us long, arrival long"
-    proc = state.LatestImprovements("ts_us", "arrival", cols)
-    out_dir, ck = new_output(spark, "li-out"), new_output(spark, "li-ck")
-    q = (stream.select(*cols).groupBy("user_id").transformWithStateInPandas(proc, out_schema, "Append", "None")
-         .writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", ck)
-         .outputMode("append").trigger(availableNow=True).start())
-    state.run_available(q)
-    got = {r.event_id for r in spark.read.parquet(out_dir).collect()}
-    assert got == batch
+    out = new_output(spark, "li-out")
+    state.run_available(state.latest_improvements_stream(
+        stream, "user_id", "ts", "arrival", new_output(spark, "li-ck"), new_output(spark, "li-carry"), parquet_batch_writer(out)))
+    assert {r.event_id for r in spark.read.parquet(out).collect()} == batch
 
 
 def test_keep_first_with_state_ttl(spark):

@@ -1,13 +1,12 @@
 """Streaming forms: keep-latest (update mode), keep-first within watermark,
 windowed counts with a watermark, deduplicated stream join, lag metrics,
-generated sources."""
+metrics."""
 
 import datetime as dt
 
 from pyspark.sql import functions as F
 
 from riverbend.operators import dedup, latency, windows
-from riverbend.sources import generated
 from riverbend.streaming import sinks
 from riverbend.streaming.state import run_available
 
@@ -77,12 +76,6 @@ def test_observed_lag_metrics(spark):
     assert listener.reports and listener.reports[0]["rows"] == 10 and listener.reports[0]["max_lag_ms"] == 2000
 
 
-def test_sequence_events(spark):
-    df = generated.sequence_events(spark, 999, seed=1)
-    assert df.count() == 1000
-    assert {r.userId for r in df.select("userId").distinct().collect()} <= {0, 1}
-
-
 def test_dead_letters_on_a_stream_with_fan_out(spark):
     from pyspark.sql import types as T
 
@@ -104,9 +97,11 @@ def test_dead_letters_on_a_stream_with_fan_out(spark):
     assert sorted(r.value for r in spark.read.parquet(bad_dir).collect()) == sorted(v for v in vals if v.startswith("oops"))
 
 
-def test_sessions_random_against_sequential(spark):
+def test_sessions_random_against_sequential(spark, monkeypatch):
     import random
 
+    from riverbend.operators import prefix
+
     rnd = random.Random(5)
     rows = []
     for u in range(5):
@@ -127,9 +122,10 @@ def test_sessions_random_against_sequential(spark):
             prev = t
             n += 1
         want.append((u, start, prev, n))
-    for chunk in (2, 10, 3600):
-        got = sorted(tuple(r) for r in windows.sessionize(df, "u", "ts", 5, chunk_seconds=chunk).collect())
-        assert got == sorted(want), chunk
+    for bits in (0, 2, 20):
+        monkeypatch.setattr(prefix, "BUCKET_BITS", bits)
+        got = sorted(tuple(r) for r in windows.sessionize(df, "u", "ts", 5).collect())
+        assert got == sorted(want), bits
 
 
 def test_word_count_on_kafka_records_with_broker_time_watermark(spark):

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from riverbend.operators import windows
+from riverbend.operators import prefix, windows
 from riverbend.sources.tables import read_table
 from riverbend.streaming.sinks import new_output
 from riverbend.streaming.state import run_available
@@ -22,19 +22,18 @@ def _ev(spark, secs):
 def test_session_gap_boundaries(spark):
     # G12: rows exactly 5 s apart merge, 5.001 s apart do not
     df = _ev(spark, [0, 5, 10, 15.001, 1000, 1002])
-    out = windows.sessionize(df, "user", "ts", 5, chunk_seconds=7).orderBy("user", "activity_start").collect()
+    out = windows.sessionize(df, "user", "ts", 5).orderBy("user", "activity_start").collect()
     assert [(r.user, r.num_interactions) for r in out] == [("u1", 3), ("u1", 1), ("u2", 2)]
     assert out[0].activity_end == BASE + dt.timedelta(seconds=10)
 
 
 def test_sessionize_chunking_invariant(spark, monkeypatch):
     ev = read_table(spark, SF_SMALL, "events", ["user_id", "ts"])
-    monkeypatch.setattr(windows, "PLAIN_WINDOW_MAX_ROWS", 0)  # force the bucketed level 2
-    monkeypatch.undo()
-    ref = {tuple(r) for r in windows.sessionize(ev, "user_id", "ts", 3 * 3600, chunk_seconds=10**9).collect()}
-    monkeypatch.setattr(windows, "PLAIN_WINDOW_MAX_ROWS", 0)
-    for chunk in (60, 3600, 86400):
-        assert {tuple(r) for r in windows.sessionize(ev, "user_id", "ts", 3 * 3600, chunk_seconds=chunk).collect()} == ref
+    got = []
+    for bits in (0, 3, 20):  # chunks of one row, of eight, of all
+        monkeypatch.setattr(prefix, "BUCKET_BITS", bits)
+        got.append({tuple(r) for r in windows.sessionize(ev, "user_id", "ts", 3 * 3600).collect()})
+    assert got[0] == got[1] == got[2]
 
 
 def test_sessions_stream_equals_batch(spark):
@@ -76,9 +75,3 @@ def test_windowed_word_count(spark):
     df = spark.createDataFrame(rows, "line string, ts timestamp")
     got = {(r.window_start, r.word, r["count"]) for r in windows.windowed_word_count(df, "line", "ts", "5 seconds").collect()}
     assert got == {(BASE, "a", 2), (BASE, "b", 1), (BASE + dt.timedelta(seconds=5), "a", 1)}
-
-
-def test_sessionize_balanced_chunks(spark):
-    ev = read_table(spark, SF_SMALL, "events", ["user_id", "ts"])
-    ref = {tuple(r) for r in windows.sessionize(ev, "user_id", "ts", 3 * 3600).collect()}
-    assert {tuple(r) for r in windows.sessionize(ev, "user_id", "ts", 3 * 3600, chunk_seconds=None).collect()} == ref
