@@ -136,7 +136,7 @@ def mix(docs: DataFrame, mixture: Mixture | None = None) -> DataFrame:
     """
     mixture = mixture or Mixture()
     placed = save(place(docs, mixture), "placed")
-    return take(placed, choices(placed, mixture), mixture).withColumnRenamed("id", "doc_id")
+    return take(placed, choices(placed, mixture), mixture).select(F.col("id").alias("doc_id"), *LEAF, "n_tokens", "epoch")
 
 
 def mix_rows(docs: DataFrame, mixture: Mixture | None = None) -> DataFrame:
