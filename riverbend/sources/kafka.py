@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riverbend.functions.json import parse_struct
+from riverbend.functions.json import json_verdict, parse_struct
 
 ENVELOPE = T.StructType([
     T.StructField("key", T.BinaryType()),
@@ -57,12 +57,23 @@ def value_text(df: DataFrame, out: str = "value") -> DataFrame:
 
 
 def parse_value(df: DataFrame, schema: T.StructType, fail_on_error: bool = True) -> DataFrame:
-    """Record value (JSON) -> typed columns.  ``fail_on_error`` fails the job on a
-    malformed record, as a deserializer whose exception escapes would."""
-    mode = "FAILFAST" if fail_on_error else "PERMISSIVE"
-    parsed = parse_struct(F.col("value").cast("string"), schema, mode)
-    return df.select(parsed.alias("__r")).select(*[F.col("__r").getField(f.name).alias(f.name)
-                                                  for f in schema.fields])
+    """Record value (JSON) -> typed columns.
+
+    ``fail_on_error`` fails the job on a record that doesn't map onto ``schema``
+    (:func:`riverbend.functions.json.json_verdict`: no JSON object, a missing
+    or unknown key, a value of the wrong type), as a strict deserializer whose
+    exception escapes would; otherwise such values are NULL.
+    """
+    text = F.col("value").cast("string")
+    # parsed once per row: the generator keeps the parse out of the checks below
+    parsed = df.select(F.inline(F.array(F.struct(
+        text.alias("__text"), parse_struct(text, schema).alias("__r"), F.json_object_keys(text).alias("__keys")))))
+    row = F.col("__r")
+    if fail_on_error:
+        maps = json_verdict(F.col("__text"), row, schema, [f.name for f in schema.fields], keys=F.col("__keys"))
+        row = F.when(maps, row).otherwise(F.raise_error(F.concat(
+            F.lit("record does not map onto the schema: "), F.coalesce("__text", F.lit("null")))))
+    return parsed.select(row.alias("__r")).select(*[F.col("__r").getField(f.name).alias(f.name) for f in schema.fields])
 
 
 def header_value(headers: Column | str, name: str) -> Column:

@@ -70,42 +70,24 @@ def descriptor_set_bytes(message: str, fields: Sequence[tuple[str, int, str]], p
     return fds.SerializeToString()
 
 
-_NATIVE: dict[str, bool] = {}
-
-
-def _native_decode(df: DataFrame, column: str, message: str, fields, package: str) -> DataFrame | None:
-    """Spark's own ``from_protobuf`` when the spark-protobuf module is on the
-    classpath (decoding stays in the JVM); ``None`` when it is not (checked
-    once per application)."""
-    app = df.sparkSession.sparkContext.applicationId
-    if _NATIVE.get(app) is False:
-        return None
-    try:
-        from pyspark.sql.protobuf.functions import from_protobuf
-
-        decoded = from_protobuf(df[column], f"{package}.{message}",
-                                binaryDescriptorSet=descriptor_set_bytes(message, fields, package))
-        out = df.select(decoded.alias("__m")).select(*[F.col(f"__m.{n}").alias(n) for n, _, _ in fields])
-        out.schema  # analysis fails here when the module is missing
-        _NATIVE[app] = True
-        return out
-    except Exception:  # noqa: BLE001 - module absent: use the Python codec
-        _NATIVE[app] = False
-        return None
+def _native_decode(df: DataFrame, column: str, message: str, fields, package: str) -> DataFrame:
+    """Spark's own ``from_protobuf``: decoding stays in the JVM."""
+    from pyspark.sql.protobuf.functions import from_protobuf
+
+    decoded = from_protobuf(df[column], f"{package}.{message}", binaryDescriptorSet=descriptor_set_bytes(message, fields, package))
+    return df.select(decoded.alias("__m")).select(*[F.col(f"__m.{n}").alias(n) for n, _, _ in fields])
 
 
 def decode(df: DataFrame, column: str, message: str, fields: Sequence[tuple[str, int, str]],
-           package: str = "riverbend", prefer_native: bool = True) -> DataFrame:
+           package: str = "riverbend", native: bool = False) -> DataFrame:
     """Binary protobuf messages in ``column`` -> one typed column per field.
 
     Unset optional fields become NULL; an undecodable message fails the task.
-    Uses ``from_protobuf`` when available (``prefer_native``), else decodes
-    Arrow batches in Python workers.
+    ``native`` uses ``from_protobuf``, which needs the spark-protobuf module on
+    the classpath; without it Arrow batches are decoded in Python workers.
     """
-    if prefer_native:
-        native = _native_decode(df, column, message, fields, package)
-        if native is not None:
-            return native
+    if native:
+        return _native_decode(df, column, message, fields, package)
     ship_package(df.sparkSession)
     desc = descriptor_bytes(message, fields, package)
     full = f"{package}.{message}"

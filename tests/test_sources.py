@@ -38,6 +38,26 @@ def test_parse_value_fail_fast(spark):
     with pytest.raises(Exception):
         kafka.parse_value(_envelope(spark, rows), schema, fail_on_error=True).collect()
     assert kafka.parse_value(_envelope(spark, rows), schema, fail_on_error=False).count() == 1
+    for value, good in ((b'{"id": 1}', True), (b'{"id": null}', True), (b"{}", False), (b'{"id": 1, "x": 2}', False),
+                        (b'{"id": "a"}', False), (b"", False), (None, False)):
+        one = kafka.parse_value(_envelope(spark, [(None, value, "t", 0, 0, dt.datetime(2024, 1, 1), 0, [])]), schema)
+        if good:
+            assert one.count() == 1 and one.collect()
+        else:
+            with pytest.raises(Exception, match="does not map"):
+                one.collect()
+
+
+def test_bad_change_events_are_kept_apart(spark):
+    good = '{"op": "c", "before": null, "after": {"t_id": 1, "t_customer_id": 2, "t_amount": 3.5}, "ts_ms": 5, "source": {"lsn": 1}}'
+    bad = ["garbage", '{"op": "c", "after": {"t_id": "x"}}', '{"op": "z", "after": {"t_id": 1}}', '{"op": "u"}', "", None]
+    df = spark.createDataFrame([(v, k) for k, v in enumerate([good, *bad])], "value string, n int")
+    changes, apart = cdc.split_cdc(df, "value", ROW)
+    assert [r.after.t_id for r in changes.collect()] == [1]
+    assert sorted(r.n for r in apart.collect()) == [1, 2, 3, 4, 5, 6] and apart.columns == df.columns
+    for v in bad:
+        with pytest.raises(Exception):
+            cdc.apply_cdc(cdc.parse_cdc(spark.createDataFrame([(v,)], "value string"), "value", ROW), "t_id").collect()
 
 
 ROW = T.StructType([T.StructField("t_id", T.LongType()), T.StructField("t_customer_id", T.LongType()),
