@@ -56,14 +56,14 @@ def brute(rows, tol_us, version):
     return sorted(out)
 
 
-@pytest.mark.parametrize("seed,bucketed", [(1, False), (2, True), (3, True)])
+@pytest.mark.parametrize("seed,bucketed", [(1, False), (2, True)])
 def test_against_brute_force(spark, seed, bucketed, monkeypatch):
     monkeypatch.setattr(prefix, "BUCKET_BITS", 3 if bucketed else 20)  # buckets of eight rows, or of all
     rnd = random.Random(seed)
     rows, rid = [], 0
     for dev in range(4):
         t = 0
-        for _ in range(rnd.randint(20, 80)):
+        for _ in range(rnd.randint(10, 40)):
             t += rnd.choice([0, 1, 2, 3]) * 250_000  # 0 s .. 0.75 s steps, with ties
             rows.append((rid, dev, t, float(rnd.choice([30, 49.9, 50, 60, 70]))))
             rid += 1
