@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 
 from .common import cut, pack, ship
 
-#: Words, pieces and pairs of tokens that a Python worker remembers; a table starts anew when it is full.
-WORDS, PIECES, PAIRS = 400_000, 150_000, 300_000
+#: Words, pieces and pairs of tokens that a Python worker remembers, at most twice as many: a full table is kept as the
+#: old one, from which what is still asked for moves on, and a new one begins.
+WORDS, PIECES, PAIRS = 300_000, 100_000, 300_000
 
 #: Pieces of these letters, then of these marks, are already normalised but for case, and are two words at most.  The
 #: library itself normalises and splits all others.
@@ -42,8 +43,26 @@ def _byte_symbols() -> list[str]:
     return [chr(b if b in printable else next(others)) for b in range(256)]
 
 
+class Memory:
+    """What was asked for lately, in two tables of bounded size."""
+
+    def __init__(self, most: Callable[[], int]):
+        self.new, self.old, self.most = {}, {}, most
+
+    def get(self, key: str) -> bytes | np.ndarray | None:
+        if (known := self.new.get(key)) is None and (known := self.old.get(key)) is not None:
+            self.put(key, known)
+        return known
+
+    def put(self, key: str, value: bytes | np.ndarray) -> None:
+        if len(self.new) >= self.most():
+            self.new, self.old = {}, self.new
+        self.new[key] = value
+
+
 class PrefixCounter:
     def __init__(self, path: str):
+        import ahocorasick
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
@@ -54,13 +73,17 @@ class PrefixCounter:
         self.ranks = {pair: k for k, pair in enumerate(pairs)}
         self.parts = {left + right: (left, right) for left, right in reversed(self.ranks)}
         self.end = model.get("end_of_word_suffix") or ""
-        self.longest = max(map(len, vocabulary))
-        self.ending = {t[:len(t) - len(self.end)] for t in vocabulary if t.endswith(self.end) and t != self.end}
-        self.inside = {t for t in vocabulary if not self.end or not t.endswith(self.end) or t == self.end}
+        mark = len(self.end)
+        ending = {t[:len(t) - mark] for t in vocabulary if t.endswith(self.end) and t != self.end}
+        inside = {t for t in vocabulary if not mark or not t.endswith(self.end) or t == self.end}
+        self.matcher = ahocorasick.Automaton()
+        for t in ending | inside:
+            self.matcher.add_word(t, (len(t), t, t in inside, t in ending))
+        self.matcher.make_automaton()
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.symbol = _byte_symbols()
-        self.words: dict[str, bytes | np.ndarray] = {}
-        self.pieces: dict[str, bytes | np.ndarray] = {}
+        self.words = Memory(lambda: WORDS)
+        self.pieces = Memory(lambda: PIECES)
         self.pairs: dict[tuple[str, str], bool] = {}
         self.sides: tuple[dict, dict] = ({}, {})
 
@@ -113,23 +136,18 @@ class PrefixCounter:
             symbols += [self.symbol[b] for b in c.encode()]
             ends.add(len(symbols))
         text, end, pairs, size = "".join(symbols), self.end, self.pairs, len(symbols)
-        last, inner, out = [""], [0], []
-        for i in range(1, size + 1):
-            token, total, count = "", 0, 0
-            in_word, at_end = i < size, i in ends
-            for j in range(max(0, i - self.longest), i):
-                t, before = text[j:i], last[j]
-                if in_word and t in self.inside and ((ok := pairs.get((before, t))) or ok is None and self._follows(before, t)):
-                    token, total, in_word = t, inner[j] + 1, False
-                if at_end and t in self.ending and ((ok := pairs.get((before, t + end))) or ok is None and self._follows(before, t + end)):
-                    count, at_end = inner[j] + 1, False
-                if not (in_word or at_end):
-                    break
-            last.append(token)
-            inner.append(total)
-            if i in ends:
-                out.append(count)
-        return out
+        last, inner, counts = [""] * (size + 1), [0] * (size + 1), {}
+        # every vocabulary entry that ends somewhere in the word, by its last symbol's place
+        for at, (n, t, inside, ending) in self.matcher.iter(text):
+            i = at + 1
+            j = i - n
+            before = last[j]
+            if inside and not last[i] and ((ok := pairs.get((before, t))) or ok is None and self._follows(before, t)):
+                last[i], inner[i] = t, inner[j] + 1
+            if ending and i in ends and i not in counts and (
+                    (ok := pairs.get((before, t + end))) or ok is None and self._follows(before, t + end)):
+                counts[i] = inner[j] + 1
+        return [counts[i] for i in sorted(ends)]
 
     def word(self, word: str) -> bytes | np.ndarray:
         """Differences of the token counts of a word's prefixes."""
@@ -139,9 +157,7 @@ class PrefixCounter:
             else:
                 counts = self._prefixes(word)
             known = _differences(counts)
-            if len(self.words) >= WORDS:
-                self.words.clear()
-            self.words[word] = known
+            self.words.put(word, known)
         return known
 
     def _any(self, text: str) -> bytes | np.ndarray:
@@ -181,9 +197,7 @@ class PrefixCounter:
                 known = _concatenated([*([self.word(letters.lower())] if letters else ()), *([self.word(marks)] if marks else ()), b"\0"])
             else:
                 known = _concatenated([self.piece(piece), b"\0"])
-            if len(self.pieces) >= PIECES:
-                self.pieces.clear()
-            self.pieces[piece] = known
+            self.pieces.put(piece, known)
         return known
 
 
