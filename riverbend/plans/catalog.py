@@ -292,9 +292,12 @@ def compacted_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx, path = _transactions_for_parquet(spark, sf_dir), sinks.new_output(spark, "txn-fragmented")
     for part in (F.col("t_id") % 40 != 1, F.col("t_id") % 40 == 1):
         sinks.write_partitioned(tx.filter(part), "t_date", path, mode="append", split_by="t_id")
-    before = sinks.compact(spark, path, "t_date", TXN_PARQUET, split_by="t_id")
-    table = spark.read.schema(TXN_PARQUET).parquet(path)
-    after = sinks.files_per_folder(table, "t_date").agg(F.sum("n_files")).first()[0]
+    read = lambda: spark.read.schema(TXN_PARQUET).parquet(path)
+    count = lambda table: sinks.files_per_folder(table, "t_date").agg(F.sum("n_files")).first()[0]
+    before = count(read())
+    sinks.compact(spark, path, "t_date", TXN_PARQUET, split_by="t_id")
+    table = read()
+    after = count(table)
     return table.withColumn("fewer_files", F.lit(after < before))
 
 
