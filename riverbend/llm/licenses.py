@@ -1,6 +1,11 @@
 """Licence notices in texts: a trained paragraph classifier, confirmed by templates.
 
-A paragraph is a line.  Softmax regression over hashed word 1-, 2- and 3-grams tells licence families from ``unknown``.
+A notice stands on one line or is wrapped over consecutive lines that all have words; punctuation such as comment marks
+is no word, and ``LINE_MARKS`` at the start of a line aren't read.  Every line is judged whole.  Besides, spans of words
+that cross a line break are proposed where enough word pairs of one template lie near each other, and are judged by the
+same rules.  Where notices share words, the one that holds more pairs stays, and one family's are joined.
+
+Softmax regression over hashed word 1-, 2- and 3-grams tells licence families from ``unknown``.
 It is fitted on variants of the templates below, with words lost and words of the corpus around them, against
 paragraphs of a bounded corpus sample, torn templates and everyday sentences about licences.  A fifth of these is held
 out: on it the logits' temperature is chosen by likelihood and then the least probability of a family by ``FALSE_RATE``
@@ -20,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, ship
+from .common import cut, hash_words, ship
 from .decontaminate import words
 
 FEATURES = 1 << 15
@@ -30,6 +35,10 @@ VARIANTS, TRAIN_DOCS = 40, 400
 FALSE_RATE = 0.001
 #: Share of a template's word pairs that a paragraph must hold.
 CONFIRMED = 0.6
+#: Most words of a span over lines, in words of its template.
+REACH = 2
+#: Comment marks that are words.
+LINE_MARKS = ("dnl", "rem")
 TEXT_BYTES = 4 << 20
 
 #: Short notices as they are usually written.
@@ -122,11 +131,29 @@ def template_pairs() -> dict[str, list[set[tuple[int, int]]]]:
     return {family: _pairs(list(templates)) for family, templates in TEMPLATES.items()}
 
 
+def _pair_keys(hashed: np.ndarray) -> np.ndarray:
+    """A hash for every pair of consecutive words."""
+    h = (hashed[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ hashed[1:]
+    return h * np.uint64(0xC2B2AE3D27D4EB4F) ^ h >> np.uint64(29)
+
+
+@lru_cache(1)
+def template_keys() -> list[np.ndarray]:
+    """The sorted pair keys of every template."""
+    hashed, offsets = words(pa.array([t for templates in TEMPLATES.values() for t in templates]))
+    return [np.unique(_pair_keys(hashed[a:b])) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+
+
 def similarity(own: set[tuple[int, int]], family: str) -> float:
     """The largest share of a template's word pairs that a paragraph holds, over the family's templates."""
     return max(len(t & own) / len(t) for t in template_pairs()[family])
 
 
+def _piece(own: set[tuple[int, int]]) -> bool:
+    """Whether a line looks like a part of a wrapped notice, which is no example of ordinary text."""
+    return bool(own) and max(len(t & own) for family in template_pairs().values() for t in family) >= CONFIRMED * len(own)
+
+
 def _examples(paragraphs: list[str], rnd: random.Random) -> tuple[list[str], list[int]]:
     pool = [w for p in paragraphs for w in p.split()[:40]] or ["the"]
     some = lambda most: " ".join(rnd.choices(pool, k=rnd.randint(0, most)))
@@ -148,7 +175,7 @@ def _examples(paragraphs: list[str], rnd: random.Random) -> tuple[list[str], lis
                     labels.append(0)
     ordinary = [p for p in (*paragraphs, *EVERYDAY * 5) if p.strip()]
     for p, own in zip(ordinary, _pairs(ordinary), strict=True):
-        if max(similarity(own, f) for f in TEMPLATES) < CONFIRMED:
+        if max(similarity(own, f) for f in TEMPLATES) < CONFIRMED and not _piece(own):
             texts.append(p)
             labels.append(0)
     return texts, labels
@@ -193,37 +220,149 @@ def train(docs: DataFrame, text_col: str = "text", train_docs: int = TRAIN_DOCS)
     return fit(lines["line"].to_pylist())
 
 
+@dataclass
+class Notice:
+    line: int
+    last_line: int
+    family: str
+    probability: float
+    similarity: float
+    held: int  # word pairs of the template
+    begin: int  # words from the first to the last of these
+    end: int
+
+
+def _notice(hashed: np.ndarray, begin: int, family: str, probability: float) -> Notice | None:
+    """The words, which start at ``begin``, as a notice of the family, or None where they don't hold enough of a template."""
+    pairs = list(zip(hashed[:-1].tolist(), hashed[1:].tolist(), strict=True))
+    own = set(pairs)
+    best = max(template_pairs()[family], key=lambda t: (len(t & own) / len(t), len(t)))
+    alike = len(best & own) / len(best)
+    if alike < CONFIRMED:
+        return None
+    places = [k for k, p in enumerate(pairs) if p in best]
+    return Notice(0, 0, family, probability, alike, len(best & own), begin + places[0], begin + places[-1] + 2)
+
+
+def _judge(model: Classifier, hashed: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, str, float]]:
+    """(text, family, probability) where the classifier tells a family."""
+    chance = model.probabilities(hashed, offsets)
+    family = chance[:, 1:].argmax(axis=1) + 1
+    best = chance[np.arange(len(family)), family]
+    for at in np.flatnonzero((best >= model.least) & (best > chance[:, 0]) & (np.diff(offsets) > 0)):
+        yield int(at), FAMILIES[family[at]], float(best[at])
+
+
+def _on_lines(model: Classifier, hashed: np.ndarray, offsets: np.ndarray) -> list[Notice]:
+    """The lines that are notices."""
+    out = []
+    for at, family, probability in _judge(model, hashed, offsets):
+        if got := _notice(hashed[offsets[at]:offsets[at + 1]], int(offsets[at]), family, probability):
+            got.line = got.last_line = at
+            out.append(got)
+    return out
+
+
+def _spans(hashed: np.ndarray, line: np.ndarray, paragraph: np.ndarray) -> set[tuple[int, int]]:
+    """(begin, end) of spans of words that cross a line break inside a paragraph and hold enough pairs of a template."""
+    keys = _pair_keys(hashed)
+    every = np.unique(np.concatenate(template_keys()))
+    hit = np.flatnonzero((every[np.minimum(np.searchsorted(every, keys), len(every) - 1)] == keys) & (paragraph[:-1] == paragraph[1:]))
+    spans = set()
+    for template in template_keys():
+        at = hit[np.isin(keys[hit], template)]
+        need, reach = max(1, int(np.ceil(CONFIRMED * len(template) - 1e-9))), REACH * (len(template) + 1)
+        stop = np.minimum(np.searchsorted(at, at + reach - 2, side="right"), np.searchsorted(paragraph[at], paragraph[at], side="right"))
+        found = []
+        for i in np.flatnonzero((stop - np.arange(len(at)) >= need) & (line[at[stop - 1] + 1] != line[at])):
+            held, best = set(), None
+            for k in at[i:stop[i]].tolist():
+                if keys[k] not in held:
+                    held.add(keys[k])
+                    length = k + 2 - int(at[i])
+                    if len(held) >= need and (best is None or 2 * len(held) - length >= best[0]):
+                        best = 2 * len(held) - length, k + 2
+            if best and line[best[1] - 1] != line[at[i]]:
+                found.append((-best[0], int(at[i]), best[1]))
+        taken: set[int] = set()
+        for _, begin, end in sorted(found):
+            if taken.isdisjoint(range(begin, end)):
+                taken.update(range(begin, end))
+                spans.add((begin, end))
+    return spans
+
+
+def _over_lines(model: Classifier, hashed: np.ndarray, offsets: np.ndarray, first_lines: np.ndarray) -> list[Notice]:
+    """The notices that are wrapped over lines; ``first_lines`` are the lines that begin a text."""
+    line = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    keep = np.ones(len(hashed), bool)
+    first = offsets[:-1][np.diff(offsets) > 0]
+    keep[first[np.isin(hashed[first], hash_words(pa.array(LINE_MARKS)))]] = False
+    place, line, plain = np.flatnonzero(keep), line[keep], hashed[keep]
+    if len(plain) < 2:
+        return []
+    new = np.zeros(len(offsets) - 1, bool)
+    new[first_lines] = True
+    new[1:] |= np.bincount(line, minlength=len(new))[:-1] == 0
+    spans = sorted(_spans(plain, line, np.cumsum(new)[line]))
+    if not spans:
+        return []
+    out = []
+    texts = [plain[a:b] for a, b in spans]
+    for k, family, probability in _judge(model, np.concatenate(texts), np.cumsum([0, *map(len, texts)])):
+        if got := _notice(texts[k], spans[k][0], family, probability):
+            got.line, got.last_line = int(line[got.begin]), int(line[got.end - 1])
+            got.begin, got.end = int(place[got.begin]), int(place[got.end - 1]) + 1
+            out.append(got)
+    return out
+
+
+def _settle(notices: list[Notice], n_words: int) -> list[Notice]:
+    """Notices that share no word: the one with more pairs stays, and takes in those of its family."""
+    owner = np.full(n_words, -1)
+    out: list[Notice] = []
+    for n in sorted(notices, key=lambda n: (-n.held, n.begin, n.end)):
+        mine = owner[n.begin:n.end]
+        others = [out[k] for k in np.unique(mine[mine >= 0])]
+        if not others:
+            mine[:] = len(out)
+            out.append(n)
+        elif all(o.family == n.family for o in others):
+            o = others[0]
+            mine[mine < 0] = owner[o.begin]
+            o.line, o.last_line = min(o.line, n.line), max(o.last_line, n.last_line)
+            o.probability, o.similarity = max(o.probability, n.probability), max(o.similarity, n.similarity)
+    return out
+
+
 def _scan(model: Classifier):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in cut(batches, "text", TEXT_BYTES):
             lists = pc.split_pattern(pc.fill_null(batch.column("text").cast(pa.string()), ""), "\n")
             line_at = lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
             hashed, offsets = words(lists.flatten())
-            chance = model.probabilities(hashed, offsets)
-            family = chance[:, 1:].argmax(axis=1) + 1
-            best = chance[np.arange(len(family)), family]
+            notices = _on_lines(model, hashed, offsets)
+            if wrapped := _over_lines(model, hashed, offsets, line_at[:-1]):
+                notices = _settle(notices + wrapped, len(hashed))
             rows = []
-            for at in np.flatnonzero((best >= model.least) & (best > chance[:, 0]) & (np.diff(offsets) > 0)):
-                own = hashed[offsets[at]:offsets[at + 1]].tolist()
-                own = set(zip(own[:-1], own[1:], strict=True))
-                name = FAMILIES[family[at]]
-                alike = similarity(own, name)
-                if alike >= CONFIRMED:
-                    doc = int(np.searchsorted(line_at, at, side="right")) - 1
-                    rows.append((doc, int(at - line_at[doc]), name, float(best[at]), alike))
-            doc, line, name, score, alike = zip(*rows, strict=True) if rows else [()] * 5
-            yield pa.record_batch([batch.column("id").take(pa.array(doc, pa.int64())), pa.array(line, pa.int64()), pa.array(name, pa.string()),
-                                   pa.array(score, pa.float64()), pa.array(alike, pa.float64())], ["id", "line", "family", "probability", "similarity"])
+            for n in sorted(notices, key=lambda n: (n.line, n.begin)):
+                doc = int(np.searchsorted(line_at, n.line, side="right")) - 1
+                rows.append((doc, n.line - int(line_at[doc]), n.last_line - int(line_at[doc]), n.family, n.probability, n.similarity))
+            doc, line, last, name, score, alike = zip(*rows, strict=True) if rows else [()] * 6
+            yield pa.record_batch([batch.column("id").take(pa.array(doc, pa.int64())), pa.array(line, pa.int64()), pa.array(last, pa.int64()),
+                                   pa.array(name, pa.string()), pa.array(score, pa.float64()), pa.array(alike, pa.float64())],
+                                  ["id", "line", "last_line", "family", "probability", "similarity"])
     return scan
 
 
 def find_licenses(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, line, family, probability, similarity), a row for each line that is a licence notice; lines from 0.
+    """(doc_id, line, last_line, family, probability, similarity), a row for each licence notice with its first and last
+    line; lines from 0.
 
     Null, empty and wordless texts have none.  Null ids are kept and repeated rows give their rows again; an empty
     table gives an empty one; other columns are not read.
     """
     ship(docs.sparkSession)
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = f"id {base.schema['id'].dataType.simpleString()}, line long, family string, probability double, similarity double"
+    schema = f"id {base.schema['id'].dataType.simpleString()}, line long, last_line long, family string, probability double, similarity double"
     return base.mapInArrow(_scan(model), schema).withColumnRenamed("id", id_col)
