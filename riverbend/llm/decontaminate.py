@@ -6,7 +6,13 @@ under all masks form the test table; documents' windows are looked up in it.  A
 at one offset; the words of both are then compared along the whole item at that offset.  The document is contaminated
 by the item when the longest-scoring stretch (+1 for an equal word, ``PENALTY`` for another) has at least
 ``MIN_EQUAL`` equal words and they are ``MIN_SHARE`` of the item's words, or has ``LONG_EQUAL`` equal words whatever
-the item's length.
+the item's length.  Where no offset does, hits of the item at offsets at most ``BAND`` apart are put together: the item is
+aligned to the document over these offsets and ``BAND`` more on either side, an inserted or dropped word costs as much as
+another word, and the best stretch must pass the same rule.  Where that fails too, a verbatim quote counts: a run of
+``VERBATIM`` equal words, or of half the item if that is shorter and ``MIN_EQUAL`` words at least.
+
+Every pair is found by a seed: six words in a row or a spaced window must be left whole.  So an item of ten words or
+fewer with a word inserted in its middle isn't found.
 
 The benchmark is small beside the corpus but may grow: it is sent to the tasks in blocks of about ``BLOCK_WORDS``
 words (dealt by hash, one item stays whole), one search of the documents for each block.  So what
@@ -29,10 +35,13 @@ from .common import cut, hash_words, save, ship
 #: Two substitutions in twelve words, or three in sixteen, leave one of these windows whole; each hashes six words.
 MASKS = ("111111", "1101011001", "1110010101", "1011001110", "1100110101")
 MIN_EQUAL, MIN_SHARE, LONG_EQUAL, PENALTY = 8, 0.6, 25, -1
+VERBATIM, BAND = 13, 16
 #: Shorter items can't be told from chance and match nothing.
 MIN_ITEM = 5
 BLOCK_WORDS = 250_000
 
+#: A score and a number of equal words in one integer, ordered by score first.
+_ONE = 1 << 31
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -114,23 +123,88 @@ class Test:
         stop = int(np.argmax(score - lowest))
         begin = int(np.argmin(score[:stop + 1]))
         equal = int(same[begin:stop].sum())
-        whole = b - a
-        if whole >= MIN_ITEM and equal >= min(MIN_EQUAL, whole) and equal >= MIN_SHARE * whole or equal >= LONG_EQUAL:
+        if self.enough(item, equal):
             return equal, int(lo + begin - offsets[doc]), stop - begin
         return None
 
+    def enough(self, item: int, equal: int) -> bool:
+        whole = self.offsets[item + 1] - self.offsets[item]
+        return bool(whole >= MIN_ITEM and equal >= min(MIN_EQUAL, whole) and equal >= MIN_SHARE * whole or equal >= LONG_EQUAL)
+
+    def align(self, hashed: np.ndarray, offsets: np.ndarray, doc: int, item: int, least: int, most: int) -> tuple[int, int, int] | None:
+        """As ``verify``, for the best local alignment of the item over all offsets from ``least`` to ``most`` and a band."""
+        own = self.words[self.offsets[item]:self.offsets[item + 1]]
+        starts = np.arange(least - BAND, most + BAND + 1)
+        lo, hi = int(offsets[doc]), int(offsets[doc + 1])
+        near = hashed[max(lo, int(starts[0])):min(hi, int(starts[-1]) + len(own))]
+        if not self.enough(item, int(np.isin(own, near).sum())):
+            return None
+        never, steps = -(1 << 60), np.arange(len(starts)) * _ONE
+        index = np.arange(len(starts))
+        value, begin = np.full(len(starts), never), starts.copy()
+        before, before_begin = value, begin  # ended two words of the item earlier
+        drop, drop_begin = value, begin  # words of the item left out since
+        best, at = 0, (0, 0)
+        for i, word in enumerate(own):
+            place = starts + i
+            inside = (place >= lo) & (place < hi)
+            same = inside & (hashed[np.clip(place, lo, hi - 1)] == word)
+            shifted = value + steps  # from this offset, or a lower one: words inserted
+            top = np.maximum.accumulate(shifted)
+            source = np.maximum.accumulate(np.where(shifted == top, index, 0))
+            further, further_begin = top - steps, begin[source]
+            dropped, dropped_begin = np.full(len(starts), never), starts.copy()
+            later = drop[1:] > before[1:]
+            dropped[:-1] = np.maximum(np.where(later, drop[1:], before[1:]) + PENALTY * _ONE, never)
+            dropped_begin[:-1] = np.where(later, drop_begin[1:], before_begin[1:])
+            drop, drop_begin = dropped, dropped_begin
+            before, before_begin = value, begin
+            begin = np.where(drop > further, drop_begin, further_begin)
+            value = np.maximum(drop, further)
+            begin = np.where(value > 0, begin, place)
+            value = np.where(inside, np.maximum(value, 0) + np.where(same, _ONE + 1, PENALTY * _ONE), never)
+            k = int(np.argmax(value))
+            if value[k] > best:
+                best, at = int(value[k]), (int(begin[k]), int(place[k]) + 1)
+        equal = best & (_ONE - 1)
+        return (equal, at[0] - lo, at[1] - at[0]) if best and self.enough(item, equal) else None
+
+    def quoted(self, hashed: np.ndarray, offsets: np.ndarray, doc: int, item: int, start: int) -> tuple[int, int, int] | None:
+        """As ``verify``, for the longest run of equal words."""
+        a, b = self.offsets[item], self.offsets[item + 1]
+        lo, hi = max(start, offsets[doc]), min(start + b - a, offsets[doc + 1])
+        other = np.flatnonzero(hashed[lo:hi] != self.words[a + lo - start:a + hi - start])
+        ends = np.concatenate([[-1], other, [hi - lo]])
+        run = np.diff(ends) - 1
+        k = int(np.argmax(run))
+        if run[k] < min(VERBATIM, max(MIN_EQUAL, (b - a) // 2)):
+            return None
+        return int(run[k]), int(lo + ends[k] + 1 - offsets[doc]), int(run[k])
+
+    def leaks(self, hashed: np.ndarray, offsets: np.ndarray, known: np.ndarray | None = None) -> Iterator[tuple[int, int, tuple[int, int, int]]]:
+        """(document, item, its best stretch), without documents that are marked in ``known`` when their turn comes."""
+        most = lambda found: max(filter(None, found), key=lambda x: (x[0], -x[1]), default=None)
+        docs, items, starts = self.hits(hashed, offsets)
+        edges = np.flatnonzero((np.diff(docs, prepend=-1) != 0) | (np.diff(items, prepend=-1) != 0))
+        for a, b in zip(edges, [*edges, len(docs)][1:], strict=True):
+            doc, item, at = int(docs[a]), int(items[a]), starts[a:b]
+            if known is not None and known[doc]:
+                continue
+            got = most(self.verify(hashed, offsets, doc, item, x) for x in at)
+            if not got and self.offsets[item + 1] - self.offsets[item] >= MIN_ITEM:
+                near = np.split(at, np.flatnonzero(np.diff(at) > BAND) + 1)
+                got = most(self.align(hashed, offsets, doc, item, int(n[0]), int(n[-1])) for n in near)
+                got = got or most(self.quoted(hashed, offsets, doc, item, x) for x in at)
+            if got:
+                yield doc, item, got
+
 
 def _search(test: Test, types: tuple[pa.DataType, pa.DataType]):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in cut(batches, "text"):
             hashed, offsets = words(batch.column("text"))
-            best: dict[tuple[int, int], tuple[int, int, int]] = {}
-            for doc, item, start in zip(*test.hits(hashed, offsets), strict=True):
-                if got := test.verify(hashed, offsets, doc, item, start):
-                    key = (int(doc), int(item))
-                    best[key] = max(best.get(key, got), got, key=lambda x: (x[0], -x[1]))
             ids = batch.column("id").to_pylist()
-            rows = [(ids[d], test.ids[i], int(test.offsets[i + 1] - test.offsets[i]), *got) for (d, i), got in sorted(best.items())]
+            rows = [(ids[d], test.ids[i], int(test.offsets[i + 1] - test.offsets[i]), *got) for d, i, got in test.leaks(hashed, offsets)]
             columns = list(zip(*rows, strict=True)) or [()] * 6
             yield pa.record_batch([pa.array(columns[0], types[0]), pa.array(columns[1], types[1]), *(pa.array(c, pa.int64()) for c in columns[2:])],
                                   ["id", "item", "item_words", "equal_words", "first_word", "n_words"])
@@ -171,9 +245,8 @@ def _holds(test: Test):
         for batch in cut(iter([pa.record_batch([texts], ["text"])]), "text"):
             hashed, offsets = words(batch.column("text"))
             bad = np.zeros(batch.num_rows, bool)
-            for doc, item, at in zip(*test.hits(hashed, offsets), strict=True):
-                if not bad[doc]:
-                    bad[doc] = test.verify(hashed, offsets, doc, item, at) is not None
+            for doc, _, _ in test.leaks(hashed, offsets, bad):
+                bad[doc] = True
             out.append(bad)
         return pa.array(np.concatenate(out) if out else np.zeros(0, bool))
     return holds

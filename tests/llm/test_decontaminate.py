@@ -7,6 +7,9 @@ from itertools import combinations
 import pytest
 
 from riverbend.llm import decontaminate as D
+from riverbend.sources.tables import read_table
+
+from conftest import SF_MID
 
 SCHEMA = "doc_id long, text string, item_id string, item int"
 
@@ -79,3 +82,64 @@ def test_empty_tables_and_a_very_long_text(spark):
     assert [(r.item_id, r.equal_words, r.first_word) for r in D.find_leaks(one, bench).collect()] == [(7, 20, 300_000)]
     assert D.find_leaks(one, none).count() == 0 and D.remove_leaks(one, none).count() == 1
     assert D.find_leaks(none.withColumnRenamed("item_id", "doc_id"), bench).count() == 0
+
+
+def plain_alignment(doc, item):
+    """The least score that no local alignment of the two exceeds (+1 equal, -1 another, inserted or dropped word)."""
+    best, row = 0, [0] * (len(doc) + 1)
+    for w in item:
+        new = [0]
+        for j, d in enumerate(doc):
+            new.append(max(0, row[j] + (1 if d == w else -1), row[j + 1] - 1, new[j] - 1))
+        best, row = max(best, *new), new
+    return best
+
+
+def test_alignment_equals_plain_version():
+    import pyarrow as pa
+
+    rnd = random.Random(8)
+    for _ in range(300):
+        item = rnd.choices("abcdefghijklmnop", k=rnd.choice([5, 9, 14]))
+        doc = [w for w in item if rnd.random() > 0.15]
+        for _ in range(rnd.choice([0, 1, 3])):
+            doc.insert(rnd.randrange(len(doc) + 1), rnd.choice("abcxyz"))
+        test = D.Test([0], *D.words(pa.array([" ".join(item)])))
+        hashed, offsets = D.words(pa.array(["before", " ".join(doc), "after"]))
+        test.enough = lambda _, equal: True
+        got = test.align(hashed, offsets, 1, 0, 1, 1)
+        score = plain_alignment(doc, item)
+        if not score:
+            assert got is None
+            continue
+        equal, first, n = got
+        part = doc[first:first + n]
+        assert len(part) == n >= equal >= score and plain_alignment(part, item) == score
+
+
+def test_insertions_deletions_and_quotes(spark):
+    rnd = random.Random(6)
+    noise = lambda k: " ".join(f"n{rnd.randrange(10**6)}" for _ in range(k))
+    items = {r.item_id: words(r.text) for r in read_table(spark, SF_MID, "benchmark", ["item_id", "text"]).collect()}
+    items |= {1000 + n: [f"i{n}x{k}" for k in range(n)] for n in range(11, 60)}
+    docs, expected = [], set()
+    for i, item in items.items():
+        h, n = len(item) // 2, len(item)
+        forms = [item[:h] + ["inserted"] + item[h:], item[:h] + ["two", "more"] + item[h:]]
+        if n >= 13:
+            forms.append(item[:h] + item[h + 1:])
+        if n >= 16:
+            forms += [item[:h], item[-h:], item[:h] + [*map(str, range(60))]]
+        if n >= 24:
+            forms.append([w for k in range(0, n, 8) for w in [*item[k:k + 8], "x"]])
+        for form in forms:
+            expected.add((len(docs), i))
+            docs.append((len(docs), f"{noise(30)} {' '.join(form)} {noise(30)}"))
+    clean = [(10**6 + k, f"{noise(20)} {' '.join(item[:6])} {noise(20)} {' '.join(item[-6:])} {noise(20)}") for k, item in items.items() if len(item) >= 16]
+    table = spark.createDataFrame(docs + clean, "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    rows = D.find_leaks(table, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == expected
+    assert {r.doc_id for r in D.remove_leaks(table, bench).collect()} == {i for i, _ in clean}
+    short = {r.item_id: r for r in rows if r.item_id == 1012}
+    assert (short[1012].equal_words, short[1012].first_word) == (12, 30)
