@@ -59,10 +59,11 @@ def cut(batches: Iterator[pa.RecordBatch], column: str, most: int = BATCH_BYTES)
             start = stop
 
 
-def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of every text after lower-casing A-Z, flat, and the offsets of each
-    text's words.  A null text has none."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+def split_words(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray]:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of every text, after lower-casing A-Z unless ``lower`` is false, flat, and the
+    offsets of each text's words.  A null text has none."""
+    plain = pc.fill_null(texts.cast(pa.string()), "")
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(plain) if lower else plain)
     offsets = lists.offsets.to_numpy().astype(np.int64)
     flat = lists.flatten()
     full = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)

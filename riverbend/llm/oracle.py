@@ -77,4 +77,11 @@ h AS (SELECT p.*, whole, rest, md5(concat_ws(':', '{_M.seed}', whole::VARCHAR, d
 s AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY h) <= rest AS more FROM h)
 SELECT doc_id, domain, lang, source, n_tokens, unnest(range(1, whole + 1 + more::INT))::INT AS epoch FROM s"""
 
-ORACLE: dict[str, str] = {"op1_warc_archive": OP1, "op2_hierarchical_mixing": OP2, "op9_line_chunk_dedup": OP9, "op10_embedding_near_dedup": OP10}
+OP12 = """
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents),
+g AS (SELECT doc_id, sha256(body) AS text_sha256, max(doc_id) OVER (PARTITION BY body) AS keep_id,
+             count(*) OVER (PARTITION BY body) AS group_size FROM d)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g"""
+
+ORACLE: dict[str, str] = {"op1_warc_archive": OP1, "op2_hierarchical_mixing": OP2, "op9_line_chunk_dedup": OP9, "op10_embedding_near_dedup": OP10,
+                          "op12_exact_dedup": OP12}
