@@ -21,16 +21,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import save, ship
+from .common import FILTER_BITS, HashFilter, maybe_known, places, save, ship
 
 #: Hashes of one shard of the first filter, which has 16 bits for each.
-SHARD_KEYS = 1 << 18
-#: The second filter's most bits: 64 MB in every Python worker.
-FILTER_BITS = 1 << 29
+SHARD_KEYS, FIRST_BITS = 1 << 18, 1 << 22
 PART_ROWS = 1 << 20
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
 def normalised(text: Column | str) -> Column:
@@ -38,37 +35,7 @@ def normalised(text: Column | str) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER)
 
 
-def _places(hashes: np.ndarray, n: int, bits: int) -> np.ndarray:
-    """``n`` places below ``bits`` for every hash."""
-    mixed = hashes[:, None] * _ODD[:n]
-    mixed ^= mixed >> np.uint64(29)
-    mixed *= _ODD[1]
-    return ((mixed >> np.uint64(32)) % np.uint64(bits)).astype(np.int64)
-
-
-class Filter:
-    """The second filter: ``shards`` slices of ``width`` bits, of which a hash uses ``k`` places in its own shard's."""
-
-    def __init__(self, rows: int, most_bits: int = FILTER_BITS, shard_keys: int = SHARD_KEYS):
-        self.shards = -(-rows // shard_keys) or 1
-        self.width = max(min(16 * rows, most_bits) // self.shards // 8, 8) * 8
-        self.k = min(max(round(0.7 * 2 * self.width * self.shards / max(rows, 1)), 1), 4)
-        self.first_bits = 16 * shard_keys
-        self.bits = np.zeros(0, np.uint8)
-
-    def shard(self, hashes: np.ndarray) -> np.ndarray:
-        return ((hashes >> np.uint64(33)) % np.uint64(self.shards)).astype(np.int64)
-
-    def places(self, hashes: np.ndarray) -> np.ndarray:
-        return _places(hashes, self.k, self.width)
-
-    def maybe(self, hashes: np.ndarray) -> np.ndarray:
-        """Whether each hash may be a repeated one."""
-        at = self.places(hashes) + (self.shard(hashes) * self.width)[:, None]
-        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).all(axis=1)
-
-
-def _deal(plan: Filter):
+def _deal(plan: HashFilter):
     """(shard, hash, many): the hashes of a batch, each once, and whether the batch has it more than once."""
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -77,43 +44,32 @@ def _deal(plan: Filter):
     return deal
 
 
-def _note(plan: Filter):
+def _note(plan: HashFilter):
     """A shard's slice of the second filter."""
     def note(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, again = np.zeros(plan.first_bits, bool), np.zeros(plan.width, bool)
+        seen, again = np.zeros(FIRST_BITS, bool), np.zeros(plan.width // 8, np.uint8)
         for batch in batches:
             hashes, index, n = np.unique(batch.column("h").to_numpy().view(np.uint64), return_inverse=True, return_counts=True)
-            at = _places(hashes, 4, plan.first_bits)
-            repeated = (n > 1) | seen[at].all(axis=1)
+            at = [places(hashes, k, FIRST_BITS) for k in range(4)]
+            repeated = (n > 1) | np.logical_and.reduce([seen[x] for x in at])
             repeated[index[batch.column("many").to_numpy(zero_copy_only=False)]] = True
-            seen[at.ravel()] = True
-            again[plan.places(hashes[repeated]).ravel()] = True
+            for x in at:
+                seen[x] = True
+            again |= np.frombuffer(plan.slice_of(hashes[repeated]), np.uint8)
         if again.any():
-            yield pa.record_batch([pa.array([key[0].as_py()], pa.int64()), pa.array([np.packbits(again, bitorder="little").tobytes()], pa.binary())],
-                                  ["shard", "bits"])
+            yield pa.record_batch([pa.array([key[0].as_py()], pa.int64()), pa.array([again.tobytes()], pa.binary())], ["shard", "bits"])
     return note
 
 
 def _filtered(docs: DataFrame, text_col: str, filter_bits: int, shard_keys: int) -> tuple[Column, int]:
     """First pass: a condition that holds for every row of ``docs`` whose text is repeated, and the number of rows."""
-    spark = docs.sparkSession
-    ship(spark)
+    ship(docs.sparkSession)
     rows = docs.count()
-    plan = Filter(rows, filter_bits, shard_keys)
+    plan = HashFilter(rows, filter_bits, shard_keys, per_key=16, most_k=4)
     text_hash = F.xxhash64(normalised(F.col(text_col)))
     dealt = docs.select(text_hash.alias("h")).mapInArrow(_deal(plan), "shard long, h long, many boolean")
-    slices = dealt.groupBy("shard").applyInArrow(_note(plan), "shard long, bits binary").toArrow()
-    plan.bits = np.zeros(plan.shards * plan.width // 8, np.uint8)
-    size = plan.width // 8
-    for shard, bits in zip(slices["shard"].to_pylist(), slices["bits"].to_pylist(), strict=True):
-        plan.bits[shard * size:(shard + 1) * size] = np.frombuffer(bits, np.uint8)
-    sent = spark.sparkContext.broadcast(plan)
-
-    @F.arrow_udf("boolean")
-    def maybe(hashes: pa.Array) -> pa.Array:
-        return pa.array(sent.value.maybe(hashes.to_numpy().view(np.uint64)))
-
-    return maybe(text_hash), rows
+    sent = plan.gather(dealt.groupBy("shard").applyInArrow(_note(plan), "shard long, bits binary"))
+    return maybe_known(sent, text_hash), rows
 
 
 def label_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_bits: int = FILTER_BITS,

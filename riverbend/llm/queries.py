@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 from ..sources.tables import read_table
 from . import (decontaminate, exact_text, language, licenses, line_chunks, mixing, near_text, near_vectors, periodic_runs, quality,
-               token_counts, warc)
+               token_alignment, token_counts, warc)
 
 
 TOKEN_LIMIT = 2048
@@ -70,6 +70,15 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.link_vectors(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"]))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    found = token_alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    sha = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    rows = found.documents.select("row", F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", sha.alias("groups_sha256"))
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_best", "count_sum")]
+    return rows.join(found.contributions, "row", "left").select("doc_id", "n_a", "n_b", "n_groups", "n_links", *zero, "groups_sha256")
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_text.label_copies(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
@@ -98,4 +107,5 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_warc_archive, op2_hierarchical_mixing, op3_license_scan, op4_prefix_token_counts, op5_spaced_seed_decontamination,
-                                   op6_language_spans, op7_weak_label_quality, op8_minhash_near_dedup, op9_line_chunk_dedup, op10_embedding_near_dedup, op12_exact_dedup, op13_periodic_runs)}
+                                   op6_language_spans, op7_weak_label_quality, op8_minhash_near_dedup, op9_line_chunk_dedup, op10_embedding_near_dedup, op11_token_alignment,
+                                   op12_exact_dedup, op13_periodic_runs)}

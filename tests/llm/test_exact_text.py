@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pytest
 
+from riverbend.llm import common as C
 from riverbend.llm import exact_text as E
 
 SCHEMA = "doc_id long, text string, sha string, `a.b` int, kept string"
@@ -62,15 +63,17 @@ def test_equals_plain_version(spark, bits, keys, part):
 def test_most_rows_are_not_shuffled(spark):
     rows = [(k, f"text {k}") for k in range(5000)] + [(9000 + k, f"text {k}") for k in range(50)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    maybe, n = E._filtered(df, "text", E.FILTER_BITS, E.SHARD_KEYS)
+    maybe, n = E._filtered(df, "text", C.FILTER_BITS, E.SHARD_KEYS)
     assert n == 5050 and 100 <= df.where(maybe).count() <= 130
 
 
-def test_places_spread():
-    hashes = np.random.default_rng(1).integers(0, 1 << 63, 100_000).astype(np.uint64)
-    at = E._places(hashes, 4, 1 << 20)
-    assert at.min() >= 0 and at.max() < 1 << 20
-    assert all(len(np.unique(at[:, k])) > 0.9 * 100_000 for k in range(4)) and (at[:, 0] == at[:, 1]).mean() < 0.001
+def test_filter_keeps_what_it_knows_and_little_else():
+    rng = np.random.default_rng(1)
+    own, other = (rng.integers(0, 1 << 63, 50_000).astype(np.uint64) for _ in range(2))
+    for most_bits, errors in ((1 << 29, 10), (1 << 18, 25_000)):
+        f = C.HashFilter(len(own), most_bits, 1 << 13)
+        f.bits = np.concatenate([np.frombuffer(f.slice_of(own[f.shard(own) == s]), np.uint8) for s in range(f.shards)])
+        assert len(f.bits) * 8 <= most_bits and f.maybe(own).all() and f.maybe(other).sum() <= errors
 
 
 def test_empty_table_and_other_ids(spark):
