@@ -35,6 +35,11 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+def quoted(name: str) -> str:
+    """A column's name as one, whatever stands in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def save(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` to a fresh folder below the shared checkpoint root and read it back.
 

@@ -1,44 +1,44 @@
 """Benchmark decontamination by spaced seeds.
 
 Words are runs of letters and digits, lower-cased.  A mask is a window of word positions of which only the marked
-ones are hashed, so a substituted word under an unmarked position doesn't hide a hit.  All windows of the benchmark
-under all masks form the test table; documents' windows are looked up in it.  A hit sets a document against an item
-at one offset; the words of both are then compared along the whole item at that offset.  The document is contaminated
-by the item when the longest-scoring stretch (+1 for an equal word, ``PENALTY`` for another) has at least
-``MIN_EQUAL`` equal words and they are ``MIN_SHARE`` of the item's words, or has ``LONG_EQUAL`` equal words whatever
-the item's length.  Where no offset does, hits of the item at offsets at most ``BAND`` apart are put together: the item is
-aligned to the document over these offsets and ``BAND`` more on either side, an inserted or dropped word costs as much as
-another word, and the best stretch must pass the same rule.  Where that fails too, a verbatim quote counts: a run of
-``VERBATIM`` equal words, or of half the item if that is shorter and ``MIN_EQUAL`` words at least.
+ones are hashed, so a substituted word under an unmarked position doesn't hide a hit.  An item shorter than the first
+mask is one window of its own length.  Windows of the benchmark and of the documents under all masks are joined on
+their hashes.  A hit sets a document against an item at one offset; the words of both are then compared along the whole
+item at that offset.  The document is contaminated by the item when the longest-scoring stretch (+1 for an equal word,
+``PENALTY`` for another) has at least ``MIN_EQUAL`` equal words, or all of a shorter item, and they are ``MIN_SHARE`` of
+the item's words, or has ``LONG_EQUAL`` equal words whatever the item's length.  Where no offset does, hits of the item at
+offsets at most ``BAND`` apart are put together: the item is aligned to the document over these offsets and ``BAND`` more
+on either side, an inserted or dropped word costs as much as another word, and the best stretch must pass the same rule.
+Where that fails too, a verbatim quote counts: a run of ``VERBATIM`` equal words, or of half the item if that is shorter
+and ``MIN_EQUAL`` words at least.
 
 Every pair is found by a seed: six words in a row or a spaced window must be left whole.  So an item of ten words or
-fewer with a word inserted in its middle isn't found.
+fewer with a word inserted in its middle isn't found.  An item of fewer than six words is found where all its words
+stand in a row, so an item of one word is held by every document with that word.
 
-The benchmark is small beside the corpus but may grow: it is sent to the tasks in blocks of about ``BLOCK_WORDS``
-words (dealt by hash, one item stays whole), one search of the documents for each block.  So what
-a task holds is bounded, and the documents are never shuffled.
+Equal items are one item until the end.  Documents' windows first pass a Bloom filter of the benchmark's hashes, of
+bounded size, in the tasks that read them; only those that pass are joined, with a copy of each distinct text that has
+one.  Neither benchmark nor documents pass the driver, and the join's sides may both grow.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, hash_words, save, ship
+from .common import FILTER_BITS, cut, filter_of, hash_words, maybe_known, save, ship
 
 #: Two substitutions in twelve words, or three in sixteen, leave one of these windows whole; each hashes six words.
 MASKS = ("111111", "1101011001", "1110010101", "1011001110", "1100110101")
 MIN_EQUAL, MIN_SHARE, LONG_EQUAL, PENALTY = 8, 0.6, 25, -1
 VERBATIM, BAND = 13, 16
-#: Shorter items can't be told from chance and match nothing.
-MIN_ITEM = 5
-BLOCK_WORDS = 250_000
 
 #: A score and a number of equal words in one integer, ordered by score first.
 _ONE = 1 << 31
@@ -57,88 +57,65 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _windows(hashed: np.ndarray, mask: str) -> np.ndarray:
-    """A hash for every window of the mask over all words of a batch."""
-    n = len(hashed) - len(mask) + 1
-    out = np.full(max(n, 0), np.uint64(int(mask, 2)), np.uint64)
+    """A hash for every window of the mask over all words of a batch; none where the batch is shorter."""
+    n = max(len(hashed) - len(mask) + 1, 0)
+    out = np.full(n, np.uint64(int(mask, 2)), np.uint64)
     for k in (k for k, c in enumerate(mask) if c == "1"):
         out = (out ^ hashed[k:k + n]) * _MIX
         out ^= out >> np.uint64(30)
     return out
 
 
-def _owners(offsets: np.ndarray) -> np.ndarray:
-    return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-
-
-class Test:
-    """A block of benchmark items and the sorted hashes of their windows."""
-
-    def __init__(self, ids: list, hashed: np.ndarray, offsets: np.ndarray):
-        self.ids, self.words, self.offsets = ids, hashed, offsets
-    @cached_property
-    def tables(self) -> list[tuple[str, np.ndarray, np.ndarray]]:
-        """(mask, sorted window hashes, their places), made in the task."""
-        owner, lengths = _owners(self.offsets), np.diff(self.offsets)
-        # an item shorter than a mask is one window of its own length
-        masks = [*MASKS, *("1" * int(n) for n in np.unique(lengths[(lengths > 0) & (lengths < len(MASKS[0]))]))]
-        tables = []
-        for mask in masks:
-            h = _windows(self.words, mask)
-            at = np.arange(len(h))
-            inside = owner[at] == owner[at + len(mask) - 1] if len(h) else np.zeros(0, bool)
-            if mask not in MASKS:
-                inside &= lengths[owner[at]] == len(mask)
-            order = at[inside][np.argsort(h[at[inside]], kind="stable")]
-            tables.append((mask, h[order], order))
-        return tables
-
-    def hits(self, hashed: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct (document, item, start of the item in the batch's words; may lie outside the document)."""
-        owner, item_of = _owners(offsets), _owners(self.offsets)
-        found = []
-        for mask, table, place in self.tables:
-            h = _windows(hashed, mask)
-            if not len(h) or not len(table):
-                continue
-            lo = np.searchsorted(table, h, side="left")
-            at = np.flatnonzero(table[np.minimum(lo, len(table) - 1)] == h)
-            at = at[owner[at] == owner[at + len(mask) - 1]]
-            lo, n = lo[at], np.searchsorted(table, h[at], side="right") - lo[at]
-            at = np.repeat(at, n)
-            index = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
-            item_word = place[index]
-            item = item_of[item_word]
-            found.append(np.unique(np.stack([owner[at], item, at - (item_word - self.offsets[item])]), axis=1))
-        if not found:
-            return (np.zeros(0, np.int64),) * 3
-        return tuple(np.unique(np.concatenate(found, axis=1), axis=1))
-
-    def verify(self, hashed: np.ndarray, offsets: np.ndarray, doc: int, item: int, start: int) -> tuple[int, int, int] | None:
-        """(equal words, first word in the document, words of the stretch) where the overlap counts, else None."""
-        a, b = self.offsets[item], self.offsets[item + 1]
-        lo, hi = max(start, offsets[doc]), min(start + b - a, offsets[doc + 1])
-        same = hashed[lo:hi] == self.words[a + lo - start:a + hi - start]
+def windows(hashed: np.ndarray, offsets: np.ndarray, masks: list[str]) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
+    """(mask, text, first word, hash) of every window that lies within one text."""
+    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    for mask in masks:
+        h = _windows(hashed, mask)
+        at = np.arange(len(h))
+        at = at[owner[at] == owner[at + len(mask) - 1]]
+        yield mask, owner[at], at - offsets[owner[at]], h[at]
+
+
+def _whole(n: int) -> str:
+    """The one mask of an item of ``n`` words that is shorter than all others."""
+    return "1" * n
+
+
+class Pair:
+    """The words of an item against a stretch of a document, which begins at word ``base``; ``starts`` are the places of
+    the item's first word at which a seed set the two against each other.  Stretches are (equal words, first word in the
+    document, words)."""
+
+    def __init__(self, item: np.ndarray, near: np.ndarray, base: int = 0):
+        self.item, self.near, self.base = item, near, base
+
+    def _same(self, start: int) -> tuple[int, np.ndarray]:
+        """Where the two overlap, from which place of the stretch, and whether their words are equal there."""
+        start -= self.base
+        lo, hi = max(start, 0), min(start + len(self.item), len(self.near))
+        return lo, self.near[lo:hi] == self.item[lo - start:hi - start]
+
+    def enough(self, equal: int) -> bool:
+        whole = len(self.item)
+        return bool(equal >= min(MIN_EQUAL, whole) and equal >= MIN_SHARE * whole or equal >= LONG_EQUAL)
+
+    def verify(self, start: int) -> tuple[int, int, int] | None:
+        """The best stretch at one offset, where it counts."""
+        lo, same = self._same(start)
         score = np.concatenate([[0], np.cumsum(np.where(same, 1, PENALTY))])
         lowest = np.minimum.accumulate(score)
         stop = int(np.argmax(score - lowest))
         begin = int(np.argmin(score[:stop + 1]))
         equal = int(same[begin:stop].sum())
-        if self.enough(item, equal):
-            return equal, int(lo + begin - offsets[doc]), stop - begin
-        return None
-
-    def enough(self, item: int, equal: int) -> bool:
-        whole = self.offsets[item + 1] - self.offsets[item]
-        return bool(whole >= MIN_ITEM and equal >= min(MIN_EQUAL, whole) and equal >= MIN_SHARE * whole or equal >= LONG_EQUAL)
+        return (equal, self.base + lo + begin, stop - begin) if self.enough(equal) else None
 
-    def align(self, hashed: np.ndarray, offsets: np.ndarray, doc: int, item: int, least: int, most: int) -> tuple[int, int, int] | None:
+    def align(self, least: int, most: int) -> tuple[int, int, int] | None:
         """As ``verify``, for the best local alignment of the item over all offsets from ``least`` to ``most`` and a band."""
-        own = self.words[self.offsets[item]:self.offsets[item + 1]]
-        starts = np.arange(least - BAND, most + BAND + 1)
-        lo, hi = int(offsets[doc]), int(offsets[doc + 1])
-        near = hashed[max(lo, int(starts[0])):min(hi, int(starts[-1]) + len(own))]
-        if not self.enough(item, int(np.isin(own, near).sum())):
+        own, least, most = self.item, least - self.base, most - self.base
+        if not self.enough(int(np.isin(own, self.near).sum())):
             return None
+        starts = np.arange(least - BAND, most + BAND + 1)
+        lo, hi, hashed = 0, len(self.near), self.near
         never, steps = -(1 << 60), np.arange(len(starts)) * _ONE
         index = np.arange(len(starts))
         value, begin = np.full(len(starts), never), starts.copy()
@@ -167,108 +144,147 @@ class Test:
             if value[k] > best:
                 best, at = int(value[k]), (int(begin[k]), int(place[k]) + 1)
         equal = best & (_ONE - 1)
-        return (equal, at[0] - lo, at[1] - at[0]) if best and self.enough(item, equal) else None
+        return (equal, self.base + at[0], at[1] - at[0]) if best and self.enough(equal) else None
 
-    def quoted(self, hashed: np.ndarray, offsets: np.ndarray, doc: int, item: int, start: int) -> tuple[int, int, int] | None:
+    def quoted(self, start: int) -> tuple[int, int, int] | None:
         """As ``verify``, for the longest run of equal words."""
-        a, b = self.offsets[item], self.offsets[item + 1]
-        lo, hi = max(start, offsets[doc]), min(start + b - a, offsets[doc + 1])
-        other = np.flatnonzero(hashed[lo:hi] != self.words[a + lo - start:a + hi - start])
-        ends = np.concatenate([[-1], other, [hi - lo]])
+        lo, same = self._same(start)
+        ends = np.concatenate([[-1], np.flatnonzero(~same), [len(same)]])
         run = np.diff(ends) - 1
         k = int(np.argmax(run))
-        if run[k] < min(VERBATIM, max(MIN_EQUAL, (b - a) // 2)):
+        if run[k] < min(VERBATIM, max(MIN_EQUAL, len(self.item) // 2)):
             return None
-        return int(run[k]), int(lo + ends[k] + 1 - offsets[doc]), int(run[k])
+        return int(run[k]), int(self.base + lo + ends[k] + 1), int(run[k])
 
-    def leaks(self, hashed: np.ndarray, offsets: np.ndarray, known: np.ndarray | None = None) -> Iterator[tuple[int, int, tuple[int, int, int]]]:
-        """(document, item, its best stretch), without documents that are marked in ``known`` when their turn comes."""
+    def best(self, starts: list[int]) -> tuple[int, int, int, int] | None:
+        """(rank of the rule, equal words, first word, words) for offsets that lie near each other."""
         most = lambda found: max(filter(None, found), key=lambda x: (x[0], -x[1]), default=None)
-        docs, items, starts = self.hits(hashed, offsets)
-        edges = np.flatnonzero((np.diff(docs, prepend=-1) != 0) | (np.diff(items, prepend=-1) != 0))
-        for a, b in zip(edges, [*edges, len(docs)][1:], strict=True):
-            doc, item, at = int(docs[a]), int(items[a]), starts[a:b]
-            if known is not None and known[doc]:
-                continue
-            got = most(self.verify(hashed, offsets, doc, item, x) for x in at)
-            if not got and self.offsets[item + 1] - self.offsets[item] >= MIN_ITEM:
-                near = np.split(at, np.flatnonzero(np.diff(at) > BAND) + 1)
-                got = most(self.align(hashed, offsets, doc, item, int(n[0]), int(n[-1])) for n in near)
-                got = got or most(self.quoted(hashed, offsets, doc, item, x) for x in at)
-            if got:
-                yield doc, item, got
-
-
-def _search(test: Test, types: tuple[pa.DataType, pa.DataType]):
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rules = (lambda: most(self.verify(x) for x in starts), lambda: self.align(starts[0], starts[-1]), lambda: most(self.quoted(x) for x in starts))
+        return next(((rank, *got) for rank, rule in enumerate(rules) if (got := rule())), None)
+
+
+def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(item, rep, words): equal sequences of words have one ``rep``."""
+    for batch in cut(batches, "text"):
+        hashed, offsets = words(batch.column("text"))
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(hashed.view(np.int64)))
+        rep = [xxhash.xxh3_128_hexdigest(hashed[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        some = pa.array(np.diff(offsets) > 0)
+        yield pa.record_batch([batch.column("item"), pa.array(rep, pa.string()), lists], ["item", "rep", "words"]).filter(some)
+
+
+def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, rep, at, n): the windows of distinct items, ``n`` words long."""
+    for batch in batches:
+        lists = batch.column("words")
+        hashed, offsets = lists.flatten().to_numpy().view(np.uint64), lists.offsets.to_numpy().astype(np.int64)
+        offsets = offsets - offsets[0]
+        size = np.diff(offsets)
+        masks = [*MASKS, *(_whole(n) for n in np.unique(size) if n < len(MASKS[0]))]
+        for mask, item, at, h in windows(hashed, offsets, masks):
+            own = size[item] == len(mask) if mask not in MASKS else np.ones(len(item), bool)
+            yield pa.record_batch([pa.array(h[own].view(np.int64)), batch.column("rep").take(pa.array(item[own])), pa.array(at[own]), pa.array(size[item[own]])],
+                                  ["h", "rep", "at", "n"])
+
+
+def _suspects(known: Broadcast, masks: list[str]):
+    """(id, key, words, places, hashes) of the texts that have a window whose hash may be an item's."""
+    def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in cut(batches, "text"):
             hashed, offsets = words(batch.column("text"))
-            ids = batch.column("id").to_pylist()
-            rows = [(ids[d], test.ids[i], int(test.offsets[i + 1] - test.offsets[i]), *got) for d, i, got in test.leaks(hashed, offsets)]
-            columns = list(zip(*rows, strict=True)) or [()] * 6
-            yield pa.record_batch([pa.array(columns[0], types[0]), pa.array(columns[1], types[1]), *(pa.array(c, pa.int64()) for c in columns[2:])],
-                                  ["id", "item", "item_words", "equal_words", "first_word", "n_words"])
-    return search
-
-
-_ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
+            found = []
+            for mask, text, at, h in windows(hashed, offsets, masks):
+                maybe = known.value.maybe(h)
+                text, at, h = text[maybe], at[maybe], h[maybe]
+                if mask not in MASKS:  # the first of each tells all
+                    _, first = np.unique(np.stack([text, h.view(np.int64)]), axis=1, return_index=True)
+                    text, at, h = text[first], at[first], h[first]
+                found.append((text, at, h))
+            text, at, h = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.argsort(text, kind="stable")
+            n = np.bincount(text, minlength=batch.num_rows)
+            some = pa.array(np.flatnonzero(n))
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(hashed.view(np.int64)))
+            of = pa.array(np.concatenate([[0], np.cumsum(n[n > 0])]), pa.int32())
+            yield pa.record_batch([batch.column("id").take(some), batch.column("key").take(some), lists.take(some),
+                                   pa.ListArray.from_arrays(of, pa.array(at[order])), pa.ListArray.from_arrays(of, pa.array(h[order].view(np.int64)))],
+                                  ["id", "key", "words", "places", "hashes"])
+    return suspects
+
+
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = []
+        columns = [batch.column(c) for c in ("starts", "base", "near", "item_words")]
+        for k, (starts, base, near, item) in enumerate(zip(*columns, strict=True)):
+            pair = Pair(item.values.to_numpy(), near.values.to_numpy(), base.as_py())
+            if got := pair.best(starts.as_py()):
+                rows.append((k, *got))
+        picked = np.array(rows, np.int64).reshape(-1, 5)
+        at = pa.array(picked[:, 0])
+        yield pa.record_batch([batch.column("key").take(at), batch.column("rep").take(at), *(pa.array(picked[:, k]) for k in range(1, 5))],
+                              ["key", "rep", "rank", "equal_words", "first_word", "n_words"])
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, id_col: str | None, text_col: str, item_col: str, item_text_col: str,
+           filter_bits: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(item, rep), (id, key) of the suspects, and the best stretch of each (key, rep) that counts; ``key`` tells a text."""
+    ship(docs.sparkSession)
+    bench = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text")).where("text IS NOT NULL")
+    item_type = bench.schema["item"].dataType.simpleString()
+    items = save(bench.mapInArrow(_items, f"item {item_type}, rep string, words array<long>"), "items")
+    reps = items.groupBy("rep").agg(F.first("words").alias("words"))
+    table = save(reps.mapInArrow(_item_windows, "h long, rep string, at long, n long"), "item-windows")
+    short = [r.n for r in table.where(F.col("n") < len(MASKS[0])).select("n").distinct().collect()]
+
+    base = docs.select((F.col(id_col) if id_col else F.lit(None).cast("int")).alias("id"), F.col(text_col).cast("string").alias("text"),
+                       F.md5(F.col(text_col).cast("string")).alias("key")).where("text IS NOT NULL")
+    id_type = base.schema["id"].dataType.simpleString()
+    found = base.mapInArrow(_suspects(filter_of(table, "h", filter_bits), [*MASKS, *map(_whole, sorted(short))]),
+                            f"id {id_type}, key string, words array<long>, places array<long>, hashes array<long>")
+    found = save(found, "suspects")
+    texts = found.groupBy("key").agg(F.first("words").alias("words"), F.first(F.arrays_zip("places", "hashes")).alias("windows"))
+    hits = texts.select("key", F.explode("windows").alias("w")).select("key", F.col("w.places").alias("place"), F.col("w.hashes").alias("h"))
+    hits = hits.join(table, "h").select("key", "rep", "n", (F.col("place") - F.col("at")).alias("start")).distinct()
+    # offsets of one text and item at most BAND apart are looked at together
+    side = Window.partitionBy("key", "rep").orderBy("start")
+    new = F.coalesce(F.col("start") - F.lag("start").over(side) > BAND, F.lit(True)).cast("int")
+    near = hits.withColumn("new", new).withColumn("near", F.sum("new").over(side.rowsBetween(Window.unboundedPreceding, 0)))
+    near = near.groupBy("key", "rep", "near").agg(F.array_sort(F.collect_list("start")).alias("starts"), F.first("n").alias("n"))
+    near = near.withColumn("base", F.greatest(F.element_at("starts", 1) - BAND, F.lit(0)))
+    stretch = F.expr(f"slice(words, cast(base + 1 as int), cast(greatest(element_at(starts, -1) + {BAND} + n - base, 0) as int))")
+    pairs = near.join(texts.select("key", "words"), "key").select("key", "rep", "starts", "base", stretch.alias("near"))
+    pairs = pairs.join(reps.select("rep", F.col("words").alias("item_words")), "rep")
+    checked = pairs.mapInArrow(_verify, "key string, rep string, rank long, equal_words long, first_word long, n_words long")
+    best = checked.groupBy("key", "rep").agg(F.min(F.struct(
+        "rank", (-F.col("equal_words")).alias("less"), "first_word", "n_words")).alias("b"))
+    best = save(best.select("key", "rep", (-F.col("b.less")).alias("equal_words"), "b.first_word", "b.n_words"), "leaks")
+    return items.select("item", "rep", F.size("words").cast("long").alias("item_words")), found.select("id", "key"), best
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               item_col: str = "item_id", item_text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
+               item_col: str = "item_id", item_text_col: str = "text", filter_bits: int = FILTER_BITS) -> DataFrame:
     """(doc_id, item_id, item_words, equal_words, first_word, n_words), a row for each document row and item that it
-    holds: its best stretch (most equal words, then the first).
+    holds: its best stretch (by the first rule that holds, then most equal words, then the first).
 
     Texts or items that are null, empty or without words match nothing.  An item is matched whatever its id, null
     included, and repeated items each give their rows; so do repeated documents.  An empty table on either side gives
     an empty result; other columns are not read.
     """
-    spark = docs.sparkSession
-    ship(spark)
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text")).where("text IS NOT NULL")
-    names = base.schema["id"].dataType.simpleString(), items.schema["item"].dataType.simpleString()
-    schema = f"id {names[0]}, item {names[1]}, item_words long, equal_words long, first_word long, n_words long"
-    out = None
-    for test in _blocks(items, block_words):
-        found = base.mapInArrow(_search(test, tuple(_ARROW[n] for n in names)), schema)
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        out = spark.createDataFrame([], schema)
+    items, texts, best = _leaks(docs, benchmark, id_col, text_col, item_col, item_text_col, filter_bits)
+    out = best.join(texts, "key").join(items, "rep").select("id", "item", "item_words", "equal_words", "first_word", "n_words")
     return out.withColumnsRenamed({"id": id_col, "item": "item_id"})
 
 
-def _holds(test: Test):
-    @F.arrow_udf("boolean")
-    def holds(texts: pa.Array) -> pa.Array:
-        out, start = [], 0
-        for batch in cut(iter([pa.record_batch([texts], ["text"])]), "text"):
-            hashed, offsets = words(batch.column("text"))
-            bad = np.zeros(batch.num_rows, bool)
-            for doc, _, _ in test.leaks(hashed, offsets, bad):
-                bad[doc] = True
-            out.append(bad)
-        return pa.array(np.concatenate(out) if out else np.zeros(0, bool))
-    return holds
-
-
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
-                 item_text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark item; columns, nulls and repeated rows as they are."""
-    ship(docs.sparkSession)
-    items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text")).where("text IS NOT NULL")
-    for test in _blocks(items, block_words):
-        docs = docs.where(~_holds(test)(F.col(text_col)))
-    return docs
-
-
-def _blocks(items: DataFrame, block_words: int) -> Iterator[Test]:
-    """The benchmark dealt by hash into blocks of about ``block_words`` words; their number follows its size."""
-    counted = items.withColumn("n", F.regexp_count("text", F.lit(r"[\p{L}\p{N}]+"))).where(F.col("n") >= MIN_ITEM)
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    n = -(-total // block_words)
-    dealt = save(counted.withColumn("block", F.pmod(F.xxhash64("text"), F.lit(max(n, 1)))), "benchmark")
-    for block in range(n):
-        part = dealt.where(F.col("block") == block).select("item", "text").toArrow().combine_chunks()
-        if part.num_rows:
-            yield Test(part["item"].to_pylist(), *words(part["text"].combine_chunks()))
+                 item_text_col: str = "text", filter_bits: int = FILTER_BITS) -> DataFrame:
+    """``docs`` without the rows that hold a benchmark item; columns, nulls and repeated rows as they are.
+
+    Rows pass straight through but for those whose text's hash may be a leaking text's, by a filter of bounded size."""
+    _, _, best = _leaks(docs, benchmark, None, text_col, item_col, item_text_col, filter_bits)
+    keys = best.select("key").distinct()
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    maybe = maybe_known(filter_of(keys.select(F.xxhash64("key").alias("h")), "h", filter_bits), F.xxhash64(F.md5(text)))
+    marked = docs.select(F.struct("*").alias("row"), F.md5(F.col(text_col).cast("string")).alias("key"), maybe.alias("maybe"))
+    stays = marked.where("maybe").join(keys, "key", "left_anti")
+    return marked.where("not maybe").select("row.*").unionAll(stays.select("row.*"))
