@@ -1,31 +1,41 @@
 """DuckDB SQL of the registered queries that SQL can express."""
 
-from .line_chunks import DIVISOR, FACTOR, LONG_WORDS, MIN_WORDS
+from .line_chunks import FACTOR, LONG_CHARS, MIN_WORDS, SEED_CHARS
 from .mixing import Mixture
 from .near_vectors import MIN_COSINE
 from .warc import MIN_REVISIT
 
 
-def _words(text: str) -> str:
-    return f"(length({text}) - length(replace(replace({text}, ' ', ''), chr(10), '')) + 1)"
+def _common(a: str, b: str) -> str:
+    """How many elements at the start of two lists are equal."""
+    same = f"list_transform(list_zip({a}, {b}, true), lambda x: x[1] = x[2])"
+    return f"coalesce(nullif(list_position({same}, false), 0) - 1, len({same}), 0)"
 
 
 OP9 = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
 l AS (SELECT rid, doc_id, unnest(string_split(text, chr(10))) AS line,
              generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d),
-h AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h, {_words("line")} >= {LONG_WORDS} AS is_long FROM l),
-e AS (SELECT *, coalesce((lag(h) OVER w * {FACTOR} + h) % {DIVISOR} = 0, false) OR is_long
-                OR coalesce(lead(is_long) OVER w, false) AS ends FROM h WINDOW w AS (PARTITION BY rid ORDER BY pos)),
+h AS (SELECT *, ('0x' || substr(md5(line), 1, 15))::BIGINT % 65536 AS h, length(line) AS size FROM l),
+e AS (SELECT *, coalesce((lag(h) OVER w * {FACTOR} + h) % {LONG_CHARS} < size, false) OR size >= {LONG_CHARS}
+                OR coalesce(lead(size) OVER w >= {LONG_CHARS}, false) AS ends FROM h WINDOW w AS (PARTITION BY rid ORDER BY pos)),
 c AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM e),
-k AS (SELECT rid, any_value(doc_id) AS doc_id, chunk, min(pos) AS start, count(*) AS n, string_agg(line, chr(10) ORDER BY pos) AS passage FROM c GROUP BY rid, chunk),
-p AS (SELECT *, row_number() OVER (PARTITION BY passage ORDER BY doc_id, start) AS nth FROM k
-      WHERE {_words("passage")} >= CASE WHEN n > 1 THEN {MIN_WORDS} ELSE {LONG_WORDS} END),
-r AS (SELECT k.rid, string_agg(k.passage, chr(10) ORDER BY k.start) FILTER (coalesce(p.nth, 1) = 1) AS text,
-             sum(CASE WHEN p.nth > 1 THEN k.n ELSE 0 END)::BIGINT AS lines_removed
-      FROM k LEFT JOIN p ON p.rid = k.rid AND p.chunk = k.chunk GROUP BY k.rid)
-SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(r.text, '') END AS text,
-       coalesce(r.lines_removed, 0) AS lines_removed FROM d LEFT JOIN r USING (rid)"""
+k AS (SELECT rid, any_value(doc_id) AS doc_id, min(pos) AS start, max(pos) AS stop, list(line ORDER BY pos) AS lines,
+             string_agg(line, chr(10) ORDER BY pos) AS passage FROM c GROUP BY rid, chunk),
+b AS (SELECT *, list_reverse(list_concat(lag(lines, 2) OVER w, lag(lines) OVER w)) AS before, lead(lines) OVER w AS after FROM k WINDOW w AS (PARTITION BY rid ORDER BY start)),
+s AS (SELECT *, row_number() OVER (PARTITION BY passage ORDER BY doc_id, start) AS nth FROM b WHERE length(passage) >= {SEED_CHARS}),
+m AS (SELECT s.rid, f.rid AS of, s.start - f.start AS distance, s.start - {_common("s.before", "f.before")} AS lo,
+             s.stop + {_common("s.after", "f.after")} AS hi FROM s JOIN s f ON f.passage = s.passage AND f.nth = 1 WHERE s.nth > 1),
+i AS (SELECT *, coalesce(lo > max(hi) OVER (PARTITION BY rid, of, distance ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1, true) AS new FROM m),
+j AS (SELECT *, sum(new::INT) OVER (PARTITION BY rid, of, distance ORDER BY lo, hi ROWS UNBOUNDED PRECEDING) AS run FROM i),
+r AS (SELECT DISTINCT rid, lo, hi FROM (SELECT rid, min(lo) AS lo, max(hi) AS hi FROM j GROUP BY rid, of, distance, run)),
+w AS (SELECT r.rid, lo, hi FROM r JOIN d USING (rid)
+      WHERE len(regexp_extract_all(array_to_string(string_split(text, chr(10))[lo:hi], chr(10)), '[^\x20\x09-\x0D]+')) >= {MIN_WORDS}),
+g AS (SELECT DISTINCT rid, pos FROM (SELECT rid, unnest(range(lo, hi + 1)) AS pos FROM w)),
+t AS (SELECT l.rid, string_agg(line, chr(10) ORDER BY l.pos) FILTER (g.pos IS NULL) AS text, count(g.pos) AS lines_removed
+      FROM l LEFT JOIN g ON g.rid = l.rid AND g.pos = l.pos GROUP BY l.rid)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(t.text, '') END AS text,
+       coalesce(lines_removed, 0) AS lines_removed FROM d LEFT JOIN t USING (rid)"""
 
 OP10 = f"""
 WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
