@@ -24,6 +24,7 @@ MIN_REVISIT = 100
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CRLF = "\r\n"
+_BREAKS = r"[\x00-\x1F\x7F-\x9F\u2028\u2029]"
 
 
 def _digest(payload: str) -> Column:
@@ -31,8 +32,10 @@ def _digest(payload: str) -> Column:
 
 
 def _line(name: str, value: Column) -> Column:
-    """A header line, or nothing where the value is null; line breaks in a value are percent-encoded."""
-    safe = F.replace(F.replace(value, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+    """A header line, or nothing where the value is null; control characters and line separators of any kind in a value
+    are percent-encoded."""
+    each = F.transform(F.split(value, ""), lambda c: F.when(c.rlike(_BREAKS), F.regexp_replace(F.hex(F.encode(c, "UTF-8")), "(..)", "%$1")).otherwise(c))
+    safe = F.when(value.rlike(_BREAKS), F.array_join(each, "")).otherwise(value)
     return F.coalesce(F.concat(F.lit(f"{name}: "), safe, F.lit(CRLF)), F.lit(""))
 
 
@@ -95,8 +98,9 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 
 def field(name: str) -> Column:
-    """The value of a WARC header line of column ``header``, or null."""
-    value = F.regexp_extract(F.decode("header", "UTF-8"), rf"(?m)^{name}: ([^\r\n]*)", 1)
+    """The value of a WARC header line of column ``header``, or null.  Lines end at CR LF only, and the WARC header at
+    the first empty line: what stands in a value or in the HTTP header isn't read."""
+    value = F.regexp_extract(F.substring_index(F.decode("header", "UTF-8"), CRLF * 2, 1), rf"\r\n{name}: ([^\r\n]*)", 1)
     return F.when(value != "", value)
 
 
@@ -106,16 +110,23 @@ def record_bytes(archive: DataFrame) -> DataFrame:
     return archive.select("id", F.concat("header", body, F.lit((CRLF * 2).encode())).alias("record"))
 
 
-def _parse(content: bytes) -> Iterator[tuple[bytes, bytes]]:
-    """(header, payload) of every record of a WARC file; HTTP headers belong to the header."""
+def _parse(content: bytes, path: str = "") -> Iterator[tuple[bytes, bytes]]:
+    """(header, payload) of every record of a WARC file; HTTP headers belong to the header.  A record that is cut off or
+    doesn't tell its length is an error that names file and place."""
     if content[:2] == b"\x1f\x8b":
         content = gzip.decompress(content)
     at = 0
     while (at := content.find(b"WARC/", at)) >= 0:
-        end = content.index(b"\r\n\r\n", at) + 4
+        end = content.find(b"\r\n\r\n", at) + 4
+        if end < 4:
+            raise ValueError(f"{path}: the record at byte {at} is cut off in its header")
         fields = dict(line.split(b":", 1) for line in content[at:end].split(b"\r\n")[1:] if b":" in line)
         fields = {k.strip().lower(): v.strip() for k, v in fields.items()}
+        if not fields.get(b"content-length", b"").isdigit():
+            raise ValueError(f"{path}: the record at byte {at} has no Content-Length")
         stop = end + int(fields[b"content-length"])
+        if stop > len(content):
+            raise ValueError(f"{path}: the record at byte {at} is cut off, {stop - len(content)} bytes are missing")
         split = content.find(b"\r\n\r\n", end, stop) + 4 if fields.get(b"content-type", b"").startswith(b"application/http") else end
         split = split if split > 3 else end
         yield content[at:split], content[split:stop]
@@ -126,7 +137,7 @@ def _parse_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
             header, payload = [], []
-            for one, two in _parse(content):
+            for one, two in _parse(content, path):
                 header.append(one)
                 payload.append(two)
             yield pa.record_batch([pa.array([path] * len(header), pa.string()), pa.array(range(len(header)), pa.int64()),

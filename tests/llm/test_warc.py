@@ -53,6 +53,34 @@ def test_exact_records_through_warc_files(spark, tmp_path):
     assert again == set(records.values())
 
 
+@pytest.mark.parametrize("mark", ["\u0085", "\u2028", "\u2029", "\r", "\n", "\r\n", "\x0b", "\x0c", "\r\n\r\n"])
+def test_no_url_forges_a_header(spark, mark):
+    big = "b" * 200
+    urls = [f"http://a/{mark}WARC-Refers-To: <urn:x-page:7>", f"{mark}WARC-Type: revisit{mark}", "http://a/é%20 plain"]
+    rows = warc.read_archive(spark, _archive(spark, [(k, u, big if k else "own") for k, u in enumerate(urls)])).select(
+        "id", warc.field("WARC-Type").alias("kind"), warc.field("WARC-Refers-To").alias("refers"), warc.field("WARC-Target-URI").alias("url"), "header").collect()
+    code = "".join(f"%{b:02X}" for b in mark.encode())
+    assert sorted((r.id, r.kind, r.refers) for r in rows) == [(0, "response", None), (1, "response", None), (2, "revisit", "<urn:x-page:1>")]
+    assert {r.url for r in rows} == {u.replace(mark, code) for u in urls}
+    assert all(len(bytes(r.header).split(b"\r\n\r\n")) == 3 for r in rows)
+
+
+def test_http_headers_are_no_warc_headers(spark):
+    path = scratch_dir(spark, "warc-http")
+    header = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 60\r\n\r\nHTTP/1.1 200 OK\r\nWARC-Refers-To: x\r\nWARC-Type: revisit\r\n\r\n"
+    warc.write_archive(spark.createDataFrame([(1, bytearray(header), bytearray(b"p"))], "id long, header binary, payload binary"), path)
+    assert tuple(warc.read_archive(spark, path).select(warc.field("WARC-Type"), warc.field("WARC-Refers-To")).first()) == ("response", None)
+
+
+def test_records_that_are_cut_off():
+    good = b"WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    assert [p for _, p in warc._parse(good * 2)] == [b"abc", b"abc"]
+    for bad, said in ((good + b"WARC/1.1\r\nContent-", "cut off in its header"), (good + good[:-6], "2 bytes are missing"),
+                      (b"WARC/1.1\r\nX: y\r\n\r\n", "no Content-Length")):
+        with pytest.raises(ValueError, match=f"f.warc: .*{said}"):
+            list(warc._parse(bad, "f.warc"))
+
+
 def test_damaged_payload_is_found(spark):
     path = _archive(spark, [(1, "u", "a" * 200), (2, "u", "b" * 200)])
     stored = spark.createDataFrame(spark.read.parquet(f"{path}/payloads").collect())
