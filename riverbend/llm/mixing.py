@@ -15,15 +15,17 @@ Sums, shares and divisions are whole numbers; a node's remainder of fewer tokens
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import save
+from .common import quoted, save
 
 LEAF = ["domain", "lang", "source"]
-#: Documents of a leaf are summed by the first digits of their hash before they are put in order.
-DIGITS = 3
+#: Documents of a leaf are summed by the next digits of their hash, round by round, until the ones in which its budget
+#: ends are so few that they can be put in order.
+DIGITS, ORDERED = 3, 1 << 14
 
 
 @dataclass(frozen=True)
@@ -51,7 +53,7 @@ def place(docs: DataFrame, mixture: Mixture, id_col: str = "doc_id", text_col: s
           source_col: str = "source", with_row: bool = False) -> DataFrame:
     """(id, domain, lang, source, n_tokens) of every document, and its whole row in ``row`` if asked.  Tokens are the
     words ``[^\\x20\\x09-\\x0D]+`` (null text: none); a null language or source is named ``und``."""
-    row = [F.struct(*docs.columns).alias("row")] if with_row else []
+    row = [F.struct("*").alias("row")] if with_row else []
     d = docs.select(*row, F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(lang_col, F.lit("und")).alias("lang"),
                     F.coalesce(source_col, F.lit("und")).alias("source"))
     return d.select(*(["row"] if with_row else []), "id", F.expr(mixture.domain).alias("domain"), "lang", "source",
@@ -103,19 +105,33 @@ def choices(placed: DataFrame, mixture: Mixture) -> DataFrame:
     """(domain, lang, source, whole, cut): a leaf's documents are taken in ``whole`` epochs, and once more where their
     hash in the epoch after is at most ``cut``.
 
-    No leaf is put in order as a whole: its tokens are summed by hash prefix, and only the documents of the prefix in
-    which the budget ends are ordered.  Rows with one hash (a repeated id, or none) are taken together or not at all.
+    No leaf is put in order as a whole: its tokens are summed by hash prefix, and within the prefix in which the budget
+    ends by longer prefixes, until ``ORDERED`` hashes at most are left to be ordered.  Rows with one hash (a repeated id,
+    or none) are summed first; they are taken together or not at all.
     """
     leaves = save(budgets(placed, mixture), "budgets")
     hashed = placed.where("n_tokens > 0").join(leaves.where("rest > 0").select(*LEAF, "whole", "rest"), LEAF).select(
-        *LEAF, "rest", "n_tokens", order_hash(mixture, F.col("whole"), "id").alias("h")).withColumn("prefix", F.substring("h", 1, DIGITS))
-    sums = hashed.groupBy(*LEAF, "rest", "prefix").agg(F.sum("n_tokens").alias("tokens"))
-    before = Window.partitionBy(*LEAF).orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("before", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
-    last = save(sums.where("before <= rest and before + tokens > rest").select(*LEAF, "prefix", "before"), "last")
-    within = Window.partitionBy(*LEAF, "prefix").orderBy("h")  # up to all rows of one hash
-    fits = hashed.join(last, [*LEAF, "prefix"]).withColumn("sum", F.col("before") + F.sum("n_tokens").over(within)).where("sum <= rest")
-    cut = last.join(fits.groupBy(*LEAF).agg(F.max("h").alias("h")), LEAF, "left").select(*LEAF, F.coalesce("h", "prefix").alias("cut"))
+        *LEAF, "rest", "n_tokens", order_hash(mixture, F.col("whole"), "id").alias("h"))
+    hashed = save(hashed.groupBy(*LEAF, "rest", "h").agg(F.sum("n_tokens").alias("n_tokens")), "hashed")
+    last = leaves.where("rest > 0").select(*LEAF, F.lit("").alias("prefix"), F.lit(0).cast("long").alias("before"), F.lit(ORDERED + 1).cast("long").alias("n"))
+    digits, small = 0, []
+    while not last.isEmpty():
+        digits += DIGITS
+        open_ = hashed.withColumn("prefix", F.substring("h", 1, digits - DIGITS)).join(last.select(*LEAF, "prefix", "before"), [*LEAF, "prefix"])
+        sums = open_.groupBy(*LEAF, "rest", "before", F.substring("h", 1, digits).alias("prefix")).agg(
+            F.sum("n_tokens").alias("tokens"), F.count("*").alias("n"))
+        lower = Window.partitionBy(*LEAF).orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
+        sums = sums.withColumn("before", F.col("before") + F.coalesce(F.sum("tokens").over(lower), F.lit(0)))
+        found = save(sums.where("before <= rest and before + tokens > rest").select(*LEAF, "prefix", "before", "n"), "last")
+        small.append(found.where(F.col("n") <= ORDERED).withColumn("digits", F.lit(digits)))
+        last = found.where(F.col("n") > ORDERED)
+    if not small:
+        return save(leaves.select(*LEAF, "whole", F.lit(None).cast("string").alias("cut")), "choices")
+    ends = reduce(DataFrame.unionByName, small)
+    within = Window.partitionBy(*LEAF).orderBy("h")
+    fits = hashed.join(ends, LEAF).where(F.substring("h", F.lit(1), F.col("digits")) == F.col("prefix"))
+    fits = fits.withColumn("sum", F.col("before") + F.sum("n_tokens").over(within)).where("sum <= rest")
+    cut = ends.join(fits.groupBy(*LEAF).agg(F.max("h").alias("h")), LEAF, "left").select(*LEAF, F.coalesce("h", "prefix").alias("cut"))
     return save(leaves.join(cut, LEAF, "left").select(*LEAF, "whole", "cut"), "choices")
 
 
@@ -146,4 +162,4 @@ def mix_rows(docs: DataFrame, mixture: Mixture | None = None) -> DataFrame:
     chosen = choices(save(place(docs, mixture), "placed"), mixture)
     own = [c for c in docs.columns if c not in ("domain", "n_tokens", "epoch")]
     return take(place(docs, mixture, with_row=True), chosen, mixture).select(
-        *(F.col("row").getField(c).alias(c) for c in own), "domain", "n_tokens", "epoch")
+        *(F.col(f"row.{quoted(c)}").alias(c) for c in own), "domain", "n_tokens", "epoch")

@@ -66,6 +66,16 @@ def test_mix_equals_plain_version(spark, percent, epochs):
     assert all(b >= 0 for b in budget.values())
 
 
+def test_prefixes_are_refined_until_few_are_left(spark, monkeypatch):
+    """With room for two ordered hashes only, and an id on a third of the rows, the choice is the same."""
+    monkeypatch.setattr(mixing, "DIGITS", 1)
+    monkeypatch.setattr(mixing, "ORDERED", 2)
+    rows = [(k if k % 3 else 0, "w " * (1 + k % 5), "en", f"src{k % 2}") for k in range(600)]
+    m = Mixture(percent=70, max_epochs=2)
+    out = mixing.mix(spark.createDataFrame([(*r, "own", 1) for r in rows], SCHEMA), m)
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == plain(rows, m)[0]
+
+
 def test_shortage_goes_to_siblings_first(spark):
     text = lambda n: " ".join(["w"] * n)
     rows = [(k, text(10), "en", "src0") for k in range(100)] + [(200, text(10), "de", "src0")] + [(300 + k, text(10), "en", "src1") for k in range(100)]
