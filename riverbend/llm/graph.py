@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from .common import save
 
-#: A node's links are dealt over so many groups, so that one node with very many links isn't one task.
-SALTS = 16
+#: A node's links are dealt over parts of about so many, so that one node with very many links isn't one task.
+PART_LINKS = 1 << 18
 
 
-def _least(links: DataFrame) -> DataFrame:
+def _least(links: DataFrame, n_links: int) -> DataFrame:
     """``links`` (u, v) with column ``m``: the least v of that u."""
-    least = links.groupBy("u").agg(F.min("v").alias("m"))
-    salted = least.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return links.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(salted, ["u", "s"]).drop("s")
+    dealt = links.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(1 + n_links // PART_LINKS)))
+    parts = dealt.groupBy("u", "s").agg(F.min("v").alias("m"))
+    least = parts.groupBy("u").agg(F.min("m").alias("m"))
+    return dealt.join(parts.select("u", "s").join(least, "u"), ["u", "s"]).drop("s")
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -35,8 +36,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                 edges.select("v", "v").distinct())
         seen = state
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _least(both).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
-        small = _least(large)
+        large = _least(both, 2 * state[0]).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+        small = _least(large, state[0])
         moved = small.select("u", F.col("m").alias("v")).union(
             small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")))
         edges = save(moved.distinct(), "links")

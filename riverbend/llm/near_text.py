@@ -6,7 +6,7 @@ A text's set holds its distinct shingles of five words (``split_words``); a shor
    hashes kept as one byte each, and one key per band.  Documents with equal digests are one class.
 2. Classes that share a band key are candidates.  A bucket's pairs are never emitted: first every member is
    compared with the member that stands in the most and largest buckets, which is near to most copies.  Where a bucket
-   then still holds several components, its members are dealt into chunks of about ``CHUNK`` and each pair of chunks
+   then still holds several components, its members are dealt into chunks of about ``CHUNK`` members and ``CHUNK_BYTES`` and each pair of chunks
    compares, inside one task, all members that differ in component; only links come out.  So the components are the
    ones that all pairs of all buckets would give.
 3. A pair's signature bytes are compared batch by batch.  After each batch the pair goes if the posterior
@@ -24,8 +24,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import cut, hash_words, pack, save, ship, split_words
+from .common import cut, hash_words, pack, quoted, save, ship, split_words
 from .graph import components
 
 SHINGLE = 5
@@ -35,8 +36,9 @@ THRESHOLD = (75, 100)
 BANDS, ROWS = 32, 5
 #: Signature bytes compared at a time, and the probability at which a pair is given up.
 BATCH, MISS = 32, 1e-6
-#: Members of a bucket that one task compares with as many others.
-CHUNK = 512
+#: Members of a bucket that one task compares with as many others, and the most bytes of their sets (a longer set is a
+#: chunk by itself).
+CHUNK, CHUNK_BYTES = 512, 64 << 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -221,9 +223,9 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     classes = save(signed.where("digest IS NOT NULL").groupBy("digest").agg(
         F.min("id").alias("rep"), *(F.first(c).alias(c) for c in ("n", "signature", "bands"))), "classes")
 
-    banded = classes.select("rep", F.explode("bands").alias("key"))
-    shared = save(banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
-    members = save(banded.join(shared, "key"), "members")
+    banded = classes.select("rep", "n", F.explode("bands").alias("key"))
+    shared = save(banded.groupBy("key").agg(F.count("*").alias("size"), F.sum("n").alias("shingles")).where("size > 1"), "buckets")
+    members = save(banded.drop("n").join(shared, "key"), "members")
     wanted = members.groupBy("rep").agg(F.sum("size").alias("seen"))
     heads = members.join(wanted, "rep").groupBy("key").agg(F.min(F.struct(-F.col("seen"), "rep")).getField("rep").alias("head"))
     # a row that repeats another's id and set adds nothing
@@ -234,13 +236,13 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     links = verifier.links(members.join(save(heads, "heads"), "key").where("rep != head").select(
         F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")).distinct())
     found = save(components(links), "components")
-    placed = members.join(found, members.rep == found.node, "left").select("key", "size", "rep", F.coalesce("component", "rep").alias("c"))
+    placed = members.join(found, members.rep == found.node, "left").select("key", "size", "shingles", "rep", F.coalesce("component", "rep").alias("c"))
     split = save(placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("key"), "unsettled")
-    dealt = placed.join(split, "key").withColumn("k", F.ceil(F.col("size") / CHUNK).cast("int")).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("k")).cast("int"))
+    dealt = placed.join(split, "key").withColumn("k", F.ceil(F.greatest(F.col("size") / CHUNK, F.col("shingles") * 8 / CHUNK_BYTES)).cast("int")).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("k")).cast("int"))
     dealt = dealt.join(classes.select("rep", "signature", "bands"), "rep").join(sets, "rep").withColumn("other", F.explode(F.expr("sequence(0, k - 1)")))
     dealt = dealt.select("key", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"),
                          F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "rep", "c", "signature", "bands", "set")
-    kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
+    kind = to_arrow_type(base.schema["id"].dataType)
     settle = _settle(pa.schema([("a", kind), ("b", kind)]))
     more = save(dealt.groupBy("key", "one", "two").applyInArrow(settle, verifier.schema).distinct(), "settled")
     found = components(links.union(more))
@@ -261,8 +263,8 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     gone = linked.where("NOT kept").select(F.col(id_col).alias("gone")).distinct()
     repeated = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(F.col(id_col).alias("repeated"))
     marks = save(gone.join(repeated, F.col("gone") == F.col("repeated"), "full"), "marks")
-    row = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"))
+    row = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"))
     once = row.join(marks, F.col("id") == F.coalesce("gone", "repeated"), "left").where("gone IS NULL")
     single = once.where("repeated IS NULL").select("row")
     several = once.where("repeated IS NOT NULL").groupBy("id", "hash").agg(F.first("row").alias("row")).select("row")
-    return single.union(several).select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
+    return single.union(several).select(*(F.col(f"row.{quoted(c)}").alias(c) for c in docs.columns))

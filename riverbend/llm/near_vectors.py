@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import pack, save, ship
 from .graph import components
@@ -197,7 +198,7 @@ def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         F.expr(upto.format(n="k_after", more="", at="cell", beside="true", left="chunk", right="i", side=0, alone="false")),
         F.expr(upto.format(n="k_before", more="", at="cell - 1", beside="true", left="i", right="chunk", side=1, alone="false")))
     schema = f"rep {id_type}, class long, degree long, root {id_type}"
-    arrow = pa.schema([("rep", _arrow_type(id_type)), ("class", pa.int64()), ("degree", pa.int64()), ("root", _arrow_type(id_type))])
+    arrow = pa.schema([("rep", to_arrow_type(types["id"])), ("class", pa.int64()), ("degree", pa.int64()), ("root", to_arrow_type(types["id"]))])
     found = placed.withColumn("g", F.explode(groups)).select(
         "label", "block", "dim", "g.at", "g.beside", "g.left", "g.right", "g.side", "g.alone", "rep", F.xxhash64("label", "digest").alias("class"), "size", "vector")
     found = save(found.groupBy("label", "block", "dim", "at", "beside", "left", "right").applyInArrow(_link(min_cosine, item, arrow), schema), "linked")
@@ -211,7 +212,3 @@ def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         F.col("id").alias(id_col), F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component", "id").alias("component_id"),
         F.coalesce(F.col("id") == F.coalesce("component", "id"), F.lit(True)).alias("kept"))
-
-
-def _arrow_type(name: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[name]
