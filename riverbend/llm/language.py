@@ -200,10 +200,13 @@ def _predict(model: Model):
             spans: list[list[dict]] = [[] for _ in range(n)]
             if len(words.doc) and model.languages:
                 label = model.label(words, n)
-                letters = np.bincount(words.doc * width + label, words.stop - words.first, n * width).reshape(n, width)
-                seen = letters.sum(axis=1) > 0
+                size = words.stop - words.first
+                told = size * model.scripts[words.script].any(axis=1)  # other scripts' letters speak for no language
+                letters = np.bincount(words.doc * width + label, told, n * width).reshape(n, width)
+                total = np.bincount(words.doc, size, n)
+                seen = total > 0
                 pred[seen] = np.array(model.languages, object)[letters.argmax(axis=1)][seen]
-                score[seen] = letters.max(axis=1)[seen] / letters.sum(axis=1)[seen]
+                score[seen] = letters.max(axis=1)[seen] / total[seen]
                 new = np.flatnonzero((np.diff(words.doc, prepend=-1) != 0) | (np.diff(label, prepend=-1) != 0))
                 for a, b in zip(new, [*new[1:], len(label)], strict=True):
                     spans[words.doc[a]].append({"start": int(words.first[a]), "stop": int(words.stop[b - 1]), "lang": model.languages[label[a]]})
@@ -216,7 +219,8 @@ def _predict(model: Model):
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score, spans) of every row.
 
-    ``score`` is the share of the text's letters in words of the predicted language; ``spans`` are (start, stop, lang)
+    ``score`` is the share of the text's letters in words of the predicted language, without words of a script that no
+    language uses (0 where there are no others); ``spans`` are (start, stop, lang)
     of its runs of one language, in code points of the text.  A text that is null or has no letter is ``und`` with
     score 0 and no span, and so is every text if the model has learned no language.  Of equal languages the first by
     name wins.  Null and repeated ids are kept; an empty table gives an empty one; other columns are not read.

@@ -22,10 +22,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, ship
+from .common import cut, quoted, ship
 
 FEATURES = 1 << 12
-#: The scorer is fitted on about so many documents, drawn by a hash of their text.
+#: The scorer is fitted on so many different texts at most, drawn by their hash.
 TRAIN_DOCS = 6000
 #: Documents that score less are rejected.
 LEAST = 0.5
@@ -52,7 +52,7 @@ _RUN = re.compile(r"(.)\1+")
 
 def _shape(word: str) -> str:
     """Runs of capitals, other letters and digits become A, a and 0; marks stay."""
-    return _RUN.sub(r"\1", "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word))[:24]
+    return _RUN.sub(r"\1", "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word))
 
 
 @lru_cache(200_000)
@@ -185,8 +185,8 @@ def _examples(labels: LabelModel):
             full = np.diff(words.offsets) > 0
             good, table = labels.posterior(votes(words)), features(words)
             at = [np.flatnonzero(row) for row in table]
-            yield pa.record_batch([pa.array(good[full]), pa.array([a for a, f in zip(at, full, strict=True) if f], pa.list_(pa.int64())),
-                                   pa.array([row[a] for row, a, f in zip(table, at, full, strict=True) if f], pa.list_(pa.float32()))], ["good", "at", "value"])
+            yield pa.record_batch([pa.array(good[full]), batch.column("copies").filter(pa.array(full)), pa.array([a for a, f in zip(at, full, strict=True) if f], pa.list_(pa.int64())),
+                                   pa.array([row[a] for row, a, f in zip(table, at, full, strict=True) if f], pa.list_(pa.float32()))], ["good", "copies", "at", "value"])
     return examples
 
 
@@ -199,12 +199,12 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(table @ self.weight + self.base, -500, 500)))
 
 
-def fit_scorer(good: np.ndarray, rows: np.ndarray, at: np.ndarray, value: np.ndarray, steps: int = 300, decay: float = 1e-4) -> Scorer:
+def fit_scorer(good: np.ndarray, copies: np.ndarray, rows: np.ndarray, at: np.ndarray, value: np.ndarray, steps: int = 300, decay: float = 1e-4) -> Scorer:
     """Logistic regression on posterior labels, both classes with equal total weight; Adam over the whole sample."""
     weight, base = np.zeros(FEATURES), 0.0
     if not len(good):
         return Scorer(weight, base)
-    each = good / max(good.sum(), 1e-9) + (1 - good) / max((1 - good).sum(), 1e-9)
+    each = copies * (good / max(copies @ good, 1e-9) + (1 - good) / max(copies @ (1 - good), 1e-9))
     first, second = np.zeros(FEATURES + 1), np.zeros(FEATURES + 1)
     for t in range(1, steps + 1):
         score = 1 / (1 + np.exp(-np.clip(np.bincount(rows, weight[at] * value, len(good)) + base, -500, 500)))
@@ -217,18 +217,20 @@ def fit_scorer(good: np.ndarray, rows: np.ndarray, at: np.ndarray, value: np.nda
 
 
 def train(docs: DataFrame, text_col: str = "text", train_docs: int = TRAIN_DOCS) -> tuple[LabelModel, Scorer]:
-    """The label model over all texts, and the scorer on about ``train_docs`` of them."""
+    """The label model over all texts, and the scorer on ``train_docs`` different texts at most, copies as weights."""
     ship(docs.sparkSession)
     base = docs.select(F.col(text_col).alias("text")).where("text IS NOT NULL")
     counted = base.mapInArrow(_vote, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").toArrow().combine_chunks()
     pattern, n = counted["pattern"].to_numpy(), counted["n"].to_numpy()
     labels = fit_labels(pattern[:, None] // 3 ** np.arange(len(LABELLERS)) % 3, n)
-    share = int(min(1, train_docs / max(n.sum(), 1)) * (1 << 20)) + 1
-    drawn = base.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share)
-    sample = drawn.mapInArrow(_examples(labels), "good double, at array<long>, value array<float>").toArrow().combine_chunks()
+    # each text once, with the number of its copies; of those drawn the ones with the least hashes
+    share = int(min(1, 1.2 * train_docs / max(n.sum(), 1)) * (1 << 40)) + 1
+    drawn = base.withColumn("h", F.xxhash64("text")).where(F.pmod(F.xxhash64("h"), F.lit(1 << 40)) < share)
+    drawn = drawn.groupBy("h").agg(F.first("text").alias("text"), F.count("*").alias("copies")).orderBy("h").limit(train_docs)
+    sample = drawn.mapInArrow(_examples(labels), "good double, copies long, at array<long>, value array<float>").toArrow().combine_chunks()
     at, value = sample["at"].combine_chunks(), sample["value"].combine_chunks()
     rows = np.repeat(np.arange(sample.num_rows), pc.list_value_length(at).to_numpy()) if sample.num_rows else np.zeros(0, np.int64)
-    return labels, fit_scorer(sample["good"].to_numpy(), rows, at.flatten().to_numpy(), value.flatten().to_numpy())
+    return labels, fit_scorer(sample["good"].to_numpy(), sample["copies"].to_numpy(), rows, at.flatten().to_numpy(), value.flatten().to_numpy())
 
 
 def _score(scorer: Scorer):
@@ -242,6 +244,12 @@ def _score(scorer: Scorer):
     return score
 
 
+def reject(docs: DataFrame, scorer: Scorer, text_col: str = "text", least: float = LEAST) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with the columns that they have."""
+    ship(docs.sparkSession)
+    return docs.where(_score(scorer)(F.col(text_col)) >= least)
+
+
 def judge(docs: DataFrame, scorer: Scorer, text_col: str = "text", least: float = LEAST) -> DataFrame:
     """``docs`` with columns ``quality_score`` (0 to 1, higher is better) and ``quality_kept``; columns of those names
     are replaced.
@@ -250,6 +258,6 @@ def judge(docs: DataFrame, scorer: Scorer, text_col: str = "text", least: float
     table gives an empty one.
     """
     ship(docs.sparkSession)
-    names = [c for c in docs.columns if c not in ("quality_score", "quality_kept")]
+    names = [quoted(c) for c in docs.columns if c not in ("quality_score", "quality_kept")]
     scored = docs.select(*names, _score(scorer)(F.col(text_col)).alias("quality_score"))
     return scored.select(*names, "quality_score", (F.col("quality_score") >= least).alias("quality_kept"))

@@ -58,3 +58,12 @@ def test_held_out_accuracy(spark):
     joined = L.predict(docs, m).join(docs.where(L.held_out()).select("doc_id", "lang"), "doc_id")
     r = joined.agg(F.count("*").alias("n"), F.avg((F.col("lang") == F.col("lang_pred")).cast("int")).alias("right")).first()
     assert r.n > 100 and r.right >= 0.95
+
+
+def test_scripts_of_no_language_give_no_certainty(spark):
+    docs = [(k, "the cat sat on the mat and the dog" if k % 2 else "der hund und die katze sind hier", "en" if k % 2 else "de") for k in range(40)]
+    model = L.train(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    rows = [(1, "東京タワー"), (2, "the cat 東京タワ and the dog")]
+    got = {r.doc_id: r for r in L.predict(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert got[1].lang_pred in ("de", "en") and got[1].score == 0
+    assert got[2].lang_pred == "en" and 0 < got[2].score < 0.8
