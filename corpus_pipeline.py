@@ -18,14 +18,15 @@ from riverbend.sources.tables import read_table
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the scorer, trained on all docs' weak labels, doesn't reject."""
     _, scorer = quality.train(docs)
-    return quality.judge(docs, scorer).where("quality_kept").select(*docs.columns)
+    return quality.reject(docs, scorer)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without passages that stand earlier in the corpus; ``n_chars`` follows a changed text."""
-    out = line_chunks.remove_repeats(docs)
-    n_chars = F.when(F.col("lines_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return out.withColumn("n_chars", n_chars).select(*docs.columns)
+    removed = "lines_removed_" + "_".join(docs.columns).replace(".", "_")  # no column of docs has this name
+    out = line_chunks.remove_repeats(docs, removed_col=removed)
+    n_chars = F.when(F.col(removed) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return out.withColumn("n_chars", n_chars).drop(removed)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
