@@ -16,13 +16,13 @@ OP9 = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
 l AS (SELECT rid, doc_id, unnest(string_split(text, chr(10))) AS line,
              generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d),
-h AS (SELECT *, ('0x' || substr(md5(line), 1, 15))::BIGINT % 65536 AS h, length(line) AS size FROM l),
+h AS (SELECT *, ('0x' || substr(md5(line), 1, 12))::BIGINT % 65536 AS h, length(line) AS size FROM l),
 e AS (SELECT *, coalesce((lag(h) OVER w * {FACTOR} + h) % {LONG_CHARS} < size, false) OR size >= {LONG_CHARS}
                 OR coalesce(lead(size) OVER w >= {LONG_CHARS}, false) AS ends FROM h WINDOW w AS (PARTITION BY rid ORDER BY pos)),
 c AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM e),
 k AS (SELECT rid, any_value(doc_id) AS doc_id, min(pos) AS start, max(pos) AS stop, list(line ORDER BY pos) AS lines,
              string_agg(line, chr(10) ORDER BY pos) AS passage FROM c GROUP BY rid, chunk),
-b AS (SELECT *, list_reverse(list_concat(lag(lines, 2) OVER w, lag(lines) OVER w)) AS before, lead(lines) OVER w AS after FROM k WINDOW w AS (PARTITION BY rid ORDER BY start)),
+b AS (SELECT *, list_reverse(CASE WHEN lag(lines) OVER w IS NOT NULL THEN list_concat(list_slice(lag(lines, 2) OVER w, -1, NULL), lag(lines) OVER w) END) AS before, lead(lines) OVER w AS after FROM k WINDOW w AS (PARTITION BY rid ORDER BY start)),
 s AS (SELECT *, row_number() OVER (PARTITION BY passage ORDER BY doc_id, start) AS nth FROM b WHERE length(passage) >= {SEED_CHARS}),
 m AS (SELECT s.rid, f.rid AS of, s.start - f.start AS distance, s.start - {_common("s.before", "f.before")} AS lo,
              s.stop + {_common("s.after", "f.after")} AS hi FROM s JOIN s f ON f.passage = s.passage AND f.nth = 1 WHERE s.nth > 1),
