@@ -12,8 +12,8 @@ continues after it (skip past the last event).
 * V2 - as V1, but a cool reading in between cancels the match.
 
 V1/V2 are greedy chains: each match starts at the first hot reading after the
-previous match's end.  The chain is followed with pointer doubling over rank
-tables (``log2`` rounds of equi-joins on unique ``(group, rank)`` keys), so no
+previous match's end.  The chain is followed with pointer jumping over rank
+tables (``log4`` rounds of equi-joins on unique ``(group, rank)`` keys), so no
 device or run is ever gathered into one task.  Ranks, run starts and "first
 reading at or after t" lookups are running aggregates computed in two levels
 (:mod:`riverbend.operators.prefix`).
@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from riverbend.operators.prefix import bucketed_prefix
@@ -45,18 +45,47 @@ def _runs(d: DataFrame, key: str, tiebreak: str) -> DataFrame:
                            kind="sum", inclusive=True, out="__run")
 
 
-def hot_v3(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
-           tolerance_seconds: float) -> DataFrame:
-    """V3 alerts: the closing reading of each qualifying hot run (input columns)."""
+def _as_readings(d: DataFrame, seeds: DataFrame) -> DataFrame:
+    """``seeds`` (key, ``__us``, ``__hot``) in the columns of ``d``; all other values are NULL."""
+    return seeds.select(*[F.col(c) if c in seeds.columns else F.lit(None).cast(d.schema[c].dataType).alias(c) for c in d.columns])
+
+
+def match_runs(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float, tolerance_seconds: float,
+               carried: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """V3 ``(alerts, carry)``.
+
+    ``carry`` is (key, ``us``, ``cool``), a row for each device that matters to later readings: its last reading is
+    cool, or it is in a hot run after a cool reading, without an alert so far, that began at ``us``.  Given to the
+    next call as ``carried``, with readings that are all later, it gives the alerts that one call over all would.
+    """
     cols = df.columns
     tol = int(round(tolerance_seconds * 1_000_000))
-    hot = _runs(readings(df, ts, temp, threshold), key, tiebreak).filter(F.col("__hot") & (F.col("__run") >= 1))
+    d = readings(df, ts, temp, threshold)
+    if carried is not None:
+        run = carried.filter(~F.col("cool"))
+        d = d.unionByName(_as_readings(d, carried.filter("cool").select(key, F.col("us").alias("__us"), F.lit(False).alias("__hot")))).unionByName(
+            _as_readings(d, run.select(key, (F.col("us") - 1).alias("__us"), F.lit(False).alias("__hot")))).unionByName(
+            _as_readings(d, run.select(key, F.col("us").alias("__us"), F.lit(True).alias("__hot"))))
+    rows = land(_runs(d, key, tiebreak), "runs")
     # the run's first time is the least one before a row: no run is joined or gathered
-    seen = bucketed_prefix(hot, [key, "__run"], [F.col("__us"), F.col(tiebreak)], F.col("__us"), kind="min",
-                           out="__first")
-    closing = seen.filter(F.col("__us") >= F.col("__first") + F.lit(tol)).groupBy(key, "__run").agg(
-        F.min_by(F.struct(*cols), F.struct("__us", tiebreak)).alias("__row"))
-    return closing.select("__row.*")
+    seen = bucketed_prefix(rows.filter(F.col("__hot") & (F.col("__run") >= 1)), [key, "__run"],
+                           [F.col("__us"), F.col(tiebreak)], F.col("__us"), kind="min", out="__first")
+    late = F.col("__us") >= F.col("__first") + F.lit(tol)
+    runs = land(seen.groupBy(key, "__run").agg(
+        F.min_by(F.when(late, F.struct(*cols)), F.when(late, F.struct("__us", tiebreak))).alias("__row"),
+        F.min("__us").alias("us")), "hot-runs")
+    last = rows.groupBy(F.col(key).alias("__k")).agg(F.max(F.struct("__us", tiebreak, "__hot", "__run")).alias("__last"))
+    at = last.join(runs, F.col("__k").eqNullSafe(F.col(key)) & (F.col("__last.__run") == F.col("__run")), "left")
+    cool = ~F.col("__last.__hot")
+    carry = at.filter(cool | F.col("us").isNotNull() & F.col("__row").isNull()).select(
+        F.col("__k").alias(key), F.when(cool, F.col("__last.__us")).otherwise(F.col("us")).alias("us"), cool.alias("cool"))
+    return runs.filter("__row IS NOT NULL").select("__row.*"), carry
+
+
+def hot_v3(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
+           tolerance_seconds: float) -> DataFrame:
+    """V3 alerts: the closing reading of each qualifying hot run (input columns)."""
+    return match_runs(df, key, ts, temp, tiebreak, threshold, tolerance_seconds)[0]
 
 
 def _chain(ends: DataFrame) -> DataFrame:
@@ -66,9 +95,9 @@ def _chain(ends: DataFrame) -> DataFrame:
     at ``r``; the next match starts at ``end + 1``.  Returns ``__g, r`` for each
     chain member (and one rank past the group where the chain leaves it).
 
-    Round k holds the jump table ``J_k`` (the start 2^k matches ahead) and the
-    members found so far (chain positions ``0 .. 2^k - 1``); one round
-    produces ``J_{k+1} = J_k o J_k`` and the new members ``J_k(members)``.  A
+    Round k holds the jump table ``J_k`` (the start 4^k matches ahead) and the
+    members found so far (chain positions ``0 .. 4^k - 1``); one round
+    takes each member one, two and three jumps on, and squares ``J_k`` twice.  A
     jump that lands outside its group has no successor and is dropped by the
     join, so the table shrinks every round.  A round writes only its jumps and
     its new members, and the jumps before it are deleted.
@@ -76,18 +105,27 @@ def _chain(ends: DataFrame) -> DataFrame:
     spark = ends.sparkSession
     jump, jump_path = ends.select("__g", "r", (F.col("end") + 1).alias("a")), None
     found = [land(ends.filter(F.col("r") == 1).select("__g", "r"), "chain")]
+
+    def after(left: DataFrame, right: DataFrame) -> DataFrame:
+        """One jump by ``right`` from where ``left`` lands."""
+        on = right.select(F.col("__g").alias("__g2"), F.col("r").alias("__r2"), F.col("a").alias("__a2"))
+        return left.join(on, (F.col("__g") == F.col("__g2")) & (F.col("a") == F.col("__r2"))).select("__g", "r", F.col("__a2").alias("a"))
+
     while True:
         members = reduce(DataFrame.unionByName, found)
-        new = land(members.join(jump, ["__g", "r"]).select("__g", F.col("a").alias("r")), "chain")
-        if new.isEmpty():
+        steps = [members.select("__g", "r", F.col("r").alias("a"))]
+        for _ in range(3):
+            steps.append(after(steps[-1], jump))
+        seen = Observation()
+        new = land(reduce(DataFrame.unionByName, steps[1:]).select("__g", F.col("a").alias("r")).observe(seen, F.count(F.lit(1)).alias("n")), "chain")
+        if not seen.get["n"]:
             break
         found.append(new)
-        right = jump.select(F.col("__g").alias("__g2"), F.col("r").alias("__r2"), F.col("a").alias("__a2"))
-        after = jump.join(right, (F.col("__g") == F.col("__g2")) & (F.col("a") == F.col("__r2"))).select(
-            "__g", "r", F.col("__a2").alias("a"))
+        twice = after(jump, jump)
         path = scratch_dir(spark, "jumps")
-        after.write.parquet(path)
-        jump = spark.read.schema(after.schema).parquet(path)
+        after_four = after(twice, twice)
+        after_four.write.parquet(path)
+        jump = spark.read.schema(after_four.schema).parquet(path)
         if jump_path:
             remove(spark, jump_path)
         jump_path = path
@@ -96,13 +134,20 @@ def _chain(ends: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
-def _greedy(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
-            tolerance_seconds: float, reset_on_cool: bool) -> DataFrame:
+def match_greedy(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float, tolerance_seconds: float,
+                 reset_on_cool: bool, carried: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """V1 (or V2, ``reset_on_cool``) ``(alerts, carry)``.
+
+    ``carry`` is (key, ``us``, ``cool``), a row for each device with an open match, which began at ``us`` (``cool`` is
+    false).  Given to the next call as ``carried``, with readings that are all later, the chain goes on from there.
+    """
     cols = df.columns
     tol = int(round(tolerance_seconds * 1_000_000))
     d = readings(df, ts, temp, threshold)
+    if carried is not None:
+        d = d.unionByName(_as_readings(d, carried.select(key, F.col("us").alias("__us"), F.lit(True).alias("__hot"))))
     if reset_on_cool:
-        d = _runs(d, key, tiebreak)
+        d = land(_runs(d, key, tiebreak), "runs")
     group = F.struct(F.col(key), F.col("__run")) if reset_on_cool else F.struct(F.col(key))
     hot = d.filter("__hot").withColumn("__g", group)
     ranked = land(bucketed_prefix(hot, ["__g"], [F.col("__us"), F.col(tiebreak)], F.lit(1), kind="sum",
@@ -116,23 +161,29 @@ def _greedy(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshol
     counted = bucketed_prefix(data.unionByName(query), ["__g"], [F.col("t"), F.col("kind"), F.col("tb")],
                               F.col("w"), kind="sum", inclusive=True, out="before")
     ends = land(counted.filter(F.col("kind") == 0).select(
-        "__g", F.col("q").alias("r"),
+        "__g", F.col("q").alias("r"), (F.col("t") - F.lit(tol)).alias("us"),
         F.greatest(F.col("q") + 1, F.coalesce(F.col("before"), F.lit(0)) + 1).alias("end")), "ends")
-    # an end past the group's last rank is no reading: the join drops it
-    closing = _chain(ends).join(ends, ["__g", "r"]).select("__g", F.col("end").alias("r"))
-    return ranked.join(closing, ["__g", "r"]).select(*cols)
+    starts = _chain(ends).join(ends, ["__g", "r"]).select(F.col("__g").alias("__from"), "us", "end")
+    closing = ranked.select("__g", "r", F.struct(*cols).alias("__row"))
+    # an end past the group's last rank is no reading: the match stays open
+    found = land(starts.join(closing, F.col("__from").eqNullSafe(F.col("__g")) & (F.col("end") == F.col("r")), "left"), "matches")
+    left = found.filter("__row IS NULL").select(F.col(f"__from.{key}").alias(key), "us", *(["__from.__run"] if reset_on_cool else []))
+    if reset_on_cool:  # only the run in which a device still is
+        now = d.groupBy(F.col(key).alias("__k")).agg(F.max("__run").alias("__now"))
+        left = left.join(now, F.col(key).eqNullSafe(F.col("__k")) & (F.col("__run") == F.col("__now")))
+    return found.filter("__row IS NOT NULL").select("__row.*"), left.select(key, "us", F.lit(False).alias("cool"))
 
 
 def hot_v1(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
            tolerance_seconds: float) -> DataFrame:
     """V1 alerts (closing readings); cool readings do not break a match."""
-    return _greedy(df, key, ts, temp, tiebreak, threshold, tolerance_seconds, False)
+    return match_greedy(df, key, ts, temp, tiebreak, threshold, tolerance_seconds, False)[0]
 
 
 def hot_v2(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
            tolerance_seconds: float) -> DataFrame:
     """V2 alerts (closing readings); a cool reading cancels the open match."""
-    return _greedy(df, key, ts, temp, tiebreak, threshold, tolerance_seconds, True)
+    return match_greedy(df, key, ts, temp, tiebreak, threshold, tolerance_seconds, True)[0]
 
 
 # Pluggable matchers: every matcher has the signature

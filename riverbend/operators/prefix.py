@@ -62,19 +62,25 @@ def bucketed_prefix(df: DataFrame, keys: list[str], order: list[Column], value:
     :func:`sorted_buckets` left on these rows, if it still never decreases
     along ``order``; otherwise the rows are sorted and cut here.
     """
+    return bucketed_prefixes(df, keys, order, {out: value}, kind, inclusive, bucket)
+
+
+def bucketed_prefixes(df: DataFrame, keys: list[str], order: list[Column], values: dict[str, Column], kind: str = "max",
+                      inclusive: bool = False, bucket: str | None = None) -> DataFrame:
+    """As :func:`bucketed_prefix` for several values (``out: value``) over one order: the rows are sorted and joined once."""
     agg = _AGGS[kind]
-    k, b, v = "__rb_key", "__rb_bucket", "__rb_value"
+    k, b = "__rb_key", "__rb_bucket"
     d = sorted_buckets(df, keys, order, b) if bucket is None else df.withColumn(b, F.col(bucket))
     # One struct key: never NULL itself, and NULL members compare equal in the
     # join, so a NULL key is a group of its own exactly as in a window.
-    d = d.withColumn(k, F.struct(*keys)).withColumn(v, value)
+    d = d.withColumn(k, F.struct(*keys)).withColumns({f"__rb_value{i}": v for i, v in enumerate(values.values())})
+    n = range(len(values))
 
-    totals = d.groupBy(k, b).agg(agg(v).alias("__rb_total"))
+    totals = d.groupBy(k, b).agg(*(agg(f"__rb_value{i}").alias(f"__rb_total{i}") for i in n))
     w_bucket = Window.partitionBy(k).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(k, b, agg("__rb_total").over(w_bucket).alias("__rb_carry"))
+    carry = totals.select(k, b, *(agg(f"__rb_total{i}").over(w_bucket).alias(f"__rb_carry{i}") for i in n))
 
     joined = d.join(carry, on=[k, b], how="inner")
-    end = 0 if inclusive else -1
-    w_local = Window.partitionBy(k, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-    local = agg(v).over(w_local)
-    return joined.withColumn(out, _combine(kind, F.col("__rb_carry"), local)).drop(k, b, v, "__rb_carry")
+    w_local = Window.partitionBy(k, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    out = joined.withColumns({name: _combine(kind, F.col(f"__rb_carry{i}"), agg(f"__rb_value{i}").over(w_local)) for i, name in enumerate(values)})
+    return out.drop(k, b, *(f"__rb_value{i}" for i in n), *(f"__rb_carry{i}" for i in n))

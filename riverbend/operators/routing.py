@@ -8,6 +8,7 @@ once, use :func:`riverbend.streaming.sinks.fan_out`.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 
 from riverbend.functions.json import json_verdict, parse_struct
 from riverbend.functions.time import wire_timestamp
-from riverbend.operators.prefix import bucketed_prefix
+from riverbend.operators.prefix import bucketed_prefix, bucketed_prefixes
 
 
 def route_label(column: str, routes: Mapping[str, str], default: str | None = None) -> Column:
@@ -100,4 +101,34 @@ def split_late(df: DataFrame, ts: str, offset: str,
     return tagged.filter(~F.col("__late")).drop("__late"), tagged.filter("__late").drop("__late")
 
 
-__all__ = ["route_label", "split_by", "labelled", "dead_letter_split", "tag_late", "split_late"]
+def tag_late_combined(df: DataFrame, ts: str, offset: str, source_partition: str, partitions: Sequence, arrival: str,
+                      idle_ms: int, out: str = "__late") -> DataFrame:
+    """Tag rows behind a watermark that is combined over source partitions.
+
+    Rows arrive in the order of ``offset``, at ``arrival`` (a timestamp that doesn't fall).  A
+    partition's own watermark is the newest event time, in ms, among its rows so
+    far, less 1 ms; the combined one is the least of those of the partitions that
+    aren't idle.  A partition is idle when its last row (or, if it has none,
+    the first row of all) came more than ``idle_ms`` before the present row; one that isn't idle
+    and has no row yet holds the watermark back, and so does it while all are idle.  A row is
+    late iff its time is below the combined watermark of the rows before it.
+
+    The running maxima of all ``partitions`` (values of ``source_partition``; a few
+    hundred at most) are taken in one pass over bounded buckets of rows, so a
+    partition with most of the rows is spread over many tasks.
+    """
+    at, ms = F.unix_millis(F.col(arrival)), F.unix_millis(F.col(ts))
+    own = lambda p, v: F.when(F.col(source_partition) == F.lit(p), v)
+    values = {f"__newest{i}": own(p, ms) for i, p in enumerate(partitions)} | {f"__came{i}": own(p, at) for i, p in enumerate(partitions)}
+    d = bucketed_prefixes(df.withColumn("__one", F.lit(0)), ["__one"], [F.col(offset)], values | {"__begin": -at}, kind="max")
+    begin = -F.col("__begin")  # the first arrival of all, as the greatest negative
+    n = range(len(partitions))
+    active = [at - F.coalesce(F.col(f"__came{i}"), begin) <= idle_ms for i in n]
+    # an active partition without rows has no watermark: it holds back
+    held = reduce(Column.__or__, [a & F.col(f"__newest{i}").isNull() for i, a in zip(n, active, strict=True)])
+    least = F.array_min(F.array(*[F.when(a, F.col(f"__newest{i}")) for i, a in zip(n, active, strict=True)]))
+    late = F.coalesce(~held & (ms < least - 1), F.lit(False))
+    return d.withColumn(out, late).drop("__one", *values, "__begin")
+
+
+__all__ = ["tag_late_combined", "route_label", "split_by", "labelled", "dead_letter_split", "tag_late", "split_late"]

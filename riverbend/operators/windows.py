@@ -77,22 +77,26 @@ def sessionize(df: DataFrame, key: str | Sequence[str], ts: str, gap_seconds: fl
         F.min("__us").alias("__first"), F.max("__us").alias("__last"),
         F.count(F.lit(1)).alias("__n"))
 
-    # Level 2: merge chunk-local sessions that are within one gap of each other.
-    # The previous session's end is a running maximum and the session id a
-    # running count of starts, both over the chunks (bucketed, so a user with
-    # very many sessions is still spread over many tasks).
-    order = [F.col("__first"), F.col("__chunk")]
-    local = bucketed_prefix(local, key, order, F.col("__last"), kind="max", out="__prev_last", bucket="__chunk")
-    local = local.withColumn("__new", F.when(F.col("__prev_last").isNull()
+    merged = merge_sessions(local.drop("__local"), key, gap_us, order=["__chunk"], bucket="__chunk")
+    return merged.select(*key, F.timestamp_micros("__first").alias("activity_start"),
+                         F.timestamp_micros("__last").alias("activity_end"), F.col("__n").alias("num_interactions"))
+
+
+def merge_sessions(parts: DataFrame, key: Sequence[str], gap_us: int, order: Sequence[str] = (), bucket: str | None = None) -> DataFrame:
+    """Parts of sessions (``*key, __first, __last, __n``) to whole ones: parts within one gap of each other are one.
+
+    The end of what stands before is a running maximum and the session id a
+    running count of starts, both over buckets, so a user with very many parts is
+    still spread over many tasks.  ``bucket`` names a column left by ``sorted_buckets``.
+    """
+    key = list(key)
+    by = [F.col("__first"), *(F.col(c) for c in order)] if order else [F.col("__first"), F.col("__last")]
+    parts = bucketed_prefix(parts, key, by, F.col("__last"), kind="max", out="__prev_last", bucket=bucket)
+    parts = parts.withColumn("__new", F.when(F.col("__prev_last").isNull()
                                              | (F.col("__first") - F.col("__prev_last") > gap_us), 1).otherwise(0))
-    local = bucketed_prefix(local, key, order, F.col("__new"), kind="sum", inclusive=True, out="__sid",
-                            bucket="__chunk")
-    sessions = local.groupBy(*key, "__sid").agg(
-        F.min("__first").alias("__first"), F.max("__last").alias("__last"),
-        F.sum("__n").alias("num_interactions"))
-    return sessions.select(*key, F.timestamp_micros("__first").alias("activity_start"),
-                           F.timestamp_micros("__last").alias("activity_end"),
-                           F.col("num_interactions").cast("long").alias("num_interactions"))
+    parts = bucketed_prefix(parts, key, by, F.col("__new"), kind="sum", inclusive=True, out="__sid", bucket=bucket)
+    return parts.groupBy(*key, "__sid").agg(F.min("__first").alias("__first"), F.max("__last").alias("__last"),
+                                            F.sum("__n").cast("long").alias("__n")).drop("__sid")
 
 
 def session_activity_stream(df: DataFrame, key: str | Sequence[str], ts: str, gap: str,

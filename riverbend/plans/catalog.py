@@ -16,15 +16,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riverbend.functions.time import day_partition, iso_wire, ts_text_nanos, wire_timestamp
-from riverbend.operators import dedup, latency, patterns, routing, windows
+from riverbend.operators import changelog, dedup, latency, patterns, routing, windows
 from riverbend.plans import derive
 from riverbend.sources import cdc, kafka, protobuf
 from riverbend.sources import files as file_sources
 from riverbend.sources.tables import read_table, to_ntz
 from riverbend.streaming import patterns as stream_patterns
-from riverbend.streaming import sinks
+from riverbend.streaming import sessions, sinks
 from riverbend.streaming import state as keyed_state
+from riverbend.streaming.changelog import latest_changelog_stream
+from riverbend.streaming.eventtime import ordered_stream
 from riverbend.streaming.late import split_late_stream
+from riverbend.streaming.manifest import ManifestTable, stream_to_manifest
 
 HOT = 50.0
 TOLERANCE_S = 6 * 3600
@@ -195,6 +198,46 @@ def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_ntz(_late_split(spark, sf_dir)[1].drop("offset"))
 
 
+def late_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late rows of a topic of four partitions, one of which has half of the rows and one falls silent midway."""
+    le = derive.partitioned_arrivals(_events(spark, sf_dir, ["event_id", "event_type", "ts"]))
+    tagged = routing.tag_late_combined(le, "event_time", "offset", "part", range(4), "came", 60_000, out="late")
+    return to_ntz(tagged.drop("came"))
+
+
+def ordered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per user in event-time order with their position, from a stream whose batches overlap in time."""
+    ev = _events(spark, sf_dir, ["event_id", "user_id", "ts"])
+    first, newest = ev.agg(F.min(F.unix_seconds("ts")), F.max(F.unix_seconds("ts"))).first()
+    end = spark.range(1).select(F.lit(-1).cast("long").alias("event_id"), F.lit(-1).cast("long").alias("user_id"),
+                                F.timestamp_seconds(F.lit(4_102_444_800)).alias("ts"))
+    # every seventh event comes up to two days late
+    day, at = 86_400, F.unix_seconds("ts") - F.lit(first)
+    came = F.when(F.col("event_id") < 0, F.lit(newest - first + 2 * day)).otherwise(
+        F.when(F.col("event_id") % 7 == 0, at + F.col("event_id") % 2 * day + day).otherwise(at))
+    src, out, ck, carry = (sinks.new_output(spark, f"ordered-{n}") for n in ("src", "out", "ck", "carry"))
+    _in_batches(ev.unionByName(end).withColumn("came", came), "came", src, lambda: ordered_stream(
+        file_sources.parquet_folder(spark, src, ev.schema, True), "user_id", "ts", ["event_id"], ck, carry,
+        sinks.parquet_batch_writer(out), delay_seconds=2 * day))
+    schema = T.StructType([*ev.schema.fields, T.StructField("position", T.LongType())])
+    return to_ntz(spark.read.schema(schema).parquet(out).drop("batch_id"))
+
+
+def keep_first_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 on a stream with event-time state: the copy of every order that comes in the second batch is dropped."""
+    rows = _transactions_twice_marked(_orders(spark, sf_dir))
+    src, out, ck = (sinks.new_output(spark, f"first-{n}") for n in ("src", "out", "ck"))
+    schema = rows.schema
+    _in_batches(rows, "copy", src, lambda: sinks.exactly_once_copy(dedup.keep_first_stream(
+        file_sources.parquet_folder(spark, src, schema, True), "t_id", "t_time", "20 years"), out, ck), batches=2)
+    return to_ntz(spark.read.schema(schema).parquet(out))
+
+
+def _transactions_twice_marked(orders: DataFrame) -> DataFrame:
+    t = orders.select(F.col("o_orderkey").alias("t_id"), F.col("o_custkey").alias("t_customer_id"), F.col("o_orderdate").alias("t_time"))
+    return t.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
+
+
 def _dead_letter(spark, sf_dir):
     msgs = derive.dead_letter_messages(_events(spark, sf_dir, ["event_id", "event_type", "ts"]))
     return routing.dead_letter_split(msgs, "value", EVENT_SCHEMA, required=["id", "data", "timestamp"],
@@ -366,11 +409,13 @@ def _land(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifex
     df.write.mode(mode).format(fmt).save(path)
 
 
-def _land_in_order(df: DataFrame, order: str, path: str, batches: int = 3) -> None:
-    """Land rows as successive batches of files along ``order`` (a number that starts at 0 or above)."""
+def _in_batches(df: DataFrame, order: str, path: str, run, batches: int = 3) -> None:
+    """Let a stream over ``path`` take the rows in batches along ``order`` (a number that starts at 0 or above): each
+    range is landed with the input's partitions, and ``run`` consumes it before the next one lands."""
     step = (df.agg(F.max(order)).first()[0] or 0) // batches + 1
     for b in range(batches):
-        df.filter(F.floor(F.col(order) / step) == b).coalesce(1).write.mode("append").parquet(path)
+        df.filter(F.floor(F.col(order) / step) == b).write.mode("append").parquet(path)
+        keyed_state.run_available(run())
 
 
 def _state_rows(spark, sf_dir):
@@ -428,6 +473,45 @@ def state_migrated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state_flat(_run_state(spark, sf_dir, migrate=True))
 
 
+FLAT_VALUE = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts_us", T.LongType()),
+                           T.StructField("content1", T.StringType())])
+
+
+def state_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``state_migrated``, but the rewritten state is the second version's initial state, not its input."""
+    rows = _state_rows(spark, sf_dir)
+    split = _split_point(rows, "event_id")
+    first, second, ck1, ck2 = (sinks.new_output(spark, f"initial-{n}") for n in ("src1", "src2", "ck1", "ck2"))
+    _land(rows.filter(F.col("event_id") <= split), first)
+    schema_v1 = T.StructType([T.StructField("user_id", T.LongType())] + _state_value(SUB_EVENT_V1).fields)
+    keyed_state.keyed_latest_stream(file_sources.parquet_folder(spark, first, schema_v1, True),
+                                    "user_id", _state_value(SUB_EVENT_V1), "event_id", ck1)
+    flat = lambda st: st.select("user_id", "event_id", "ts_us", F.col("sub_events")[0]["content1"].alias("content1"))
+    _land(flat(rows.filter((F.col("event_id") > split) & (F.col("user_id") % 5 != 0))), second)
+    schema_v2 = T.StructType([T.StructField("user_id", T.LongType()), *FLAT_VALUE.fields])
+    keyed_state.keyed_latest_from(file_sources.parquet_folder(spark, second, schema_v2, True), "user_id", FLAT_VALUE, "event_id", ck2,
+                                  initial=flat(keyed_state.read_state(spark, ck1)))
+    return keyed_state.read_variable(spark, ck2, "latest", "user_id").select(
+        "user_id", "event_id", F.timestamp_micros("ts_us").cast("timestamp_ntz").alias("ts"), "content1")
+
+
+def session_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions per user of a stream whose three batches each hold events of the whole time: most sessions grow and
+    merge from batch to batch."""
+    ev = _events(spark, sf_dir, ["event_id", "user_id", "ts"])
+    newest = ev.agg(F.max(F.unix_seconds("ts")), F.min(F.unix_seconds("ts"))).first()
+    delay = newest[0] - newest[1] + 1
+    end = spark.range(1).select(F.lit(-1).cast("long").alias("event_id"), F.lit(-1).cast("long").alias("user_id"),
+                                F.timestamp_seconds(F.lit(4_102_444_800)).alias("ts"))
+    rows = ev.unionByName(end).withColumn("third", F.when(F.col("event_id") < 0, 2).otherwise(F.col("event_id") % 3))
+    src, out, ck, carry = (sinks.new_output(spark, f"sessions-{n}") for n in ("src", "out", "ck", "carry"))
+    _in_batches(rows, "third", src, lambda: sessions.session_stream(
+        file_sources.parquet_folder(spark, src, ev.schema, True), "user_id", "ts", SESSION_GAP_S, ck, carry, sinks.parquet_batch_writer(out), delay))
+    schema = T.StructType([ev.schema["user_id"], T.StructField("activity_start", T.TimestampType()),
+                           T.StructField("activity_end", T.TimestampType()), T.StructField("num_interactions", T.LongType())])
+    return to_ntz(spark.read.schema(schema).parquet(out).drop("batch_id"))
+
+
 def exactly_once_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events copied stream-to-Parquet; the job stops halfway and resumes from its checkpoint."""
     ev = _events(spark, sf_dir)
@@ -542,10 +626,9 @@ def late_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late rows split off a stream that comes in three batches; both outputs, tagged."""
     le = derive.late_events(_events(spark, sf_dir, ["event_id", "event_type", "ts"])).withColumn("part", (F.col("offset") % 4).cast("int"))
     src, on_time, late, ck, carry = (sinks.new_output(spark, f"late-{n}") for n in ("src", "on", "late", "ck", "carry"))
-    _land_in_order(le, "offset", src)
-    stream = spark.readStream.schema(le.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    keyed_state.run_available(split_late_stream(stream, "event_time", "offset", "part", sinks.parquet_batch_writer(on_time),
-                                                sinks.parquet_batch_writer(late), ck, carry))
+    _in_batches(le, "offset", src, lambda: split_late_stream(
+        spark.readStream.schema(le.schema).parquet(src), "event_time", "offset", "part", sinks.parquet_batch_writer(on_time),
+        sinks.parquet_batch_writer(late), ck, carry))
     read = lambda path, tag: spark.read.schema(le.schema).parquet(path).drop("batch_id").withColumn("late", F.lit(tag))
     return to_ntz(read(on_time, False).unionByName(read(late, True)))
 
@@ -555,10 +638,8 @@ def improvements_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir, ["event_id", "user_id", "ts", "event_type", "value"])
     ev = ev.withColumn("arrival", ((F.col("event_id") * 7919) % 100003) * 1_000_000 + F.col("event_id"))
     src, out, ck, carry = (sinks.new_output(spark, f"better-{n}") for n in ("src", "out", "ck", "carry"))
-    _land_in_order(ev, "arrival", src)
-    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    keyed_state.run_available(keyed_state.latest_improvements_stream(
-        stream, "user_id", "ts", "arrival", ck, carry, sinks.parquet_batch_writer(out)))
+    _in_batches(ev, "arrival", src, lambda: keyed_state.latest_improvements_stream(
+        spark.readStream.schema(ev.schema).parquet(src), "user_id", "ts", "arrival", ck, carry, sinks.parquet_batch_writer(out)))
     return to_ntz(spark.read.schema(ev.schema).parquet(out).drop("arrival", "batch_id"))
 
 
@@ -576,39 +657,113 @@ def dedup_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(joined.schema).parquet(out)
 
 
-def alerts_and_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One read of a stream feeds the raw rows' sink and the V3 alerts' sink."""
+def _readings_in_order(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, T.StructType]:
+    """Readings with ``at``, microseconds since the first one, and a reading in the far future that moves the watermark
+    past all others; and their schema on the stream."""
     ev = _readings(spark, sf_dir)
-    src, raw, alerts, ck = (sinks.new_output(spark, f"both-{n}") for n in ("src", "raw", "alerts", "ck"))
-    _land(ev, src)
-    keyed_state.run_available(sinks.fan_out(file_sources.parquet_folder(spark, src, ev.schema, True), {
-        "raw": (lambda b: b, sinks.parquet_batch_writer(raw)),
-        "alerts": (lambda b: patterns.hot_v3(b, "user_id", "ts", "value", "event_id", HOT, TOLERANCE_S), sinks.parquet_batch_writer(alerts)),
+    last = F.timestamp_seconds(F.lit(4_102_444_800))
+    first, newest = ev.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    end = spark.range(1).select(F.lit(-1).cast("long").alias("event_id"), F.lit(-1).cast("long").alias("user_id"), last.alias("ts"), F.lit(0.0).alias("value"))
+    at = F.least(F.unix_micros("ts"), F.lit(newest)) - F.lit(first)
+    return ev.unionByName(end.select(*[F.col(f.name).cast(f.dataType) for f in ev.schema.fields])).withColumn("at", at), ev.schema
+
+
+def alerts_and_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One read of a stream, in three batches, feeds the raw rows' sink and the V3 alerts' sink under one checkpoint."""
+    ev, schema = _readings_in_order(spark, sf_dir)
+    src, raw, alerts, ck, carry = (sinks.new_output(spark, f"both-{n}") for n in ("src", "raw", "alerts", "ck", "carry"))
+    matcher = stream_patterns.HotMatcher("user_id", "ts", "value", "event_id", HOT, TOLERANCE_S, 3, carry)
+    write = sinks.parquet_batch_writer(alerts)
+    _in_batches(ev, "at", src, lambda: sinks.fan_out(file_sources.parquet_folder(spark, src, schema, True), {
+        "raw": (lambda b: b.filter("event_id >= 0"), sinks.parquet_batch_writer(raw)),
+        "alerts": (lambda b: b, lambda b, i: write(matcher.step(b, i), i)),
     }, ck))
-    read = lambda path, kind: spark.read.schema(ev.schema).parquet(path).drop("batch_id").withColumn("kind", F.lit(kind))
+    read = lambda path, kind: spark.read.schema(schema).parquet(path).drop("batch_id").withColumn("kind", F.lit(kind))
     return to_ntz(read(raw, "raw").unionByName(read(alerts, "alert")))
 
 
 def _hot_stream(version: int):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ev = _readings(spark, sf_dir)
-        src, out, ck = (sinks.new_output(spark, f"hot{version}-{n}") for n in ("src", "out", "ck"))
-        _land_in_order(ev.withColumn("at", F.unix_micros("ts")).withColumn(
-            "at", F.col("at") - F.lit(ev.agg(F.min(F.unix_micros("ts"))).first()[0])), "at", src)
-        # a reading in the far future moves the watermark past all others
-        last = ev.limit(1).select(F.lit(-1).cast("long").alias("event_id"), F.lit(-1).cast("long").alias("user_id"),
-                                  F.timestamp_seconds(F.lit(4_102_444_800)).alias("ts"), F.lit(0.0).alias("value"))
-        last.write.mode("append").parquet(src)
-        stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
-        alerts = stream_patterns.hot_stream(stream, "user_id", "ts", "value", "event_id", HOT, TOLERANCE_S, version)
-        keyed_state.run_available(sinks.exactly_once_copy(alerts, out, ck))
-        return to_ntz(spark.read.schema(alerts.schema).parquet(out))
-
-    query.__doc__ = f"V{version} alerts matched on a stream that comes in event-time order."
+        ev, schema = _readings_in_order(spark, sf_dir)
+        src, out, ck, carry = (sinks.new_output(spark, f"hot{version}-{n}") for n in ("src", "out", "ck", "carry"))
+        _in_batches(ev, "at", src, lambda: stream_patterns.hot_stream(
+            file_sources.parquet_folder(spark, src, schema, True), "user_id", "ts", "value", "event_id", HOT, TOLERANCE_S, version,
+            ck, carry, sinks.parquet_batch_writer(out)))
+        return to_ntz(spark.read.schema(schema).parquet(out).drop("batch_id"))
+
+    query.__doc__ = f"V{version} alerts matched on a stream that comes in event-time order, in three batches."
     return query
 
 
+def _orders_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    """Changelog of the latest order per customer, from a stream of orders by key in three batches."""
+    o = _orders(spark, sf_dir)
+    src, out, ck, carry = (sinks.new_output(spark, f"log-{n}") for n in ("src", "out", "ck", "carry"))
+    _in_batches(o, "o_orderkey", src, lambda: latest_changelog_stream(
+        file_sources.parquet_folder(spark, src, o.schema, True), "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderkey", ck, carry,
+        sinks.parquet_batch_writer(out)))
+    schema = T.StructType([T.StructField("arrival", T.LongType()), T.StructField("step", T.IntegerType()),
+                           T.StructField("kind", T.StringType()), *o.schema.fields])
+    return spark.read.schema(schema).parquet(out).drop("batch_id"), o.columns
+
+
+def changelog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row changes (+I, -U, +U) of the latest order per customer as orders come in."""
+    return to_ntz(_orders_log(spark, sf_dir)[0])
+
+
+def changelog_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest order per customer, rebuilt from its changelog."""
+    log, columns = _orders_log(spark, sf_dir)
+    return to_ntz(changelog.fold_changelog(log, columns))
+
+
+def changelog_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and sum of the latest orders by priority, kept by adding and taking back."""
+    return changelog.retracting_totals(_orders_log(spark, sf_dir)[0], "o_orderpriority", "o_totalprice")
+
+
+def cdc_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row changes (+I, -U, +U, -D) of the table that a change feed describes."""
+    feed = derive.change_feed(_orders(spark, sf_dir, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]))
+    changes = cdc.parse_cdc(feed, "value", CDC_ROW)
+    rows = changes.select(F.coalesce("after", "before").alias("image"), "lsn", "op").select("image.*", "lsn", "op")
+    log, _ = changelog.latest_changelog(rows, "t_id", ["lsn"], "lsn", deleted=F.col("op") == cdc.OP_DELETE)
+    return log.select("arrival", "kind", "t_id", "t_customer_id", "t_amount")
+
+
+def cdc_image_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change events whose ``before`` isn't the row that the feed left there."""
+    feed = derive.change_feed_with_faults(_orders(spark, sf_dir, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]))
+    broken = changelog.image_breaks(cdc.parse_cdc(feed, "value", CDC_ROW), "t_id")[1]
+    return broken.select(F.coalesce("after.t_id", "before.t_id").alias("t_id"), "lsn", "op", "fault",
+                         F.col("before.t_amount").alias("before_amount"), F.col("expected.t_amount").alias("expected_amount"))
+
+
+def compacted_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions streamed in three batches, each with rows for every month, into a table that is compacted as it is
+    written: rows unchanged, one file a month."""
+    tx = _transactions_for_parquet(spark, sf_dir).withColumn("t_month", F.substring("t_date", 1, 7))
+    src, path, ck = (sinks.new_output(spark, f"compact-{n}") for n in ("src", "table", "ck"))
+    schema = T.StructType([*TXN_PARQUET.fields, T.StructField("t_month", T.StringType())])
+    table = ManifestTable(spark, path, schema, "t_month", split_by="t_id")
+    _in_batches(tx.withColumn("third", F.col("t_id") % 3), "third", src, lambda: stream_to_manifest(
+        file_sources.parquet_folder(spark, src, schema, True), table, ck))
+    small = table.files().filter(F.col("bytes") < table.small_bytes).groupBy("folder").agg(F.count("*").alias("n"))
+    one = small.agg(F.coalesce(F.max("n") == 1, F.lit(True)).alias("one_small_file"))
+    return table.read().crossJoin(F.broadcast(one))  # one row
+
+
 QUERIES.update({
+    "late_by_partition": late_by_partition,
+    "ordered_events": ordered_events,
+    "keep_first_stream": keep_first_stream,
+    "changelog_stream": changelog_stream,
+    "changelog_folded": changelog_folded,
+    "changelog_totals": changelog_totals,
+    "cdc_changelog": cdc_changelog,
+    "cdc_image_breaks": cdc_image_breaks,
+    "compacted_stream": compacted_stream,
     "cdc_bad": cdc_bad,
     "windowed_word_count": windowed_word_count,
     "json_sql": json_sql,
@@ -631,4 +786,6 @@ QUERIES.update({
     "exactly_once_copy": exactly_once_copy,
     "state_latest": state_latest,
     "state_migrated": state_migrated,
+    "state_initial": state_initial,
+    "session_stream": session_stream,
 })

@@ -6,10 +6,14 @@ Fixed derivation rules (the oracle SQL repeats them):
 * late rows: ``event_id > 50 and event_id % 10 = 0`` -> data "delayed", time 5 h earlier;
 * dead letters by ``event_id``: ``% 10 = 9`` no id key, ``% 97 = 13`` extra key,
   ``% 89 = 7`` not JSON, ``% 83 = 5`` empty text, ``% 79 = 3`` id of wrong type;
+* partitions: 0 for even ids, else 1 for ``% 3 = 0``, else 3 for ``% 5 = 1`` below half of the ids, else 2; an id comes at
+  its number of seconds;
 * headers: ``% 11 = 0`` no tracestate, ``% 7 = 0`` a second (winning) traceparent;
 * broken change events: for ``o_orderkey % 29 = 3`` a text that is no JSON, for ``% 31 = 4`` a ``t_id`` that is no
   number, for ``% 37 = 5`` an unknown ``op``, each beside the order's own events;
-* change feed from orders: insert all, update ``% 5 = 4`` (+1.00), delete ``% 13 = 6``.
+* change feed from orders: insert all, update ``% 5 = 4`` (+1.00), delete ``% 13 = 6``;
+* change feed with faults: insert all, update all (+1.00), update ``% 3 = 1`` (+1.00 more), delete ``% 4 = 1``; the first
+  update is lost for ``% 7 = 3``, the insert for ``% 17 = 8``, and the first update comes twice for ``% 11 = 5``.
 """
 
 from __future__ import annotations
@@ -51,6 +55,14 @@ def late_events(events: DataFrame) -> DataFrame:
                          t.alias("event_time"), F.col("event_id").alias("offset"))
 
 
+def partitioned_arrivals(events: DataFrame) -> DataFrame:
+    """:func:`late_events` with the source partition ``part`` and the time ``came`` at which a row arrives."""
+    half = events.agg(F.max("event_id")).first()[0] // 2 if events.take(1) else 0
+    i = F.col("id")
+    part = F.when(i % 2 == 0, 0).when(i % 3 == 0, 1).when((i % 5 == 1) & (i < half), 3).otherwise(2)
+    return late_events(events).withColumn("part", part).withColumn("came", F.timestamp_seconds(i))
+
+
 def dead_letter_messages(events: DataFrame) -> DataFrame:
     """``offset, value``: JSON event texts, some of them broken on purpose."""
     eid = F.col("event_id")
@@ -112,6 +124,30 @@ def change_feed(orders: DataFrame) -> DataFrame:
     return orders.select(F.explode(changes).alias("value"))
 
 
+def change_feed_with_faults(orders: DataFrame) -> DataFrame:
+    """A change feed from which events are missing, and in which some come twice."""
+    k, amount = F.col("o_orderkey"), F.col("o_totalprice").try_cast("decimal(10,2)")
+
+    def row(more: int) -> Column:
+        return F.struct(k.alias("t_id"), F.col("o_custkey").alias("t_customer_id"), (amount + F.lit(more)).try_cast("decimal(10,2)").alias("t_amount"))
+
+    null_row = F.lit(None).cast("struct<t_id:bigint,t_customer_id:bigint,t_amount:decimal(10,2)>")
+
+    def event(when: Column, op: str, before: Column, after: Column, seq: int) -> Column:
+        return F.when(when, F.to_json(F.struct(before.alias("before"), after.alias("after"), F.lit(op).alias("op"),
+                                               F.unix_millis("o_orderdate").alias("ts_ms"), F.struct((k * 5 + F.lit(seq)).alias("lsn")).alias("source"))))
+
+    final = F.when(k % 3 == 1, row(2)).otherwise(row(1))
+    events = F.filter(F.array(
+        event(k % 17 != 8, OP_CREATE, null_row, row(0), 0),
+        event(k % 7 != 3, OP_UPDATE, row(0), row(1), 1),
+        event(k % 11 == 5, OP_UPDATE, row(0), row(1), 2),
+        event(k % 3 == 1, OP_UPDATE, row(1), row(2), 3),
+        event(k % 4 == 1, OP_DELETE, final, null_row, 4),
+    ), lambda x: x.isNotNull())
+    return orders.select(F.explode(events).alias("value"))
+
+
 def change_feed_with_errors(orders: DataFrame) -> DataFrame:
     """The change feed, with broken events among it."""
     k = F.col("o_orderkey")

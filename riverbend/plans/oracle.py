@@ -264,3 +264,69 @@ ORACLE.update({
     "hot_v2_stream": ORACLE["hot_v2"],
     "hot_v3_stream": ORACLE["hot_v3"],
 })
+
+_CHANGES = """
+    WITH p AS (SELECT *, max(struct_pack(d := o_orderdate, k := o_orderkey)) OVER (
+                   PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM orders),
+    n AS (SELECT * FROM p WHERE prev IS NULL OR o_orderdate >= prev.d)
+    SELECT o_orderkey AS arrival, CAST(1 AS INTEGER) AS step, CASE WHEN prev IS NULL THEN '+I' ELSE '+U' END AS kind,
+           o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM n
+    UNION ALL
+    SELECT n.o_orderkey, 0, '-U', b.o_orderkey, b.o_custkey, b.o_orderstatus, b.o_totalprice, b.o_orderdate, b.o_orderpriority
+    FROM n JOIN orders b ON b.o_orderkey = n.prev.k"""
+
+_FAULTS = """
+    WITH o AS (SELECT o_orderkey AS k, o_custkey AS c, CAST(TRY_CAST(o_totalprice AS DECIMAL(10,2)) AS DECIMAL(12,2)) AS a FROM orders),
+    e AS (SELECT k, k * 5 AS lsn, 'c' AS op, NULL AS b, a FROM o WHERE k % 17 <> 8
+          UNION ALL SELECT k, k * 5 + 1, 'u', a, a + 1 FROM o WHERE k % 7 <> 3
+          UNION ALL SELECT k, k * 5 + 2, 'u', a, a + 1 FROM o WHERE k % 11 = 5
+          UNION ALL SELECT k, k * 5 + 3, 'u', a + 1, a + 2 FROM o WHERE k % 3 = 1
+          UNION ALL SELECT k, k * 5 + 4, 'd', CASE WHEN k % 3 = 1 THEN a + 2 ELSE a + 1 END, NULL FROM o WHERE k % 4 = 1),
+    w AS (SELECT *, lag(a) OVER x AS had, lag(op) OVER x AS op0, lag(b) OVER x AS b0 FROM e WINDOW x AS (PARTITION BY k ORDER BY lsn))
+    SELECT k AS t_id, lsn, op,
+           CASE WHEN op IS NOT DISTINCT FROM op0 AND b IS NOT DISTINCT FROM b0 AND a IS NOT DISTINCT FROM had THEN 'repeat'
+                WHEN had IS NULL THEN 'no_history' ELSE 'gap' END AS fault,
+           CAST(b AS DECIMAL(10,2)) AS before_amount, CAST(had AS DECIMAL(10,2)) AS expected_amount
+    FROM w WHERE b IS DISTINCT FROM had"""
+
+ORACLE.update({
+    "changelog_stream": _CHANGES,
+    "changelog_folded": _LATEST,
+    "changelog_totals": f"SELECT o_orderpriority, count(*) AS n, sum(o_totalprice) AS total FROM ({_LATEST}) t GROUP BY o_orderpriority",
+    "cdc_changelog": """
+        WITH o AS (SELECT o_orderkey AS k, o_custkey AS c, TRY_CAST(o_totalprice AS DECIMAL(10,2)) AS a FROM orders)
+        SELECT k * 3 AS arrival, '+I' AS kind, k AS t_id, c AS t_customer_id, a AS t_amount FROM o
+        UNION ALL SELECT k * 3 + 1, '-U', k, c, a FROM o WHERE k % 5 = 4
+        UNION ALL SELECT k * 3 + 1, '+U', k, c, CAST(a + 1 AS DECIMAL(10,2)) FROM o WHERE k % 5 = 4
+        UNION ALL SELECT k * 3 + 2, '-D', k, c, CAST(a + CASE WHEN k % 5 = 4 THEN 1 ELSE 0 END AS DECIMAL(10,2)) FROM o WHERE k % 13 = 6""",
+    "cdc_image_breaks": _FAULTS,
+    "compacted_stream": f"SELECT *, substr(t_date, 1, 7) AS t_month, true AS one_small_file FROM ({_TXN}) t",
+})
+
+ORACLE.update({
+    "state_initial": f"SELECT user_id, event_id, ts, content1 FROM ({_STATE}) t",
+    "session_stream": ORACLE["session_activity"],
+})
+
+_PARTS = ", ".join(f"max(ms) FILTER (part = {p}) OVER w AS m{p}, max(id) FILTER (part = {p}) OVER w AS c{p}" for p in range(4))
+_ACTIVE = [f"(id - coalesce(c{p}, first)) * 1000 <= 60000" for p in range(4)]
+
+ORACLE.update({
+    "late_by_partition": f"""
+        WITH e AS (SELECT event_id AS id,
+                          CASE WHEN event_id > 50 AND event_id % 10 = 0 THEN 'delayed' ELSE event_type END AS data,
+                          CASE WHEN event_id > 50 AND event_id % 10 = 0 THEN ts - INTERVAL 5 HOUR ELSE ts END AS event_time,
+                          event_id AS "offset",
+                          CAST(CASE WHEN event_id % 2 = 0 THEN 0 WHEN event_id % 3 = 0 THEN 1
+                                    WHEN event_id % 5 = 1 AND event_id < (SELECT max(event_id) // 2 FROM events) THEN 3 ELSE 2 END AS INTEGER) AS part
+                   FROM events),
+        x AS (SELECT *, epoch_us(event_time) // 1000 AS ms FROM e),
+        s AS (SELECT *, min(id) OVER w AS first, {_PARTS} FROM x WINDOW w AS (ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+        SELECT id, data, event_time, "offset", part,
+               coalesce(NOT ({" OR ".join(f"({a} AND m{p} IS NULL)" for p, a in enumerate(_ACTIVE))})
+                        AND ms < least({", ".join(f"CASE WHEN {a} THEN m{p} END" for p, a in enumerate(_ACTIVE))}) - 1, false) AS late FROM s""",
+    "ordered_events": """
+        SELECT event_id, user_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS position FROM events""",
+    "keep_first_stream": """
+        SELECT o_orderkey AS t_id, o_custkey AS t_customer_id, o_orderdate AS t_time, CAST(0 AS INTEGER) AS copy FROM orders""",
+})

@@ -49,7 +49,9 @@ def split_cdc(df: DataFrame, value: str, row: T.StructType) -> tuple[DataFrame,
 def parse_cdc(df: DataFrame, value: str, row: T.StructType) -> DataFrame:
     """JSON change events -> ``op, before, after, ts_ms, lsn``; an event that
     isn't one fails the job.  Use :func:`split_cdc` to keep such events apart."""
-    parsed = df.select(F.from_json(F.col(value), envelope_schema(row), {"mode": "FAILFAST"}).alias("e"), F.col(value).alias("v"))
+    # a generator keeps later filters above the parse, so that it isn't copied into them
+    parsed = df.select(F.inline(F.array(F.struct(F.from_json(F.col(value), envelope_schema(row), {"mode": "FAILFAST"}).alias("e"),
+                                                 F.col(value).alias("v")))))
     known = F.col("e.op").isin(OP_CREATE, OP_UPDATE, OP_DELETE, OP_READ) & F.coalesce("e.after", "e.before").isNotNull()
     op = F.when(known, F.col("e.op")).otherwise(F.raise_error(F.concat(F.lit("not a change event: "), F.coalesce("v", F.lit("null")))))
     return parsed.select(op.alias("op"), "e.before", "e.after", "e.ts_ms", F.col("e.source.lsn").alias("lsn"))

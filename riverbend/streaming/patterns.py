@@ -1,121 +1,66 @@
 """Streaming "sensor stays hot too long" matching (V1, V2, V3).
 
-Per device, readings are buffered in map state, by minute, until the event-time
-watermark passes them; a call touches only the minutes it adds to or drains.
-Then they are folded in ``(ts, tiebreak)`` order; the fold's
-position (open match start, last reading cool, alert already raised in this
-run) lives in value state.  Event-time timers wake a device when the watermark
-moves, so matches are emitted without waiting for the device's next reading.
-The rules are those of :mod:`riverbend.operators.patterns` (batch form).
+Every micro-batch runs the batch operator of :mod:`riverbend.operators.patterns`
+over the readings that the event-time watermark has passed, after what is
+carried from the batches before: one small row per device with an open match (or,
+for V3, whose last reading is cool), readings that still wait for the watermark,
+and the watermark.  So a device is split over tasks as in batch, there is no
+Python in the job, and matches go on over the borders of batches.  The
+carry is a table under ``state_path`` per batch id: a replayed batch reads the
+same carry and finds the same matches (``write`` must be idempotent per batch id).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Mapping
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StreamingQuery
 
-from riverbend.operators.patterns import readings
-from riverbend.streaming.state import ensure_rocksdb
+from riverbend.operators.patterns import match_greedy, match_runs
+from riverbend.streaming.eventtime import EventTimeBuffer
 
-MINUTE_US = 60_000_000
-MINUTE = T.StructType([T.StructField("minute", T.LongType())])
-BUFFER = T.StructType([T.StructField("rows", T.ArrayType(T.StructType([
-    T.StructField("ts_us", T.LongType()), T.StructField("tb", T.LongType()), T.StructField("temp", T.DoubleType())])))])
-FOLD = T.StructType([T.StructField("start_us", T.LongType()), T.StructField("last_cool", T.BooleanType()),
-                     T.StructField("done", T.BooleanType())])
 
+class HotMatcher:
+    """Matches of one version over micro-batches, in order of their ids.
 
-class HotPattern(StatefulProcessor):
-    def __init__(self, version: int, threshold: float, tolerance_us: int):
-        self.version, self.threshold, self.tol = version, threshold, tolerance_us
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.buffer = handle.getMapState("buffer", MINUTE, BUFFER)
-        self.fold = handle.getValueState("fold", FOLD)
+    A reading waits until a reading at least ``delay_seconds`` later has been
+    seen; one behind the watermark on arrival is dropped, and NULL and NaN
+    readings are none, as in batch.  Readings at one time are ordered by ``tiebreak``.
+    """
 
-    def _step(self, start, last_cool, done, ts, temp):
-        """One reading through the fold; returns new state and whether it closes a match."""
-        hot = temp >= self.threshold
+    def __init__(self, key: str, ts: str, temp: str, tiebreak: str, threshold: float, tolerance_seconds: float,
+                 version: int, state_path: str, delay_seconds: float = 0.0):
+        self.names, self.rule = (key, ts, temp, tiebreak), (threshold, tolerance_seconds)
+        self.version, self.where = version, (ts, state_path, delay_seconds)
+        self.buffer: EventTimeBuffer | None = None
+
+    def step(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """Closing readings (input columns) of the matches that end in this batch."""
+        key, _, temp, _ = self.names
+        if self.buffer is None:
+            ts, path, delay = self.where
+            self.buffer = EventTimeBuffer(ts, path, T.StructType([batch.schema[key], T.StructField("us", T.LongType()),
+                                                                  T.StructField("cool", T.BooleanType())]), delay)
+        due, waiting, carried = self.buffer.take(batch, batch_id, F.col(temp).isNotNull() & ~F.isnan(F.col(temp).cast("double")))
         if self.version == 3:
-            if not hot:
-                return None, True, False, False
-            if last_cool:
-                return ts, False, False, False
-            if start is not None and not done and ts >= start + self.tol:
-                return start, False, True, True
-            return start, False, done, False
-        if not hot:
-            return (None if self.version == 2 else start), True, done, False
-        if start is None:
-            return ts, False, done, False
-        if ts >= start + self.tol:
-            return None, False, done, True
-        return start, False, done, False
-
-    def _rows(self, minute: int) -> list[tuple]:
-        return [tuple(r) for r in self.buffer.getValue((minute,))[0]] if self.buffer.containsKey((minute,)) else []
-
-    def _drain(self, key, watermark_ms: int) -> Iterator[pd.DataFrame]:
-        limit_us = watermark_ms * 1000
-        due = sorted(m for (m,) in self.buffer.keys() if m * MINUTE_US < limit_us)
-        if not due:
-            return
-        start, last_cool, done = self.fold.get() if self.fold.exists() else (None, False, False)
-        out = []
-        for minute in due:
-            rows = sorted(self._rows(minute))
-            rest = [r for r in rows if r[0] >= limit_us]
-            for ts, tb, temp in rows[:len(rows) - len(rest)]:
-                start, last_cool, done, closes = self._step(start, last_cool, done, ts, temp)
-                if closes:
-                    out.append((key[0], ts, tb, temp))
-            if rest:
-                self.buffer.updateValue((minute,), (rest,))
-                self.handle.registerTimer(rest[0][0] // 1000 + 1)
-            else:
-                self.buffer.removeKey((minute,))
-        self.fold.update((start, last_cool, done))
-        if out:
-            yield pd.DataFrame(out, columns=["key", "ts_us", "tb", "temp"])
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        for pdf in rows:
-            minutes: dict[int, list[tuple]] = {}
-            for r in zip(pdf["ts_us"].tolist(), pdf["tb"].tolist(), pdf["temp"].tolist()):
-                minutes.setdefault(r[0] // MINUTE_US, []).append(r)
-            for minute, new in minutes.items():
-                self.buffer.updateValue((minute,), (self._rows(minute) + new,))
-                self.handle.registerTimer(min(new)[0] // 1000 + 1)
-        yield from self._drain(key, timerValues.getCurrentWatermarkInMs())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._drain(key, timerValues.getCurrentWatermarkInMs())
-
-    def close(self) -> None:
-        pass
+            alerts, carry = match_runs(due, *self.names, *self.rule, carried)
+        else:
+            alerts, carry = match_greedy(due, *self.names, *self.rule, self.version == 2, carried)
+        self.buffer.keep(waiting, carry, batch_id)
+        return alerts  # of a landed table
 
 
-def hot_stream(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float,
-               tolerance_seconds: float, version: int, delay: str = "0 seconds") -> DataFrame:
-    """Closing readings of V1/V2/V3 matches on a stream (append mode).
+def hot_stream(df: DataFrame, key: str, ts: str, temp: str, tiebreak: str, threshold: float, tolerance_seconds: float,
+               version: int, checkpoint: str, state_path: str, write: Callable[[DataFrame, int], None],
+               delay_seconds: float = 0.0, trigger: Mapping | None = None) -> StreamingQuery:
+    """Run V1, V2 or V3 on a stream and give each batch's closing readings to ``write``.
 
-    Output: ``key, ts, tiebreak, temp`` named like the input columns.  Rows
-    behind the watermark (``delay``) are dropped by Spark before matching; NULL
-    and NaN readings are none, as in batch.
+    The last readings wait for the watermark; at the end of a bounded input
+    append a far-future reading to settle them.
     """
-    ensure_rocksdb(df.sparkSession)
-    rows = (readings(df, ts, temp, threshold).withWatermark(ts, delay)
-              .select(F.col(key).alias("key"), F.col(ts), F.unix_micros(F.col(ts)).alias("ts_us"),
-                      F.col(tiebreak).cast("long").alias("tb"), F.col(temp).cast("double").alias("temp")))
-    out_schema = f"key {df.schema[key].dataType.simpleString()}, ts_us long, tb long, temp double"
-    matched = rows.groupBy("key").transformWithStateInPandas(
-        HotPattern(version, threshold, int(round(tolerance_seconds * 1_000_000))), out_schema,
-        "Append", "EventTime")
-    return matched.select(F.col("key").alias(key), F.timestamp_micros("ts_us").alias(ts),
-                          F.col("tb").alias(tiebreak), F.col("temp").alias(temp))
+    matcher = HotMatcher(key, ts, temp, tiebreak, threshold, tolerance_seconds, version, state_path, delay_seconds)
+    w = df.writeStream.foreachBatch(lambda b, i: write(matcher.step(b, i), i)).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()

@@ -115,6 +115,81 @@ def latest_improvements_stream(df: DataFrame, key: str, ts: str, arrival: str, c
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+class KeepLatest(StatefulProcessor):
+    """The value columns of the row with the largest ``arrival`` per key, in value state ``latest``; the state may
+    begin with rows of a query before (``handleInitialState``)."""
+
+    def __init__(self, names: list[str], arrival: str, schema: str):
+        self.names, self.arrival, self.schema = names, arrival, schema
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.latest = handle.getValueState("latest", self.schema)
+
+    def _offer(self, pdf: pd.DataFrame) -> bool:
+        best = pdf.sort_values(self.arrival, kind="stable").iloc[-1]
+        now = self.latest.get()[self.names.index(self.arrival)] if self.latest.exists() else None
+        if now is not None and now >= best[self.arrival]:
+            return False
+        self.latest.update(tuple(None if pd.isna(v := best[c]) else v.item() if hasattr(v, "item") else v for c in self.names))
+        return True
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self._offer(initialState)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if any([self._offer(pdf) for pdf in rows if len(pdf)]):
+            yield pd.DataFrame([(key[0], *self.latest.get())], columns=["key", *self.names])
+
+    def close(self) -> None:
+        pass
+
+
+def _newest_of(key: str, arrival: str):
+    """One row per key and batch of rows: what a task reduces before the shuffle."""
+    def newest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.sort_values(arrival, kind="stable").drop_duplicates(key, keep="last")
+    return newest
+
+
+def keyed_latest_from(source: DataFrame, key: str, value_schema: T.StructType, arrival: str, checkpoint: str,
+                      initial: DataFrame | None = None, trigger: dict | None = None):
+    """Latest value columns per key with ``transformWithState``, from an initial state.
+
+    ``initial`` (key and value columns, one row per key) is loaded into the state of
+    a new checkpoint before the first batch and never read as input; keys that
+    the stream doesn't bring keep it.  Value columns are of plain types;
+    ``arrival`` is one of them and not NULL.  Rows are reduced to one per key in
+    every task before they are shuffled, so a hot key comes as few rows.  Read the
+    state with :func:`read_variable`.
+    """
+    spark = source.sparkSession
+    ensure_rocksdb(spark)
+    rows = source.select(F.col(key).alias("key"), *value_schema.names)
+    reduced = rows.mapInPandas(_newest_of("key", arrival), rows.schema)
+    first = None if initial is None else initial.select(F.col(key).alias("key"), *value_schema.names).groupBy("key")
+    value = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in value_schema.fields)
+    out = reduced.groupBy("key").transformWithStateInPandas(
+        KeepLatest(value_schema.names, arrival, value), rows.schema, "Update", "None", initialState=first)
+    q = (out.writeStream.format("noop").option("checkpointLocation", checkpoint).outputMode("update")
+            .trigger(**(trigger or {"availableNow": True})).start())
+    if trigger is None:
+        run_available(q)
+    return q
+
+
+def read_variable(spark: SparkSession, checkpoint: str, name: str, key: str) -> DataFrame:
+    """A value state variable of a (stopped) ``transformWithState`` query as rows: key and value columns."""
+    raw = spark.read.format("statestore").option("stateVarName", name).load(checkpoint)
+    return raw.select(F.col("key.key").alias(key), "value.*")
+
+
+def state_variables(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(operatorName, stateStoreName, numPartitions, minBatchId, maxBatchId) of a query's checkpoint."""
+    return spark.read.format("state-metadata").load(checkpoint).select(
+        "operatorName", "stateStoreName", "numPartitions", "minBatchId", "maxBatchId")
+
+
 class KeepFirstTTL(StatefulProcessor):
     """First row per key; the "seen" mark expires ``ttl_ms`` of processing time
     after it was set, after which the key's next row is emitted again (a state

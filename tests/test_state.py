@@ -100,3 +100,27 @@ def test_keep_first_with_state_ttl(spark):
         results[ttl] = sorted((r.t_id, r.copy) for r in spark.read.parquet(out).collect())
     assert results[3_600_000] == [(1, 0), (2, 0)]          # the repeat of key 1 is dropped
     assert results[1] == [(1, 0), (1, 2), (2, 0)]          # expired mark: key 1 emitted again
+
+
+def test_initial_state_is_not_input(spark):
+    """Keys that the stream doesn't bring keep their initial state; a newer row wins, an older one doesn't."""
+    import pandas as pd  # noqa: F401
+
+    from riverbend.streaming import sinks, state
+
+    value = T.StructType([T.StructField("seq", T.LongType()), T.StructField("text", T.StringType()), T.StructField("x", T.DoubleType())])
+    schema = "key long, seq long, text string, x double"
+    initial = spark.createDataFrame([(1, 10, "old one", 0.5), (2, 10, "kept", None), (3, 10, "newer than the stream", 1.5)], schema)
+    src, ck = sinks.new_output(spark, "init-src"), sinks.new_output(spark, "init-ck")
+    rows = [(1, 11, "new one", 2.5), (1, 12, "newest", None), (3, 9, "late", 3.5), (4, 1, "own", 4.5)] + [(5, k, f"hot {k}", 0.0) for k in range(500)]
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(src)
+    stream = lambda: spark.readStream.schema(schema).parquet(src)
+    state.keyed_latest_from(stream(), "key", value, "seq", ck, initial=initial)
+    read = lambda: sorted(((r.key, r.seq, r.text, r.x) for r in state.read_variable(spark, ck, "latest", "key").collect()), key=repr)
+    want = [(1, 12, "newest", None), (2, 10, "kept", None), (3, 10, "newer than the stream", 1.5), (4, 1, "own", 4.5), (5, 499, "hot 499", 0.0)]
+    assert read() == sorted(want, key=repr)
+    spark.createDataFrame([(2, 20, "moved", 9.0)], schema).write.mode("append").parquet(src)
+    state.keyed_latest_from(stream(), "key", value, "seq", ck, initial=initial)
+    assert (2, 20, "moved", 9.0) in read() and len(read()) == 5
+    names = [r.operatorName for r in state.state_variables(spark, ck).collect()]
+    assert names and all("transformWithState" in n for n in names)
