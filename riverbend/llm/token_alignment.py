@@ -1,8 +1,9 @@
 """Alignment of two tokenizers over a corpus, with corpus-wide counts of linked tokens.
 
 Every text is encoded by tokenizer A (a byte-level BPE, ``tokenizers``) and tokenizer B (``sentencepiece``) over the same
-bytes, a blank and the text.  Byte offsets at which tokens of both end cut the text into groups; the A token and the B
-token that end there are linked.
+bytes, a blank and the text.  Neither has a token that crosses from a word to the blank after it, so a text is cut at
+single blanks between ordinary characters and every distinct piece of a batch is encoded and aligned once.  Byte offsets at which
+tokens of both end cut the text into groups; the A token and the B token that end there are linked.
 
 How often each pair is linked in the whole corpus is counted externally.  A task turns the links of its texts into
 (pair, document, times) records, radix-partitions them by the B id, and spills every ``RUN_RECORDS`` of them as one
@@ -18,7 +19,9 @@ from __future__ import annotations
 
 import heapq
 import io
+import re
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -35,11 +38,13 @@ from .token_counts import _byte_symbols
 #: Partitions of the B ids.
 RADIX = 32
 #: Links that a task holds before it spills, and records of one merge.
-RUN_RECORDS, MERGE_RECORDS = 1 << 20, 1 << 22
+RUN_RECORDS, MERGE_RECORDS = 1 << 20, 1 << 21
 #: Records of a block, the unit in which a run is read.
 BLOCK = 4096
 #: Text bytes that are encoded at once; one text stays whole.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 2 << 20
+#: Pieces that are encoded at once.
+SLICE = 8192
 
 _TABLES: dict[tuple[str, str], Tokens] = {}
 
@@ -77,21 +82,64 @@ class Tokens:
             entries[k] = bytes(byte[c] for c in entry) if all(c in byte for c in entry) else entry.encode()
         self.of_a = Vocabulary(entries)
         self.b = b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        self.of_b = Vocabulary([bytes([int(b.id_to_piece(k)[3:5], 16)]) if b.is_byte(k) else b.id_to_piece(k).replace("▁", " ").encode()
-                                for k in range(b.get_piece_size())])
+        entries_b = [bytes([int(b.id_to_piece(k)[3:5], 16)]) if b.is_byte(k) else b.id_to_piece(k).replace("▁", " ").encode()
+                     for k in range(b.get_piece_size())]
+        self.of_b = Vocabulary(entries_b)
+        #: whether no token goes on from an ordinary character to a blank
+        self.cut = not any(re.search(rb"[!-~] |(?:^|[\xC3-\xDF])[\x80-\xBF] ", t) for t in entries + entries_b)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of A, tokens of A in each text, and the same of B; none where the tokens' bytes aren't blank + text."""
-        a = [np.array(e.ids, np.int64) for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        b = [np.array(x, np.int64) for x in self.b.encode(texts, num_threads=1)]
-        for k, text in enumerate(texts):
-            if not text:
-                a[k] = b[k] = a[k][:0]
-                continue
-            plain = np.frombuffer(b" " + text.encode(), np.uint8)
-            if not (np.array_equal(self.of_a.joined(a[k]), plain) and np.array_equal(self.of_b.joined(b[k]), plain)):
-                a[k] = b[k] = a[k][:0]
-        return (np.concatenate(a), np.array([len(x) for x in a], np.int64), np.concatenate(b), np.array([len(x) for x in b], np.int64))
+        a, n_a = _flat([e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)])
+        b, n_b = _flat(self.b.encode(texts, num_threads=1))
+        plain = [b" " + t.encode() if t else b"" for t in texts]
+        size, of = np.array([len(p) for p in plain], np.int64), np.arange(len(texts))
+        of_a, of_b = np.repeat(of, n_a), np.repeat(of, n_b)
+        good = size > 0
+        for vocabulary, ids, owner in ((self.of_a, a, of_a), (self.of_b, b, of_b)):
+            good &= np.bincount(owner, vocabulary.size[ids], len(texts)) == size
+        own = np.frombuffer(b"".join(p for p, g in zip(plain, good.tolist(), strict=True) if g), np.uint8)
+        of_byte, left = np.repeat(of[good], size[good]), good.copy()
+        for vocabulary, ids, owner in ((self.of_a, a, of_a), (self.of_b, b, of_b)):
+            left[of_byte[vocabulary.joined(ids[good[owner]]) != own]] = False
+        return a[left[of_a]], np.where(left, n_a, 0), b[left[of_b]], np.where(left, n_b, 0)
+
+
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the lists, and how many each has."""
+    n = np.array([len(x) for x in lists], np.int64)
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(n.sum())), n
+
+
+def _safe(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether the bytes end, and begin, an ordinary character: printable ASCII but the blank, or a letter of two bytes from
+    U+00C0 on that doesn't combine; white space of any kind is none."""
+    plain = (data > 0x20) & (data < 0x7F)
+    lead = (data >= 0xC3) & (data <= 0xDF) & (data != 0xCC) & (data != 0xCD)
+    ends = plain.copy()
+    ends[1:] |= (data[1:] >= 0x80) & (data[1:] < 0xC0) & lead[:-1]
+    return ends, plain | lead
+
+
+def pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of every text, flat, and the offsets of each text's pieces.  A text is cut at each blank between two
+    ordinary characters, which is dropped; an empty text has no piece."""
+    texts = pc.fill_null(texts.cast(pa.string()), "").cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+    offsets = offsets - offsets[0]
+    ends, begins = _safe(data)
+    blank = np.zeros(len(data), bool)
+    blank[1:-1] = (data[1:-1] == 0x20) & ends[:-2] & begins[2:]
+    at = offsets[(offsets > 0) & (offsets < len(data))]
+    blank[at] = False  # the neighbours are another text's
+    blank[at - 1] = False
+    gone = np.flatnonzero(blank)
+    starts = np.sort(np.concatenate([offsets[:-1][np.diff(offsets) > 0], gone + 1]))
+    before = np.concatenate([[0], np.cumsum(blank)])
+    flat = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, len(data)) - before[np.append(starts, len(data))]),
+                                            pa.py_buffer(data[~blank]))
+    return flat, np.searchsorted(starts, offsets)
 
 
 def tokens(path_a: str, path_b: str) -> Tokens:
@@ -132,6 +180,41 @@ def align_texts(own: Tokens, texts: list[str]) -> Aligned:
     return Aligned(n_a, n_b, n_groups, pc.binary_join(each, ";"), owner, a[last_a], b[last_b])
 
 
+def _in_slices(own: Tokens, texts: pa.Array) -> Aligned:
+    """As ``align_texts``, a few at a time: the libraries' own results take many times the room of the ids."""
+    parts = [align_texts(own, texts.slice(k, SLICE).to_pylist()) for k in range(0, max(len(texts), 1), SLICE)]
+    groups = pa.concat_arrays([p.groups for p in parts])
+    text = np.concatenate([p.text + k * SLICE for k, p in enumerate(parts)])
+    n_a, n_b, n_groups, a, b = (np.concatenate([getattr(p, c) for p in parts]) for c in ("n_a", "n_b", "n_groups", "a", "b"))
+    return Aligned(n_a, n_b, n_groups, groups, text, a, b)
+
+
+def align_batch(own: Tokens, texts: pa.Array) -> Aligned:
+    """As ``align_texts``, by distinct pieces; a text with a piece that has no tokens is encoded as a whole."""
+    if not own.cut:
+        return align_texts(own, pc.fill_null(texts.cast(pa.string()), "").to_pylist())
+    flat, offsets = pieces(texts)
+    coded = flat.dictionary_encode()
+    known, code = _in_slices(own, coded.dictionary), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    text = np.repeat(np.arange(len(texts)), np.diff(offsets))
+    odd = np.unique(text[known.n_a[code] == 0])
+    if len(odd):
+        code, text = (x[~np.isin(text, odd)] for x in (code, text))
+    n_a, n_b, n_groups = (np.bincount(text, n[code], len(texts)).astype(np.int64) for n in (known.n_a, known.n_b, known.n_groups))
+    each = pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(len(texts) + 1)), pa.int32()), known.groups.take(pa.array(code)))
+    groups, n = pc.binary_join(each, ";"), known.n_groups
+    pick = np.arange(int(n[code].sum())) + np.repeat((np.cumsum(n) - n)[code] - (np.cumsum(n[code]) - n[code]), n[code])
+    a, b, text = known.a[pick], known.b[pick], np.repeat(text, n[code])
+    if len(odd):
+        whole = align_texts(own, texts.take(pa.array(odd)).to_pylist())
+        n_a[odd], n_b[odd], n_groups[odd] = whole.n_a, whole.n_b, whole.n_groups
+        is_odd = np.zeros(len(texts), bool)
+        is_odd[odd] = True
+        groups = pc.replace_with_mask(groups, pa.array(is_odd), whole.groups)
+        a, b, text = np.concatenate([a, whole.a]), np.concatenate([b, whole.b]), np.concatenate([text, odd[whole.text]])
+    return Aligned(n_a, n_b, n_groups, groups, text, a, b)
+
+
 def write_run(keys: np.ndarray, rows: np.ndarray, times: np.ndarray) -> bytes:
     """A sorted run: the documents' rows, then blocks of (key, place of the row, times)."""
     known, place = np.unique(rows, return_inverse=True)
@@ -227,7 +310,7 @@ def _spill(path_a: str, path_b: str, run_records: int, id_type: pa.DataType):
     def spill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, links, n_links = tokens(path_a, path_b), [], 0
         for part in cut(batches, "text", STEP_BYTES):
-            got = align_texts(own, pc.fill_null(part.column("text").cast(pa.string()), "").to_pylist())
+            got = align_batch(own, part.column("text"))
             ids = part.column("id")
             yield batch(part.num_rows, row=part.column("row"), id=ids, n_a=pa.array(got.n_a), n_b=pa.array(got.n_b),
                         n_groups=pa.array(got.n_groups, pa.int64()), n_links=pa.array(got.n_groups, pa.int64()), groups=got.groups)

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -111,8 +112,25 @@ def test_merge_is_in_order_and_whole(monkeypatch):
     assert got == all_records and list(T.merge([])) == []
 
 
+def test_pieces_give_what_whole_texts_give():
+    own, rnd = T.tokens(A, B), random.Random(9)
+    parts = ["the", "cat", "don't", "naïve", "Ünder", "ﬁne", "½", "東京", "🙂", "\u0301x", "\u00a0", "\u2003", "\u3000", "\u0085", "\x1c", "\n", "\t", "  ", " ", "",
+             "a.b", "<|endoftext|>", "</s>", "12", "_", "▁", "\u0370Ω", "ж", "\u07ff", "́", "x\u200b", "'s", "…", "`", "´", "¨"]
+    texts = [rnd.choice([" ", "", " "]).join(rnd.choice(parts) for _ in range(rnd.randrange(25))) for _ in range(1500)] + [None, *ODD]
+    texts += [r + " " + "x" for r in parts] + ["x " + r for r in parts]
+    array = pa.array(texts)
+    for some in (array, array.slice(700, 40), array[:0]):
+        one, two = T.align_batch(own, some), T.align_texts(own, [t or "" for t in some.to_pylist()])
+        assert [x.tolist() for x in one[:3]] == [x.tolist() for x in two[:3]] and one.groups.to_pylist() == two.groups.to_pylist()
+        links = lambda g: sorted(zip(g.text.tolist(), g.a.tolist(), g.b.tolist(), strict=True))
+        assert links(one) == links(two)
+    flat, offsets = T.pieces(pa.array(["a b  c", "", " d e ", None, "f"]))
+    assert flat.to_pylist() == ["a", "b  c", " d", "e ", "f"] and offsets.tolist() == [0, 2, 2, 4, 4, 5]
+
+
 def test_every_token_has_bytes():
     own = T.tokens(A, B)
+    assert own.cut
     assert own.of_a.size.min() > 0 and own.of_b.size.min() > 0
 
 
