@@ -30,8 +30,8 @@ from .decontaminate import words
 
 FEATURES = 1 << 15
 ORDERS = 3
-#: Variants of each template, and about how many documents of the corpus lend paragraphs.
-VARIANTS, TRAIN_DOCS = 40, 400
+#: Variants of each template, and how many different texts, with how many lines, lend paragraphs at most.
+VARIANTS, TRAIN_DOCS, TRAIN_LINES = 40, 400, 20_000
 FALSE_RATE = 0.001
 #: Share of a template's word pairs that a paragraph must hold.
 CONFIRMED = 0.6
@@ -155,7 +155,7 @@ def _piece(own: set[tuple[int, int]]) -> bool:
 
 
 def _examples(paragraphs: list[str], rnd: random.Random) -> tuple[list[str], list[int]]:
-    pool = [w for p in paragraphs for w in p.split()[:40]] or ["the"]
+    pool = [w for p in paragraphs for w in p.split()] or ["the"]
     some = lambda most: " ".join(rnd.choices(pool, k=rnd.randint(0, most)))
     texts, labels = [], []
     for number, (_, templates) in enumerate(TEMPLATES.items(), 1):
@@ -212,12 +212,14 @@ def fit(paragraphs: list[str], seed: int = 5, steps: int = 120) -> Classifier:
 
 
 def train(docs: DataFrame, text_col: str = "text", train_docs: int = TRAIN_DOCS) -> Classifier:
-    """Fit with the paragraphs of about ``train_docs`` documents, drawn by a hash of their text."""
+    """Fit with paragraphs of ``train_docs`` different texts at most, ``TRAIN_LINES`` lines at most; of both the ones with
+    the least hashes, so that copies count once and what is drawn doesn't hang on the order of rows."""
     base = docs.select(F.col(text_col).alias("text")).where("text IS NOT NULL")
-    share = int(min(1, train_docs / max(base.count(), 1)) * (1 << 20)) + 1
-    drawn = base.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share)
-    lines = drawn.select(F.explode(F.split("text", "\n")).alias("line")).distinct().orderBy("line").toArrow()
-    return fit(lines["line"].to_pylist())
+    share = int(min(1, 1.2 * train_docs / max(base.count(), 1)) * (1 << 40)) + 1
+    drawn = base.withColumn("h", F.xxhash64("text")).where(F.pmod(F.xxhash64("h"), F.lit(1 << 40)) < share)
+    drawn = drawn.groupBy("h").agg(F.first("text").alias("text")).orderBy("h").limit(train_docs)
+    lines = drawn.select(F.explode(F.split("text", "\n")).alias("line")).distinct().orderBy(F.xxhash64("line"), "line").limit(TRAIN_LINES)
+    return fit(sorted(lines.toArrow()["line"].to_pylist()))
 
 
 @dataclass
