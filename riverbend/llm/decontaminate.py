@@ -39,6 +39,8 @@ from .common import FILTER_BITS, cut, filter_of, hash_words, maybe_known, save,
 MASKS = ("111111", "1101011001", "1110010101", "1011001110", "1100110101")
 MIN_EQUAL, MIN_SHARE, LONG_EQUAL, PENALTY = 8, 0.6, 25, -1
 VERBATIM, BAND = 13, 16
+#: Text bytes whose windows a task holds at once; one text stays whole.
+TEXT_BYTES = 2 << 20
 
 #: A score and a number of equal words in one integer, ordered by score first.
 _ONE = 1 << 31
@@ -190,7 +192,7 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _suspects(known: Broadcast, masks: list[str]):
     """(id, key, words, places, hashes) of the texts that have a window whose hash may be an item's."""
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in cut(batches, "text"):
+        for batch in cut(batches, "text", TEXT_BYTES):
             hashed, offsets = words(batch.column("text"))
             found = []
             for mask, text, at, h in windows(hashed, offsets, masks):

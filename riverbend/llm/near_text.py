@@ -40,6 +40,9 @@ BATCH, MISS = 32, 1e-6
 #: chunk by itself).
 CHUNK, CHUNK_BYTES = 512, 64 << 20
 
+#: Text bytes whose shingles a task holds at once; one text stays whole.
+TEXT_BYTES = 4 << 20
+
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -82,7 +85,7 @@ def minhash(values: np.ndarray) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in cut(batches, "text"):
+    for batch in cut(batches, "text", TEXT_BYTES):
         sets = shingle_sets(batch.column("text"))
         n = np.array([len(s) for s in sets], np.int64)
         digests: list[bytes | None] = [None] * len(sets)
@@ -183,7 +186,7 @@ def _settle(schema: pa.Schema):
 
 
 def _collect_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in cut(batches, "text"):
+    for batch in cut(batches, "text", TEXT_BYTES):
         yield pa.record_batch([batch.column("id"), pack([s.tobytes() for s in shingle_sets(batch.column("text"))])], ["id", "set"])
 
 

@@ -29,7 +29,7 @@ FEATURES = 1 << 12
 TRAIN_DOCS = 6000
 #: Documents that score less are rejected.
 LEAST = 0.5
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 2 << 20
 
 GOOD, BAD, NONE = 1, 0, 2
 LONG = 1 << 62
