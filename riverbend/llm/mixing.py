@@ -25,7 +25,7 @@ from .common import quoted, save
 LEAF = ["domain", "lang", "source"]
 #: Documents of a leaf are summed by the next digits of their hash, round by round, until the ones in which its budget
 #: ends are so few that they can be put in order.
-DIGITS, ORDERED = 3, 1 << 10
+DIGITS, ORDERED = 2, 1 << 8
 
 
 @dataclass(frozen=True)
